@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from relfeat.driver.loan_views import loan_sql, loan_table, loan_tables
 from relfeat.driver.registry import Tables, query, rounded, rounded_sql
 from relfeat.functions.aggs import total
-from relfeat.functions.expr import prefixed, ratio, safe_name
-from relfeat.operators.encode import fit_vocabulary, onehot_share, share_columns
+from relfeat.functions.expr import prefixed, ratio, safe_name, with_exprs
+from relfeat.operators.encode import fit_vocabulary, share_columns
 from relfeat.operators.grouping import aggregate
 from relfeat.plans import application, blocks
 from relfeat.plans.scorecard import feature_mart
@@ -24,10 +24,10 @@ def _share(column: str, value: str, name: str) -> str:
 @query(
     "customer_order_mart",
     rounded_sql(
-        f"""SELECT c_custkey, c_acctbal, c_mktsegment, n AS prev_n, total / 1000 AS prev_total, mean AS prev_mean, f AS prev_o_orderstatus_F, o AS prev_o_orderstatus_O,
-    p AS prev_o_orderstatus_P, total / nullif(c_acctbal, 0) / 1000 AS total_to_balance FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS total,
+        f"""SELECT c_custkey, c_acctbal, c_mktsegment, n AS prev_n, total AS prev_total, mean AS prev_mean, f AS prev_o_orderstatus_F, o AS prev_o_orderstatus_O,
+    p AS prev_o_orderstatus_P, total / nullif(c_acctbal, 0) AS total_to_balance FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS total,
     avg(o_totalprice) AS mean, {_share('o_orderstatus', 'F', 'f')}, {_share('o_orderstatus', 'O', 'o')}, {_share('o_orderstatus', 'P', 'p')} FROM orders GROUP BY 1) ON c_custkey = o_custkey""",
-        4,
+        6,
         ["c_mktsegment"],
     ),
 )
@@ -37,11 +37,11 @@ def customer_order_mart(t: Tables):
     block = aggregate(
         orders,
         "c_custkey",
-        {"n": F.count(F.lit(1)), "total": total("o_totalprice") / 1000, "mean": F.avg("o_totalprice"), **share_columns("o_orderstatus", status)},
+        {"n": "count(1)", "total": total("o_totalprice"), "mean": "avg(o_totalprice)", **share_columns("o_orderstatus", status)},
     )
     root = t.customer.select("c_custkey", "c_acctbal", "c_mktsegment")
     mart = blocks.assemble_mart(root, [prefixed(block, "prev_", ["c_custkey"])], "c_custkey")
-    return rounded(mart.withColumn("total_to_balance", ratio("prev_total", "c_acctbal")), 4)
+    return rounded(with_exprs(mart, {"total_to_balance": ratio("prev_total", "c_acctbal")}), 6)
 
 
 # --- bureau --------------------------------------------------------------------------------------------------------
@@ -67,9 +67,9 @@ _BUREAU_SQL = f"""SELECT SK_ID_CURR, count(SK_ID_BUREAU) AS bureau_loan_count, {
   FROM {loan_sql('bureau')} LEFT JOIN {_HIST} ON SK_ID_BUREAU = hk) GROUP BY 1"""
 
 
-@query("block_bureau", rounded_sql(_BUREAU_SQL, 4))
+@query("block_bureau", rounded_sql(_BUREAU_SQL, 8))
 def block_bureau(t: Tables):
-    return rounded(blocks.bureau_block(loan_table(t, "bureau"), loan_table(t, "bureau_balance")), 4)
+    return rounded(blocks.bureau_block(loan_table(t, "bureau"), loan_table(t, "bureau_balance")), 8)
 
 
 @query(
@@ -113,9 +113,9 @@ _PREV_SQL = f"""SELECT SK_ID_CURR, count(SK_ID_PREV) AS prev_loan_count, {', '.j
   {', '.join(f'nullif({c}, 365243) AS {c}' for c in _PREV_DAYS)}) FROM {loan_sql('previous')}) GROUP BY 1"""
 
 
-@query("block_previous", rounded_sql(_PREV_SQL, 4))
+@query("block_previous", rounded_sql(_PREV_SQL, 8))
 def block_previous(t: Tables):
-    return rounded(blocks.previous_block(loan_table(t, "previous")), 4)
+    return rounded(blocks.previous_block(loan_table(t, "previous")), 8)
 
 
 # --- monthly snapshots ---------------------------------------------------------------------------------------------
@@ -135,9 +135,9 @@ _POS_SQL = f"""SELECT a.* , l.pos_DPD_COUNT FROM (SELECT SK_ID_CURR, count(SK_ID
   JOIN (SELECT SK_ID_CURR, avg(c) AS pos_DPD_COUNT FROM (SELECT SK_ID_CURR, SK_ID_PREV, sum(CASE WHEN SK_DPD = 0 THEN 0 ELSE 1 END) AS c FROM {loan_sql('pos')} GROUP BY 1, 2) GROUP BY 1) l USING (SK_ID_CURR)"""
 
 
-@query("block_pos", rounded_sql(_POS_SQL))
+@query("block_pos", rounded_sql(_POS_SQL, 8))
 def block_pos(t: Tables):
-    return rounded(blocks.pos_block(loan_table(t, "pos")))
+    return rounded(blocks.pos_block(loan_table(t, "pos")), 8)
 
 
 _HROWS = f"""(SELECT *, CASE WHEN SK_DPD > 0 THEN 1 ELSE 0 END AS paid_late, CASE WHEN SK_DPD_DEF > 0 THEN 1 ELSE 0 END AS paid_late_with_tolerance,
@@ -191,9 +191,9 @@ _CARD_SQL = f"""SELECT a.*, l.cc_bal_DPD_COUNT, l.cc_bal_INSTALLMENTS_PER_LOAN F
   (SELECT SK_ID_CURR, SK_ID_PREV, sum(CASE WHEN SK_DPD = 0 THEN 0 ELSE 1 END) AS c, max(CNT_INSTALMENT_MATURE_CUM) AS m FROM {loan_sql('card')} GROUP BY 1, 2) GROUP BY 1) l USING (SK_ID_CURR)"""
 
 
-@query("block_card", rounded_sql(_CARD_SQL, 5))
+@query("block_card", rounded_sql(_CARD_SQL, 8))
 def block_card(t: Tables):
-    return rounded(blocks.card_block(loan_table(t, "card")), 5)
+    return rounded(blocks.card_block(loan_table(t, "card")), 8)
 
 
 _INST_NUM = ["AMT_INSTALMENT", "AMT_PAYMENT", "DAYS_ENTRY_PAYMENT", "DAYS_INSTALMENT", "NUM_INSTALMENT_NUMBER", "NUM_INSTALMENT_VERSION"]
@@ -204,9 +204,9 @@ _INST_SQL = f"""SELECT SK_ID_CURR, count(SK_ID_PREV) AS inst_row_count, {', '.jo
   coalesce(sum(abs(DAYS_ENTRY_PAYMENT)), 0) - coalesce(sum(abs(DAYS_INSTALMENT)), 0) AS inst_DIFF_INSTALMENT_PAYMENT_DATE FROM {loan_sql('instalments')} GROUP BY 1"""
 
 
-@query("block_instalments", rounded_sql(_INST_SQL, 3))
+@query("block_instalments", rounded_sql(_INST_SQL))
 def block_instalments(t: Tables):
-    return rounded(blocks.instalment_block(loan_table(t, "instalments")), 3)
+    return rounded(blocks.instalment_block(loan_table(t, "instalments")))
 
 
 # --- application ---------------------------------------------------------------------------------------------------
@@ -248,14 +248,14 @@ _DIFFS = [
 
 @query(
     "application_recipes",
-    f"WITH cleaned AS {_CLEAN} " + rounded_sql(f"SELECT SK_ID_CURR, {', '.join(_RECIPE_NAMES)}, {', '.join(_DIFFS)} FROM {_RECIPED}", 4),
+    f"WITH cleaned AS {_CLEAN} " + rounded_sql(f"SELECT SK_ID_CURR, {', '.join(_RECIPE_NAMES)}, {', '.join(_DIFFS)} FROM {_RECIPED}", 8),
 )
 def application_recipes(t: Tables):
     app = application.clean(loan_table(t, "application"))
     fitted = application.fit_recipes(app, application.RECIPES, ["split"])
     wide = application.group_deviation(application.group_recipe(app, application.RECIPES, fitted), application.RECIPES)
     made = [c for c in wide.columns if c not in app.columns]
-    return rounded(wide.select("SK_ID_CURR", *made), 4)
+    return rounded(wide.select("SK_ID_CURR", *made), 8)
 
 
 def _median_by(keys: list[str], columns: list[str], alias: str) -> str:
@@ -304,7 +304,7 @@ _APP_ROWS = f"""(SELECT *, {', '.join(f'{e} AS {n}' for n, e in _ROW2.items())}
   LEFT JOIN (SELECT split AS s3, ORGANIZATION_TYPE AS o3, median(AMT_INCOME_TOTAL) AS org_income FROM cleaned GROUP BY ALL) ON split = s3 AND ORGANIZATION_TYPE = o3
   LEFT JOIN (SELECT split AS s4, CODE_GENDER AS g4, avg(OWN_CAR_AGE) AS car_mean FROM cleaned WHERE CODE_GENDER IS NOT NULL GROUP BY ALL) ON split = s4 AND CODE_GENDER = g4)"""
 _APP_SQL = f"WITH cleaned AS {_CLEAN} " + rounded_sql(
-    f"SELECT SK_ID_CURR, {', '.join([*SCORES, 'AMT_ANNUITY', *_ROW, *_ROW2])} FROM {_APP_ROWS}", 5
+    f"SELECT SK_ID_CURR, {', '.join([*SCORES, 'AMT_ANNUITY', *_ROW, *_ROW2])} FROM {_APP_ROWS}", 10
 )
 
 
@@ -313,7 +313,7 @@ def block_application(t: Tables):
     app = application.clean(loan_table(t, "application"))
     wide = application.fitted_features(application.row_features(application.impute(app)))
     made = [c for c in wide.columns if c not in app.columns]
-    return rounded(wide.select("SK_ID_CURR", *SCORES, "AMT_ANNUITY", *made), 5)
+    return rounded(wide.select("SK_ID_CURR", *SCORES, "AMT_ANNUITY", *made), 10)
 
 
 @query(
@@ -340,7 +340,7 @@ def application_encoded(t: Tables):
     cc_bal_AMT_BALANCE / nullif(AMT_INCOME_TOTAL, 0) AS cc_bal_INCOME_RATIO, cc_bal_AMT_DRAWINGS_ATM_CURRENT / nullif(AMT_INCOME_TOTAL, 0) AS cc_payment_INCOME_RATIO
     FROM {_APP_ROWS} x LEFT JOIN ({_BUREAU_SQL}) USING (SK_ID_CURR) LEFT JOIN ({_PREV_SQL}) USING (SK_ID_CURR) LEFT JOIN ({_POS_SQL}) USING (SK_ID_CURR)
     LEFT JOIN ({_CARD_SQL}) USING (SK_ID_CURR) LEFT JOIN ({_INST_SQL}) USING (SK_ID_CURR) LEFT JOIN ({_POS_HISTORY_SQL}) USING (SK_ID_CURR)""",
-        4,
+        8,
     ),
 )
 def full_mart(t: Tables):
@@ -351,5 +351,5 @@ def full_mart(t: Tables):
             "prev_DIFF_CREDIT_APPLIED", "pos_RATIO_PAY_TOPAY", "pos_DPD_COUNT", "cc_bal_AMT_BALANCE", "cc_bal_WM_AMT_BALANCE",
             "inst_DIFF_INSTALMENT_PAYMENT", "pos_cash_last_10_SK_DPD_mean", "cc_bal_INCOME_RATIO", "cc_payment_INCOME_RATIO",
         ),
-        4,
+        8,
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from relfeat.driver.registry import CUSTOMERS, LINES, Tables, query, rounded, rounded_sql
+from relfeat.functions.aggs import share
 from relfeat.operators import encode, impute, metrics, model, profile
 from relfeat.operators.grouping import aggregate
 
@@ -207,8 +208,8 @@ def _customer_mart(t: Tables):
         t.lines.withColumnRenamed("o_custkey", "c_custkey"),
         "c_custkey",
         {
-            "n_lines": F.count(F.lit(1)), "mean_qty": F.avg("l_quantity"), "mean_dpd": F.avg("dpd"),
-            "sum_price": F.sum("l_extendedprice"), "share_R": F.avg((F.col("l_returnflag") == "R").cast("double")),
+            "n_lines": "count(1)", "mean_qty": "avg(l_quantity)", "mean_dpd": "avg(dpd)",
+            "sum_price": "sum(l_extendedprice)", "share_R": share("l_returnflag", "R"),
         },
     )
     wide = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment", F.when(F.col("c_acctbal") < 0, 1).otherwise(0).alias("target")).join(history, "c_custkey", "left")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from relfeat.driver.registry import LINE_TIES, LINES, Tables, query, rounded, rounded_sql
 from relfeat.functions import aggs as A
-from relfeat.functions.expr import ratio, trunc_int
+from relfeat.functions.expr import columns, ratio, trunc_int
 from relfeat.operators import encode, ordered, profile
 from relfeat.operators.grouping import Nested, aggregate, aggregate_named, all_numeric_mean, group_deviation, group_recipe
 
@@ -19,7 +19,7 @@ def _per_customer(columns: str, digits: int = 6) -> str:
 
 @query("agg_count", _per_customer("count(*) AS n_rows, count(disc) AS n_disc, count(flag) AS n_flag"))
 def agg_count(t: Tables):
-    return aggregate(t.lines, KEY, {"n_rows": F.count(F.lit(1)), "n_disc": F.count("disc"), "n_flag": F.count("flag")})
+    return aggregate(t.lines, KEY, {"n_rows": "count(1)", "n_disc": "count(disc)", "n_flag": "count(flag)"})
 
 
 @query("agg_sum", _per_customer("coalesce(sum(disc), 0) AS sum_disc, CAST(sum(dpd) AS BIGINT) AS sum_dpd, sum(l_extendedprice) AS sum_price", 4))
@@ -29,7 +29,7 @@ def agg_sum(t: Tables):
 
 @query("agg_mean", _per_customer("avg(disc) AS mean_disc, avg(l_quantity) AS mean_qty, avg(dpd) AS mean_dpd"))
 def agg_mean(t: Tables):
-    return rounded(aggregate(t.lines, KEY, {"mean_disc": F.avg("disc"), "mean_qty": F.avg("l_quantity"), "mean_dpd": F.avg("dpd")}))
+    return rounded(aggregate(t.lines, KEY, {"mean_disc": "avg(disc)", "mean_qty": "avg(l_quantity)", "mean_dpd": "avg(dpd)"}))
 
 
 _SWEEP = ["l_quantity", "l_extendedprice", "l_tax", "disc", "dpd", "months"]
@@ -75,18 +75,18 @@ def _moments(value: str, name: str) -> str:
         f"""SELECT o_custkey, CASE WHEN m2 > 1e-9 THEN {value} END AS {name} FROM (SELECT o_custkey, r2 - m1 * m1 AS m2,
         r3 - 3 * m1 * r2 + 2 * m1 * m1 * m1 AS m3, r4 - 4 * m1 * r3 + 6 * m1 * m1 * r2 - 3 * m1 * m1 * m1 * m1 AS m4
         FROM (SELECT o_custkey, {_M.format(c='CAST(dpd AS DOUBLE)')} FROM {LINES} GROUP BY 1))""",
-        4,
+        6,
     )
 
 
 @query("agg_skew", _moments("m3 / pow(m2, 1.5)", "dpd_skew"))
 def agg_skew(t: Tables):
-    return rounded(aggregate_named(t.lines, KEY, [("dpd", "skew")]), 4)
+    return rounded(aggregate_named(t.lines, KEY, [("dpd", "skew")]))
 
 
 @query("agg_kurt", _moments("m4 / (m2 * m2) - 3", "dpd_kurt"))
 def agg_kurt(t: Tables):
-    return rounded(aggregate_named(t.lines, KEY, [("dpd", "kurt")]), 4)
+    return rounded(aggregate_named(t.lines, KEY, [("dpd", "kurt")]))
 
 
 @query("agg_iqr", _per_customer("quantile_cont(l_quantity, 0.75) - quantile_cont(l_quantity, 0.25) AS l_quantity_iqr"))
@@ -99,10 +99,10 @@ def agg_nunique(t: Tables):
     return aggregate_named(t.lines, KEY, [(c, "nunique") for c in ("l_orderkey", "flag", "l_suppkey")])
 
 
-@query("agg_all_numeric_mean", _per_customer(", ".join(f"avg({c}) AS {c}" for c in ("l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "disc", "dpd", "months")), 4))
+@query("agg_all_numeric_mean", _per_customer(", ".join(f"avg({c}) AS {c}" for c in ("l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "disc", "dpd", "months")), 8))
 def agg_all_numeric_mean(t: Tables):
     keep = ["o_custkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "disc", "dpd", "months", "flag"]
-    return rounded(all_numeric_mean(t.lines.select(*keep), KEY), 4)
+    return rounded(all_numeric_mean(t.lines.select(*keep), KEY), 8)
 
 
 _W = "(-1.0::DOUBLE / months)"
@@ -137,8 +137,8 @@ def weighted_mean_all(t: Tables):
     (SELECT o_custkey, l_orderkey, max(l_linenumber) AS mx, count(*) AS n FROM {LINES} GROUP BY 1, 2) GROUP BY 1"""),
 )
 def agg_two_level(t: Tables):
-    n = Nested().of_groups("sum_of_max", F.max("l_linenumber"), A.total)
-    n.of_groups("mean_count", F.count(F.lit(1)), F.avg).group_count("n_loans")
+    n = Nested().of_groups("sum_of_max", "max(l_linenumber)", "coalesce(sum({}), 0)")
+    n.of_groups("mean_count", "count(1)", "avg({})").group_count("n_loans")
     return rounded(n.run(t.lines, KEY, "l_orderkey"))
 
 
@@ -148,19 +148,19 @@ def agg_two_level(t: Tables):
     sum(CASE WHEN flag IS NOT NULL AND dpd = 0 THEN 0 ELSE 1 END) AS c FROM {LINES} GROUP BY 1, 2) GROUP BY 1"""),
 )
 def agg_count_if(t: Tables):
-    past_due = F.when(F.col("flag").isNotNull(), F.col("dpd"))
-    n = Nested().of_groups("dpd_count", A.count_not_zero(past_due), F.avg).of_groups("n_late", A.count_not_zero(past_due), F.sum)
+    late = A.count_not_zero("CASE WHEN flag IS NOT NULL THEN dpd END")
+    n = Nested().of_groups("dpd_count", late, "avg({})").of_groups("n_late", late, "sum({})")
     return rounded(n.run(t.lines, KEY, "l_orderkey"))
 
 
 @query("agg_pct_if", _per_customer("100.0::DOUBLE * sum(CASE WHEN l_tax < disc THEN 1 ELSE 0 END) / count(*) AS pct_below"))
 def agg_pct_if(t: Tables):
-    return rounded(aggregate(t.lines, KEY, {"pct_below": A.percent_if(F.col("l_tax") < F.col("disc"))}))
+    return rounded(aggregate(t.lines, KEY, {"pct_below": A.percent_if("l_tax < disc")}))
 
 
 @query("agg_bool_sum", _per_customer("CAST(sum(CASE WHEN flag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS n_returned"))
 def agg_bool_sum(t: Tables):
-    return aggregate(t.lines, KEY, {"n_returned": A.count_if(F.col("flag") == "R")})
+    return aggregate(t.lines, KEY, {"n_returned": A.count_if("flag = 'R'")})
 
 
 _DUE, _PAID = "sum(l_extendedprice) / 1000", "sum(l_extendedprice * (1 - l_discount)) / 1000"
@@ -168,22 +168,20 @@ _DUE, _PAID = "sum(l_extendedprice) / 1000", "sum(l_extendedprice * (1 - l_disco
 
 @query(
     "agg_ratio_of_sums",
-    _per_customer(f"{_PAID} / nullif({_DUE}, 0) AS paid_ratio, {_DUE} - {_PAID} AS unpaid, ({_DUE} + {_PAID} - sum(l_tax)) / nullif({_DUE} + {_PAID}, 0) AS margin", 5),
+    _per_customer(f"{_PAID} / nullif({_DUE}, 0) AS paid_ratio, {_DUE} - {_PAID} AS unpaid, ({_DUE} + {_PAID} - sum(l_tax)) / nullif({_DUE} + {_PAID}, 0) AS margin", 7),
 )
 def agg_ratio_of_sums(t: Tables):
-    paid = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    sums = aggregate(t.lines, KEY, {"due": A.total("l_extendedprice") / 1000, "paid": A.total(paid) / 1000, "tax": A.total("l_tax")})
-    due, done = F.col("due"), F.col("paid")
-    return rounded(
-        sums.select(KEY, ratio("paid", "due").alias("paid_ratio"), (due - done).alias("unpaid"), ratio(due + done - F.col("tax"), due + done).alias("margin")), 5
-    )
+    paid = A.total("l_extendedprice * (1 - l_discount)")
+    sums = aggregate(t.lines, KEY, {"due": f"{A.total('l_extendedprice')} / 1000", "paid": f"{paid} / 1000", "tax": A.total("l_tax")})
+    over = {"paid_ratio": ratio("paid", "due"), "unpaid": "due - paid", "margin": ratio("due + paid - tax", "due + paid")}
+    return rounded(sums.select(KEY, *columns(over)), 7)
 
 
 @query("agg_per_distinct", rounded_sql(f"""SELECT o_custkey, CAST(trunc(sum(mx) / count(*)) AS INTEGER) AS lines_per_order FROM
     (SELECT o_custkey, l_orderkey, max(l_linenumber) AS mx FROM {LINES} GROUP BY 1, 2) GROUP BY 1"""))
 def agg_per_distinct(t: Tables):
-    n = Nested().of_groups("total", F.max("l_linenumber"), A.total).group_count("loans")
-    return n.run(t.lines, KEY, "l_orderkey").select(KEY, trunc_int(ratio("total", "loans")).alias("lines_per_order"))
+    n = Nested().of_groups("total", "max(l_linenumber)", "coalesce(sum({}), 0)").group_count("loans")
+    return n.run(t.lines, KEY, "l_orderkey").select(KEY, *columns({"lines_per_order": trunc_int(ratio("total", "loans"))}))
 
 
 _RECIPES = [

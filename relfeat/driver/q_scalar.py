@@ -72,12 +72,12 @@ def filter_rows(t: Tables):
 
 @query("flag_threshold", "SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS in_debt, CASE WHEN c_nationkey >= 12 THEN 1 ELSE 0 END AS far FROM customer")
 def flag_threshold(t: Tables):
-    return t.customer.select("c_custkey", E.flag(F.col("c_acctbal") < 0).alias("in_debt"), E.flag(F.col("c_nationkey") >= 12).alias("far"))
+    return t.customer.select("c_custkey", *E.columns({"in_debt": E.flag("c_acctbal < 0"), "far": E.flag("c_nationkey >= 12")}))
 
 
 @query("flag_equals", "SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS is_building FROM customer")
 def flag_equals(t: Tables):
-    return t.customer.select("c_custkey", E.flag_equals("c_mktsegment", "BUILDING").alias("is_building"))
+    return t.customer.select("c_custkey", *E.columns({"is_building": E.flag_equals("c_mktsegment", "BUILDING")}))
 
 
 @query(
@@ -89,8 +89,8 @@ def flag_equals(t: Tables):
 def flag_interaction(t: Tables):
     pairs = [("c_mktsegment", "BUILDING", "r_name", "ASIA"), ("c_mktsegment", "MACHINERY", "r_name", "EUROPE")]
     flags = interaction_flags(pairs)
-    flags["rich_household"] = E.flag_all({"c_mktsegment": "HOUSEHOLD", "c_acctbal": lambda c: c >= 5000})
-    return t.customers.select("c_custkey", *[f.alias(n) for n, f in flags.items()])
+    flags["rich_household"] = E.flag_all({"c_mktsegment": "HOUSEHOLD", "c_acctbal": (">=", 5000)})
+    return t.customers.select("c_custkey", *E.columns(flags))
 
 
 @query(
@@ -101,7 +101,7 @@ def flag_interaction(t: Tables):
 )
 def bucket_overlap(t: Tables):
     flags = E.overlapping_buckets("p_size", [(None, 10), (10, 25), (25, 50)])
-    return t.part.select("p_partkey", *[f.alias(n) for f, n in zip(flags, ("size_0_10", "size_10_25", "size_25_50"))])
+    return t.part.select("p_partkey", *E.columns(dict(zip(("size_0_10", "size_10_25", "size_25_50"), flags))))
 
 
 @query(
@@ -111,17 +111,17 @@ def bucket_overlap(t: Tables):
 )
 def sentinel_to_null(t: Tables):
     raw = t.orders.withColumn("y", F.when(F.col("o_orderkey") % 97 == 0, 365243).otherwise(F.year("o_orderdate")))
-    return raw.select("o_orderkey", E.sentinel_to_null("y", 365243).alias("y"), E.sentinel_to_null("o_orderpriority", "5-LOW").alias("priority"))
+    return raw.select("o_orderkey", *E.columns({"y": E.sentinel_to_null("y", 365243), "priority": E.sentinel_to_null("o_orderpriority", "5-LOW")}))
 
 
 @query("replace_value", "SELECT c_custkey, CASE WHEN c_nationkey = 0 THEN 1 ELSE c_nationkey END AS nation_no FROM customer")
 def replace_value(t: Tables):
-    return t.customer.select("c_custkey", E.replace_value("c_nationkey", 0, 1).alias("nation_no"))
+    return t.customer.select("c_custkey", *E.columns({"nation_no": E.replace_value("c_nationkey", 0, 1)}))
 
 
 @query("recode_map", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 0.1::DOUBLE WHEN 'O' THEN 600.0::DOUBLE END AS score FROM orders")
 def recode_map(t: Tables):
-    return t.orders.select("o_orderkey", E.recode("o_orderstatus", {"F": 0.1, "O": 600.0}).alias("score"))
+    return t.orders.select("o_orderkey", *E.columns({"score": E.recode("o_orderstatus", {"F": 0.1, "O": 600.0})}))
 
 
 @query(
@@ -129,7 +129,7 @@ def recode_map(t: Tables):
     f"SELECT l_orderkey, l_linenumber, l_partkey, coalesce(disc, 0) AS disc, coalesce(flag, 'none') AS flag FROM {LINES}",
 )
 def fill_constant(t: Tables):
-    return t.lines.select("l_orderkey", "l_linenumber", "l_partkey", E.fill("disc", 0.0).alias("disc"), E.fill("flag", "none").alias("flag"))
+    return t.lines.select("l_orderkey", "l_linenumber", "l_partkey", *E.columns({"disc": E.fill("disc", 0.0), "flag": E.fill("flag", "none")}))
 
 
 @query(
@@ -143,7 +143,7 @@ def fill_all_numeric(t: Tables):
 
 @query("cast_trunc", "SELECT c_custkey, CAST(trunc(c_acctbal) AS INTEGER) AS whole, CAST(trunc(c_acctbal / 7) AS BIGINT) AS sevenths FROM customer")
 def cast_trunc(t: Tables):
-    return t.customer.select("c_custkey", E.trunc_int("c_acctbal").alias("whole"), E.trunc_int(F.col("c_acctbal") / 7, "bigint").alias("sevenths"))
+    return t.customer.select("c_custkey", *E.columns({"whole": E.trunc_int("c_acctbal"), "sevenths": E.trunc_int("c_acctbal / 7", "BIGINT")}))
 
 
 @query("abs_value", "SELECT c_custkey, abs(c_acctbal) AS size FROM customer")
@@ -154,10 +154,10 @@ def abs_value(t: Tables):
 @query(
     "safe_ratio",
     rounded_sql("""SELECT l_orderkey, l_linenumber, l_partkey, l_tax / nullif(l_discount, 0) AS tax_per_discount,
-    l_extendedprice / nullif(l_quantity, 0) AS unit_price FROM lineitem"""),
+    l_extendedprice / nullif(l_quantity, 0) AS unit_price FROM lineitem""", 8),
 )
 def safe_ratio(t: Tables):
-    return rounded(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", E.ratio("l_tax", "l_discount").alias("tax_per_discount"), E.ratio("l_extendedprice", "l_quantity").alias("unit_price")))
+    return rounded(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", *E.columns({"tax_per_discount": E.ratio("l_tax", "l_discount"), "unit_price": E.ratio("l_extendedprice", "l_quantity")})), 8)
 
 
 @query(
@@ -190,7 +190,7 @@ def _sparse(t: Tables):
     nullif(CASE WHEN b IS NULL THEN 0 ELSE 1 END + CASE WHEN c IS NULL THEN 0 ELSE 1 END, 0) AS row_mean FROM {_SPARSE}"""),
 )
 def row_mean(t: Tables):
-    return rounded(_sparse(t).select("l_orderkey", "l_linenumber", "l_partkey", E.row_mean(["b", "c"]).alias("row_mean")))
+    return rounded(_sparse(t).select("l_orderkey", "l_linenumber", "l_partkey", *E.columns({"row_mean": E.row_mean(["b", "c"])})))
 
 
 @query(
@@ -198,7 +198,7 @@ def row_mean(t: Tables):
     rounded_sql(f"SELECT l_orderkey, l_linenumber, l_partkey, list_stddev_samp([a, b, c]) AS row_std FROM {_SPARSE}"),
 )
 def row_std(t: Tables):
-    return rounded(_sparse(t).select("l_orderkey", "l_linenumber", "l_partkey", E.row_std(["a", "b", "c"]).alias("row_std")))
+    return rounded(_sparse(t).select("l_orderkey", "l_linenumber", "l_partkey", *E.columns({"row_std": E.row_std(["a", "b", "c"])})))
 
 
 @query(
@@ -208,7 +208,7 @@ def row_std(t: Tables):
 )
 def row_sum_pattern(t: Tables):
     df = t.part.select("p_partkey", *[F.when(F.col("p_size") > n, 1).alias(f"FLAG_SIZE_{n}") for n in (10, 20, 30)])
-    return df.select("p_partkey", E.row_sum(src.columns_by_pattern(df, "FLAG_SIZE")).alias("n_flags"))
+    return df.select("p_partkey", *E.columns({"n_flags": E.row_sum(src.columns_by_pattern(df, "FLAG_SIZE"))}))
 
 
 @query(
@@ -217,18 +217,18 @@ def row_sum_pattern(t: Tables):
     + CASE WHEN c IS NULL THEN 1 ELSE 0 END + CASE WHEN flag IS NULL THEN 1 ELSE 0 END) / 4.0::DOUBLE AS missing FROM {_SPARSE}"""),
 )
 def row_missing_fraction(t: Tables):
-    return rounded(_sparse(t).select("l_orderkey", "l_linenumber", "l_partkey", E.row_missing_fraction(["a", "b", "c", "flag"]).alias("missing")))
+    return rounded(_sparse(t).select("l_orderkey", "l_linenumber", "l_partkey", *E.columns({"missing": E.row_missing_fraction(["a", "b", "c", "flag"])})))
 
 
 @query("binary_not_past", f"SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN disc - 0.05::DOUBLE < 0 THEN 0 ELSE 1 END AS not_past FROM {LINES}")
 def binary_not_past(t: Tables):
-    return t.lines.select("l_orderkey", "l_linenumber", "l_partkey", E.not_past(F.col("disc") - 0.05).alias("not_past"))
+    return t.lines.select("l_orderkey", "l_linenumber", "l_partkey", *E.columns({"not_past": E.not_past("disc - 0.05D")}))
 
 
 @query("days_to_years", "SELECT o_orderkey, CAST(abs(trunc(date_diff('day', TIMESTAMP '2002-01-01', o_orderdate) / 365)) AS INTEGER) AS years FROM orders")
 def days_to_years(t: Tables):
-    days = F.datediff(F.col("o_orderdate"), F.lit("2002-01-01").cast("date"))
-    return t.orders.select("o_orderkey", E.days_to_years(days).alias("years"))
+    days = "datediff(o_orderdate, DATE '2002-01-01')"
+    return t.orders.select("o_orderkey", *E.columns({"years": E.days_to_years(days)}))
 
 
 @query("join_left_single_key", "SELECT o_orderkey, o_custkey, c_mktsegment, c_acctbal FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
@@ -258,7 +258,7 @@ def join_inner(t: Tables):
     "SELECT c_custkey, n_events FROM customer LEFT JOIN (SELECT user_id, count(*) AS n_events FROM events GROUP BY 1) ON user_id = c_custkey",
 )
 def lookup_map(t: Tables):
-    counts = aggregate(t.events, "user_id", {"n": F.count("event_id")})
+    counts = aggregate(t.events, "user_id", {"n": "count(event_id)"})
     return joins.lookup(t.customer.select("c_custkey"), counts, "c_custkey", "n", "n_events", table_key="user_id")
 
 
@@ -269,7 +269,7 @@ def lookup_map(t: Tables):
 )
 def broadcast_back(t: Tables):
     df = t.lines.select("l_orderkey", "l_linenumber", "l_partkey", "flag", "dpd")
-    back = joins.broadcast_back(df, "flag", {"max_dpd": F.max("dpd"), "n_rows": F.count(F.lit(1))})
+    back = joins.broadcast_back(df, "flag", {"max_dpd": "max(dpd)", "n_rows": "count(1)"})
     return back.select("l_orderkey", "l_linenumber", "l_partkey", "flag", "max_dpd", "n_rows")
 
 
@@ -277,17 +277,17 @@ def broadcast_back(t: Tables):
     "assemble_mart",
     rounded_sql(
         """SELECT c_custkey, c_acctbal, prev_n, prev_total, ev_n, ev_mean, ev_n / prev_n AS events_per_order, prev_total / nullif(c_acctbal, 0) AS total_to_balance
-    FROM customer LEFT JOIN (SELECT o_custkey AS k1, count(*) AS prev_n, sum(o_totalprice) / 1000 AS prev_total FROM orders GROUP BY 1) ON c_custkey = k1
+    FROM customer LEFT JOIN (SELECT o_custkey AS k1, count(*) AS prev_n, sum(o_totalprice) AS prev_total FROM orders GROUP BY 1) ON c_custkey = k1
     LEFT JOIN (SELECT user_id AS k2, count(*) AS ev_n, avg(value) AS ev_mean FROM events GROUP BY 1) ON c_custkey = k2""",
-        4,
+        6,
     ),
 )
 def mart(t: Tables):
-    prev = aggregate(t.orders.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", {"n": F.count(F.lit(1)), "total": F.sum("o_totalprice") / 1000})
-    ev = aggregate(t.events.withColumnRenamed("user_id", "c_custkey"), "c_custkey", {"n": F.count(F.lit(1)), "mean": F.avg("value")})
+    prev = aggregate(t.orders.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", {"n": "count(1)", "total": "sum(o_totalprice)"})
+    ev = aggregate(t.events.withColumnRenamed("user_id", "c_custkey"), "c_custkey", {"n": "count(1)", "mean": "avg(value)"})
     blocks = [E.prefixed(prev, "prev_", ["c_custkey"]), E.prefixed(ev, "ev_", ["c_custkey"])]
     wide = assemble_mart(t.customer.select("c_custkey", "c_acctbal"), blocks, "c_custkey")
-    return rounded(wide.withColumns({"events_per_order": E.ratio("ev_n", "prev_n"), "total_to_balance": E.ratio("prev_total", "c_acctbal")}), 4)
+    return rounded(E.with_exprs(wide, {"events_per_order": E.ratio("ev_n", "prev_n"), "total_to_balance": E.ratio("prev_total", "c_acctbal")}), 6)
 
 
 @query("onehot", f"SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN flag = 'A' THEN 1 ELSE 0 END AS flag_A, CASE WHEN flag = 'R' THEN 1 ELSE 0 END AS flag_R FROM {LINES}")

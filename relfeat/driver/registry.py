@@ -76,9 +76,9 @@ def query(name: str, sql: str | None = None):
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column: the two engines add in different orders."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(f"`{f.name}`", digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
+            f"round(`{f.name}`, {digits}) AS `{f.name}`" if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )

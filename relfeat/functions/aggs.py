@@ -1,4 +1,4 @@
-"""Aggregate columns. Each one is algebraic, so Spark combines it on the map side before any shuffle.
+"""Aggregates as Spark SQL text. Each one is algebraic, so Spark combines it on the map side before any shuffle.
 
 Quantiles are the exception: they are described here (``Quantile``) and computed by
 ``relfeat.operators.grouping``, which treats very large groups separately.
@@ -8,10 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from relfeat.functions.expr import flag, lit, ratio
 
-from relfeat.functions.expr import col, flag, ratio
+ROWS = "count(1)"
 
 
 @dataclass(frozen=True)
@@ -23,69 +22,66 @@ class Quantile:
     minus: float | None = None
 
 
-def total(c: str | Column) -> Column:
+def total(c: str) -> str:
     """Group sum in which an all-missing group is 0."""
-    return F.coalesce(F.sum(col(c)), F.lit(0))
+    return f"coalesce(sum({c}), 0)"
 
 
-def weighted_mean(c: str | Column, weight: Column, skip_null: bool = False) -> Column:
+def weighted_mean(c: str, weight: str, skip_null: bool = False) -> str:
     """Weighted mean of a group.
 
     By default one missing value or weight makes the result missing; with ``skip_null`` such rows are left out.
     """
-    x = col(c).cast("double")
-    known = x.isNotNull() & weight.isNotNull()
-    mean = F.try_divide(F.sum(x * weight), F.sum(F.when(known, weight)))
-    if skip_null:
-        return mean
-    return F.when(F.count(F.when(known, 1)) == F.count(F.lit(1)), mean)
+    product = f"CAST({c} AS DOUBLE) * {weight}"
+    mean = f"try_divide(sum({product}), sum(CASE WHEN {c} IS NOT NULL THEN {weight} END))"
+    return mean if skip_null else f"CASE WHEN count({product}) = {ROWS} THEN {mean} END"
 
 
-def recency_weight(months: str | Column) -> Column:
+def recency_weight(months: str) -> str:
     """Recent months weigh most: -1 / month for months counted backwards; month 0 has no weight."""
-    return F.try_divide(F.lit(-1.0), col(months).cast("double"))
+    return f"try_divide(-1D, CAST({months} AS DOUBLE))"
 
 
-def count_if(condition: Column) -> Column:
+def count_if(condition: str) -> str:
     """Rows for which the condition is true; unknown counts as false."""
-    return F.sum(flag(condition))
+    return f"sum({flag(condition)})"
 
 
-def count_not_zero(c: str | Column) -> Column:
+def count_not_zero(c: str) -> str:
     """Rows whose value is not zero; a missing value is not zero."""
-    return F.sum(F.when(col(c).eqNullSafe(F.lit(0)), 0).otherwise(1))
+    return f"sum(CASE WHEN {c} <=> 0 THEN 0 ELSE 1 END)"
 
 
-def percent_if(condition: Column) -> Column:
+def percent_if(condition: str) -> str:
     """100 x share of all rows for which the condition is true."""
-    return ratio(100 * F.sum(flag(condition)), F.count(F.lit(1)))
+    return ratio(f"100 * sum({flag(condition)})", ROWS)
 
 
-def share(c: str | Column, value: object) -> Column:
+def share(c: str, value: object) -> str:
     """Share of a category among the rows of the group; a missing category belongs to none."""
-    return F.avg(flag(col(c) == F.lit(value)).cast("double"))
+    return f"avg({flag(f'{c} = {lit(value)}')})"
 
 
-def span(c: str | Column) -> Column:
-    return F.max(col(c)) - F.min(col(c))
+def span(c: str) -> str:
+    return f"max({c}) - min({c})"
 
 
 _BY_NAME = {
     "sum": total,
-    "mean": lambda c: F.avg(col(c)),
-    "max": lambda c: F.max(col(c)),
-    "min": lambda c: F.min(col(c)),
-    "std": lambda c: F.stddev_samp(col(c)),
-    "var": lambda c: F.var_samp(col(c)),
-    "count": lambda c: F.count(col(c)),
-    "nunique": lambda c: F.count_distinct(col(c)),
-    "skew": lambda c: F.skewness(col(c)),
-    "kurt": lambda c: F.kurtosis(col(c)),
+    "mean": "avg({})".format,
+    "max": "max({})".format,
+    "min": "min({})".format,
+    "std": "stddev_samp({})".format,
+    "var": "var_samp({})".format,
+    "count": "count({})".format,
+    "nunique": "count(DISTINCT {})".format,
+    "skew": "skewness({})".format,
+    "kurt": "kurtosis({})".format,
 }
 
 
-def by_name(name: str, column: str) -> Column | Quantile:
-    """The aggregate a specification names: a column, or a ``Quantile`` for median and iqr."""
+def by_name(name: str, column: str) -> str | Quantile:
+    """The aggregate a specification names: SQL text, or a ``Quantile`` for median and iqr."""
     if name == "median":
         return Quantile(column, 0.5)
     if name == "iqr":

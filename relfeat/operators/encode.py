@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from relfeat.functions.aggs import share
-from relfeat.functions.expr import col, flag, safe_name
+from relfeat.functions.expr import flag_equals, lit, safe_name, with_exprs
 from relfeat.operators.joins import attach, check_distinct_names
 from relfeat.session import materialize
 from relfeat.sources.tables import columns_by_type
@@ -16,26 +16,39 @@ from relfeat.sources.tables import columns_by_type
 # An indicator column per value needs a bounded schema; a column with more values is refused, not cut.
 MAX_CATEGORIES = 1_000
 
+# Vocabularies up to this size are looked up inside the row when codes are assigned.
+INLINE_LABELS = 64
+
 Vocabulary = dict[str, list[str]]
 
 
-def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None, max_values: int = MAX_CATEGORIES) -> Vocabulary:
-    """The sorted distinct values of each (string) column, from one job."""
-    columns = columns_by_type(df, "string") if columns is None else list(columns)
+def small_vocabularies(df: DataFrame, columns: Sequence[str], max_values: int) -> Vocabulary:
+    """The sorted distinct values of those columns that have at most ``max_values``, from one job.
+
+    Of a column with more values nothing but the fact comes back.
+    """
     if not columns:
         return {}
     pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("c"), col(c).cast("string").alias("v")) for c in columns])
+        F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
     ).alias("p")
-    found = df.select(pairs).select("p.c", "p.v").where("v is not null").distinct()
-    rows = found.limit(len(columns) * max_values + 1).collect()
-    vocabulary: Vocabulary = {c: [] for c in columns}
+    values = df.select(pairs).select("p.c", "p.v").where("v is not null").distinct()
+    # each task numbers at most max_values + 1 values per column before they meet
+    rank = F.row_number().over(Window.partitionBy("c").orderBy("v"))
+    rows = values.withColumn("__rn", rank).where(F.col("__rn") <= max_values + 1).select("c", "v").collect()
+    found: Vocabulary = {c: [] for c in columns}
     for row in rows:
-        vocabulary[row.c].append(row.v)
-    for c, values in vocabulary.items():
-        if len(values) > max_values or len(rows) > len(columns) * max_values:
-            raise ValueError(f"{c!r} has too many distinct values for indicator columns")
-        values.sort()
+        found[row.c].append(row.v)
+    return {c: sorted(v) for c, v in found.items() if len(v) <= max_values}
+
+
+def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None, max_values: int = MAX_CATEGORIES) -> Vocabulary:
+    """The sorted distinct values of each (string) column."""
+    columns = columns_by_type(df, "string") if columns is None else list(columns)
+    vocabulary = small_vocabularies(df, columns, max_values)
+    for c in columns:
+        if c not in vocabulary:
+            raise ValueError(f"{c!r} has more than {max_values} distinct values: too many for indicator columns")
     return vocabulary
 
 
@@ -52,32 +65,28 @@ def indicator_names(column: str, values: Sequence[str], prefix: str | None = Non
 
 def onehot(df: DataFrame, vocabulary: Mapping[str, Sequence[str]], drop: bool = True) -> DataFrame:
     """A 0/1 column per value; a missing or unseen value gives all zeros."""
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     for c, values in vocabulary.items():
-        out.update({n: flag(col(c).cast("string") == v) for v, n in indicator_names(c, values).items()})
+        out.update({n: flag_equals(c, v) for v, n in indicator_names(c, values).items()})
     check_distinct_names([*df.columns, *out])
-    encoded = df.withColumns(out)
+    encoded = with_exprs(df, out)
     return encoded.drop(*vocabulary) if drop else encoded
 
 
-def share_columns(c: str, values: Sequence[str], prefix: str | None = None) -> dict[str, Column]:
+def share_columns(c: str, values: Sequence[str], prefix: str | None = None) -> dict[str, str]:
     """Aggregates: share of each value in the group, without building the indicators."""
-    return {n: share(col(c).cast("string"), v) for v, n in indicator_names(c, values, prefix).items()}
+    return {n: share(c, v) for v, n in indicator_names(c, values, prefix).items()}
 
 
-def distinct_of_vocabulary(c: str, values: Sequence[str]) -> Column:
+def distinct_of_vocabulary(c: str, values: Sequence[str]) -> str:
     """Aggregate: number of distinct values of a column whose vocabulary is known, without a distinct shuffle."""
-    present = [F.max(flag(col(c).cast("string") == v)) for v in values]
-    total = F.lit(0)
-    for p in present:
-        total = total + p
-    return total
+    return " + ".join([f"max({flag_equals(c, v)})" for v in values]) or "0"
 
 
 def onehot_share(df: DataFrame, keys: str | Sequence[str], vocabulary: Mapping[str, Sequence[str]]) -> DataFrame:
     from relfeat.operators.grouping import aggregate
 
-    aggs: dict[str, Column] = {}
+    aggs: dict[str, str] = {}
     for c, values in vocabulary.items():
         aggs.update(share_columns(c, values))
     return aggregate(df, keys, aggs)
@@ -96,6 +105,7 @@ def fit_labels(df: DataFrame, column: str) -> DataFrame:
         .orderBy(column)
         .withColumn("__part", F.spark_partition_id())
     )
+    # one row per partition
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ordered.groupBy("__part")
@@ -108,8 +118,27 @@ def fit_labels(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def encode_labels(df: DataFrame, train: DataFrame, columns: Sequence[str], inline_values: int = INLINE_LABELS) -> DataFrame:
+    """Integer codes for several columns, fitted on ``train``.
+
+    Short vocabularies are found by one job for all columns and looked up in the row itself; a column with more
+    values goes through ``fit_labels`` and a join.
+    """
+    vocabulary = small_vocabularies(train, columns, inline_values)
+    coded = {}
+    for c, values in vocabulary.items():
+        # the position is 0 for a value outside the vocabulary
+        place = f"array_position(array({', '.join(map(lit, values))}), CAST({c} AS STRING))" if values else "0"
+        coded[c] = f"CAST(coalesce({place} - 1, -1) AS INT)"
+    df = with_exprs(df, coded)
+    for c in columns:
+        if c not in vocabulary:
+            df = label_encode(df, fit_labels(train, c), c)
+    return df
+
+
 def label_encode(df: DataFrame, labels: DataFrame, column: str, name: str | None = None) -> DataFrame:
     """Replace (or, with ``name``, add) the integer code; a missing or unseen value is -1."""
     target = name or column
-    coded = attach(df, labels.withColumnRenamed("code", "__code"), column)
+    coded = attach(df, labels.withColumnRenamed("code", "__code"), column, expect_small=False)
     return coded.withColumn(target, F.coalesce(F.col("__code"), F.lit(-1))).drop("__code")

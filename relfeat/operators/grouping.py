@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relfeat.functions.aggs import Quantile, by_name
-from relfeat.functions.expr import col, ratio
-from relfeat.operators.joins import as_list, attach, null_safe_join, sized
+from relfeat.functions.aggs import ROWS, Quantile, by_name
+from relfeat.functions.expr import columns, ratio, with_exprs
+from relfeat.operators.joins import all_known, as_list, attach, keyed_join, sized
 from relfeat.operators.running import large_group_quantiles
 from relfeat.sources.tables import columns_by_type
 
@@ -20,15 +19,10 @@ LARGE_GROUP_ROWS = 5_000_000
 Spec = tuple[str, str]  # (column, aggregate name)
 
 
-def known_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose keys are all present: a missing key belongs to no group."""
-    return df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-
-
 def aggregate(
     df: DataFrame,
     keys: str | Sequence[str],
-    aggs: Mapping[str, Column | Quantile],
+    aggs: Mapping[str, str | Quantile],
     null_as_group: bool = False,
     large_group_rows: int = LARGE_GROUP_ROWS,
 ) -> DataFrame:
@@ -40,34 +34,33 @@ def aggregate(
     """
     keys = as_list(keys)
     if not null_as_group:
-        df = known_keys(df, keys)
+        df = df.where(all_known(keys))
     quantiles = {n: a for n, a in aggs.items() if isinstance(a, Quantile)}
-    plain = [a.alias(n) for n, a in aggs.items() if not isinstance(a, Quantile)]
+    plain = {n: a for n, a in aggs.items() if not isinstance(a, Quantile)}
     if not quantiles:
-        return df.groupBy(*keys).agg(*plain)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > large_group_rows)
+        return df.groupBy(*keys).agg(*columns(plain))
+    exact = {n: _percentile(a) for n, a in quantiles.items()}
+    sizes = df.groupBy(*keys).agg(F.expr("count(1) AS __n")).where(F.col("__n") > large_group_rows)
     if sizes.isEmpty():
-        exact = [_percentile(a).alias(n) for n, a in quantiles.items()]
-        return df.groupBy(*keys).agg(*plain, *exact).select(*keys, *aggs)
+        return df.groupBy(*keys).agg(*columns({n: exact.get(n, plain.get(n)) for n in aggs}))
     large, _ = sized(sizes.select(*keys))
-    small_rows = null_safe_join(df, large, keys, "left_anti")
-    small = small_rows.groupBy(*keys).agg(*plain, *[_percentile(a).alias(n) for n, a in quantiles.items()])
-    large_rows = null_safe_join(df, large, keys, "left_semi")
-    result = large_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *plain)
+    small_rows = keyed_join(df, large, keys, "left_anti", null_safe=True)
+    small = small_rows.groupBy(*keys).agg(*columns({**plain, **exact}))
+    large_rows = keyed_join(df, large, keys, "left_semi", null_safe=True)
+    result = large_rows.groupBy(*keys).agg(*columns({"__n": ROWS, **plain}))
     for column in dict.fromkeys(q.column for q in quantiles.values()):
         wanted = {n: q for n, q in quantiles.items() if q.column == column}
         probs = sorted({p for q in wanted.values() for p in (q.q, q.minus) if p is not None})
-        found = large_group_quantiles(large_rows, keys, column, probs)
-        at = {p: F.col(f"__q{i}") for i, p in enumerate(probs)}
-        values = [(at[q.q] if q.minus is None else at[q.q] - at[q.minus]).alias(n) for n, q in wanted.items()]
-        result = null_safe_join(result, found.select(*keys, *values), keys, "left")
+        at = {p: f"__q{i}" for i, p in enumerate(probs)}
+        values = [f"{at[q.q]}{'' if q.minus is None else f' - {at[q.minus]}'} AS `{n}`" for n, q in wanted.items()]
+        found = large_group_quantiles(large_rows, keys, column, probs).selectExpr(*keys, *values)
+        result = keyed_join(result, found, keys, "left", null_safe=True)
     return small.unionByName(result.drop("__n")).select(*keys, *aggs)
 
 
-def _percentile(q: Quantile) -> Column:
-    if q.minus is None:
-        return F.percentile(col(q.column), F.lit(q.q))
-    return F.percentile(col(q.column), F.lit(q.q)) - F.percentile(col(q.column), F.lit(q.minus))
+def _percentile(q: Quantile) -> str:
+    at = f"percentile({q.column}, {q.q}D)"
+    return at if q.minus is None else f"{at} - percentile({q.column}, {q.minus}D)"
 
 
 def aggregate_named(
@@ -80,7 +73,7 @@ def aggregate_named(
 def all_numeric_mean(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Mean of every numeric column that is not a key."""
     keys = as_list(keys)
-    return aggregate(df, keys, {c: F.avg(col(c)) for c in columns_by_type(df, "numeric") if c not in keys})
+    return aggregate(df, keys, {c: f"avg({c})" for c in columns_by_type(df, "numeric") if c not in keys})
 
 
 class Nested:
@@ -91,64 +84,60 @@ class Nested:
     """
 
     def __init__(self) -> None:
-        self.inner: dict[str, Column] = {}
-        self.outer: dict[str, Column] = {}
-
-    def _inner(self, label: str, agg: Column) -> str:
-        name = f"__{label}"
-        self.inner.setdefault(name, agg)
+        self.inner: dict[str, str] = {}
+        self.outer: dict[str, str] = {}
+
+    def _inner(self, agg: str) -> str:
+        """The name under which an inner aggregate is carried; the same aggregate is carried once."""
+        for name, known in self.inner.items():
+            if known == agg:
+                return name
+        name = f"__i{len(self.inner)}"
+        self.inner[name] = agg
         return name
 
-    def of_groups(self, name: str, inner: Column, outer) -> Nested:
-        """``outer`` applied to the values that ``inner`` has per inner group."""
-        self.outer[name] = outer(F.col(self._inner(f"g_{name}", inner)))
+    def set(self, name: str, outer: str) -> Nested:
+        self.outer[name] = outer
         return self
 
-    def group_count(self, name: str) -> Nested:
-        self.outer[name] = F.count(F.lit(1))
-        return self
+    def of_groups(self, name: str, inner: str, outer: str) -> Nested:
+        """``outer``, a text with ``{}``, applied to the values that ``inner`` has per inner group."""
+        return self.set(name, outer.format(self._inner(inner)))
 
-    def row_count(self, name: str) -> Nested:
-        self.outer[name] = F.sum(self._inner("rows", F.count(F.lit(1))))
-        return self
+    def group_count(self, name: str) -> Nested:
+        return self.set(name, ROWS)
 
-    def sum_expr(self, c: str | Column, label: str | None = None) -> Column:
-        """Group sum as part of a larger outer expression; 0 when everything is missing."""
-        return F.coalesce(F.sum(self._inner(f"s_{label or c}", F.sum(col(c)))), F.lit(0))
+    def rows(self) -> str:
+        return f"sum({self._inner(ROWS)})"
 
-    def count_expr(self, c: str | Column, label: str | None = None) -> Column:
-        return F.sum(self._inner(f"c_{label or c}", F.count(col(c))))
+    def total(self, c: str) -> str:
+        """Group sum; 0 when everything is missing."""
+        return f"coalesce(sum({self._inner(f'sum({c})')}), 0)"
 
-    def mean_expr(self, c: str | Column, label: str | None = None) -> Column:
-        return ratio(F.sum(self._inner(f"s_{label or c}", F.sum(col(c)))), self.count_expr(c, label))
+    def count(self, c: str) -> str:
+        return f"sum({self._inner(f'count({c})')})"
 
-    def rows_expr(self) -> Column:
-        return F.sum(self._inner("rows", F.count(F.lit(1))))
+    def mean(self, c: str) -> str:
+        return ratio(f"sum({self._inner(f'sum({c})')})", self.count(c))
 
-    def min_expr(self, c: str) -> Column:
-        return F.min(self._inner(f"lo_{c}", F.min(col(c))))
+    def min(self, c: str) -> str:
+        return f"min({self._inner(f'min({c})')})"
 
-    def max_expr(self, c: str) -> Column:
-        return F.max(self._inner(f"hi_{c}", F.max(col(c))))
+    def max(self, c: str) -> str:
+        return f"max({self._inner(f'max({c})')})"
 
-    def weighted_mean_expr(self, c: str, weight: Column) -> Column:
+    def weighted_mean(self, c: str, weight: str) -> str:
         """Strict weighted mean: missing when any value or weight of the group is missing."""
-        x = col(c).cast("double")
-        known = x.isNotNull() & weight.isNotNull()
-        top = F.sum(self._inner(f"wx_{c}", F.sum(x * weight)))
-        bottom = F.sum(self._inner(f"w_{c}", F.sum(F.when(known, weight))))
-        n = F.sum(self._inner(f"wn_{c}", F.count(F.when(known, 1))))
-        return F.when(n == self.rows_expr(), F.try_divide(top, bottom))
-
-    def set(self, name: str, expr: Column) -> Nested:
-        self.outer[name] = expr
-        return self
+        product = f"CAST({c} AS DOUBLE) * {weight}"
+        top, n = f"sum({self._inner(f'sum({product})')})", f"sum({self._inner(f'count({product})')})"
+        # when nothing is missing, the weights of the known rows are all the weights
+        bottom = f"sum({self._inner(f'sum({weight})')})"
+        return f"CASE WHEN {n} = {self.rows()} THEN try_divide({top}, {bottom}) END"
 
     def run(self, df: DataFrame, outer_keys: str | Sequence[str], inner_keys: str | Sequence[str]) -> DataFrame:
         outer_keys, inner_keys = as_list(outer_keys), as_list(inner_keys)
-        df = known_keys(df, outer_keys)
-        level1 = df.groupBy(*outer_keys, *inner_keys).agg(*[a.alias(n) for n, a in self.inner.items()])
-        return level1.groupBy(*outer_keys).agg(*[a.alias(n) for n, a in self.outer.items()])
+        level1 = df.where(all_known(outer_keys)).groupBy(*outer_keys, *inner_keys).agg(*columns(self.inner))
+        return level1.groupBy(*outer_keys).agg(*columns(self.outer))
 
 
 # --- declarative recipes -------------------------------------------------------------------------------------------
@@ -172,7 +161,7 @@ def fit_recipes(
 
     ``within`` adds keys that separate the groups further without entering the column names.
     """
-    merged: dict[tuple[str, ...], dict[str, Column | Quantile]] = {}
+    merged: dict[tuple[str, ...], dict[str, str | Quantile]] = {}
     for keys, specs in recipes:
         bucket = merged.setdefault(tuple(keys), {})
         for column, agg in specs:
@@ -189,12 +178,11 @@ def group_recipe(df: DataFrame, recipes: Sequence[Recipe], fitted=None) -> DataF
 
 def group_deviation(df: DataFrame, recipes: Sequence[Recipe]) -> DataFrame:
     """Value minus group aggregate and its absolute value, for mean, median, max and min recipes."""
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     for keys, specs in recipes:
         for column, agg in specs:
             if agg in _DEVIATES_FROM:
                 name = recipe_name(keys, column, agg)
-                diff = col(column) - col(name)
-                out[f"{name}_diff"] = diff
-                out[f"{name}_abs_diff"] = F.abs(diff)
-    return df.withColumns(out)
+                out[f"{name}_diff"] = f"{column} - {name}"
+                out[f"{name}_abs_diff"] = f"abs({column} - {name})"
+    return with_exprs(df, out)

@@ -8,36 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relfeat.functions.aggs import by_name
-from relfeat.functions.expr import col
+from relfeat.functions.expr import columns as named
+from relfeat.functions.expr import lit, with_exprs
 from relfeat.operators.grouping import aggregate
 from relfeat.operators.joins import as_list, attach
 
 
-def _grouped(df: DataFrame, groups: Sequence[str], null_as_group: bool) -> DataFrame:
+def _group_exprs(groups: Sequence[str], null_as_group: bool) -> dict[str, str]:
     """Copies of the group columns to join on; as a group, a missing value is told apart by a second column."""
-    out = {f"__g{i}": F.col(g) for i, g in enumerate(groups)}
-    if null_as_group:
-        out = {}
-        for i, g in enumerate(groups):
-            out[f"__g{i}"] = F.coalesce(F.col(g).cast("string"), F.lit(""))
-            out[f"__n{i}"] = F.col(g).isNull()
-    return df.withColumns(out)
-
-
-def _group_columns(groups: Sequence[str], null_as_group: bool) -> list[str]:
-    names = [f"__g{i}" for i in range(len(groups))]
-    return names + [f"__n{i}" for i in range(len(groups))] if null_as_group else names
+    if not null_as_group:
+        return {f"__g{i}": g for i, g in enumerate(groups)}
+    out = {}
+    for i, g in enumerate(groups):
+        out[f"__g{i}"] = f"coalesce(CAST({g} AS STRING), '')"
+        out[f"__n{i}"] = f"{g} IS NULL"
+    return out
 
 
 def fit_group(
     df: DataFrame, groups: str | Sequence[str], columns: Sequence[str], how: str = "median", null_as_group: bool = False
 ) -> DataFrame:
     """Median or mean of each column per category."""
-    groups = as_list(groups)
-    keyed = _grouped(df, groups, null_as_group)
-    return aggregate(
-        keyed, _group_columns(groups, null_as_group), {f"__fill_{c}": by_name(how, c) for c in columns}
-    )
+    keys = _group_exprs(as_list(groups), null_as_group)
+    rows = df.select(*named(keys), *columns)
+    return aggregate(rows, list(keys), {f"__fill_{c}": by_name(how, c) for c in columns})
+
+
+def _with_stats(df: DataFrame, stats: DataFrame, groups: Sequence[str], null_as_group: bool) -> DataFrame:
+    keys = _group_exprs(groups, null_as_group)
+    return attach(with_exprs(df, keys), stats, list(keys)).drop(*keys)
 
 
 def impute_group(
@@ -48,45 +47,42 @@ def impute_group(
     null_as_group: bool = False,
 ) -> DataFrame:
     """Missing values become the statistic of the row's category."""
-    groups = as_list(groups)
-    keys = _group_columns(groups, null_as_group)
-    joined = attach(_grouped(df, groups, null_as_group), stats, keys)
-    filled = {c: F.coalesce(col(c), col(f"__fill_{c}")) for c in columns}
-    return joined.withColumns(filled).select(*[col(c) for c in df.columns])
+    joined = _with_stats(df, stats, as_list(groups), null_as_group)
+    filled = with_exprs(joined, {c: f"coalesce({c}, __fill_{c})" for c in columns})
+    return filled.drop(*[f"__fill_{c}" for c in columns])
 
 
 def lookup_group(df: DataFrame, stats: DataFrame, groups: str | Sequence[str], column: str, name: str) -> DataFrame:
     """New column: the statistic of ``column`` for the row's category."""
     groups = as_list(groups)
-    joined = attach(_grouped(df, groups, False), stats.select(*_group_columns(groups, False), f"__fill_{column}"),
-                    _group_columns(groups, False))
-    return joined.select(*[col(c) for c in df.columns], col(f"__fill_{column}").alias(name))
+    wanted = stats.select(*_group_exprs(groups, False), F.col(f"__fill_{column}").alias(name))
+    return _with_stats(df, wanted, groups, False)
 
 
 def fit_mean(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Column means as constants: one row comes back."""
-    row = df.agg(*[F.avg(col(c)).alias(c) for c in columns]).first()
+    row = df.agg(*named({c: f"avg({c})" for c in columns})).first()
     return {c: row[c] for c in columns if row[c] is not None}
 
 
 def impute_mean(df: DataFrame, means: dict[str, float]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(col(c), F.lit(m)) for c, m in means.items()})
+    return with_exprs(df, {c: f"coalesce({c}, {lit(m)})" for c, m in means.items()})
 
 
 def missing_indicators(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``is_nan_<column>`` for every column that has a missing value; one scan decides which."""
     names = df.columns if columns is None else list(columns)
-    row = df.agg(*[F.max(col(c).isNull()).alias(c) for c in names]).first()
-    return df.withColumns({f"is_nan_{c}": col(c).isNull().cast("int") for c in names if row[c]})
+    row = df.agg(*named({c: f"max({c} IS NULL)" for c in names})).first()
+    return with_exprs(df, {f"is_nan_{c}": f"CAST({c} IS NULL AS INT)" for c in names if row[c]})
 
 
 def fit_standardize(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population standard deviation per column, as constants."""
-    stats = [F.avg(col(c)).alias(f"m_{c}") for c in columns] + [F.stddev_pop(col(c)).alias(f"s_{c}") for c in columns]
-    row = df.agg(*stats).first()
+    stats = {f"m_{c}": f"avg({c})" for c in columns} | {f"s_{c}": f"stddev_pop({c})" for c in columns}
+    row = df.agg(*named(stats)).first()
     return {c: (row[f"m_{c}"], row[f"s_{c}"] or 1.0) for c in columns if row[f"m_{c}"] is not None}
 
 
 def standardize(df: DataFrame, fitted: dict[str, tuple[float, float]]) -> DataFrame:
     """z-scores; a constant column is only centred."""
-    return df.withColumns({c: (col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in fitted.items()})
+    return with_exprs(df, {c: f"({c} - {lit(m)}) / {lit(s)}" for c, (m, s) in fitted.items()})

@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from relfeat.functions.expr import columns
 from relfeat.session import materialize
 
-# A side goes to every executor only after it was counted and has at most this many rows.
+# A side goes to every executor only after its rows were counted and found to be at most this many.
 BROADCAST_ROWS = 200_000
 # A key counts as hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE of them.
 HOT_SHARE = 1_000
@@ -47,14 +48,42 @@ def check_distinct_names(names: Sequence[str]) -> None:
         seen[low] = name
 
 
-def sized(df: DataFrame, limit: int | None = None) -> tuple[DataFrame, bool]:
-    """Materialise a small result, count it and mark it for broadcast only when the count is within the limit."""
+def all_known(keys: Sequence[str]) -> str:
+    return " AND ".join(f"{k} IS NOT NULL" for k in keys)
+
+
+def sized(df: DataFrame, limit: int | None = None, expect_small: bool = True) -> tuple[DataFrame, bool]:
+    """Compute a result once, count it, and mark it for broadcast only when the count is within the limit.
+
+    A result expected to be small is fetched up to one row past the limit; only if it stays within becomes it a
+    constant of the plan. Anything else is checkpointed, so that neither use recomputes it.
+    """
+    limit = BROADCAST_ROWS if limit is None else limit
+    if expect_small:
+        fetched = df.limit(limit + 1).toArrow()
+        if fetched.num_rows <= limit:
+            return F.broadcast(df.sparkSession.createDataFrame(fetched, df.schema)), True
+        return materialize(df), False
     df = materialize(df)
-    small = df.count() <= (BROADCAST_ROWS if limit is None else limit)
+    small = df.count() <= limit
     return (F.broadcast(df) if small else df), small
 
 
-def attach(df: DataFrame, stats: DataFrame, keys: str | Sequence[str], broadcast_rows: int | None = None) -> DataFrame:
+def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool = False) -> DataFrame:
+    """Equi-join that leaves the columns of ``left`` in place; ``null_safe`` lets a missing key match a missing key."""
+    right = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    op = "<=>" if null_safe else "="
+    joined = left.join(right, F.expr(" AND ".join(f"{k} {op} __r_{k}" for k in keys)), how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__r_{k}" for k in keys])
+
+
+def attach(
+    df: DataFrame,
+    stats: DataFrame,
+    keys: str | Sequence[str],
+    broadcast_rows: int | None = None,
+    expect_small: bool = True,
+) -> DataFrame:
     """Left-join ``stats`` (one row per key) to every row of ``df``.
 
     A ``stats`` table whose counted size is small is broadcast and ``df`` is not shuffled at all. Otherwise the
@@ -63,48 +92,39 @@ def attach(df: DataFrame, stats: DataFrame, keys: str | Sequence[str], broadcast
     """
     keys = as_list(keys)
     check_distinct_names([c for c in df.columns + stats.columns if c not in keys])
-    order = df.columns + [c for c in stats.columns if c not in keys]
-    stats, small = sized(stats, broadcast_rows)
-    if small:
-        return df.join(stats, keys, "left").select(*order)
-    hot = hot_keys(df, keys)
+    stats, small = sized(stats, broadcast_rows, expect_small)
+    hot = None if small else hot_keys(df, keys)
     if hot is None:
-        return df.join(stats, keys, "left").select(*order)
+        return keyed_join(df, stats, keys, "left")
     hot_stats = stats.join(F.broadcast(hot), keys, "left_semi").withColumn("__hot", F.lit(True))
-    marked = df.join(F.broadcast(hot_stats), keys, "left")
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    direct = marked.where(F.col("__hot").isNotNull() | no_key).drop("__hot")
-    rest = marked.where(F.col("__hot").isNull() & ~no_key).select(*df.columns).join(stats, keys, "left")
-    return direct.unionByName(rest).select(*order)
+    marked = keyed_join(df, F.broadcast(hot_stats), keys, "left")
+    direct = marked.where(f"__hot OR NOT ({all_known(keys)})").drop("__hot")
+    rest = marked.where(f"__hot IS NULL AND {all_known(keys)}").select(*df.columns)
+    return direct.unionByName(keyed_join(rest, stats, keys, "left"))
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """The keys (NULL included) that hold more than ``1/HOT_SHARE`` of the rows, or None when there are none."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    """The keys that hold more than ``1/HOT_SHARE`` of the rows (NULL aside), or None when there are none at all."""
+    counts = df.groupBy(*keys).agg(F.expr("count(1) AS __n"))
     n = counts.agg(F.sum("__n")).first()[0] or 0
     hot = materialize(counts.where(F.col("__n") > max(n / HOT_SHARE, 1)).select(*keys))
     return None if hot.isEmpty() else hot
 
 
 def broadcast_back(
-    df: DataFrame, keys: str | Sequence[str], aggs: Mapping[str, Column], broadcast_rows: int | None = None
+    df: DataFrame,
+    keys: str | Sequence[str],
+    aggs: Mapping[str, str],
+    broadcast_rows: int | None = None,
+    expect_small: bool = False,
 ) -> DataFrame:
     """Group aggregates attached to every row; a row with a missing key gets missing aggregates."""
     keys = as_list(keys)
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    stats = df.where(known).groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
-    return attach(df, stats, keys, broadcast_rows)
+    stats = df.where(all_known(keys)).groupBy(*keys).agg(*columns(aggs))
+    return attach(df, stats, keys, broadcast_rows, expect_small)
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str, name: str, table_key: str | None = None) -> DataFrame:
     """Add column ``name``: the ``value`` that ``table`` (one row per key) holds for the row's key."""
-    pairs = table.select(F.col(table_key or key).alias(key), F.col(value).alias(name))
-    return attach(df, pairs, key)
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join in which a missing key matches a missing key; the result has the key columns once."""
-    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in keys])
-    joined = left.join(renamed, cond, how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__r_{k}" for k in keys])
+    pairs = table.selectExpr(f"{table_key or key} AS {key}", f"{value} AS {name}")
+    return attach(df, pairs, key, expect_small=False)

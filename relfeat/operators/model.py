@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relfeat.functions.expr import col
+from relfeat.functions.expr import lit, with_exprs
 from relfeat.operators.impute import fit_standardize, standardize
 from relfeat.session import materialize
 
@@ -24,7 +24,7 @@ MISSING = -999.0
 
 def kfold_column(key: str, k: int = FOLDS, seed: int = SEED) -> Column:
     """Fold 0..k-1 from a hash of the key: no shuffle, the same after any repartition or recomputation."""
-    digest = F.substring(F.md5(F.concat(col(key).cast("string"), F.lit(f":{seed}"))), 1, 8)
+    digest = F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), 1, 8)
     return F.pmod(F.conv(digest, 16, 10).cast("long"), F.lit(k)).cast("int")
 
 
@@ -33,7 +33,7 @@ def assign_folds(df: DataFrame, key: str, k: int = FOLDS, seed: int = SEED, name
 
 
 def assemble(df: DataFrame, features: Sequence[str], name: str = "features", missing: float = MISSING) -> DataFrame:
-    filled = df.withColumns({c: F.coalesce(col(c).cast("double"), F.lit(missing)) for c in features})
+    filled = with_exprs(df, {c: f"coalesce(CAST({c} AS DOUBLE), {lit(missing)})" for c in features})
     return VectorAssembler(inputCols=list(features), outputCol=name).transform(filled)
 
 
@@ -93,7 +93,7 @@ def cross_validate(
     The assembled rows are materialised once and every fit reads them with the fold as a filter flag.
     """
     rows = assemble(assign_folds(train, key, k, seed), features)
-    rows = materialize(rows.select(key, col(label).cast("double").alias("label"), "fold", "features"))
+    rows = materialize(rows.selectExpr(key, f"CAST({label} AS DOUBLE) AS label", "fold", "features"))
     result = CrossValidation(key, label, list(features))
     for fold in range(k):
         flagged = rows.withColumn("held_out", F.col("fold") == fold)

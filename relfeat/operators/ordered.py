@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from relfeat.functions.aggs import by_name
-from relfeat.functions.expr import col, flag, ratio
-from relfeat.operators.grouping import Spec, aggregate, known_keys
-from relfeat.operators.joins import as_list
+from relfeat.functions.expr import columns, flag, ratio, with_exprs
+from relfeat.operators.grouping import Spec, aggregate
+from relfeat.operators.joins import all_known, as_list
 
 RANK = "__rank"
 
@@ -25,21 +25,15 @@ def lag_diff(df: DataFrame, key: str, time: str, tie: str, name: str) -> DataFra
     Rows that share a time differ by 0 except the first of them (smallest ``tie``), so only the distinct times of a
     group are ordered, however many rows it has; the gaps return to their row by (key, time, tie).
     """
-    times = (
-        df.where(F.col(key).isNotNull() & F.col(time).isNotNull())
-        .groupBy(key, time)
-        .agg(F.min(tie).alias(tie))
-    )
-    recent_first = Window.partitionBy(key).orderBy(F.col(time).desc())
-    gaps = times.select(key, time, tie, (F.lag(time).over(recent_first) - F.col(time)).alias(name)).where(
-        F.col(name).isNotNull()
-    )
-    return df.join(gaps, [key, time, tie], "left").withColumn(name, F.coalesce(F.col(name), F.lit(0)))
-
-
-def last_known(value: str, time: str, ties: Sequence[str]) -> Column:
+    times = df.where(all_known([key, time])).groupBy(key, time).agg(F.min(tie).alias(tie))
+    gap = f"lag({time}) OVER (PARTITION BY {key} ORDER BY {time} DESC) - {time} AS {name}"
+    gaps = times.selectExpr(key, time, tie, gap).where(f"{name} IS NOT NULL")
+    return df.join(gaps, [key, time, tie], "left").withColumn(name, F.expr(f"coalesce({name}, 0)"))
+
+
+def last_known(value: str, time: str, ties: Sequence[str]) -> str:
     """Aggregate: the value of the most recent row that has one."""
-    return F.max_by(col(value), F.when(col(value).isNotNull(), F.struct(col(time), *[col(t) for t in ties])))
+    return f"max_by({value}, CASE WHEN {value} IS NOT NULL THEN struct({', '.join([time, *ties])}) END)"
 
 
 def last_by_order(df: DataFrame, key: str, value: str, time: str, ties: Sequence[str], name: str) -> DataFrame:
@@ -51,39 +45,40 @@ def recent_rows(df: DataFrame, key: str, time: str, ties: Sequence[str], k: int)
 
     Each task keeps at most k rows per group before the shuffle, so no group arrives whole anywhere.
     """
-    order = Window.partitionBy(key).orderBy(F.col(time).desc_nulls_last(), *[F.col(t).asc() for t in ties])
-    return known_keys(df, [key]).withColumn(RANK, F.row_number().over(order)).where(F.col(RANK) <= k)
+    order = Window.partitionBy(key).orderBy(F.col(time).desc_nulls_last(), *ties)
+    return df.where(all_known([key])).withColumn(RANK, F.row_number().over(order)).where(F.col(RANK) <= k)
 
 
-def within(k: int, c: str) -> Column:
-    return F.when(F.col(RANK) <= k, col(c))
+def within(k: int, c: str) -> str:
+    return f"CASE WHEN {RANK} <= {k} THEN {c} END"
 
 
-def last_k_columns(ks: Sequence[int], specs: Mapping[str, Sequence[str]]) -> dict[str, Column]:
+def last_k_columns(ks: Sequence[int], specs: Mapping[str, Sequence[str]]) -> dict[str, str]:
     """Aggregates over ``recent_rows``: ``last_{k}_{column}_{aggregate}`` for every k in one pass."""
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     for k in ks:
         for c, aggs in specs.items():
             for a in aggs:
-                x = within(k, c)
-                # at most k rows: the exact percentile holds them all
-                out[f"last_{k}_{c}_{a}"] = F.percentile(x, F.lit(0.5)) if a == "median" else by_name(a, x)
+                # a median of at most k rows: the exact percentile holds them all
+                out[f"last_{k}_{c}_{a}"] = (
+                    f"percentile({within(k, c)}, 0.5D)" if a == "median" else by_name(a, within(k, c))
+                )
     return out
 
 
-def trend_columns(ks: Sequence[int], columns: Sequence[str]) -> dict[str, Column]:
+def trend_columns(ks: Sequence[int], cs: Sequence[str]) -> dict[str, str]:
     """Aggregates over ``recent_rows``: least-squares slope on the row position, newest row first.
 
     A single row has slope 0; a missing value among the k rows makes the slope missing.
     """
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     for k in ks:
-        inside = flag(F.col(RANK) <= k)
-        for c in columns:
-            x = within(k, c)
-            n, known = F.sum(inside), F.count(x)
-            slope = F.regr_slope(x.cast("double"), (F.col(RANK) - 1).cast("double"))
-            out[f"{k}_period_trend_{c}"] = F.when(known < n, None).when(n == 1, F.lit(0.0)).otherwise(slope)
+        n = f"sum({flag(f'{RANK} <= {k}')})"
+        for c in cs:
+            slope = f"regr_slope(CAST({within(k, c)} AS DOUBLE), CAST({RANK} - 1 AS DOUBLE))"
+            out[f"{k}_period_trend_{c}"] = (
+                f"CASE WHEN count({within(k, c)}) < {n} THEN NULL WHEN {n} = 1 THEN 0D ELSE {slope} END"
+            )
     return out
 
 
@@ -109,7 +104,7 @@ def last_k_aggregate(
         longest += periods
     needed = list(dict.fromkeys([key, time, *ties, *specs, *(trends or {})]))
     recent = recent_rows(df.select(*needed), key, time, ties, max(longest))
-    result = recent.groupBy(key).agg(*[a.alias(n) for n, a in aggs.items()])
+    result = recent.groupBy(key).agg(*columns(aggs))
     if whole:
         history = {f"all_installment_{c}_{a}": by_name(a, c) for c, names in specs.items() for a in names}
         result = result.join(aggregate(df, key, history, **options), key, "left")
@@ -123,33 +118,32 @@ def last_group_aggregate(
 
     Every loan is aggregated, then the latest one is picked: two combinable aggregations, no ordering of rows.
     """
-    names = [f"{prefix}{c}_{a}" for c, a in specs]
-    aggs = {n: by_name(a, c) for n, (c, a) in zip(names, specs)}
-    loans = aggregate(df, [key, inner], {**aggs, "__time": F.max(col(time))})
-    latest = F.max_by(F.struct(*[col(n) for n in names]), F.struct(F.col("__time"), F.col(inner))).alias("__s")
-    return loans.groupBy(key).agg(latest).select(key, *[F.col("__s").getField(n).alias(n) for n in names])
+    aggs = {f"{prefix}{c}_{a}": by_name(a, c) for c, a in specs}
+    loans = aggregate(df, [key, inner], {**aggs, "__time": f"max({time})"})
+    latest = F.expr(f"max_by(struct({', '.join(aggs)}), struct(__time, {inner})) AS __s")
+    return loans.groupBy(key).agg(latest).select(key, "__s.*")
 
 
 def trend_slope(
-    df: DataFrame, key: str, time: str, ties: Sequence[str], ks: Sequence[int], columns: Sequence[str]
+    df: DataFrame, key: str, time: str, ties: Sequence[str], ks: Sequence[int], cs: Sequence[str]
 ) -> DataFrame:
-    return last_k_aggregate(df, key, time, ties, [], {}, whole=False, trends={c: ks for c in columns})
+    return last_k_aggregate(df, key, time, ties, [], {}, whole=False, trends={c: ks for c in cs})
 
 
 def period_fraction(df: DataFrame, short: int, long: int) -> DataFrame:
     """Short-period features divided by the long-period ones: ``_{short}_`` becomes ``_{short}by{long}_fraction_``."""
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     for name in df.columns:
         if f"last_{short}_" in name:
             other = name.replace(f"last_{short}_", f"last_{long}_")
             if other in df.columns:
                 out[name.replace(f"_{short}_", f"_{short}by{long}_fraction_", 1)] = ratio(name, other)
-    return df.withColumns(out)
+    return with_exprs(df, out)
 
 
 def late_flags(df: DataFrame, flags: Mapping[str, str]) -> DataFrame:
     """0/1 columns telling whether a days-past-due column is positive; unknown is 0."""
-    return df.withColumns({name: flag(col(c) > 0) for name, c in flags.items()})
+    return with_exprs(df, {name: flag(f"{c} > 0") for name, c in flags.items()})
 
 
 def sort_rows(df: DataFrame, *order: str | Column) -> DataFrame:

@@ -9,7 +9,9 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relfeat.functions.expr import col, flag
+from relfeat.functions.aggs import ROWS, count_if
+from relfeat.functions.expr import columns as named
+from relfeat.functions.expr import lit
 
 # Wider aggregates stop fitting generated code; further pairs go into another pass.
 PAIRS_PER_PASS = 150
@@ -17,18 +19,16 @@ PAIRS_PER_PASS = 150
 
 def missing_profile(df: DataFrame) -> DataFrame:
     """Per column the number and percentage of missing rows, most missing first; one scan for all columns."""
-    counts = df.agg(F.count(F.lit(1)).alias("__n"), *[F.sum(flag(col(c).isNull())).alias(c) for c in df.columns])
+    counts = df.agg(*named({"__n": ROWS, **{c: count_if(f"{c} IS NULL") for c in df.columns}}))
     long = counts.unpivot("__n", df.columns, "column_name", "missing")
-    return long.select(
-        "column_name",
-        F.coalesce("missing", F.lit(0)).alias("missing"),
-        F.try_divide(F.col("missing") * 100.0, F.col("__n")).alias("percent"),
+    return long.selectExpr(
+        "column_name", "coalesce(missing, 0) AS missing", "try_divide(missing * 100D, CAST(__n AS DOUBLE)) AS percent"
     ).orderBy(F.desc("missing"), "column_name")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Frequency of each present value, most frequent first."""
-    counts = df.where(col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(f"{column} IS NOT NULL").groupBy(column).agg(F.expr("count(1) AS n"))
     return counts.orderBy(F.desc("n"), column)
 
 
@@ -39,9 +39,9 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def target_rate_by_category(df: DataFrame, category: str, target: str) -> DataFrame:
     """Rows and mean target per present category, highest rate first."""
     rates = (
-        df.where(col(category).isNotNull())
+        df.where(f"{category} IS NOT NULL")
         .groupBy(category)
-        .agg(F.count(F.lit(1)).alias("contracts"), F.avg(target).alias("target_rate"))
+        .agg(*named({"contracts": ROWS, "target_rate": f"avg({target})"}))
     )
     return rates.orderBy(F.desc("target_rate"), category)
 
@@ -52,18 +52,20 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], pairs_per_pass: in
     passes = [pairs[i : i + pairs_per_pass] for i in range(0, len(pairs), pairs_per_pass)]
     frames = []
     for chunk in passes:
-        row = df.agg(*[F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"__{i}") for i, (a, b) in enumerate(chunk)])
+        row = df.agg(
+            *named({f"__{i}": f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))" for i, (a, b) in enumerate(chunk)})
+        )
         entries = []
         for i, (a, b) in enumerate(chunk):
-            for x, y in {(a, b), (b, a)}:
-                entries.append(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"__{i}").alias("corr")))
-        frames.append(row.select(F.explode(F.array(*entries)).alias("e")).select("e.*"))
+            for x, y in dict.fromkeys([(a, b), (b, a)]):
+                entries.append(f"struct({lit(x)} AS a, {lit(y)} AS b, __{i} AS corr)")
+        frames.append(row.selectExpr(f"inline(array({', '.join(entries)}))"))
     return reduce(DataFrame.unionByName, frames)
 
 
 def correlated_columns(df: DataFrame, columns: Sequence[str], threshold: float) -> list[str]:
     """Columns to drop so that no kept pair correlates above the threshold; of a pair the earlier one stays."""
-    strong = correlation_matrix(df, columns).where(F.abs("corr") > threshold).where("a <> b").collect()
+    strong = correlation_matrix(df, columns).where(f"abs(corr) > {threshold} AND a <> b").collect()
     partners: dict[str, set[str]] = {}
     for row in strong:
         partners.setdefault(row.a, set()).add(row.b)
@@ -80,12 +82,11 @@ def drop_correlated(df: DataFrame, columns: Sequence[str], threshold: float) ->
 
 def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
     """(bin, n) over equal-width bins between the extremes; empty bins have no row."""
-    x = col(column).cast("double")
-    low, high = df.agg(F.min(x), F.max(x)).first()
-    known = df.where(x.isNotNull())
+    x = f"CAST({column} AS DOUBLE)"
+    low, high = df.selectExpr(f"min({x})", f"max({x})").first()
     if low is None or low == high:
-        numbered = known.select(F.lit(0).alias("bin"))
+        place = "0"
     else:
-        place = F.floor((x - F.lit(low)) / F.lit(high - low) * F.lit(bins))
-        numbered = known.select(F.least(F.lit(bins - 1), place).cast("int").alias("bin"))
-    return numbered.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+        place = f"CAST(least({bins - 1}, floor(({x} - {lit(low)}) / {lit(high - low)} * {bins})) AS INT)"
+    numbered = df.where(f"{column} IS NOT NULL").selectExpr(f"{place} AS bin")
+    return numbered.groupBy("bin").agg(F.expr("count(1) AS n"))

@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relfeat.operators.joins import attach, null_safe_join, sized
+from relfeat.functions.expr import columns
+from relfeat.operators.joins import attach, keyed_join, sized
 
 BUCKETS = 1_000
 
@@ -22,8 +23,7 @@ def bucketed(df: DataFrame, column: str, fit_on: DataFrame | None = None, bucket
     """Add ``__bucket``, non-decreasing in ``column``; a bucket holds about 1/buckets of the fitted rows."""
     source = df if fit_on is None else fit_on
     probs = [i / buckets for i in range(1, buckets)]
-    found = source.approxQuantile(column, probs, 1.0 / (2 * buckets)) if probs else []
-    cuts = sorted(set(found))
+    cuts = sorted(set(source.approxQuantile(column, probs, 1.0 / (2 * buckets)))) if probs else []
     if not cuts:
         return df.withColumn("__bucket", F.lit(0.0))
     splits = [float("-inf"), *cuts, float("inf")]
@@ -44,32 +44,19 @@ def running_totals(
     ``df`` has one row per (keys, order). Work per task is one bucket of one group; the bucket totals
     (at most ``buckets`` rows per group) are accumulated in a second, small window.
     """
-    df = bucketed(df.where(F.col(order).isNotNull()), order, fit_on, buckets)
-    sums = [F.sum(c).alias(f"__t_{n}") for n, c in totals.items()]
-    direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    over_buckets = (
-        Window.partitionBy(*keys).orderBy(direction("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    names = df.columns
+    df = bucketed(df.where(f"{order} IS NOT NULL"), order, fit_on, buckets)
+    by, way = ", ".join(keys), "DESC" if descending else "ASC"
+    earlier = f"OVER (PARTITION BY {by} ORDER BY __bucket {way} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     before = (
         df.groupBy(*keys, "__bucket")
-        .agg(*sums)
-        .select(
-            *keys,
-            "__bucket",
-            *[F.coalesce(F.sum(f"__t_{n}").over(over_buckets), F.lit(0)).alias(f"__b_{n}") for n in totals],
-        )
-    )
-    inside = (
-        Window.partitionBy(*keys, "__bucket")
-        .orderBy(direction(order))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .agg(*columns({f"__t_{n}": f"sum({c})" for n, c in totals.items()}))
+        .selectExpr(*keys, "__bucket", *[f"coalesce(sum(__t_{n}) {earlier}, 0) AS __b_{n}" for n in totals])
     )
-    local = df.withColumns({f"__l_{n}": F.sum(c).over(inside) for n, c in totals.items()})
+    inside = f"OVER (PARTITION BY {by}, __bucket ORDER BY {order} {way} ROWS UNBOUNDED PRECEDING)"
+    local = df.selectExpr("*", *[f"sum({c}) {inside} AS __l_{n}" for n, c in totals.items()])
     joined = attach(local, before, [*keys, "__bucket"])
-    return joined.select(
-        *[c for c in df.columns if c != "__bucket"],
-        *[(F.col(f"__l_{n}") + F.col(f"__b_{n}")).alias(n) for n in totals],
-    )
+    return joined.selectExpr(*names, *[f"__l_{n} + __b_{n} AS {n}" for n in totals])
 
 
 def large_group_quantiles(
@@ -79,55 +66,33 @@ def large_group_quantiles(
 
     Counts per bucket locate the one or two buckets that hold the wanted ranks; only their rows are ordered.
     """
-    rows = bucketed(rows.select(*keys, F.col(column).cast("double").alias("__v")).where("__v is not null"), "__v", buckets=buckets)
-    per_key = Window.partitionBy(*keys)
-    counts = rows.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    upto = per_key.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranges = counts.select(
-        *keys,
-        "__bucket",
-        (F.sum("__n").over(upto) - F.col("__n")).alias("__before"),
-        F.sum("__n").over(upto).alias("__upto"),
-        F.sum("__n").over(per_key).alias("__all"),
+    rows = rows.selectExpr(*keys, f"CAST({column} AS DOUBLE) AS __v").where("__v IS NOT NULL")
+    rows = bucketed(rows, "__v", buckets=buckets)
+    by = ", ".join(keys)
+    upto = f"sum(__n) OVER (PARTITION BY {by} ORDER BY __bucket ROWS UNBOUNDED PRECEDING)"
+    ranges = (
+        rows.groupBy(*keys, "__bucket")
+        .agg(F.expr("count(1) AS __n"))
+        .selectExpr(
+            *keys, "__bucket", f"{upto} - __n AS __before", f"{upto} AS __upto",
+            f"sum(__n) OVER (PARTITION BY {by}) AS __all",
+        )
     )
-
-    def position(q: float) -> Column:
-        return F.lit(q) * (F.col("__all") - 1)
-
-    def holds(rank: Column) -> Column:
-        return (rank >= F.col("__before")) & (rank < F.col("__upto"))
-
-    wanted = None
-    for q in probs:
-        hit = holds(F.floor(position(q))) | holds(F.ceil(position(q)))
-        wanted = hit if wanted is None else wanted | hit
-    targets, _ = sized(ranges.where(wanted))
+    spots = [(f"floor({q}D * (__all - 1))", f"ceil({q}D * (__all - 1))") for q in probs]
+    holds = " OR ".join(f"({r} >= __before AND {r} < __upto)" for pair in spots for r in pair)
+    targets, _ = sized(ranges.where(holds))
+    spot = [*keys, "__bucket", "__before", "__all"]
     levels = (
-        null_safe_join(rows, targets, [*keys, "__bucket"], "inner")
-        .groupBy(*keys, "__bucket", "__before", "__all", "__v")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    inside = (
-        Window.partitionBy(*keys, "__bucket", "__before", "__all")
-        .orderBy("__v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    levels = levels.withColumn("__last", F.col("__before") + F.sum("__n").over(inside))
-    first = F.col("__last") - F.col("__n")
-
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((rank >= first) & (rank < F.col("__last")), F.col("__v")))
-
-    out = []
-    for i, q in enumerate(probs):
-        out.append(value_at(F.floor(position(q))).alias(f"__lo{i}"))
-        out.append(value_at(F.ceil(position(q))).alias(f"__hi{i}"))
-        out.append(F.max(position(q) - F.floor(position(q))).alias(f"__frac{i}"))
-    picked = levels.groupBy(*keys).agg(*out)
-    return picked.select(
-        *keys,
-        *[
-            (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__frac{i}")).alias(f"__q{i}")
-            for i in range(len(probs))
-        ],
+        keyed_join(rows, targets, [*keys, "__bucket"], "inner", null_safe=True)
+        .groupBy(*spot, "__v")
+        .agg(F.expr("count(1) AS __n"))
     )
+    last = f"__before + sum(__n) OVER (PARTITION BY {', '.join(spot)} ORDER BY __v ROWS UNBOUNDED PRECEDING)"
+    levels = levels.selectExpr("*", f"{last} AS __last")
+    picks = {}
+    for i, (low, high) in enumerate(spots):
+        for name, r in ((f"__lo{i}", low), (f"__hi{i}", high)):
+            picks[name] = f"max(CASE WHEN {r} >= __last - __n AND {r} < __last THEN __v END)"
+        picks[f"__frac{i}"] = f"max({probs[i]}D * (__all - 1) - {low})"
+    picked = levels.groupBy(*keys).agg(*columns(picks))
+    return picked.selectExpr(*keys, *[f"__lo{i} + (__hi{i} - __lo{i}) * __frac{i} AS __q{i}" for i in range(len(probs))])

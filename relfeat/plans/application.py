@@ -5,11 +5,9 @@ Training and test rows travel together; ``split`` keeps their statistics apart w
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from relfeat.functions.expr import (
-    col,
     days_to_years,
     flag,
     flag_all,
@@ -22,8 +20,9 @@ from relfeat.functions.expr import (
     safe_name,
     sentinel_to_null,
     trunc_int,
+    with_exprs,
 )
-from relfeat.operators.encode import fit_labels, label_encode
+from relfeat.operators.encode import encode_labels
 from relfeat.operators.grouping import fit_recipes, group_deviation, group_recipe
 from relfeat.operators.impute import fit_group, impute_group, lookup_group
 from relfeat.sources.loan_schema import ENQUIRIES, SCORES
@@ -88,17 +87,18 @@ def interaction_name(a: str, x: str, b: str, y: str) -> str:
     return f"is_{safe_name(x)}_{safe_name(y)}".lower()
 
 
-def interaction_flags(interactions=INTERACTIONS) -> dict[str, Column]:
+def interaction_flags(interactions=INTERACTIONS) -> dict[str, str]:
     return {interaction_name(a, x, b, y): flag_all({a: x, b: y}) for a, x, b, y in interactions}
 
 
 def clean(app: DataFrame) -> DataFrame:
-    return app.withColumns(
+    return with_exprs(
+        app,
         {
             "CODE_GENDER": sentinel_to_null("CODE_GENDER", "XNA"),
             "DAYS_LAST_PHONE_CHANGE": sentinel_to_null("DAYS_LAST_PHONE_CHANGE", 0),
             "DAYS_EMPLOYED": sentinel_to_null("DAYS_EMPLOYED", 365243),
-        }
+        },
     )
 
 
@@ -112,71 +112,71 @@ def impute(app: DataFrame) -> DataFrame:
 
 def row_features(app: DataFrame) -> DataFrame:
     """Everything that needs only the row itself, after imputation."""
-    c = F.col
-    e1, e2, e3 = (c(s) for s in SCORES)
-    income_left = c("AMT_ANNUITY") + c("AMT_INCOME_TOTAL") - c("AMT_GOODS_PRICE")
-    app = app.withColumns(
+    income_left = "AMT_ANNUITY + AMT_INCOME_TOTAL - AMT_GOODS_PRICE"
+    app = with_exprs(
+        app,
         {
-            "EXT_12": e1 * e2,
-            "EXT_23": e2 * e3,
-            "EXT_31": e1 * e3,
+            "EXT_12": "EXT_SOURCE_1 * EXT_SOURCE_2",
+            "EXT_23": "EXT_SOURCE_2 * EXT_SOURCE_3",
+            "EXT_31": "EXT_SOURCE_1 * EXT_SOURCE_3",
             "AVG_EXT": row_mean(SCORES),
-            "NEW_SOURCES_PROD": e1 * e2 * e3,
+            "NEW_SOURCES_PROD": " * ".join(SCORES),
             "NEW_SCORES_STD": row_std(SCORES),
-            "external_sources_weighted": e1 * 2 + e2 * 3 + e3 * 4,
-            "BIRTH_CREDIT": c("AMT_CREDIT") * c("DAYS_BIRTH"),
-            "BIRTH_ANNUITY": c("AMT_ANNUITY") * c("DAYS_BIRTH"),
-            "COST_INCOME": c("AMT_INCOME_TOTAL") - c("AMT_GOODS_PRICE"),
+            "external_sources_weighted": "EXT_SOURCE_1 * 2 + EXT_SOURCE_2 * 3 + EXT_SOURCE_3 * 4",
+            "BIRTH_CREDIT": "AMT_CREDIT * DAYS_BIRTH",
+            "BIRTH_ANNUITY": "AMT_ANNUITY * DAYS_BIRTH",
+            "COST_INCOME": "AMT_INCOME_TOTAL - AMT_GOODS_PRICE",
             "Ratio_of_debt_credit": ratio(income_left, "AMT_CREDIT"),
             "Ratio_of_credit_employement": ratio("AMT_CREDIT", "DAYS_EMPLOYED"),
-            "income_debt_ratio": ratio(income_left, c("AMT_ANNUITY") + c("AMT_INCOME_TOTAL")),
-            "CreditEmployPdt": c("AMT_CREDIT") * c("DAYS_EMPLOYED"),
+            "income_debt_ratio": ratio(income_left, "AMT_ANNUITY + AMT_INCOME_TOTAL"),
+            "CreditEmployPdt": "AMT_CREDIT * DAYS_EMPLOYED",
             "DAYS_EMPLOYED_PERC": ratio("DAYS_EMPLOYED", "DAYS_BIRTH"),
-            "DAYS_UNEMPLOYED": c("DAYS_BIRTH") - c("DAYS_EMPLOYED"),
+            "DAYS_UNEMPLOYED": "DAYS_BIRTH - DAYS_EMPLOYED",
             "INCOME_CREDIT_PERC": ratio("AMT_INCOME_TOTAL", "AMT_CREDIT"),
             "INCOME_PER_PERSON": ratio("AMT_INCOME_TOTAL", "CNT_FAM_MEMBERS"),
             "ANNUITY_INCOME_PERC": ratio("AMT_ANNUITY", "AMT_INCOME_TOTAL"),
             "ANN_CREDIT_RATIO": ratio("AMT_ANNUITY", "AMT_CREDIT"),
             "CHILD_RATIO": ratio("CNT_CHILDREN", "CNT_FAM_MEMBERS"),
             "CREDIT_GOODS_RATIO": ratio("AMT_CREDIT", "AMT_GOODS_PRICE"),
-            "NEW_INC_PER_CHLD": ratio("AMT_INCOME_TOTAL", 1 + c("CNT_CHILDREN")),
+            "NEW_INC_PER_CHLD": ratio("AMT_INCOME_TOTAL", "1 + CNT_CHILDREN"),
             "NEW_CAR_TO_BIRTH_RATIO": ratio("OWN_CAR_AGE", "DAYS_BIRTH"),
             "NEW_CAR_TO_EMPLOY_RATIO": ratio("OWN_CAR_AGE", "DAYS_EMPLOYED"),
             "NEW_PHONE_TO_BIRTH_RATIO": ratio("DAYS_LAST_PHONE_CHANGE", "DAYS_BIRTH"),
             "NEW_PHONE_TO_EMPLOY_RATIO": ratio("DAYS_LAST_PHONE_CHANGE", "DAYS_EMPLOYED"),
             "NEW_CREDIT_TO_INCOME_RATIO": ratio("AMT_CREDIT", "AMT_INCOME_TOTAL"),
-            "long_employment": flag(c("DAYS_EMPLOYED") < -2000),
-            "retirement_age": flag(c("DAYS_BIRTH") < -14000),
-            "cnt_non_child": c("CNT_FAM_MEMBERS") - c("CNT_CHILDREN"),
+            "long_employment": flag("DAYS_EMPLOYED < -2000"),
+            "retirement_age": flag("DAYS_BIRTH < -14000"),
+            "cnt_non_child": "CNT_FAM_MEMBERS - CNT_CHILDREN",
             "credit_per_person": ratio("AMT_CREDIT", "CNT_FAM_MEMBERS"),
-            "credit_per_child": ratio("AMT_CREDIT", 1 + c("CNT_CHILDREN")),
+            "credit_per_child": ratio("AMT_CREDIT", "1 + CNT_CHILDREN"),
             "AGE": days_to_years("DAYS_BIRTH"),
-            "TOTAL_NO_ENQUIRY": sum((c(e) for e in ENQUIRIES[1:]), c(ENQUIRIES[0])),
-            "TOT_SOC_OBS_DPD": c("OBS_30_CNT_SOCIAL_CIRCLE") + c("OBS_60_CNT_SOCIAL_CIRCLE"),
-            "TOT_SOC_DEF_DPD": c("DEF_30_CNT_SOCIAL_CIRCLE") + c("DEF_60_CNT_SOCIAL_CIRCLE"),
+            "TOTAL_NO_ENQUIRY": " + ".join(ENQUIRIES),
+            "TOT_SOC_OBS_DPD": "OBS_30_CNT_SOCIAL_CIRCLE + OBS_60_CNT_SOCIAL_CIRCLE",
+            "TOT_SOC_DEF_DPD": "DEF_30_CNT_SOCIAL_CIRCLE + DEF_60_CNT_SOCIAL_CIRCLE",
             "ANNUITY_LENGTH": ratio("AMT_CREDIT", "AMT_ANNUITY"),
             "TOTAL_DOCS_SUBMITTED": row_sum(columns_by_pattern(app, "FLAG_DOCUMENT")),
-            "owns_car": flag(c("FLAG_OWN_CAR") == "Y"),
-            "owns_realty": flag(c("FLAG_OWN_REALTY") == "Y"),
+            "owns_car": flag("FLAG_OWN_CAR = 'Y'"),
+            "owns_realty": flag("FLAG_OWN_REALTY = 'Y'"),
             "RICH": flag_all({"FLAG_OWN_CAR": "Y", "FLAG_OWN_REALTY": "Y"}),
-            "two_or_more_children": flag(c("CNT_CHILDREN") >= 2),
-            "family_over_4": flag(c("CNT_FAM_MEMBERS") > 4),
-            "is_civil_marriage_3_children": flag_all({MARRIAGE: "Civil marriage", "CNT_CHILDREN": lambda x: x >= 3}),
+            "two_or_more_children": flag("CNT_CHILDREN >= 2"),
+            "family_over_4": flag("CNT_FAM_MEMBERS > 4"),
+            "is_civil_marriage_3_children": flag_all({MARRIAGE: "Civil marriage", "CNT_CHILDREN": (">=", 3)}),
             **interaction_flags(),
-        }
+        },
     )
     names = ["AGE_0_25", "AGE_25_35", "AGE_35_50", "AGE_50_70"]
     ages = overlapping_buckets("AGE", [(None, 25), (25, 35), (35, 50), (50, 70)])
-    return app.withColumns(
+    return with_exprs(
+        app,
         {
-            "DAYS_UNEMPLOYED_PERC": 1 - c("DAYS_EMPLOYED_PERC"),
+            "DAYS_UNEMPLOYED_PERC": "1 - DAYS_EMPLOYED_PERC",
             "child_to_non_child_ratio": ratio("CNT_CHILDREN", "cnt_non_child"),
             "income_per_non_child": ratio("AMT_INCOME_TOTAL", "cnt_non_child"),
             "credit_per_non_child": ratio("AMT_CREDIT", "cnt_non_child"),
             "CAR_AGE_RATIO": ratio("OWN_CAR_AGE", "AGE"),
             "ANNUITY_EMPLOYED_RATIO": ratio("ANNUITY_LENGTH", "DAYS_EMPLOYED"),
             **dict(zip(names, ages)),
-        }
+        },
     )
 
 
@@ -186,24 +186,21 @@ def fitted_features(app: DataFrame) -> DataFrame:
     app = lookup_group(app, fit_group(app, by_org, ["AMT_INCOME_TOTAL"]), by_org, "AMT_INCOME_TOTAL", "NEW_INC_BY_ORG")
     app = impute_group(app, fit_group(app, SPLIT, ["NEW_SCORES_STD"], "mean"), SPLIT, ["NEW_SCORES_STD"])
     by_gender = [SPLIT, "CODE_GENDER"]
-    app = app.withColumn("car_age_filled", F.col("OWN_CAR_AGE"))
+    app = with_exprs(app, {"car_age_filled": "OWN_CAR_AGE"})
     app = impute_group(app, fit_group(app, by_gender, ["car_age_filled"], "mean"), by_gender, ["car_age_filled"])
-    return app.withColumn("Age45", flag(trunc_int(F.col("car_age_filled") + 23) >= 45))
+    return with_exprs(app, {"Age45": flag(f"{trunc_int('car_age_filled + 23')} >= 45")})
 
 
 def encode_strings(app: DataFrame, skip: tuple[str, ...] = (SPLIT,)) -> DataFrame:
     """Integer codes for every string column, fitted on the training rows."""
-    train = app.where(F.col(SPLIT) == "train")
-    for c in columns_by_type(app, "string"):
-        if c not in skip:
-            app = label_encode(app, fit_labels(train, c), c)
-    return app
+    train = app.where(f"{SPLIT} = 'train'")
+    return encode_labels(app, train, [c for c in columns_by_type(app, "string") if c not in skip])
 
 
 def application_features(app: DataFrame, encode: bool = True) -> DataFrame:
     app = clean(app)
     source_columns = [c for c in app.columns if c not in (SPLIT, "TARGET")]
-    app = app.withColumn("missing_percent", row_missing_fraction(source_columns))
+    app = with_exprs(app, {"missing_percent": row_missing_fraction(source_columns)})
     app = group_deviation(group_recipe(app, RECIPES, fit_recipes(app, RECIPES, [SPLIT])), RECIPES)
     app = fitted_features(row_features(impute(app)))
     return encode_strings(app) if encode else app

@@ -8,12 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from relfeat.functions.aggs import count_not_zero, recency_weight, span, total
-from relfeat.functions.expr import col, fill, flag, flag_equals, not_past, prefixed, ratio, recode, sentinel_to_null, trunc_int
-from relfeat.operators.encode import Vocabulary, distinct_of_vocabulary, fit_vocabulary, share_columns
+from pyspark.sql import DataFrame
+
+from relfeat.functions.aggs import ROWS, by_name, count_if, count_not_zero, recency_weight, span, total
+from relfeat.functions.expr import (
+    columns,
+    fill,
+    flag,
+    flag_equals,
+    not_past,
+    prefixed,
+    ratio,
+    recode,
+    sentinel_to_null,
+    trunc_int,
+    with_exprs,
+)
+from relfeat.operators.encode import Vocabulary, distinct_of_vocabulary, fit_vocabulary, indicator_names, share_columns
 from relfeat.operators.grouping import Nested, aggregate
 from relfeat.operators.joins import check_distinct_names, left_join
 from relfeat.operators.ordered import last_group_aggregate, last_k_columns, last_known, late_flags, recent_rows, trend_columns
@@ -32,58 +43,57 @@ LAST_K = [1, 10, 50]
 TREND_K = [1, 6, 12, 30, 60]
 
 
-def _means(df: DataFrame, skip: Sequence[str]) -> dict[str, Column]:
-    return {c: F.avg(col(c)) for c in columns_by_type(df, "numeric") if c not in skip}
+def _means(df: DataFrame, skip: Sequence[str]) -> dict[str, str]:
+    return {c: f"avg({c})" for c in columns_by_type(df, "numeric") if c not in skip}
 
 
-def _then(df: DataFrame, post: Mapping[str, Column], drop: Sequence[str]) -> DataFrame:
-    return df.withColumns(dict(post)).drop(*drop)
+def _then(df: DataFrame, post: Mapping[str, str]) -> DataFrame:
+    """Add expressions over the aggregates and drop the auxiliary ones."""
+    return with_exprs(df, post).drop(*[c for c in df.columns if c.startswith("__")])
 
 
 def bureau_loan_history(balance: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Monthly bureau statuses reduced to the loan: status shares, number of months, mean (weighted) severity."""
-    month = F.col(MONTH)
-    severity = recode("STATUS", SEVERITY)
     # month 0 has no recency weight and is left out of both severities
-    dated = F.when(month != 0, severity)
+    dated = f"CASE WHEN {MONTH} <> 0 THEN {recode('STATUS', SEVERITY)} END"
     shares = share_columns("STATUS", vocabulary["STATUS"], "status")
     return aggregate(
         balance,
         "SK_ID_BUREAU",
         {
-            "hist_MONTHS_BALANCE": F.avg(month),
-            "hist_months": F.count(month),
+            "hist_MONTHS_BALANCE": f"avg({MONTH})",
+            "hist_months": f"count({MONTH})",
             **{f"hist_{n}": a for n, a in shares.items()},
-            "hist_SCORE": F.avg(dated),
-            "hist_W_SCORES": F.avg(F.try_divide(-dated, month)),
+            "hist_SCORE": f"avg({dated})",
+            "hist_W_SCORES": f"avg(try_divide(-({dated}), {MONTH}))",
         },
     )
 
 
 def bureau_block(bureau: DataFrame, balance: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
-    strings = ["CREDIT_ACTIVE", "CREDIT_CURRENCY", "CREDIT_TYPE"]
+    strings = {"CREDIT_ACTIVE": "ca", "CREDIT_CURRENCY": "cu", "CREDIT_TYPE": "ty"}
     if vocabulary is None:
-        vocabulary = {**fit_vocabulary(bureau, strings), **fit_vocabulary(balance, ["STATUS"])}
+        vocabulary = {**fit_vocabulary(bureau, list(strings)), **fit_vocabulary(balance, ["STATUS"])}
     filled = {c: fill(c, 0) for c in ("AMT_CREDIT_SUM", "AMT_CREDIT_SUM_DEBT", "CNT_CREDIT_PROLONG")}
-    loans = left_join(bureau.withColumns(filled), bureau_loan_history(balance, vocabulary), "SK_ID_BUREAU")
-    shares = {}
-    for c, short in zip(strings, ("ca", "cu", "ty")):
+    loans = left_join(with_exprs(bureau, filled), bureau_loan_history(balance, vocabulary), "SK_ID_BUREAU")
+    shares: dict[str, str] = {}
+    for c, short in strings.items():
         shares.update(share_columns(c, vocabulary[c], short))
     features = aggregate(
         loans,
         CUSTOMER,
         {
-            "loan_count": F.count("SK_ID_BUREAU"),
+            "loan_count": "count(SK_ID_BUREAU)",
             **_means(loans, [CUSTOMER, "SK_ID_BUREAU"]),
             **shares,
             # the gaps between consecutive credits of a customer add up to the span of their days
-            "DAYS_DIFF": F.coalesce(span("DAYS_CREDIT"), F.lit(0)) / F.count(F.lit(1)),
-            "CREDIT_ENDDATE_PERCENTAGE": F.avg(not_past("DAYS_CREDIT_ENDDATE")),
-            "ACTIVE_LOANS_PERCENTAGE": F.avg(F.when(F.col("CREDIT_ACTIVE") == "Closed", 0).otherwise(1)),
+            "DAYS_DIFF": f"coalesce({span('DAYS_CREDIT')}, 0) / {ROWS}",
+            "CREDIT_ENDDATE_PERCENTAGE": f"avg({not_past('DAYS_CREDIT_ENDDATE')})",
+            "ACTIVE_LOANS_PERCENTAGE": "avg(CASE WHEN CREDIT_ACTIVE = 'Closed' THEN 0 ELSE 1 END)",
             "__debt": total("AMT_CREDIT_SUM_DEBT"),
             "__credit": total("AMT_CREDIT_SUM"),
             "__overdue": total("AMT_CREDIT_SUM_OVERDUE"),
-            "__loans": F.count("DAYS_CREDIT"),
+            "__loans": "count(DAYS_CREDIT)",
             "__types": distinct_of_vocabulary("CREDIT_TYPE", vocabulary["CREDIT_TYPE"]),
         },
     )
@@ -94,7 +104,6 @@ def bureau_block(bureau: DataFrame, balance: DataFrame, vocabulary: Vocabulary |
             "OVERDUE_DEBT_RATIO": ratio("__overdue", "__debt"),
             "AVERAGE_LOAN_TYPE": ratio("__loans", "__types"),
         },
-        ["__debt", "__credit", "__overdue", "__loans", "__types"],
     )
     return prefixed(features, "bureau_", [CUSTOMER])
 
@@ -104,15 +113,16 @@ def previous_block(previous: DataFrame, vocabulary: Vocabulary | None = None) ->
     if vocabulary is None:
         vocabulary = fit_vocabulary(previous, strings)
     days = ["DAYS_FIRST_DRAWING", "DAYS_FIRST_DUE", "DAYS_LAST_DUE_1ST_VERSION", "DAYS_LAST_DUE", "DAYS_TERMINATION"]
-    rows = previous.withColumns(
+    rows = with_exprs(
+        previous,
         {
             **{c: sentinel_to_null(c, NO_DAY) for c in days},
             "NFLAG_INSURED_ON_APPROVAL": fill("NFLAG_INSURED_ON_APPROVAL", 0),
             "IsXsell": flag_equals("NAME_PRODUCT_TYPE", "x-sell"),
             "IsRefreshed": flag_equals("NAME_CLIENT_TYPE", "Refreshed"),
-        }
+        },
     )
-    shares: dict[str, Column] = {}
+    shares: dict[str, str] = {}
     for c in strings:
         shares.update(share_columns(c, vocabulary[c]))
     kinds = {
@@ -129,86 +139,81 @@ def previous_block(previous: DataFrame, vocabulary: Vocabulary | None = None) ->
         "DAYS": "DAYS_DECISION", "DAYS_DUE": "DAYS_FIRST_DUE", "DAYS_LAST": "DAYS_LAST_DUE_1ST_VERSION",
         "DAYS_LAST_DUE": "DAYS_LAST_DUE", "TERMINATION": "DAYS_TERMINATION",
     }.items():
-        spread[f"MAX_{name}"], spread[f"MIN_{name}"] = F.max(c), F.min(c)
-    insured = F.col("NFLAG_INSURED_ON_APPROVAL")
+        spread[f"MAX_{name}"], spread[f"MIN_{name}"] = f"max({c})", f"min({c})"
+    insured = "NFLAG_INSURED_ON_APPROVAL"
     features = aggregate(
         rows,
         CUSTOMER,
         {
-            "loan_count": F.count(LOAN),
+            "loan_count": f"count({LOAN})",
             **_means(rows, [CUSTOMER, LOAN]),
             **shares,
             **spread,
             **{n: distinct_of_vocabulary(c, vocabulary[c]) for n, c in kinds.items()},
             # the flag is 0 or 1, so its extremes tell how many values occur
-            "INSURED": F.when(F.max(insured) > F.min(insured), 2).otherwise(1),
+            "INSURED": f"CASE WHEN max({insured}) > min({insured}) THEN 2 ELSE 1 END",
             "__credit": total("AMT_CREDIT"),
             "__applied": total("AMT_APPLICATION"),
             "__annuity": total("AMT_ANNUITY"),
             "__price": total("AMT_GOODS_PRICE"),
         },
     )
-    credit, applied, annuity, price = (F.col(c) for c in ("__credit", "__applied", "__annuity", "__price"))
     features = _then(
         features,
         {
-            "DIFF_CREDIT_APPLIED": credit - applied,
-            "DIFF_CREDIT_ANNUITY": credit - annuity,
-            "DEBT_INCOME_RATIO": ratio(credit + annuity - price, credit + annuity),
-            "RATIO_ANNUITY_CREDIT": ratio(annuity, credit),
-            "RATIO_CREDIT_APPLIED": ratio(applied, credit),
-            "CREDIT_ANNUITY_RATIO": ratio(credit, annuity),
-            "CREDIT_GP_RATIO": ratio(credit, price),
+            "DIFF_CREDIT_APPLIED": "__credit - __applied",
+            "DIFF_CREDIT_ANNUITY": "__credit - __annuity",
+            "DEBT_INCOME_RATIO": ratio("__credit + __annuity - __price", "__credit + __annuity"),
+            "RATIO_ANNUITY_CREDIT": ratio("__annuity", "__credit"),
+            "RATIO_CREDIT_APPLIED": ratio("__applied", "__credit"),
+            "CREDIT_ANNUITY_RATIO": ratio("__credit", "__annuity"),
+            "CREDIT_GP_RATIO": ratio("__credit", "__price"),
         },
-        ["__credit", "__applied", "__annuity", "__price"],
     )
     return prefixed(features, "prev_", [CUSTOMER])
 
 
+def _status_shares(n: Nested, vocabulary: Vocabulary) -> None:
+    c = "NAME_CONTRACT_STATUS"
+    for value, name in indicator_names(c, vocabulary[c], "status").items():
+        n.set(name, n.mean(flag_equals(c, value)))
+
+
 def pos_block(pos: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
     if vocabulary is None:
         vocabulary = fit_vocabulary(pos, ["NAME_CONTRACT_STATUS"])
     weight = recency_weight(MONTH)
     n = Nested()
-    n.set("row_count", n.count_expr(LOAN))
-    for c in (MONTH, "CNT_INSTALMENT", "CNT_INSTALMENT_FUTURE", "SK_DPD", "SK_DPD_DEF"):
-        n.set(c, n.mean_expr(c))
-    for value, name in _status_names(vocabulary):
-        n.set(name, n.mean_expr(flag_equals("NAME_CONTRACT_STATUS", value), name))
-    n.set("RATIO_PAY_TOPAY", ratio(n.sum_expr("CNT_INSTALMENT"), n.sum_expr("CNT_INSTALMENT_FUTURE")))
-    n.of_groups("DPD_COUNT", count_not_zero("SK_DPD"), F.avg)
+    n.set("row_count", n.count(LOAN))
+    for c in columns_by_type(pos, "numeric"):
+        if c not in (CUSTOMER, LOAN):
+            n.set(c, n.mean(c))
+    _status_shares(n, vocabulary)
+    n.set("RATIO_PAY_TOPAY", ratio(n.total("CNT_INSTALMENT"), n.total("CNT_INSTALMENT_FUTURE")))
+    n.of_groups("DPD_COUNT", count_not_zero("SK_DPD"), "avg({})")
     for name, c in {"BAL": MONTH, "CNT": "CNT_INSTALMENT", "CNT_FUT": "CNT_INSTALMENT_FUTURE"}.items():
-        n.set(f"MIN_{name}", n.min_expr(c)).set(f"MAX_{name}", n.max_expr(c))
+        n.set(f"MIN_{name}", n.min(c)).set(f"MAX_{name}", n.max(c))
     for c in ("CNT_INSTALMENT", "CNT_INSTALMENT_FUTURE", "SK_DPD", "SK_DPD_DEF"):
-        n.set(f"WM_{c}", n.weighted_mean_expr(c, weight))
+        n.set(f"WM_{c}", n.weighted_mean(c, weight))
     return prefixed(n.run(pos, CUSTOMER, LOAN), "pos_", [CUSTOMER])
 
 
-def _status_names(vocabulary: Vocabulary) -> list[tuple[str, str]]:
-    from relfeat.operators.encode import indicator_names
-
-    return list(indicator_names("NAME_CONTRACT_STATUS", vocabulary["NAME_CONTRACT_STATUS"], "status").items())
-
-
-def pos_history_block(pos: DataFrame, large_group_rows: int | None = None) -> DataFrame:
+def pos_history_block(pos: DataFrame, **options) -> DataFrame:
     """Recent-instalment, last-loan and trend features of the monthly snapshots."""
     late, late_tol = "paid_late", "paid_late_with_tolerance"
     rows = late_flags(pos, {late: "SK_DPD", late_tol: "SK_DPD_DEF"})
     numbers = ["sum", "mean", "max", "min", "median"]
     specs = {late: ["count", "mean"], late_tol: ["count", "mean"], "SK_DPD": numbers, "SK_DPD_DEF": numbers}
-    ties = [LOAN]
-    recent = recent_rows(rows.select(CUSTOMER, MONTH, LOAN, *specs), CUSTOMER, MONTH, ties, max(LAST_K + TREND_K))
-    recent_aggs = {**last_k_columns(LAST_K, specs), **trend_columns(TREND_K, ["SK_DPD", "SK_DPD_DEF"])}
-    recent = recent.groupBy(CUSTOMER).agg(*[a.alias(n) for n, a in recent_aggs.items()])
-    from relfeat.functions.aggs import by_name
-
-    options = {} if large_group_rows is None else {"large_group_rows": large_group_rows}
+    recent = recent_rows(rows.select(CUSTOMER, MONTH, LOAN, *specs), CUSTOMER, MONTH, [LOAN], max(LAST_K + TREND_K))
+    recent = recent.groupBy(CUSTOMER).agg(
+        *columns({**last_k_columns(LAST_K, specs), **trend_columns(TREND_K, ["SK_DPD", "SK_DPD_DEF"])})
+    )
     whole = aggregate(
         rows,
         CUSTOMER,
         {
-            "remaining_installments": last_known("CNT_INSTALMENT_FUTURE", MONTH, ties),
-            "completed_contracts": F.sum(flag(F.col("NAME_CONTRACT_STATUS") == "Completed")),
+            "remaining_installments": last_known("CNT_INSTALMENT_FUTURE", MONTH, [LOAN]),
+            "completed_contracts": count_if("NAME_CONTRACT_STATUS = 'Completed'"),
             **{f"all_installment_{c}_{a}": by_name(a, c) for c, names in specs.items() for a in names},
         },
         **options,
@@ -248,38 +253,31 @@ def card_block(card: DataFrame, vocabulary: Vocabulary | None = None) -> DataFra
         vocabulary = fit_vocabulary(card, ["NAME_CONTRACT_STATUS"])
     weight = recency_weight(MONTH)
     n = Nested()
-    n.set("row_count", n.count_expr(LOAN))
+    n.set("row_count", n.count(LOAN))
     for c in columns_by_type(card, "numeric"):
         # the misspelt receivable column repeats AMT_TOTAL_RECEIVABLE and only keeps its extremes and weighted mean
         if c not in (CUSTOMER, LOAN, "AMT_RECIVABLE"):
-            n.set(c, n.mean_expr(c))
-    for value, name in _status_names(vocabulary):
-        n.set(name, n.mean_expr(flag_equals("NAME_CONTRACT_STATUS", value), name))
+            n.set(c, n.mean(c))
+    _status_shares(n, vocabulary)
     n.group_count("__loans")
-    n.of_groups("__instalments", F.max("CNT_INSTALMENT_MATURE_CUM"), total)
-    n.of_groups("DPD_COUNT", count_not_zero("SK_DPD"), F.avg)
-    missed = flag(F.col("AMT_PAYMENT_CURRENT") < F.col("AMT_INST_MIN_REGULARITY"))
-    n.set("PERCENTAGE_MISSED_PAYMENTS", ratio(100 * n.sum_expr(missed, "missed"), n.rows_expr()))
-    amounts = [n.sum_expr(c) for c in DRAWN_AMOUNTS]
-    counts = [n.sum_expr(c) for c in DRAWN_COUNTS]
-    drawn_amount = amounts[0] + amounts[1] + amounts[2] + amounts[3]
-    balance = n.sum_expr("AMT_BALANCE")
-    n.set("CASH_CARD_RATIO", ratio(amounts[0], amounts[1]) * 100)
-    n.set("DRAWINGS_RATIO", ratio(amounts[1], counts[1]) * 100)
-    n.set("BALANCE_DRAWINGS_RATIO", ratio(balance, drawn_amount))
-    n.set("BALANCE_DRAWINGS_DIFF", trunc_int(balance - drawn_amount, "bigint"))
-    n.set("sum_drawings_cnt", (counts[0] + counts[1] + counts[2] + counts[3]).cast("double"))
-    n.set("R_BAD_DEBTS", n.sum_expr("AMT_TOTAL_RECEIVABLE") - n.sum_expr("AMT_RECEIVABLE_PRINCIPAL"))
+    n.of_groups("__instalments", "max(CNT_INSTALMENT_MATURE_CUM)", "coalesce(sum({}), 0)")
+    n.of_groups("DPD_COUNT", count_not_zero("SK_DPD"), "avg({})")
+    missed = n.total(flag("AMT_PAYMENT_CURRENT < AMT_INST_MIN_REGULARITY"))
+    n.set("PERCENTAGE_MISSED_PAYMENTS", ratio(f"100 * {missed}", n.rows()))
+    amounts, counts = [n.total(c) for c in DRAWN_AMOUNTS], [n.total(c) for c in DRAWN_COUNTS]
+    drawn, balance = "(" + " + ".join(amounts) + ")", n.total("AMT_BALANCE")
+    n.set("CASH_CARD_RATIO", f"100 * {ratio(amounts[0], amounts[1])}")
+    n.set("DRAWINGS_RATIO", f"100 * {ratio(amounts[1], counts[1])}")
+    n.set("BALANCE_DRAWINGS_RATIO", ratio(balance, drawn))
+    n.set("BALANCE_DRAWINGS_DIFF", trunc_int(f"{balance} - {drawn}", "BIGINT"))
+    n.set("sum_drawings_cnt", f"CAST({' + '.join(counts)} AS DOUBLE)")
+    n.set("R_BAD_DEBTS", f"{n.total('AMT_TOTAL_RECEIVABLE')} - {n.total('AMT_RECEIVABLE_PRINCIPAL')}")
     for name, c in CARD_SPREAD.items():
-        n.set(f"MAX_{name}", n.max_expr(c)).set(f"MIN_{name}", n.min_expr(c))
+        n.set(f"MAX_{name}", n.max(c)).set(f"MIN_{name}", n.min(c))
     for c in CARD_WEIGHTED:
-        n.set(f"WM_{c}", n.weighted_mean_expr(c, weight))
-    features = _then(
-        n.run(card, CUSTOMER, LOAN),
-        {"INSTALLMENTS_PER_LOAN": trunc_int(ratio("__instalments", "__loans"))},
-        ["__instalments", "__loans"],
-    )
-    return prefixed(features, "cc_bal_", [CUSTOMER])
+        n.set(f"WM_{c}", n.weighted_mean(c, weight))
+    per_loan = {"INSTALLMENTS_PER_LOAN": trunc_int(ratio("__instalments", "__loans"))}
+    return prefixed(_then(n.run(card, CUSTOMER, LOAN), per_loan), "cc_bal_", [CUSTOMER])
 
 
 INSTALMENT_NUMBERS = [
@@ -289,31 +287,27 @@ INSTALMENT_NUMBERS = [
 
 
 def instalment_block(instalments: DataFrame) -> DataFrame:
-    moments = {}
-    for c in INSTALMENT_NUMBERS:
-        moments.update({f"mean_{c}": F.avg(c), f"min_{c}": F.min(c), f"max_{c}": F.max(c), f"sum_{c}": total(c), f"var_{c}": F.var_samp(c)})
+    moments = {f"{a}_{c}": by_name(a, c) for c in INSTALMENT_NUMBERS for a in ("mean", "min", "max", "sum", "var")}
     features = aggregate(
         instalments,
         CUSTOMER,
         {
-            "row_count": F.count(LOAN),
+            "row_count": f"count({LOAN})",
             **moments,
-            "mean_abs_DAYS_INSTALMENT": F.avg(F.abs("DAYS_INSTALMENT")),
-            "mean_abs_DAYS_ENTRY_PAYMENT": F.avg(F.abs("DAYS_ENTRY_PAYMENT")),
-            "__due_days": total(F.abs("DAYS_INSTALMENT")),
-            "__paid_days": total(F.abs("DAYS_ENTRY_PAYMENT")),
+            "mean_abs_DAYS_INSTALMENT": "avg(abs(DAYS_INSTALMENT))",
+            "mean_abs_DAYS_ENTRY_PAYMENT": "avg(abs(DAYS_ENTRY_PAYMENT))",
+            "__due_days": total("abs(DAYS_INSTALMENT)"),
+            "__paid_days": total("abs(DAYS_ENTRY_PAYMENT)"),
         },
     )
-    slip = F.col("__paid_days") - F.col("__due_days")
     features = _then(
         features,
         {
-            "DIFF_INSTALMENT_PAYMENT": F.col("sum_AMT_INSTALMENT") - F.col("sum_AMT_PAYMENT"),
+            "DIFF_INSTALMENT_PAYMENT": "sum_AMT_INSTALMENT - sum_AMT_PAYMENT",
             "RATIO_INSTALMENT_PAYMENT": ratio("sum_AMT_PAYMENT", "sum_AMT_INSTALMENT"),
             # constant within the customer: its mean, maximum and minimum are the same number
-            "DIFF_INSTALMENT_PAYMENT_DATE": slip,
+            "DIFF_INSTALMENT_PAYMENT_DATE": "__paid_days - __due_days",
         },
-        ["__due_days", "__paid_days"],
     )
     return prefixed(features, "inst_", [CUSTOMER])
 

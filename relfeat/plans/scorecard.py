@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relfeat.functions.expr import ratio
+from relfeat.functions.expr import ratio, with_exprs
 from relfeat.operators.model import CrossValidation, cross_validate
 from relfeat.plans.application import SPLIT, application_features
 from relfeat.plans.blocks import (
@@ -70,11 +70,12 @@ def feature_mart(tables: Mapping[str, DataFrame], history: bool = True) -> DataF
     if history:
         blocks.append(pos_history_block(tables["pos"]))
     mart = assemble_mart(application_features(tables["application"]), blocks)
-    return mart.withColumns(
+    return with_exprs(
+        mart,
         {
             "cc_bal_INCOME_RATIO": ratio("cc_bal_AMT_BALANCE", "AMT_INCOME_TOTAL"),
             "cc_payment_INCOME_RATIO": ratio("cc_bal_AMT_DRAWINGS_ATM_CURRENT", "AMT_INCOME_TOTAL"),
-        }
+        },
     )
 
 
@@ -83,7 +84,7 @@ def model_features(mart: DataFrame) -> list[str]:
 
 
 def train_scorecard(mart: DataFrame, **options) -> CrossValidation:
-    train = mart.where(F.col(SPLIT) == "train")
+    train = mart.where(f"{SPLIT} = 'train'")
     return cross_validate(train, CUSTOMER, "TARGET", model_features(mart), **options)
 
 
@@ -92,6 +93,6 @@ def run(spark: SparkSession, folder: str, out: str, **options) -> CrossValidatio
     write_feature_matrix(feature_mart(read_loan_tables(spark, folder)), f"{out}/matrix", SPLIT)
     mart = scan_table(spark, f"{out}/matrix")
     result = train_scorecard(mart, **options)
-    test = mart.where(F.col(SPLIT) == "test")
+    test = mart.where(f"{SPLIT} = 'test'")
     write_predictions(result.score_average(test).withColumnRenamed("score", "TARGET"), CUSTOMER, "TARGET", f"{out}/predictions")
     return result

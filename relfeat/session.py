@@ -14,6 +14,10 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # feature blocks are wide: keep them inside generated code
     "spark.sql.codegen.maxFields": "400",
+    # exact medians per customer: keep the hash way for more than the default 128 groups per task
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
+    # no Python stack capture per column call
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
