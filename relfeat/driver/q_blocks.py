@@ -311,7 +311,8 @@ _APP_SQL = f"WITH cleaned AS {_CLEAN} " + rounded_sql(
 @query("block_application", _APP_SQL)
 def block_application(t: Tables):
     app = application.clean(loan_table(t, "application"))
-    wide = application.fitted_features(application.row_features(application.impute(app)))
+    stats = application.fit_statistics(app)
+    wide = application.fitted_features(application.row_features(application.impute(app, stats)), stats)
     made = [c for c in wide.columns if c not in app.columns]
     return rounded(wide.select("SK_ID_CURR", *SCORES, "AMT_ANNUITY", *made), 10)
 

@@ -21,7 +21,7 @@ _ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 def impute_group_median(t: Tables):
     df = t.lines.select(*_ID, "disc", "o_orderpriority", (F.col("l_orderkey") % 5 == 0).alias("test"))
     groups = ["test", "o_orderpriority"]
-    return rounded(impute.impute_group(df, impute.fit_group(df, groups, ["disc"]), groups, ["disc"]).select(*_ID, "disc"))
+    return rounded(impute.impute_group(df, impute.fit_group(df, groups, ["disc"])).select(*_ID, "disc"))
 
 
 @query(
@@ -31,7 +31,7 @@ def impute_group_median(t: Tables):
 )
 def impute_group_mean(t: Tables):
     df = t.lines.select(*_ID, "disc", "flag")
-    return rounded(impute.impute_group(df, impute.fit_group(df, "flag", ["disc"], "mean"), "flag", ["disc"]).select(*_ID, "disc"))
+    return rounded(impute.impute_group(df, impute.fit_group(df, "flag", ["disc"], "mean")).select(*_ID, "disc"))
 
 
 @query(
@@ -49,7 +49,7 @@ def impute_global_mean(t: Tables):
 )
 def lookup_group_median(t: Tables):
     stats = impute.fit_group(t.orders, "o_orderpriority", ["o_totalprice"])
-    df = impute.lookup_group(t.orders, stats, "o_orderpriority", "o_totalprice", "typical_price")
+    df = impute.lookup_group(t.orders, stats, "o_totalprice", "typical_price")
     return rounded(df.select("o_orderkey", "typical_price"), 4)
 
 

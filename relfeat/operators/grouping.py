@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from relfeat.functions.aggs import ROWS, Quantile, by_name
 from relfeat.functions.expr import columns, ratio, with_exprs
-from relfeat.operators.joins import all_known, as_list, attach, keyed_join, sized
+from relfeat.operators.joins import all_known, as_list, attach_sized, keyed_join, sized
 from relfeat.operators.running import large_group_quantiles
+from relfeat.session import in_parallel
 from relfeat.sources.tables import columns_by_type
 
 # Spark's exact percentile keeps the distinct values of a group in one task; larger groups take another way.
@@ -154,10 +155,11 @@ def recipe_names(recipes: Sequence[Recipe]) -> list[str]:
     return [recipe_name(k, c, a) for k, specs in recipes for c, a in specs]
 
 
-def fit_recipes(
-    df: DataFrame, recipes: Sequence[Recipe], within: Sequence[str] = ()
-) -> list[tuple[list[str], DataFrame]]:
-    """One aggregate table per key list, however many aggregates the recipes name for it.
+Fitted = list[tuple[list[str], DataFrame, bool]]
+
+
+def fit_recipes(df: DataFrame, recipes: Sequence[Recipe], within: Sequence[str] = ()) -> Fitted:
+    """One aggregate table per key list, however many aggregates the recipes name for it; computed side by side.
 
     ``within`` adds keys that separate the groups further without entering the column names.
     """
@@ -166,13 +168,19 @@ def fit_recipes(
         bucket = merged.setdefault(tuple(keys), {})
         for column, agg in specs:
             bucket[recipe_name(keys, column, agg)] = by_name(agg, column)
-    return [([*within, *keys], aggregate(df, [*within, *keys], aggs)) for keys, aggs in merged.items()]
+
+    def fit(keys: list[str], aggs: Mapping[str, str | Quantile]) -> tuple[list[str], DataFrame, bool]:
+        return (keys, *sized(aggregate(df, keys, aggs)))
+
+    return in_parallel(
+        df.sparkSession, [lambda k=keys, a=aggs: fit([*within, *k], a) for keys, aggs in merged.items()]
+    )
 
 
-def group_recipe(df: DataFrame, recipes: Sequence[Recipe], fitted=None) -> DataFrame:
+def group_recipe(df: DataFrame, recipes: Sequence[Recipe], fitted: Fitted | None = None) -> DataFrame:
     """Attach every recipe aggregate to every row; ``fitted`` applies tables fitted elsewhere."""
-    for keys, stats in fit_recipes(df, recipes) if fitted is None else fitted:
-        df = attach(df, stats, keys)
+    for keys, stats, small in fit_recipes(df, recipes) if fitted is None else fitted:
+        df = attach_sized(df, stats, small, keys)
     return df
 
 

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from relfeat.functions.aggs import by_name
 from relfeat.functions.expr import columns as named
 from relfeat.functions.expr import lit, with_exprs
 from relfeat.operators.grouping import aggregate
-from relfeat.operators.joins import as_list, attach
+from relfeat.operators.joins import as_list, attach_sized, sized
 
 
 def _group_exprs(groups: Sequence[str], null_as_group: bool) -> dict[str, str]:
@@ -25,38 +25,39 @@ def _group_exprs(groups: Sequence[str], null_as_group: bool) -> dict[str, str]:
     return out
 
 
+@dataclass(frozen=True)
+class GroupStats:
+    """A statistic per category, fitted on one frame and applicable to any other with the same columns."""
+
+    keys: dict[str, str]
+    columns: list[str]
+    table: DataFrame
+    small: bool
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        return attach_sized(with_exprs(df, self.keys), self.table, self.small, list(self.keys)).drop(*self.keys)
+
+
 def fit_group(
     df: DataFrame, groups: str | Sequence[str], columns: Sequence[str], how: str = "median", null_as_group: bool = False
-) -> DataFrame:
+) -> GroupStats:
     """Median or mean of each column per category."""
     keys = _group_exprs(as_list(groups), null_as_group)
     rows = df.select(*named(keys), *columns)
-    return aggregate(rows, list(keys), {f"__fill_{c}": by_name(how, c) for c in columns})
-
-
-def _with_stats(df: DataFrame, stats: DataFrame, groups: Sequence[str], null_as_group: bool) -> DataFrame:
-    keys = _group_exprs(groups, null_as_group)
-    return attach(with_exprs(df, keys), stats, list(keys)).drop(*keys)
+    stats = aggregate(rows, list(keys), {f"__fill_{c}": by_name(how, c) for c in columns})
+    return GroupStats(keys, list(columns), *sized(stats))
 
 
-def impute_group(
-    df: DataFrame,
-    stats: DataFrame,
-    groups: str | Sequence[str],
-    columns: Sequence[str],
-    null_as_group: bool = False,
-) -> DataFrame:
+def impute_group(df: DataFrame, stats: GroupStats) -> DataFrame:
     """Missing values become the statistic of the row's category."""
-    joined = _with_stats(df, stats, as_list(groups), null_as_group)
-    filled = with_exprs(joined, {c: f"coalesce({c}, __fill_{c})" for c in columns})
-    return filled.drop(*[f"__fill_{c}" for c in columns])
+    filled = with_exprs(stats.attach(df), {c: f"coalesce({c}, __fill_{c})" for c in stats.columns})
+    return filled.drop(*[f"__fill_{c}" for c in stats.columns])
 
 
-def lookup_group(df: DataFrame, stats: DataFrame, groups: str | Sequence[str], column: str, name: str) -> DataFrame:
+def lookup_group(df: DataFrame, stats: GroupStats, column: str, name: str) -> DataFrame:
     """New column: the statistic of ``column`` for the row's category."""
-    groups = as_list(groups)
-    wanted = stats.select(*_group_exprs(groups, False), F.col(f"__fill_{column}").alias(name))
-    return _with_stats(df, wanted, groups, False)
+    found = stats.attach(df).withColumnRenamed(f"__fill_{column}", name)
+    return found.drop(*[f"__fill_{c}" for c in stats.columns])
 
 
 def fit_mean(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:

@@ -90,9 +90,13 @@ def attach(
     few keys that hold a large share of ``df`` are joined by broadcast (their number is bounded by their share),
     rows without a key skip the join, and only the rest is shuffled by key.
     """
+    return attach_sized(df, *sized(stats, broadcast_rows, expect_small), keys)
+
+
+def attach_sized(df: DataFrame, stats: DataFrame, small: bool, keys: str | Sequence[str]) -> DataFrame:
+    """``attach`` for a table that ``sized`` has been through already."""
     keys = as_list(keys)
     check_distinct_names([c for c in df.columns + stats.columns if c not in keys])
-    stats, small = sized(stats, broadcast_rows, expect_small)
     hot = None if small else hot_keys(df, keys)
     if hot is None:
         return keyed_join(df, stats, keys, "left")

@@ -5,6 +5,8 @@ Training and test rows travel together; ``split`` keeps their statistics apart w
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 
 from relfeat.functions.expr import (
@@ -23,12 +25,14 @@ from relfeat.functions.expr import (
     with_exprs,
 )
 from relfeat.operators.encode import encode_labels
-from relfeat.operators.grouping import fit_recipes, group_deviation, group_recipe
-from relfeat.operators.impute import fit_group, impute_group, lookup_group
+from relfeat.operators.grouping import Fitted, fit_recipes, group_deviation, group_recipe
+from relfeat.operators.impute import GroupStats, fit_group, impute_group, lookup_group
+from relfeat.session import in_parallel
 from relfeat.sources.loan_schema import ENQUIRIES, SCORES
 from relfeat.sources.tables import columns_by_pattern, columns_by_type
 
 SPLIT = "split"
+CAR_AGE = {"car_age_filled": "OWN_CAR_AGE"}
 
 # fixed values: key lists with their (column, aggregate) pairs
 RECIPES = [
@@ -102,12 +106,38 @@ def clean(app: DataFrame) -> DataFrame:
     )
 
 
-def impute(app: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Statistics:
+    """What the application features look up in other rows, each fitted within its split."""
+
+    recipes: Fitted
+    scores: GroupStats
+    annuity: GroupStats
+    income_by_org: GroupStats
+    car_age: GroupStats
+
+
+def fit_statistics(app: DataFrame) -> Statistics:
+    """All statistics of the cleaned source columns, computed side by side."""
+    by_income, by_gender, by_org = [SPLIT, "NAME_INCOME_TYPE"], [SPLIT, "CODE_GENDER"], [SPLIT, "ORGANIZATION_TYPE"]
+    return Statistics(
+        *in_parallel(
+            app.sparkSession,
+            [
+                lambda: fit_recipes(app, RECIPES, [SPLIT]),
+                lambda: fit_group(app, by_income, SCORES, null_as_group=True),
+                lambda: fit_group(app, by_gender, ["AMT_ANNUITY"], null_as_group=True),
+                lambda: fit_group(app, by_org, ["AMT_INCOME_TOTAL"]),
+                lambda: fit_group(with_exprs(app, CAR_AGE), by_gender, list(CAR_AGE), "mean"),
+            ],
+        )
+    )
+
+
+def impute(app: DataFrame, stats: Statistics) -> DataFrame:
     """Scores by income type, annuity by gender, each median within its split; then score 3 by its split mean."""
-    by_income, by_gender = [SPLIT, "NAME_INCOME_TYPE"], [SPLIT, "CODE_GENDER"]
-    app = impute_group(app, fit_group(app, by_income, SCORES, null_as_group=True), by_income, SCORES, null_as_group=True)
-    app = impute_group(app, fit_group(app, by_gender, ["AMT_ANNUITY"], null_as_group=True), by_gender, ["AMT_ANNUITY"], null_as_group=True)
-    return impute_group(app, fit_group(app, SPLIT, ["EXT_SOURCE_3"], "mean"), SPLIT, ["EXT_SOURCE_3"])
+    app = impute_group(impute_group(app, stats.scores), stats.annuity)
+    return impute_group(app, fit_group(app, SPLIT, ["EXT_SOURCE_3"], "mean"))
 
 
 def row_features(app: DataFrame) -> DataFrame:
@@ -180,27 +210,24 @@ def row_features(app: DataFrame) -> DataFrame:
     )
 
 
-def fitted_features(app: DataFrame) -> DataFrame:
+def fitted_features(app: DataFrame, stats: Statistics) -> DataFrame:
     """Features that look at other rows: income by organisation, filled score spread, filled car age."""
-    by_org = [SPLIT, "ORGANIZATION_TYPE"]
-    app = lookup_group(app, fit_group(app, by_org, ["AMT_INCOME_TOTAL"]), by_org, "AMT_INCOME_TOTAL", "NEW_INC_BY_ORG")
-    app = impute_group(app, fit_group(app, SPLIT, ["NEW_SCORES_STD"], "mean"), SPLIT, ["NEW_SCORES_STD"])
-    by_gender = [SPLIT, "CODE_GENDER"]
-    app = with_exprs(app, {"car_age_filled": "OWN_CAR_AGE"})
-    app = impute_group(app, fit_group(app, by_gender, ["car_age_filled"], "mean"), by_gender, ["car_age_filled"])
+    app = lookup_group(app, stats.income_by_org, "AMT_INCOME_TOTAL", "NEW_INC_BY_ORG")
+    app = impute_group(app, fit_group(app, SPLIT, ["NEW_SCORES_STD"], "mean"))
+    app = impute_group(with_exprs(app, CAR_AGE), stats.car_age)
     return with_exprs(app, {"Age45": flag(f"{trunc_int('car_age_filled + 23')} >= 45")})
 
 
-def encode_strings(app: DataFrame, skip: tuple[str, ...] = (SPLIT,)) -> DataFrame:
+def encode_strings(app: DataFrame, train: DataFrame) -> DataFrame:
     """Integer codes for every string column, fitted on the training rows."""
-    train = app.where(f"{SPLIT} = 'train'")
-    return encode_labels(app, train, [c for c in columns_by_type(app, "string") if c not in skip])
+    return encode_labels(app, train, [c for c in columns_by_type(app, "string") if c != SPLIT])
 
 
 def application_features(app: DataFrame, encode: bool = True) -> DataFrame:
-    app = clean(app)
-    source_columns = [c for c in app.columns if c not in (SPLIT, "TARGET")]
-    app = with_exprs(app, {"missing_percent": row_missing_fraction(source_columns)})
-    app = group_deviation(group_recipe(app, RECIPES, fit_recipes(app, RECIPES, [SPLIT])), RECIPES)
-    app = fitted_features(row_features(impute(app)))
-    return encode_strings(app) if encode else app
+    source = clean(app)
+    stats = fit_statistics(source)
+    features = [c for c in source.columns if c not in (SPLIT, "TARGET")]
+    app = with_exprs(source, {"missing_percent": row_missing_fraction(features)})
+    app = group_deviation(group_recipe(app, RECIPES, stats.recipes), RECIPES)
+    app = fitted_features(row_features(impute(app, stats)), stats)
+    return encode_strings(app, source.where(f"{SPLIT} = 'train'")) if encode else app

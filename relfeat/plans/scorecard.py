@@ -20,6 +20,7 @@ from relfeat.plans.blocks import (
     pos_history_block,
     previous_block,
 )
+from relfeat.session import in_parallel
 from relfeat.sources import loan_schema
 from relfeat.sources.tables import scan_table, write_feature_matrix, write_predictions
 
@@ -60,16 +61,19 @@ def read_loan_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 def feature_mart(tables: Mapping[str, DataFrame], history: bool = True) -> DataFrame:
     """One wide row per customer: application features and every child block, plus the ratios across blocks."""
-    blocks = [
-        bureau_block(tables["bureau"], tables["bureau_balance"]),
-        previous_block(tables["previous"]),
-        pos_block(tables["pos"]),
-        card_block(tables["card"]),
-        instalment_block(tables["instalments"]),
+    steps = [
+        lambda: application_features(tables["application"]),
+        lambda: bureau_block(tables["bureau"], tables["bureau_balance"]),
+        lambda: previous_block(tables["previous"]),
+        lambda: pos_block(tables["pos"]),
+        lambda: card_block(tables["card"]),
+        lambda: instalment_block(tables["instalments"]),
     ]
     if history:
-        blocks.append(pos_history_block(tables["pos"]))
-    mart = assemble_mart(application_features(tables["application"]), blocks)
+        steps.append(lambda: pos_history_block(tables["pos"]))
+    # each block may first look for its vocabulary or group sizes
+    root, *blocks = in_parallel(tables["application"].sparkSession, steps)
+    mart = assemble_mart(root, blocks)
     return with_exprs(
         mart,
         {

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Result = TypeVar("Result")
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -59,3 +65,11 @@ def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a checkpoint that survives executor loss."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def in_parallel(spark: SparkSession, steps: Sequence[Callable[[], Result]], at_once: int = 8) -> list[Result]:
+    """Run independent steps that each start small jobs (statistics, vocabularies) at the same time."""
+    if len(steps) < 2:
+        return [step() for step in steps]
+    with ThreadPoolExecutor(min(at_once, len(steps))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]]
