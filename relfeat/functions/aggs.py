@@ -33,8 +33,10 @@ def weighted_mean(c: str, weight: str, skip_null: bool = False) -> str:
     By default one missing value or weight makes the result missing; with ``skip_null`` such rows are left out.
     """
     product = f"CAST({c} AS DOUBLE) * {weight}"
-    mean = f"try_divide(sum({product}), sum(CASE WHEN {c} IS NOT NULL THEN {weight} END))"
-    return mean if skip_null else f"CASE WHEN count({product}) = {ROWS} THEN {mean} END"
+    # if nothing may be missing, all columns of a block share the sum and the count of their weights
+    weights = f"CASE WHEN {c} IS NOT NULL THEN {weight} END" if skip_null else weight
+    mean = f"try_divide(sum({product}), sum({weights}))"
+    return mean if skip_null else f"CASE WHEN count({c}) = {ROWS} AND count({weight}) = {ROWS} THEN {mean} END"
 
 
 def recency_weight(months: str) -> str:

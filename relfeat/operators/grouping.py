@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relfeat.functions.aggs import ROWS, Quantile, by_name
-from relfeat.functions.expr import columns, ratio, with_exprs
+from relfeat.functions.expr import columns, with_exprs
 from relfeat.operators.joins import all_known, as_list, attach_sized, keyed_join, sized
 from relfeat.operators.running import large_group_quantiles
 from relfeat.session import in_parallel
@@ -78,62 +78,28 @@ def all_numeric_mean(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 
 
 class Nested:
-    """Aggregates of a two-level grouping (customer, loan) -> customer, read from the rows once.
+    """Aggregates of a two-level grouping (customer, loan) -> customer.
 
-    Row statistics of the outer group are carried through the inner groups as sums and counts, so one scan serves
-    both levels. The rows shuffle by the finer key, where a customer with very many rows is spread over the loans.
+    The rows shuffle by the finer key, where a customer with very many rows is spread over the loans. Statistics that
+    need only the outer key belong in ``aggregate``: carrying them through the loans would cost more than a second
+    scan of the few columns used here.
     """
 
     def __init__(self) -> None:
         self.inner: dict[str, str] = {}
         self.outer: dict[str, str] = {}
 
-    def _inner(self, agg: str) -> str:
-        """The name under which an inner aggregate is carried; the same aggregate is carried once."""
-        for name, known in self.inner.items():
-            if known == agg:
-                return name
-        name = f"__i{len(self.inner)}"
-        self.inner[name] = agg
-        return name
-
-    def set(self, name: str, outer: str) -> Nested:
-        self.outer[name] = outer
-        return self
-
     def of_groups(self, name: str, inner: str, outer: str) -> Nested:
         """``outer``, a text with ``{}``, applied to the values that ``inner`` has per inner group."""
-        return self.set(name, outer.format(self._inner(inner)))
+        known = {agg: n for n, agg in self.inner.items()}
+        carried = known.get(inner, f"__i{len(self.inner)}")
+        self.inner[carried] = inner
+        self.outer[name] = outer.format(carried)
+        return self
 
     def group_count(self, name: str) -> Nested:
-        return self.set(name, ROWS)
-
-    def rows(self) -> str:
-        return f"sum({self._inner(ROWS)})"
-
-    def total(self, c: str) -> str:
-        """Group sum; 0 when everything is missing."""
-        return f"coalesce(sum({self._inner(f'sum({c})')}), 0)"
-
-    def count(self, c: str) -> str:
-        return f"sum({self._inner(f'count({c})')})"
-
-    def mean(self, c: str) -> str:
-        return ratio(f"sum({self._inner(f'sum({c})')})", self.count(c))
-
-    def min(self, c: str) -> str:
-        return f"min({self._inner(f'min({c})')})"
-
-    def max(self, c: str) -> str:
-        return f"max({self._inner(f'max({c})')})"
-
-    def weighted_mean(self, c: str, weight: str) -> str:
-        """Strict weighted mean: missing when any value or weight of the group is missing."""
-        product = f"CAST({c} AS DOUBLE) * {weight}"
-        top, n = f"sum({self._inner(f'sum({product})')})", f"sum({self._inner(f'count({product})')})"
-        # when nothing is missing, the weights of the known rows are all the weights
-        bottom = f"sum({self._inner(f'sum({weight})')})"
-        return f"CASE WHEN {n} = {self.rows()} THEN try_divide({top}, {bottom}) END"
+        self.outer[name] = ROWS
+        return self
 
     def run(self, df: DataFrame, outer_keys: str | Sequence[str], inner_keys: str | Sequence[str]) -> DataFrame:
         outer_keys, inner_keys = as_list(outer_keys), as_list(inner_keys)

@@ -10,11 +10,20 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from relfeat.functions.aggs import ROWS, by_name, count_if, count_not_zero, recency_weight, span, total
+from relfeat.functions.aggs import (
+    ROWS,
+    by_name,
+    count_if,
+    count_not_zero,
+    percent_if,
+    recency_weight,
+    span,
+    total,
+    weighted_mean,
+)
 from relfeat.functions.expr import (
     columns,
     fill,
-    flag,
     flag_equals,
     not_past,
     prefixed,
@@ -24,7 +33,7 @@ from relfeat.functions.expr import (
     trunc_int,
     with_exprs,
 )
-from relfeat.operators.encode import Vocabulary, distinct_of_vocabulary, fit_vocabulary, indicator_names, share_columns
+from relfeat.operators.encode import Vocabulary, distinct_of_vocabulary, fit_vocabulary, share_columns
 from relfeat.operators.grouping import Nested, aggregate
 from relfeat.operators.joins import check_distinct_names, left_join
 from relfeat.operators.ordered import last_group_aggregate, last_k_columns, last_known, late_flags, recent_rows, trend_columns
@@ -173,29 +182,32 @@ def previous_block(previous: DataFrame, vocabulary: Vocabulary | None = None) ->
     return prefixed(features, "prev_", [CUSTOMER])
 
 
-def _status_shares(n: Nested, vocabulary: Vocabulary) -> None:
-    c = "NAME_CONTRACT_STATUS"
-    for value, name in indicator_names(c, vocabulary[c], "status").items():
-        n.set(name, n.mean(flag_equals(c, value)))
+def _extremes(named: Mapping[str, str]) -> dict[str, str]:
+    return {f"{f.upper()}_{n}": f"{f}({c})" for n, c in named.items() for f in ("max", "min")}
+
+
+def _recency_means(cs: Sequence[str]) -> dict[str, str]:
+    return {f"WM_{c}": weighted_mean(c, recency_weight(MONTH)) for c in cs}
 
 
 def pos_block(pos: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
+    status = "NAME_CONTRACT_STATUS"
     if vocabulary is None:
-        vocabulary = fit_vocabulary(pos, ["NAME_CONTRACT_STATUS"])
-    weight = recency_weight(MONTH)
-    n = Nested()
-    n.set("row_count", n.count(LOAN))
-    for c in columns_by_type(pos, "numeric"):
-        if c not in (CUSTOMER, LOAN):
-            n.set(c, n.mean(c))
-    _status_shares(n, vocabulary)
-    n.set("RATIO_PAY_TOPAY", ratio(n.total("CNT_INSTALMENT"), n.total("CNT_INSTALMENT_FUTURE")))
-    n.of_groups("DPD_COUNT", count_not_zero("SK_DPD"), "avg({})")
-    for name, c in {"BAL": MONTH, "CNT": "CNT_INSTALMENT", "CNT_FUT": "CNT_INSTALMENT_FUTURE"}.items():
-        n.set(f"MIN_{name}", n.min(c)).set(f"MAX_{name}", n.max(c))
-    for c in ("CNT_INSTALMENT", "CNT_INSTALMENT_FUTURE", "SK_DPD", "SK_DPD_DEF"):
-        n.set(f"WM_{c}", n.weighted_mean(c, weight))
-    return prefixed(n.run(pos, CUSTOMER, LOAN), "pos_", [CUSTOMER])
+        vocabulary = fit_vocabulary(pos, [status])
+    features = aggregate(
+        pos,
+        CUSTOMER,
+        {
+            "row_count": f"count({LOAN})",
+            **_means(pos, [CUSTOMER, LOAN]),
+            **share_columns(status, vocabulary[status], "status"),
+            "RATIO_PAY_TOPAY": ratio(total("CNT_INSTALMENT"), total("CNT_INSTALMENT_FUTURE")),
+            **_extremes({"BAL": MONTH, "CNT": "CNT_INSTALMENT", "CNT_FUT": "CNT_INSTALMENT_FUTURE"}),
+            **_recency_means(["CNT_INSTALMENT", "CNT_INSTALMENT_FUTURE", "SK_DPD", "SK_DPD_DEF"]),
+        },
+    )
+    late = Nested().of_groups("DPD_COUNT", count_not_zero("SK_DPD"), "avg({})").run(pos, CUSTOMER, LOAN)
+    return prefixed(features.join(late, CUSTOMER, "left"), "pos_", [CUSTOMER])
 
 
 def pos_history_block(pos: DataFrame, **options) -> DataFrame:
@@ -249,35 +261,36 @@ DRAWN_COUNTS = [f"CNT_DRAWINGS{part}_CURRENT" for part in ("_ATM", "", "_OTHER",
 
 
 def card_block(card: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
+    status = "NAME_CONTRACT_STATUS"
     if vocabulary is None:
-        vocabulary = fit_vocabulary(card, ["NAME_CONTRACT_STATUS"])
-    weight = recency_weight(MONTH)
-    n = Nested()
-    n.set("row_count", n.count(LOAN))
-    for c in columns_by_type(card, "numeric"):
-        # the misspelt receivable column repeats AMT_TOTAL_RECEIVABLE and only keeps its extremes and weighted mean
-        if c not in (CUSTOMER, LOAN, "AMT_RECIVABLE"):
-            n.set(c, n.mean(c))
-    _status_shares(n, vocabulary)
-    n.group_count("__loans")
-    n.of_groups("__instalments", "max(CNT_INSTALMENT_MATURE_CUM)", "coalesce(sum({}), 0)")
-    n.of_groups("DPD_COUNT", count_not_zero("SK_DPD"), "avg({})")
-    missed = n.total(flag("AMT_PAYMENT_CURRENT < AMT_INST_MIN_REGULARITY"))
-    n.set("PERCENTAGE_MISSED_PAYMENTS", ratio(f"100 * {missed}", n.rows()))
-    amounts, counts = [n.total(c) for c in DRAWN_AMOUNTS], [n.total(c) for c in DRAWN_COUNTS]
-    drawn, balance = "(" + " + ".join(amounts) + ")", n.total("AMT_BALANCE")
-    n.set("CASH_CARD_RATIO", f"100 * {ratio(amounts[0], amounts[1])}")
-    n.set("DRAWINGS_RATIO", f"100 * {ratio(amounts[1], counts[1])}")
-    n.set("BALANCE_DRAWINGS_RATIO", ratio(balance, drawn))
-    n.set("BALANCE_DRAWINGS_DIFF", trunc_int(f"{balance} - {drawn}", "BIGINT"))
-    n.set("sum_drawings_cnt", f"CAST({' + '.join(counts)} AS DOUBLE)")
-    n.set("R_BAD_DEBTS", f"{n.total('AMT_TOTAL_RECEIVABLE')} - {n.total('AMT_RECEIVABLE_PRINCIPAL')}")
-    for name, c in CARD_SPREAD.items():
-        n.set(f"MAX_{name}", n.max(c)).set(f"MIN_{name}", n.min(c))
-    for c in CARD_WEIGHTED:
-        n.set(f"WM_{c}", n.weighted_mean(c, weight))
+        vocabulary = fit_vocabulary(card, [status])
+    amounts, counts = [total(c) for c in DRAWN_AMOUNTS], [total(c) for c in DRAWN_COUNTS]
+    drawn, balance = "(" + " + ".join(amounts) + ")", total("AMT_BALANCE")
+    features = aggregate(
+        card,
+        CUSTOMER,
+        {
+            "row_count": f"count({LOAN})",
+            # the misspelt receivable column repeats AMT_TOTAL_RECEIVABLE: only its extremes and weighted mean are kept
+            **_means(card, [CUSTOMER, LOAN, "AMT_RECIVABLE"]),
+            **share_columns(status, vocabulary[status], "status"),
+            "PERCENTAGE_MISSED_PAYMENTS": percent_if("AMT_PAYMENT_CURRENT < AMT_INST_MIN_REGULARITY"),
+            "CASH_CARD_RATIO": f"100 * {ratio(amounts[0], amounts[1])}",
+            "DRAWINGS_RATIO": f"100 * {ratio(amounts[1], counts[1])}",
+            "BALANCE_DRAWINGS_RATIO": ratio(balance, drawn),
+            "BALANCE_DRAWINGS_DIFF": trunc_int(f"{balance} - {drawn}", "BIGINT"),
+            "sum_drawings_cnt": f"CAST({' + '.join(counts)} AS DOUBLE)",
+            "R_BAD_DEBTS": f"{total('AMT_TOTAL_RECEIVABLE')} - {total('AMT_RECEIVABLE_PRINCIPAL')}",
+            **_extremes(CARD_SPREAD),
+            **_recency_means(CARD_WEIGHTED),
+        },
+    )
+    loans = Nested().group_count("__loans")
+    loans.of_groups("__instalments", "max(CNT_INSTALMENT_MATURE_CUM)", "coalesce(sum({}), 0)")
+    loans.of_groups("DPD_COUNT", count_not_zero("SK_DPD"), "avg({})")
     per_loan = {"INSTALLMENTS_PER_LOAN": trunc_int(ratio("__instalments", "__loans"))}
-    return prefixed(_then(n.run(card, CUSTOMER, LOAN), per_loan), "cc_bal_", [CUSTOMER])
+    loan_features = _then(loans.run(card, CUSTOMER, LOAN), per_loan)
+    return prefixed(features.join(loan_features, CUSTOMER, "left"), "cc_bal_", [CUSTOMER])
 
 
 INSTALMENT_NUMBERS = [
