@@ -1,7 +1,7 @@
 """Time the headline queries: one JSON line.
 
-BENCH_SF_DIR names the folder of tables, BENCH_CPUS the local cores. With BENCH_NAIVE=1 the previous-application and
-card blocks are also timed the way a notebook computes them, one aggregate and one join back per feature.
+BENCH_SF_DIR names the folder of tables, BENCH_CPUS the local cores. With BENCH_NAIVE=1 the card block is
+also timed the way a notebook computes it: one aggregate and one join back per feature.
 """
 
 from __future__ import annotations
@@ -20,10 +20,9 @@ from relfeat.session import build_session
 
 HEADLINE = [
     "customer_order_mart", "agg_all_numeric_mean", "agg_median", "agg_median_by_flag", "agg_nunique", "agg_two_level",
-    "weighted_mean_recency", "broadcast_back", "group_recipe", "group_deviation", "onehot_share", "lag_diff",
-    "last_k_aggregate", "last_group_aggregate", "trend_slope", "impute_group_median", "label_encode", "missing_profile",
-    "correlation_matrix", "auc_by_fold", "roc_curve", "average_precision", "block_bureau", "block_previous", "block_pos",
-    "block_pos_history", "block_card", "block_instalments", "block_application", "feature_mart",
+    "weighted_mean_recency", "broadcast_back", "group_deviation", "lag_diff", "last_k_aggregate", "last_group_aggregate",
+    "trend_slope", "impute_group_median", "correlation_matrix", "auc_by_fold", "block_bureau", "block_previous",
+    "block_pos", "block_pos_history", "block_card", "block_instalments", "block_application", "feature_mart",
 ]
 
 
@@ -70,6 +69,7 @@ def main() -> None:
     if os.environ.get("BENCH_NAIVE"):
         t = Tables(spark, folder)
         report["comparison"] = {"card_fused": timed(lambda: fused_card(t)), "card_naive": timed(lambda: naive_card(t))}
+    spark.stop()
     print(json.dumps(report))
 
 
