@@ -75,18 +75,18 @@ def _moments(value: str, name: str) -> str:
         f"""SELECT o_custkey, CASE WHEN m2 > 1e-9 THEN {value} END AS {name} FROM (SELECT o_custkey, r2 - m1 * m1 AS m2,
         r3 - 3 * m1 * r2 + 2 * m1 * m1 * m1 AS m3, r4 - 4 * m1 * r3 + 6 * m1 * m1 * r2 - 3 * m1 * m1 * m1 * m1 AS m4
         FROM (SELECT o_custkey, {_M.format(c='CAST(dpd AS DOUBLE)')} FROM {LINES} GROUP BY 1))""",
-        6,
+        8,
     )
 
 
 @query("agg_skew", _moments("m3 / pow(m2, 1.5)", "dpd_skew"))
 def agg_skew(t: Tables):
-    return rounded(aggregate_named(t.lines, KEY, [("dpd", "skew")]))
+    return rounded(aggregate_named(t.lines, KEY, [("dpd", "skew")]), 8)
 
 
 @query("agg_kurt", _moments("m4 / (m2 * m2) - 3", "dpd_kurt"))
 def agg_kurt(t: Tables):
-    return rounded(aggregate_named(t.lines, KEY, [("dpd", "kurt")]))
+    return rounded(aggregate_named(t.lines, KEY, [("dpd", "kurt")]), 8)
 
 
 @query("agg_iqr", _per_customer("quantile_cont(l_quantity, 0.75) - quantile_cont(l_quantity, 0.25) AS l_quantity_iqr"))

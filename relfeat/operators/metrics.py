@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from relfeat.operators.joins import attach
 from relfeat.operators.running import BUCKETS, running_totals
 
 # Fold number under which the metrics over all rows are reported.
@@ -38,8 +39,7 @@ def _accumulated(df, label, score, fold, descending, buckets) -> tuple[DataFrame
 
 
 def _with_totals(running: DataFrame, totals: DataFrame) -> DataFrame:
-    # one row per fold, bounded by the number of folds
-    return running.join(F.broadcast(totals), "fold")
+    return attach(running, totals, "fold")
 
 
 def auc_by_fold(df: DataFrame, label: str, score: str, fold: str | None = None, buckets: int = BUCKETS) -> DataFrame:

@@ -20,6 +20,9 @@ FOLDS = 5
 SEED = 546789
 # fixed value: stands for "missing" in a feature vector, because the trees take no missing values
 MISSING = -999.0
+# fixed values: share of rows and of columns that each tree looks at
+ROW_SHARE = 0.8715623
+COLUMN_SHARE = 0.9497036
 
 
 def kfold_column(key: str, k: int = FOLDS, seed: int = SEED) -> Column:
@@ -85,7 +88,7 @@ def cross_validate(
     max_iter: int = 20,
     max_depth: int = 5,
     step_size: float = 0.1,
-    subsampling_rate: float = 0.8715623,
+    subsampling_rate: float = ROW_SHARE,
     min_instances: int = 1,
 ) -> CrossValidation:
     """Fit k boosted-tree models, each stopped early on its held-out fold, and score every row out of fold.
@@ -106,7 +109,7 @@ def cross_validate(
             stepSize=step_size,
             subsamplingRate=subsampling_rate,
             minInstancesPerNode=min_instances,
-            featureSubsetStrategy="0.9497036",
+            featureSubsetStrategy=str(COLUMN_SHARE),
             seed=seed,
         )
         result.models.append(gbt.fit(flagged))

@@ -83,8 +83,23 @@ INTERACTIONS = [
     (JOB, "Low-skill Laborers", MARRIAGE, "Single / not married"),
 ]
 
-# fixed values: document flags judged redundant once their sum is known
-REDUNDANT_DOCUMENTS = [f"FLAG_DOCUMENT_{i}" for i in (2, 4, 7, 10, 12, 14, 15, 17, 19, 20, 21)]
+# fixed values: document flags judged redundant once their sum is known, and columns that repeat others
+REDUNDANT_COLUMNS = [
+    "FLAG_DOCUMENT_2", "FLAG_DOCUMENT_4", "FLAG_DOCUMENT_7", "FLAG_DOCUMENT_10", "FLAG_DOCUMENT_12", "FLAG_DOCUMENT_14",
+    "FLAG_DOCUMENT_15", "FLAG_DOCUMENT_17", "FLAG_DOCUMENT_19", "FLAG_DOCUMENT_20", "FLAG_DOCUMENT_21", "FLAG_MOBIL",
+    "FLAG_CONT_MOBILE", "FLAG_EMAIL", "LIVINGAREA_AVG", "LIVINGAPARTMENTS_AVG", "ELEVATORS_AVG", "FLOORSMIN_AVG",
+    "LIVINGAPARTMENTS_MODE", "APARTMENTS_MODE", "BASEMENTAREA_MODE", "ELEVATORS_MODE", "YEARS_BEGINEXPLUATATION_MODE",
+    "YEARS_BUILD_MODE", "COMMONAREA_MODE", "ENTRANCES_MODE", "FLOORSMAX_MODE", "FLOORSMIN_MODE", "LANDAREA_MODE",
+    "WALLSMATERIAL_MODE", "EMERGENCYSTATE_MODE", "ELEVATORS_MEDI", "ENTRANCES_MEDI", "FLOORSMAX_MEDI", "FLOORSMIN_MEDI",
+    "LANDAREA_MEDI", "LIVINGAPARTMENTS_MEDI", "LIVINGAREA_MEDI", "NONLIVINGAPARTMENTS_MEDI", "NONLIVINGAREA_MEDI",
+    "HOUSETYPE_MODE", "APARTMENTS_MEDI", "BASEMENTAREA_MEDI", "YEARS_BEGINEXPLUATATION_MEDI", "YEARS_BUILD_MEDI",
+    "COMMONAREA_MEDI",
+]
+
+
+def drop_redundant(app: DataFrame) -> DataFrame:
+    """Drop the columns judged redundant; call it after the features that are computed from them."""
+    return app.drop(*REDUNDANT_COLUMNS)
 
 
 def interaction_name(a: str, x: str, b: str, y: str) -> str:

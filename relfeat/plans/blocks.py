@@ -244,6 +244,7 @@ def pos_history_block(pos: DataFrame, **options) -> DataFrame:
     return prefixed(features, "pos_cash_", [CUSTOMER])
 
 
+# fixed values: card columns with a recency-weighted mean, and those with a maximum and a minimum
 CARD_WEIGHTED = [
     "AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL", "SK_DPD", "SK_DPD_DEF", "AMT_DRAWINGS_ATM_CURRENT", "AMT_DRAWINGS_CURRENT",
     "AMT_DRAWINGS_OTHER_CURRENT", "AMT_DRAWINGS_POS_CURRENT", "AMT_INST_MIN_REGULARITY", "AMT_PAYMENT_CURRENT",

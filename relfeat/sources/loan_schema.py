@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# fixed values: documents 2 to 21 are numbered in the source tables
+# fixed values: column names of the source tables; the documents are numbered 2 to 21
 DOCUMENTS = [f"FLAG_DOCUMENT_{i}" for i in range(2, 22)]
 ENQUIRIES = [f"AMT_REQ_CREDIT_BUREAU_{p}" for p in ("HOUR", "DAY", "WEEK", "MON", "QRT", "YEAR")]
 SCORES = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
