@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from relfeat.llm.byte_bpe import encode_and_decode
+from relfeat.llm.decontaminate import decontaminate
 from relfeat.llm.exact_dedup import exact_dedup
 from relfeat.llm.sharding import kd_shards
+from relfeat.llm.token_ids import token_id_round_trip
 from relfeat.llm.url_filter import url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +42,46 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_token_ids")
+def op1_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return token_id_round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query(
+    "op2_decontamination",
+    r"""
+    WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+    item_words AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark
+        WHERE item_id IS NOT NULL AND text IS NOT NULL),
+    win AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, list_slice(w, i, i + least(len(w), 13) - 1) AS v
+        FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM item_words WHERE len(w) > 0)),
+    sizes AS (SELECT DISTINCT n FROM win),
+    spots AS (SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS v
+        FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM words, sizes WHERE len(w) >= n)),
+    found AS (SELECT doc_id, item_id, i, n FROM spots JOIN win USING (n, v)),
+    hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found)
+        GROUP BY 1),
+    named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY 1)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(names, '')) AS items_sha256,
+        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
+)
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_key")
+
+
+@query("op3_byte_bpe")
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = encode_and_decode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN, with_ids=False)
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 @query("op5_sharding")
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return kd_shards(table(spark, folder, "documents"), shards=8)
