@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from relfeat.llm.byte_bpe import encode_and_decode
 from relfeat.llm.decontaminate import decontaminate
 from relfeat.llm.exact_dedup import exact_dedup
+from relfeat.llm.near_dedup import near_dedup
 from relfeat.llm.sharding import kd_shards
 from relfeat.llm.token_ids import token_id_round_trip
 from relfeat.llm.url_filter import url_filter
@@ -135,6 +136,11 @@ def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("bad_rate", 6).alias("bad_rate"))
 
 
+@query("op7_minhash_near_dedup")
+def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup(table(spark, folder, "documents"), words_each=3, similar=(85, 100)).drop("text_key")
+
+
 @query(
     "op10_exact_dedup",
     """
