@@ -15,6 +15,7 @@ from relfeat.llm.near_dedup import near_dedup
 from relfeat.llm.sharding import kd_shards
 from relfeat.llm.token_ids import token_id_round_trip
 from relfeat.llm.url_filter import url_filter
+from relfeat.llm.warc import warc_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,6 +84,21 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query(
+    "op4_warc",
+    """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+    d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest FROM p),
+    g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS holder FROM d)
+    SELECT page_id, payload_bytes, payload_digest,
+      CASE WHEN payload_bytes >= 1000 AND page_id < holder THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN payload_bytes >= 1000 AND page_id < holder THEN holder END AS refers_to FROM g
+    """,
+)
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_round_trip(table(spark, folder, "pages"), min_bytes=1000)
+
+
 @query("op5_sharding")
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return kd_shards(table(spark, folder, "documents"), shards=8)
