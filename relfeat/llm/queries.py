@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from relfeat.llm.byte_bpe import encode_and_decode
 from relfeat.llm.decontaminate import decontaminate
 from relfeat.llm.exact_dedup import exact_dedup
+from relfeat.llm.html_text import main_text
 from relfeat.llm.near_dedup import near_dedup
 from relfeat.llm.sharding import kd_shards
 from relfeat.llm.token_ids import token_id_round_trip
@@ -157,6 +158,11 @@ def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup(table(spark, folder, "documents"), words_each=3, similar=(85, 100)).drop("text_key")
 
 
+@query("op8_html_extraction")
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(table(spark, folder, "pages"))
+
+
 @query(
     "op10_exact_dedup",
     """
