@@ -8,13 +8,17 @@ does not need may have any names, those of its own columns included.
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from relfeat.llm.files import create, qualified
 from relfeat.session import fresh_dir
 
 # A table is broadcast only after its rows were counted and found to be at most this many (narrow rows of ids).
@@ -33,8 +37,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, through the shared folder."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).parent.parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    where = qualified(spark, f"{fresh_dir(spark, 'package')}/relfeat-package.zip")
+    with create(where) as f:
+        f.write(packed.getvalue())
+    sc.addPyFile(where)
+    _shipped.add(sc.applicationId)
+
+
 def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
-    """Bound the Arrow batches by rows, since a row may be long; a smaller setting of the session stays."""
+    """Before Python tasks: send the package, and bound the Arrow batches by rows, since a row may be long; a smaller
+    setting of the session stays."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     set_to = int(spark.conf.get(key))
     if set_to <= 0 or set_to > rows:

@@ -15,6 +15,7 @@ from relfeat.llm.html_text import main_text
 from relfeat.llm.near_dedup import near_dedup
 from relfeat.llm.sharding import kd_shards
 from relfeat.llm.token_ids import token_id_round_trip
+from relfeat.llm.toxicity import toxicity
 from relfeat.llm.url_filter import url_filter
 from relfeat.llm.warc import warc_round_trip
 
@@ -163,6 +164,11 @@ def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return main_text(table(spark, folder, "pages"))
 
 
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), threshold=0.3).drop("text_key")
+
+
 @query(
     "op10_exact_dedup",
     """
