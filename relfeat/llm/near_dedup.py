@@ -8,9 +8,12 @@ similarity s misses all tables with probability at most 2 * (1 - s**rows)**colle
 Steps, none of which puts a group into one task or lists all pairs of a group:
 1. one signature per document; equal sets become one class, named by its smallest id;
 2. a short key that only one class has can be in no shared table: only shared short keys are combined;
-3. buckets with the same members count once; members are compared with a few pivots of their bucket per round, pairs
-   that are in one component already not at all, until every pair of a bucket was compared or is connected;
-4. verified links join components by alternating large and small stars, so that any two linked texts share one.
+3. a shingle that no other candidate has counts against every pair: with ``m`` the smaller number of shared shingles
+   of two sets, their similarity is at most m / (sum of sizes - m). This rules out most pairs of edited copies that
+   are near but not near enough, without looking at both sets;
+4. buckets with the same members count once; members are compared with some pivots of their bucket per round, pairs
+   that are in one component already not at all, until every pair of a bucket was compared, ruled out or is connected;
+5. verified links join components by alternating large and small stars, so that any two linked texts share one.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ from relfeat.llm.common import Words, bounded, byte_class, keyed, mixed, shingle
 # anything but ASCII white space
 WORD = ~byte_class((9, 13), (32, 32))
 SIGNATURE = "doc_id LONG, text_key LONG, n LONG, digest BINARY, a ARRAY<LONG>, b ARRAY<LONG>"
-PIVOTS = 8
+# pivots of a bucket in the first rounds, which connect most, and in later rounds, which compare all that is left
+FEW, MANY = 4, 256
 
 
 def shingle_sets(column: pa.Array, words_each: int) -> list[np.ndarray]:
@@ -117,6 +121,7 @@ def near_dedup(
     members = shared_buckets(one_each.select("class_id", "n", "a", "b"))
     ids = bounded(stored(members.select(F.col("id").alias("doc_id")).distinct(), "candidates"))
     sets = stored(texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(full_sets(words_each), "id LONG, shingles ARRAY<LONG>"), "sets")
+    members = stored(prunable(members, sets, similar), "able-members")
     found = components(members, sets, similar)
     return (
         signed.join(classes, "digest", "left")
@@ -142,81 +147,73 @@ def shared_buckets(classes: DataFrame) -> DataFrame:
     return stored(tables.join(chosen, "key"), "members")
 
 
-def components(members: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """``id, component`` of every member of a bucket, comparing pivots with the rest, round by round."""
-    labels = stored(members.select("id").distinct().withColumn("component", F.col("id")), "labels")
-    compared: list[DataFrame] = []
-    links = stored(similar_pairs(first_pairs(members), sets, similar, compared), "links")
-    while True:
-        labels = relabel(labels, links)
-        pairs = open_pairs(members, labels, compared)
-        if pairs is None:
-            return labels
-        links = stored(similar_pairs(pairs, sets, similar, compared), "links")
-
+def prunable(members: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """``key, id, n, c``: ``c`` shingles that another candidate has too; ids that cannot be linked at all are left out."""
+    num, den = similar
+    owners = sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id"))
+    alone = stored(owners.where("k = 1").groupBy("id").agg(F.count(F.lit(1)).alias("u")), "own-shingles")
+    counted = members.join(alone, "id", "left").select("key", "id", "n", F.expr("n - coalesce(u, 0)").alias("c"))
+    return counted.where(f"{den} * c >= {num} * n")
 
-def first_pairs(members: DataFrame) -> DataFrame:
-    """Each id with the smallest id that heads one of its buckets: most groups connect by these alone."""
-    heads = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"))
-    best = members.join(stored(heads, "heads"), "key").groupBy("id", "n").agg(F.min("head").alias("head"))
-    return best.where("head.id < id").select(F.col("head.id").alias("x"), F.col("head.n").alias("nx"), F.col("id").alias("y"), F.col("n").alias("ny"))
 
+def able(similar: tuple[int, int], n: str = "n", c: str = "c", pn: str = "pn", pc: str = "pc") -> str:
+    """Whether sizes and shared shingles allow a pair to be similar."""
+    num, den = similar
+    return f"{den} * least({c}, {pc}) >= {num} * ({n} + {pn} - least({c}, {pc}))"
 
-def open_pairs(members: DataFrame, labels: DataFrame, compared: list[DataFrame]) -> DataFrame | None:
-    """Pairs of a bucket that are neither connected nor compared, of up to ``PIVOTS`` pivots; None when all are done.
 
-    Pivots are ids outside the bucket's largest component, chosen by hashes: a bucket that is one component with few
-    others costs its size times the others, and every pair that is not compared is left for the next round.
+def components(members: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """``id, component`` of every member of a bucket, comparing pivots with the rest, round by round."""
+    labels = stored(members.select("id").distinct().withColumn("component", F.col("id")), "labels")
+    heads = stored(members.groupBy("key").agg(F.min(F.struct("id", "n", "c")).alias("head")), "heads")
+    nearest = members.join(heads, "key").where("id > head.id").where(able(similar, pn="head.n", pc="head.c"))
+    compared = stored(nearest.groupBy("id").agg(F.min("head.id").alias("x")).select("x", F.col("id").alias("y")), "pairs")
+    labels = relabel(labels, stored(similar_pairs(compared, sets, similar), "links"))
+    done = [compared]
+    for seed in range(2):
+        outside, _ = outsiders(members, labels, FEW, seed)
+        labels = compare(members, labels, outside.where("turn = 0"), sets, similar, done)
+    outside, turns = outsiders(members, labels, MANY, 0)
+    for turn in range(turns):
+        labels = compare(members, labels, outside.where(f"turn = {turn}"), sets, similar, done)
+    return labels
+
+
+def outsiders(members: DataFrame, labels: DataFrame, at_once: int, seed: int) -> tuple[DataFrame, int]:
+    """The members of each bucket beyond its largest component, about ``at_once`` of them per turn; number of turns.
+
+    When each has been a pivot, all pairs of the bucket are settled: the rest of it is one component.
     """
-    known = members.join(labels, "id")
-    sides = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    known = stored(known.join(stored(sides.where("low < high").select("key"), "open-keys"), "key"), "open-members")
-    if known.isEmpty():
-        return None
+    known = stored(members.join(labels, "id"), "labelled-members")
     sizes = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("own"))
     top = sizes.groupBy("key").agg(F.max(F.struct("own", "component")).alias("top"), F.sum("own").alias("all"))
-    top = stored(top.select("key", F.col("top.component").alias("largest"), "all"), "largest")
-    outside = known.join(top, "key").where("component <> largest")
-    done = seen(compared)
-    todo = stored(outside.join(finished(known, outside, stored(sizes, "sizes"), done), ["key", "id"], "left_anti"), "outside")
-    if todo.isEmpty():
-        return None
-    salts = [F.min(F.struct(F.xxhash64("id", F.lit(i)), "id", "n", "component")).alias(f"p{i}") for i in range(PIVOTS)]
-    chosen = todo.groupBy("key").agg(*salts)
-    chosen = chosen.select("key", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p"))
-    pivots = chosen.select("key", F.col("p.id").alias("pid"), F.col("p.n").alias("pn"), F.col("p.component").alias("pc"))
-    first = F.col("id") < F.col("pid")
-    pairs = known.join(stored(pivots.distinct(), "pivots"), "key").where("component <> pc").select(
-        F.least("id", "pid").alias("x"), F.when(first, F.col("n")).otherwise(F.col("pn")).alias("nx"),
-        F.greatest("id", "pid").alias("y"), F.when(first, F.col("pn")).otherwise(F.col("n")).alias("ny"),
-    )
-    return pairs.distinct().join(done, ["x", "y"], "left_anti")
-
+    top = stored(top.where("top.own < all").select("key", F.col("top.component").alias("largest"), F.expr("all - top.own AS others")), "largest")
+    turn = F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("others") / at_once)).alias("turn")
+    outside = known.join(top, "key").where("component <> largest").select("key", F.col("id").alias("pid"), F.col("n").alias("pn"), F.col("c").alias("pc"), turn)
+    outside = stored(outside, "outsiders")
+    return outside, (outside.agg(F.max("turn")).first()[0] if not outside.isEmpty() else -1) + 1
 
-def seen(compared: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, compared)
 
-
-def finished(known: DataFrame, outside: DataFrame, sizes: DataFrame, done: DataFrame) -> DataFrame:
-    """``key, id`` outside the largest component that met, in comparisons, all of their bucket beyond their component."""
-    both = done.select(F.col("x").alias("id"), F.col("y").alias("other"))
-    both = both.unionByName(both.select(F.col("other").alias("id"), F.col("id").alias("other"))).distinct()
-    here = outside.select("key", "id", "component", "all")
-    others = known.select("key", F.col("id").alias("other"), F.col("component").alias("oc"))
-    met = here.join(stored(both, "compared"), "id").join(others, ["key", "other"]).where("component <> oc")
-    met = met.groupBy("key", "id", "component", "all").agg(F.count(F.lit(1)).alias("met"))
-    return met.join(sizes, ["key", "component"]).where("met >= all - own").select("key", "id")
-
-
-def similar_pairs(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int], compared: list[DataFrame]) -> DataFrame:
-    """The pairs ``x < y`` whose sets are similar; remembers what was compared. Sizes alone rule many out."""
+def compare(members: DataFrame, labels: DataFrame, pivots: DataFrame, sets: DataFrame, similar: tuple[int, int], done: list[DataFrame]) -> DataFrame:
+    """Verify the pivots against all of their buckets that they may be linked and are not yet connected with."""
+    if pivots.isEmpty():
+        return labels
+    known = stored(members.join(labels, "id"), "labelled-members")
+    of_pivot = labels.toDF("pid", "pcomponent")
+    pivots = stored(pivots.join(of_pivot, "pid"), "pivots")
+    pairs = known.join(pivots, "key").where("component <> pcomponent").where(able(similar))
+    pairs = pairs.select(F.least("id", "pid").alias("x"), F.greatest("id", "pid").alias("y")).distinct()
+    pairs = stored(pairs.join(reduce(DataFrame.unionByName, done), ["x", "y"], "left_anti"), "pairs")
+    done.append(pairs)
+    return relabel(labels, stored(similar_pairs(pairs, sets, similar), "links"))
+
+
+def similar_pairs(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """The pairs ``x < y`` whose full sets are similar."""
     num, den = similar
-    pairs = stored(pairs.where("x < y"), "pairs")
-    compared.append(pairs.select("x", "y"))
-    able = pairs.where(f"{den} * least(nx, ny) >= {num} * greatest(nx, ny)").select("x", "y")
     left = sets.select(F.col("id").alias("x"), F.col("shingles").alias("sx"))
     right = sets.select(F.col("id").alias("y"), F.col("shingles").alias("sy"))
-    both = able.join(left, "x").join(right, "y").select("x", "y", F.size("sx").alias("nx"), F.size("sy").alias("ny"), F.size(F.array_intersect("sx", "sy")).alias("common"))
+    both = pairs.join(left, "x").join(right, "y").select("x", "y", F.size("sx").alias("nx"), F.size("sy").alias("ny"), F.size(F.array_intersect("sx", "sy")).alias("common"))
     return both.where(f"CAST({den} AS BIGINT) * common >= {num} * (nx + ny - common)").select("x", "y").distinct()
 
 
