@@ -32,8 +32,11 @@ from relfeat.llm.common import Words, bounded, byte_class, keyed, mixed, shingle
 # anything but ASCII white space
 WORD = ~byte_class((9, 13), (32, 32))
 SIGNATURE = "doc_id LONG, text_key LONG, n LONG, digest BINARY, a ARRAY<LONG>, b ARRAY<LONG>"
-# pivots of a bucket in the first rounds, which connect most, and in later rounds, which compare all that is left
-FEW, MANY = 4, 256
+PEELS = 2
+# rounds in which each id is compared with one central member of a larger component: they connect most
+CENTRAL_ROUNDS = 3
+# pivots of a bucket per later round; these compare all that is left
+PIVOTS = 256
 
 
 def shingle_sets(column: pa.Array, words_each: int) -> list[np.ndarray]:
@@ -121,12 +124,13 @@ def near_dedup(
     members = shared_buckets(one_each.select("class_id", "n", "a", "b"))
     ids = bounded(stored(members.select(F.col("id").alias("doc_id")).distinct(), "candidates"))
     sets = stored(texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(full_sets(words_each), "id LONG, shingles ARRAY<LONG>"), "sets")
-    members = stored(prunable(members, sets, similar), "able-members")
+    for _ in range(PEELS):  # who is ruled out shares nothing any more
+        members = stored(prunable(members.select("key", "id", "n"), sets, similar), "able-members")
     found = components(members, sets, similar)
     return (
         signed.join(classes, "digest", "left")
         .join(found.withColumnRenamed("id", "class_id"), "class_id", "left")
-        .withColumn("component_id", F.coalesce("component", "class_id", "doc_id"))
+        .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class_id", "doc_id")))
         .select("doc_id", "text_key", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
     )
 
@@ -150,7 +154,8 @@ def shared_buckets(classes: DataFrame) -> DataFrame:
 def prunable(members: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """``key, id, n, c``: ``c`` shingles that another candidate has too; ids that cannot be linked at all are left out."""
     num, den = similar
-    owners = sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id"))
+    alive = members.select("id").distinct()
+    owners = sets.join(alive, "id", "left_semi").select("id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id"))
     alone = stored(owners.where("k = 1").groupBy("id").agg(F.count(F.lit(1)).alias("u")), "own-shingles")
     counted = members.join(alone, "id", "left").select("key", "id", "n", F.expr("n - coalesce(u, 0)").alias("c"))
     return counted.where(f"{den} * c >= {num} * n")
@@ -163,49 +168,86 @@ def able(similar: tuple[int, int], n: str = "n", c: str = "c", pn: str = "pn", p
 
 
 def components(members: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """``id, component`` of every member of a bucket, comparing pivots with the rest, round by round."""
+    """``id, component`` of every member of a bucket: a few rounds of one comparison per id, then all that is left."""
     labels = stored(members.select("id").distinct().withColumn("component", F.col("id")), "labels")
-    heads = stored(members.groupBy("key").agg(F.min(F.struct("id", "n", "c")).alias("head")), "heads")
-    nearest = members.join(heads, "key").where("id > head.id").where(able(similar, pn="head.n", pc="head.c"))
-    compared = stored(nearest.groupBy("id").agg(F.min("head.id").alias("x")).select("x", F.col("id").alias("y")), "pairs")
-    labels = relabel(labels, stored(similar_pairs(compared, sets, similar), "links"))
-    done = [compared]
-    for seed in range(2):
-        outside, _ = outsiders(members, labels, FEW, seed)
-        labels = compare(members, labels, outside.where("turn = 0"), sets, similar, done)
-    outside, turns = outsiders(members, labels, MANY, 0)
+    done: list[DataFrame] = []
+    for seed in range(CENTRAL_ROUNDS):
+        pairs = central_pairs(members, labels, similar, seed)
+        labels = relabel(labels, stored(similar_pairs(fresh(pairs, done), sets, similar), "links"))
+    outside, turns = outsiders(members, labels, sets)
+    if turns:
+        # every id with its buckets, few by construction: a pair is taken up in the first bucket that it shares
+        open_keys = members.join(stored(outside.select("key").distinct(), "open-keys"), "key")
+        buckets = open_keys.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
+        members = stored(open_keys.join(stored(buckets, "buckets-of-ids"), "id"), "open-members")
+        outside = stored(outside.join(members.select("key", F.col("id").alias("pid"), F.col("keys").alias("pkeys")), ["key", "pid"]), "open-outsiders")
     for turn in range(turns):
-        labels = compare(members, labels, outside.where(f"turn = {turn}"), sets, similar, done)
+        pairs = pivot_pairs(members, labels, outside.where(f"turn = {turn}"), similar)
+        labels = relabel(labels, stored(similar_pairs(fresh(pairs, done), sets, similar), "links"))
     return labels
 
 
-def outsiders(members: DataFrame, labels: DataFrame, at_once: int, seed: int) -> tuple[DataFrame, int]:
-    """The members of each bucket beyond its largest component, about ``at_once`` of them per turn; number of turns.
+def fresh(pairs: DataFrame, done: list[DataFrame]) -> DataFrame:
+    """The distinct pairs that were not compared before; remembers them."""
+    pairs = pairs.distinct()
+    pairs = stored(pairs.join(reduce(DataFrame.unionByName, done), ["x", "y"], "left_anti") if done else pairs, "pairs")
+    done.append(pairs)
+    return pairs
 
-    When each has been a pivot, all pairs of the bucket are settled: the rest of it is one component.
-    """
+
+def bucket_sizes(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with their component; the largest component of each bucket that has several, and the number of others."""
     known = stored(members.join(labels, "id"), "labelled-members")
     sizes = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("own"))
     top = sizes.groupBy("key").agg(F.max(F.struct("own", "component")).alias("top"), F.sum("own").alias("all"))
-    top = stored(top.where("top.own < all").select("key", F.col("top.component").alias("largest"), F.expr("all - top.own AS others")), "largest")
-    turn = F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("others") / at_once)).alias("turn")
-    outside = known.join(top, "key").where("component <> largest").select("key", F.col("id").alias("pid"), F.col("n").alias("pn"), F.col("c").alias("pc"), turn)
-    outside = stored(outside, "outsiders")
-    return outside, (outside.agg(F.max("turn")).first()[0] if not outside.isEmpty() else -1) + 1
+    top = top.where("top.own < all").select("key", F.col("top.component").alias("largest"), F.expr("all - top.own AS others"))
+    return known, stored(top, "largest")
 
 
-def compare(members: DataFrame, labels: DataFrame, pivots: DataFrame, sets: DataFrame, similar: tuple[int, int], done: list[DataFrame]) -> DataFrame:
-    """Verify the pivots against all of their buckets that they may be linked and are not yet connected with."""
-    if pivots.isEmpty():
-        return labels
+def central_pairs(members: DataFrame, labels: DataFrame, similar: tuple[int, int], seed: int) -> DataFrame:
+    """For each id beyond the largest component of a bucket one member of that component: of all its buckets the one
+    with the fewest shingles of its own, ties by hash. One row per member of a bucket, one pair per id."""
+    known, top = bucket_sizes(members, labels)
+    both = known.join(top, "key")
+    order = F.struct((F.col("n") - F.col("c")).alias("own"), F.xxhash64("id", F.lit(seed)).alias("h"), "id", "n", "c")
+    heads = stored(both.where("component = largest").groupBy("key").agg(F.min(order).alias("head")), "heads")
+    outside = both.where("component <> largest").join(heads, "key").where(able(similar, pn="head.n", pc="head.c"))
+    chosen = outside.groupBy("id").agg(F.min("head").alias("head"))
+    return chosen.select(F.least("id", "head.id").alias("x"), F.greatest("id", "head.id").alias("y"))
+
+
+def outsiders(members: DataFrame, labels: DataFrame, sets: DataFrame) -> tuple[DataFrame, int]:
+    """The members of each bucket beyond its largest component, about ``PIVOTS`` of them per turn; number of turns.
+
+    When each has been a pivot, all pairs of the bucket are settled: the rest of it is one component. ``held`` is how
+    many of a pivot's shingles the largest component has anywhere: no member of it can share more with the pivot.
+    """
+    known, top = bucket_sizes(members, labels)
+    turn = F.pmod(F.xxhash64("id"), F.ceil(F.col("others") / PIVOTS)).alias("turn")
+    outside = known.join(top, "key").where("component <> largest")
+    outside = stored(outside.select("key", F.col("id").alias("pid"), F.col("n").alias("pn"), F.col("c").alias("pc"), "largest", turn), "outsiders")
+    if outside.isEmpty():
+        return outside, 0
+    asked = stored(outside.select("pid", "largest").distinct(), "asked")
+    wanted = stored(asked.select("largest").distinct(), "asked-components")
+    inside = labels.withColumnRenamed("component", "largest").join(wanted, "largest")
+    held = stored(sets.join(inside, "id").select("largest", F.explode("shingles").alias("shingle")).distinct(), "component-shingles")
+    own = sets.withColumnRenamed("id", "pid").join(asked, "pid").select("pid", "largest", F.explode("shingles").alias("shingle"))
+    counts = stored(own.join(held, ["largest", "shingle"]).groupBy("pid", "largest").agg(F.count(F.lit(1)).alias("held")), "held")
+    outside = stored(outside.join(counts, ["pid", "largest"], "left").na.fill(0, ["held"]), "outsiders-held")
+    return outside, outside.agg(F.max("turn")).first()[0] + 1
+
+
+def pivot_pairs(members: DataFrame, labels: DataFrame, pivots: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """The pivots with all of their buckets that they may be linked with and are not connected with."""
     known = stored(members.join(labels, "id"), "labelled-members")
-    of_pivot = labels.toDF("pid", "pcomponent")
-    pivots = stored(pivots.join(of_pivot, "pid"), "pivots")
-    pairs = known.join(pivots, "key").where("component <> pcomponent").where(able(similar))
-    pairs = pairs.select(F.least("id", "pid").alias("x"), F.greatest("id", "pid").alias("y")).distinct()
-    pairs = stored(pairs.join(reduce(DataFrame.unionByName, done), ["x", "y"], "left_anti"), "pairs")
-    done.append(pairs)
-    return relabel(labels, stored(similar_pairs(pairs, sets, similar), "links"))
+    # the largest component may have been merged into another since; it still holds what it held
+    then = labels.toDF("largest", "largest_now")
+    pivots = stored(pivots.join(labels.toDF("pid", "pcomponent"), "pid").join(then, "largest"), "pivots")
+    bound = "CASE WHEN component = largest_now AND largest = largest_now THEN least(held, pc) ELSE pc END"
+    first = "array_min(array_intersect(keys, pkeys)) = key"
+    pairs = known.join(pivots, "key").where(f"component <> pcomponent AND {able(similar, pc=bound)} AND {first}")
+    return pairs.select(F.least("id", "pid").alias("x"), F.greatest("id", "pid").alias("y"))
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
