@@ -25,6 +25,8 @@ from relfeat.llm.common import Words, byte_class, keyed, shingle_hashes, slices,
 # after lower-casing: digits, letters and everything beyond ASCII
 WORD = byte_class((48, 57), (97, 122), (128, 255))
 BLOCK_BYTES = 8 << 20
+# blocks that documents pass in one job; what they hit is stored after that
+BLOCKS_IN_A_ROW = 8
 AT_ONCE = 1 << 20
 CARRIED = "doc_id LONG, text_key LONG, text STRING, hit_from ARRAY<INT>, hit_to ARRAY<INT>, items ARRAY<STRING>"
 RESULT = "doc_id LONG, text_key LONG, n_words LONG, n_hit LONG, n_items LONG, items_sha256 STRING, contaminated BOOLEAN"
@@ -178,7 +180,9 @@ def decontaminate(
     rows = keyed(docs, id_col, text_col)
     empty = F.array().cast("array<int>")
     state = rows.withColumns({"hit_from": empty, "hit_to": empty, "items": F.array().cast("array<string>")})
-    for names, texts in item_blocks(items, item_col, item_text_col, block_bytes):
+    for i, (names, texts) in enumerate(item_blocks(items, item_col, item_text_col, block_bytes)):
+        if i and i % BLOCKS_IN_A_ROW == 0:
+            state = stored(state, "hits")
         block = Windows(names, texts, window, shingle)
         block.choose(shingle_counts(rows, block))
         state = state.mapInArrow(marking(spark.sparkContext.broadcast(block)), CARRIED)

@@ -11,8 +11,8 @@ that the machine itself accepts join the positives, and clean words that it near
 is linear in the landmarks' kernel values, and since the kernel is a sum over subsequences it collapses into one weight
 per subsequence: scoring costs a table look-up per subsequence, however many landmarks there are.
 
-A document's score is a logistic function, fitted on training documents, of the margins of its two worst words and of
-the number of words accepted.
+A document's score is a logistic function, fitted on training documents, of the margin of its worst word: one is enough,
+however long the text.
 """
 
 from __future__ import annotations
@@ -127,9 +127,9 @@ def feature_rows(words: Coded, table: np.ndarray) -> np.ndarray:
     out = np.zeros((len(words.begin), table.shape[1]), np.float32)
     word = np.repeat(np.arange(len(words.begin)), words.size)
     for at, which, weight in subsequences(words):
-        for lo in range(0, len(at), 50_000):
-            part = table[which[lo : lo + 50_000]] * np.float32(weight)
-            of = word[at[lo : lo + 50_000]]
+        for lo in range(0, len(at), 20_000):
+            part = table[which[lo : lo + 20_000]] * np.float32(weight)
+            of = word[at[lo : lo + 20_000]]
             edge = np.flatnonzero(np.diff(of, prepend=-1))
             out[of[edge]] += np.add.reduceat(part, edge)
     return out / own_size(words)[:, None].astype(np.float32)
@@ -151,17 +151,32 @@ def chosen(words: Coded, which: np.ndarray) -> Coded:
     return Coded(words.codes[at], begin, size, words.row[which])
 
 
-def word_types(sentences: pa.Array, toxic: np.ndarray) -> tuple[Coded, np.ndarray, np.ndarray]:
-    """Distinct words with the number of toxic and of clean sentences that have them."""
-    words = coded(*text_buffer(sentences))
-    up = np.uint64(0x9E3779B97F4A7C15) ** np.arange(int(words.size.max(initial=0)) + 1, dtype=np.uint64)
-    place = np.arange(len(words.codes)) - np.repeat(words.begin, words.size)
-    spelled = np.add.reduceat(words.codes.astype(np.uint64) * up[place], words.begin) if len(words.begin) else np.empty(0, np.uint64)
-    pairs = np.unique(np.stack([spelled, words.row.astype(np.uint64)]), axis=1)
-    names, of = np.unique(pairs[0], return_inverse=True)
-    is_toxic = toxic[pairs[1].astype(np.int64)]
-    _, example = np.unique(spelled, return_index=True)
-    return chosen(words, example), np.bincount(of[is_toxic], minlength=len(names)), np.bincount(of[~is_toxic], minlength=len(names))
+def word_types(sentences: pa.Array, toxic: np.ndarray, at_once: int = 5_000) -> tuple[Coded, np.ndarray, np.ndarray]:
+    """Distinct words with the number of toxic and of clean sentences that have them; few sentences are open at a time."""
+    parts, names, n_toxic, n_clean = [], [], [], []
+    for at in range(0, len(sentences), at_once):
+        words = coded(*text_buffer(sentences.slice(at, at_once)))
+        if not len(words.begin):
+            continue
+        up = np.uint64(0x9E3779B97F4A7C15) ** np.arange(int(words.size.max()), dtype=np.uint64)
+        place = np.arange(len(words.codes)) - np.repeat(words.begin, words.size)
+        spelled = np.add.reduceat(words.codes.astype(np.uint64) * up[place], words.begin)
+        pairs = np.unique(np.stack([spelled, words.row.astype(np.uint64)]), axis=1)
+        is_toxic = toxic[at + pairs[1].astype(np.int64)]
+        found, example = np.unique(spelled, return_index=True)
+        of = np.searchsorted(found, pairs[0])
+        parts.append(chosen(words, example))
+        names.append(found)
+        n_toxic.append(np.bincount(of[is_toxic], minlength=len(found)))
+        n_clean.append(np.bincount(of[~is_toxic], minlength=len(found)))
+    if not parts:
+        empty = np.empty(0, np.int64)
+        return Coded(empty, empty, empty, empty), empty, empty
+    shift = np.cumsum([0] + [len(p.codes) for p in parts])
+    every = Coded(*(np.concatenate(x) for x in zip(*[(p.codes, p.begin + d, p.size, p.row) for p, d in zip(parts, shift)])))
+    _, example, of = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
+    sums = [np.bincount(of, weights=np.concatenate(x)).astype(np.int64) for x in (n_toxic, n_clean)]
+    return chosen(every, example), *sums
 
 
 @dataclass
@@ -170,7 +185,7 @@ class Model:
 
     weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES))
     bias: float = -1.0
-    logit: tuple[float, ...] = (0.0, 0.0, 0.0, -3.0)
+    logit: tuple[float, float] = (0.0, -3.0)
 
 
 def fit_words(sentences: pa.Array, toxic: np.ndarray) -> Model:
@@ -178,6 +193,8 @@ def fit_words(sentences: pa.Array, toxic: np.ndarray) -> Model:
     if not toxic.any() or toxic.all():
         return Model()
     types, n_toxic, n_clean = word_types(sentences, toxic)
+    if not len(types.begin):
+        return Model()
     share = toxic.mean()
     n = n_toxic + n_clean
     rate = np.clip(n_toxic / n, 1e-9, 1 - 1e-9)
@@ -200,7 +217,8 @@ def fit_words(sentences: pa.Array, toxic: np.ndarray) -> Model:
         half = LANDMARKS // 2
         marks = np.concatenate([good[np.argsort(-evidence[good], kind="stable")][:half], rng.permutation(negative)[:half]])
         model.weights, model.bias = machine(types, marks, good, negative, np.maximum(evidence[good], 4.0))
-        found = margins(types, model.weights, model.bias)
+        found = [margins(chosen(types, part), model.weights, model.bias) for part in np.array_split(np.arange(len(types.begin)), 1 + len(types.begin) // 20_000)]
+        found = np.concatenate(found)
         positive |= doubtful & (found > 0.3)
         hard = clean[np.argsort(-found[clean], kind="stable")][: NEGATIVES // 2]
         negative = np.unique(np.concatenate([negative, hard[found[hard] > -0.9]]))
@@ -214,8 +232,8 @@ def machine(types: Coded, marks: np.ndarray, good: np.ndarray, bad: np.ndarray,
     values, vectors = np.linalg.eigh(gram)
     keep = values > 1e-3 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])  # kernel values -> Nyström coordinates
-    x = feature_rows(chosen(types, np.concatenate([good, bad])), table) @ root
-    x = np.column_stack([x, np.ones(len(x))])
+    x = feature_rows(chosen(types, np.concatenate([good, bad])), table) @ root.astype(np.float32)
+    x = np.column_stack([x, np.ones(len(x), np.float32)])
     y = np.concatenate([np.ones(len(good)), -np.ones(len(bad))])
     weight = np.concatenate([trust / trust.sum(), np.full(len(bad), 1 / len(bad))]) * 2_000
     w = np.zeros(x.shape[1])
@@ -224,7 +242,8 @@ def machine(types: Coded, marks: np.ndarray, good: np.ndarray, bad: np.ndarray,
     for _ in range(12):  # Newton steps on the words within the margin
         inside = np.flatnonzero(y * (x @ w) < 1)
         xi = x[inside]
-        new = np.linalg.solve((xi.T * weight[inside]) @ xi + np.diag(ridge), xi.T @ (weight[inside] * y[inside]))
+        gram = (xi.T * weight[inside].astype(np.float32)) @ xi + np.diag(ridge)
+        new = np.linalg.solve(gram, xi.T @ (weight[inside] * y[inside]))
         if np.abs(new - w).max() < 1e-6:
             break
         w = new
@@ -287,30 +306,36 @@ def toxicity(
     order = F.xxhash64("sentence")
     bounded_set = sentences.where("toxic = 1").orderBy(order).limit(TOXIC_SENTENCES).unionByName(
         sentences.where("toxic = 0").orderBy(order).limit(CLEAN_SENTENCES)
-    ).toArrow().combine_chunks()
-    model = fit_words(one_array(bounded_set["sentence"]), bounded_set["toxic"].to_numpy() == 1)
+    )
+    # fitted in one task: the sample is bounded, and the driver gets the weights only
+    fitted = bounded_set.coalesce(1).mapInArrow(fit_task, "weights BINARY, bias DOUBLE").first()
+    model = Model(np.frombuffer(fitted.weights), fitted.bias)
     worst = stored(keyed(docs, id_col, text_col).mapInArrow(worst_words(spark.sparkContext.broadcast(model)), WORST), "worst-words")
-    fitted = worst.join(F.broadcast(sample), "doc_id").select("top", "second", "hits", "toxic").toPandas()
-    if fitted["toxic"].nunique() == 2:
-        x = np.column_stack([fitted["top"], fitted["second"], np.log1p(fitted["hits"]), np.ones(len(fitted))])
-        model.logit = tuple(logistic(x, fitted["toxic"].to_numpy(float)))
-    a, b, c, d = map(float, model.logit)
-    logit = F.col("top") * a + F.col("second") * b + F.log1p("hits") * c + d
+    known = worst.join(F.broadcast(sample), "doc_id").select("top", "toxic").toPandas()
+    if known["toxic"].nunique() == 2:
+        x = np.column_stack([known["top"], np.ones(len(known))])
+        model.logit = tuple(logistic(x, known["toxic"].to_numpy(float)))
+    slope, shift = map(float, model.logit)
+    logit = F.col("top") * slope + shift
     score = 1 / (1 + F.exp(-logit))
     return worst.select(
         "doc_id", "text_key", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= threshold).cast("int").alias("predicted")
     )
 
 
-def one_array(column: pa.ChunkedArray) -> pa.Array:
-    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+def fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = list(batches)
+    sentences = pa.concat_arrays([b.column("sentence").cast(pa.string()) for b in parts] or [pa.array([], pa.string())])
+    toxic = np.concatenate([b.column("toxic").to_numpy() == 1 for b in parts] or [np.empty(0, bool)])
+    model = fit_words(sentences, toxic)
+    yield pa.RecordBatch.from_arrays([pa.array([model.weights.astype(float).tobytes()], pa.binary()), pa.array([float(model.bias)])], ["weights", "bias"])
 
 
-WORST = "doc_id LONG, text_key LONG, top DOUBLE, second DOUBLE, hits LONG"
+WORST = "doc_id LONG, text_key LONG, top DOUBLE, hits LONG"
 
 
 def worst_words(model):
-    """Margins of the two worst words, each within -1 and 2, and the number of words accepted, per document."""
+    """The margin of the worst word, within -1 and 2, and the number of words accepted, per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
@@ -318,21 +343,12 @@ def worst_words(model):
             words = coded(*text_buffer(batch.column("text")))
             found = np.clip(margins(words, m.weights, m.bias), -1.0, 2.0)
             n = batch.num_rows
-            top, second = np.full(n, -1.0), np.full(n, -1.0)
+            top = np.full(n, -1.0)
             hits = np.bincount(words.row, weights=found > 0, minlength=n).astype(np.int64)
             if len(found):
                 first = np.flatnonzero(np.diff(words.row, prepend=-1))
-                rows = words.row[first]
-                top[rows] = np.maximum.reduceat(found, first)
-                # without one place of the maximum
-                peak = np.flatnonzero(found == top[words.row])
-                peak = peak[np.unique(words.row[peak], return_index=True)[1]]
-                rest = found.copy()
-                rest[peak] = -1.0
-                second[rows] = np.maximum.reduceat(rest, first)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(top), pa.array(second), pa.array(hits)],
-                ["doc_id", "text_key", "top", "second", "hits"],
-            )
+                top[words.row[first]] = np.maximum.reduceat(found, first)
+            out = {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "top": pa.array(top), "hits": pa.array(hits)}
+            yield pa.RecordBatch.from_pydict(out)
 
     return run
