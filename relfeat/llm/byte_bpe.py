@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from relfeat.llm.common import keyed, slices, small_batches
 
 LEAF = 8192
+# bytes of text whose ids, as Python numbers, are in memory at once
+SLICE = 256 << 10
 SIGN = r"[^\p{White_Space}\p{L}\p{N}]"
 STABLE = regex.compile(
     r"(?<=\P{White_Space})(?=\p{White_Space})|(?<=\p{L})(?=\p{N})|(?<=\p{N})(?=\p{L})"
@@ -103,7 +105,7 @@ def encode_and_decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks_path, pattern)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             all_ids = [enc.encode(t, leaf) for t in batch.column("text").to_pylist()]
             ids_sha = [hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() for ids in all_ids]
             text_sha = [hashlib.sha256(enc.decode(ids, leaf)).hexdigest() for ids in all_ids]

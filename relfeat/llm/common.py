@@ -24,7 +24,7 @@ from relfeat.session import fresh_dir
 # A table is broadcast only after its rows were counted and found to be at most this many (narrow rows of ids).
 BROADCAST_ROWS = 1_000_000
 # Bytes of text that a Python worker scans at once; one longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 ROWS_PER_BATCH = 1_000
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

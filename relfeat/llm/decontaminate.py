@@ -25,8 +25,8 @@ from relfeat.llm.common import Words, byte_class, keyed, shingle_hashes, slices,
 # after lower-casing: digits, letters and everything beyond ASCII
 WORD = byte_class((48, 57), (97, 122), (128, 255))
 BLOCK_BYTES = 8 << 20
-# blocks that documents pass in one job; what they hit is stored after that
-BLOCKS_IN_A_ROW = 8
+# blocks that a worker holds at once; what documents hit in them is stored after that
+BLOCKS_AT_ONCE = 4
 AT_ONCE = 1 << 20
 CARRIED = "doc_id LONG, text_key LONG, text STRING, hit_from ARRAY<INT>, hit_to ARRAY<INT>, items ARRAY<STRING>"
 RESULT = "doc_id LONG, text_key LONG, n_words LONG, n_hit LONG, n_items LONG, items_sha256 STRING, contaminated BOOLEAN"
@@ -180,13 +180,26 @@ def decontaminate(
     rows = keyed(docs, id_col, text_col)
     empty = F.array().cast("array<int>")
     state = rows.withColumns({"hit_from": empty, "hit_to": empty, "items": F.array().cast("array<string>")})
-    for i, (names, texts) in enumerate(item_blocks(items, item_col, item_text_col, block_bytes)):
-        if i and i % BLOCKS_IN_A_ROW == 0:
-            state = stored(state, "hits")
+    blocks = []
+    for names, texts in item_blocks(items, item_col, item_text_col, block_bytes):
+        if len(blocks) == BLOCKS_AT_ONCE:
+            state = stored(state.mapInArrow(in_turn([marking(b) for b in blocks]), CARRIED), "hits")
+            blocks = []
         block = Windows(names, texts, window, shingle)
         block.choose(shingle_counts(rows, block))
-        state = state.mapInArrow(marking(spark.sparkContext.broadcast(block)), CARRIED)
-    return state.mapInArrow(summing(share), RESULT)
+        blocks.append(spark.sparkContext.broadcast(block))
+    return state.mapInArrow(in_turn([*[marking(b) for b in blocks], summing(share)]), RESULT)
+
+
+def in_turn(steps: list):
+    """One pass through all steps in the same Python worker."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps:
+            batches = step(batches)
+        return batches
+
+    return run
 
 
 def shingle_counts(rows: DataFrame, block: Windows) -> dict[tuple[int, int], int]:

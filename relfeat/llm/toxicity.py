@@ -339,7 +339,7 @@ def worst_words(model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
-        for batch in slices(batches, "text", SLICE_BYTES // 2):
+        for batch in slices(batches, "text", SLICE_BYTES):
             words = coded(*text_buffer(batch.column("text")))
             found = np.clip(margins(words, m.weights, m.bias), -1.0, 2.0)
             n = batch.num_rows
