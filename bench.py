@@ -23,6 +23,7 @@ HEADLINE = [
     "weighted_mean_recency", "broadcast_back", "group_deviation", "lag_diff", "last_k_aggregate", "last_group_aggregate",
     "trend_slope", "impute_group_median", "correlation_matrix", "auc_by_fold", "block_bureau", "block_previous",
     "block_pos", "block_pos_history", "block_card", "block_instalments", "block_application", "feature_mart",
+    "train_gbt_cv",
 ]
 
 

@@ -141,7 +141,7 @@ def block_pos(t: Tables):
 
 
 _HROWS = f"""(SELECT *, CASE WHEN SK_DPD > 0 THEN 1 ELSE 0 END AS paid_late, CASE WHEN SK_DPD_DEF > 0 THEN 1 ELSE 0 END AS paid_late_with_tolerance,
-  row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY MONTHS_BALANCE DESC, SK_ID_PREV) AS rn FROM {loan_sql('pos')})"""
+  row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY MONTHS_BALANCE DESC, SK_ID_PREV DESC) AS rn FROM {loan_sql('pos')})"""
 _NUMS = ["sum", "mean", "max", "min", "median"]
 _HSPECS = {"paid_late": ["count", "mean"], "paid_late_with_tolerance": ["count", "mean"], "SK_DPD": _NUMS, "SK_DPD_DEF": _NUMS}
 _FN = {"sum": "sum", "mean": "avg", "max": "max", "min": "min", "median": "median", "count": "count", "std": "stddev_samp"}
@@ -317,40 +317,49 @@ def block_application(t: Tables):
     return rounded(wide.select("SK_ID_CURR", *SCORES, "AMT_ANNUITY", *made), 10)
 
 
-@query(
-    "application_encoded",
-    f"WITH cleaned AS {_CLEAN} SELECT SK_ID_CURR, round(missing / {len(_APP_FEATURES) + 1}, 6) AS missing_percent, "
+_ENCODED = (
+    f"(SELECT SK_ID_CURR, missing / {len(_APP_FEATURES) + 1} AS missing_percent, "
     + ", ".join(
         f"""CASE WHEN {c} IS NULL OR NOT EXISTS (SELECT 1 FROM cleaned t WHERE t.split = 'train' AND t.{c} = x.{c}) THEN -1 ELSE
     CAST((SELECT count(DISTINCT t.{c}) FROM cleaned t WHERE t.split = 'train' AND t.{c} < x.{c}) AS INTEGER) END AS {c}"""
         for c in _APP_STRINGS
     )
-    + f" FROM (SELECT *, {' + '.join(f'CASE WHEN {c} IS NULL THEN 1 ELSE 0 END' for c in _APP_FEATURES)} AS missing FROM cleaned) x",
+    + f" FROM (SELECT *, {' + '.join(f'CASE WHEN {c} IS NULL THEN 1 ELSE 0 END' for c in _APP_FEATURES)} AS missing FROM cleaned) x)"
 )
+# the whole application frame: row features, codes in place of strings, recipes and deviations
+_APP_WIDE = f"""(SELECT a.* EXCLUDE ({', '.join([*_APP_STRINGS, 'scores_std', 's3', 'o3', 'org_income', 's4', 'g4', 'car_mean'])}),
+  e.* EXCLUDE (SK_ID_CURR), r.* EXCLUDE (SK_ID_CURR) FROM {_APP_ROWS} a JOIN {_ENCODED} e ON a.SK_ID_CURR = e.SK_ID_CURR
+  JOIN (SELECT SK_ID_CURR, {', '.join(_RECIPE_NAMES)}, {', '.join(_DIFFS)} FROM {_RECIPED}) r ON a.SK_ID_CURR = r.SK_ID_CURR)"""
+
+
+# digits by kind of column, as in the queries of the single blocks: row features are products of small numbers
+_DIGITS = {**dict.fromkeys([*_RECIPE_NAMES, *[d.rpartition(" AS ")[2] for d in _DIFFS]], 8), **dict.fromkeys([*SCORES, "AMT_ANNUITY", *_ROW, *_ROW2], 10)}
+
+
+def _rounded_by_kind(df):
+    exprs = [f"round(`{c}`, {_DIGITS.get(c, 6)}) AS `{c}`" if kind == "double" else f"`{c}`" for c, kind in df.dtypes]
+    return df.selectExpr(*exprs)
+
+
+def _rounded_by_kind_sql(body: str) -> str:
+    own = ", ".join(f"round({c}, {n}) + 0 AS {c}" for c, n in _DIGITS.items())
+    return f"SELECT split, {own}, round(COLUMNS(* EXCLUDE (split, {', '.join(_DIGITS)})), 6) + 0 FROM ({body})"
+
+
+@query("application_encoded", f"WITH cleaned AS {_CLEAN} " + _rounded_by_kind_sql(f"SELECT * FROM {_APP_WIDE}"))
 def application_encoded(t: Tables):
-    wide = application.application_features(loan_table(t, "application"))
-    return rounded(wide.select("SK_ID_CURR", "missing_percent", *_APP_STRINGS))
+    return _rounded_by_kind(application.application_features(loan_table(t, "application")))
 
 
 @query(
     "feature_mart",
     f"WITH cleaned AS {_CLEAN} "
-    + rounded_sql(
-        f"""SELECT x.SK_ID_CURR, TARGET, x.AVG_EXT, x.ANNUITY_LENGTH, bureau_loan_count, bureau_DEBT_CREDIT_RATIO, prev_loan_count, prev_DIFF_CREDIT_APPLIED,
-    pos_RATIO_PAY_TOPAY, pos_DPD_COUNT, cc_bal_AMT_BALANCE, cc_bal_WM_AMT_BALANCE, inst_DIFF_INSTALMENT_PAYMENT, pos_cash_last_10_SK_DPD_mean,
-    cc_bal_AMT_BALANCE / nullif(AMT_INCOME_TOTAL, 0) AS cc_bal_INCOME_RATIO, cc_bal_AMT_DRAWINGS_ATM_CURRENT / nullif(AMT_INCOME_TOTAL, 0) AS cc_payment_INCOME_RATIO
-    FROM {_APP_ROWS} x LEFT JOIN ({_BUREAU_SQL}) USING (SK_ID_CURR) LEFT JOIN ({_PREV_SQL}) USING (SK_ID_CURR) LEFT JOIN ({_POS_SQL}) USING (SK_ID_CURR)
-    LEFT JOIN ({_CARD_SQL}) USING (SK_ID_CURR) LEFT JOIN ({_INST_SQL}) USING (SK_ID_CURR) LEFT JOIN ({_POS_HISTORY_SQL}) USING (SK_ID_CURR)""",
-        8,
+    + _rounded_by_kind_sql(
+        f"""SELECT *, cc_bal_AMT_BALANCE / nullif(AMT_INCOME_TOTAL, 0) AS cc_bal_INCOME_RATIO, cc_bal_AMT_DRAWINGS_ATM_CURRENT / nullif(AMT_INCOME_TOTAL, 0) AS cc_payment_INCOME_RATIO
+    FROM {_APP_WIDE} x LEFT JOIN ({_BUREAU_SQL}) USING (SK_ID_CURR) LEFT JOIN ({_PREV_SQL}) USING (SK_ID_CURR) LEFT JOIN ({_POS_SQL}) USING (SK_ID_CURR)
+    LEFT JOIN ({_CARD_SQL}) USING (SK_ID_CURR) LEFT JOIN ({_INST_SQL}) USING (SK_ID_CURR) LEFT JOIN ({_POS_HISTORY_SQL}) USING (SK_ID_CURR)"""
     ),
 )
 def full_mart(t: Tables):
-    wide = feature_mart(loan_tables(t))
-    return rounded(
-        wide.select(
-            "SK_ID_CURR", "TARGET", "AVG_EXT", "ANNUITY_LENGTH", "bureau_loan_count", "bureau_DEBT_CREDIT_RATIO", "prev_loan_count",
-            "prev_DIFF_CREDIT_APPLIED", "pos_RATIO_PAY_TOPAY", "pos_DPD_COUNT", "cc_bal_AMT_BALANCE", "cc_bal_WM_AMT_BALANCE",
-            "inst_DIFF_INSTALMENT_PAYMENT", "pos_cash_last_10_SK_DPD_mean", "cc_bal_INCOME_RATIO", "cc_payment_INCOME_RATIO",
-        ),
-        8,
-    )
+    """Every column of the mart."""
+    return _rounded_by_kind(feature_mart(loan_tables(t)))

@@ -64,6 +64,19 @@ def label_encode(t: Tables):
     return df.select("c_custkey", "segment")
 
 
+@query(
+    "label_encode_numeric",
+    """WITH c AS (SELECT c_custkey, c_nationkey, CAST(floor(c_acctbal / 20) AS BIGINT) AS band FROM customer),
+    n AS (SELECT c_nationkey, row_number() OVER (ORDER BY c_nationkey) - 1 AS few FROM (SELECT DISTINCT c_nationkey FROM c)),
+    b AS (SELECT band, row_number() OVER (ORDER BY band) - 1 AS many FROM (SELECT DISTINCT band FROM c))
+    SELECT c_custkey, CAST(few AS INTEGER) AS few, CAST(many AS INTEGER) AS many FROM c JOIN n USING (c_nationkey) JOIN b USING (band)""",
+)
+def label_encode_numeric(t: Tables):
+    """Integer columns below and above the size of an inline vocabulary: the same order of numbers."""
+    df = t.customer.select("c_custkey", F.col("c_nationkey").alias("few"), F.floor(F.col("c_acctbal") / 20).alias("many"))
+    return encode.encode_labels(df, df, ["few", "many"]).select("c_custkey", "few", "many")
+
+
 @query(
     "label_encode_wide",
     """SELECT c_custkey, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INTEGER) AS c_name FROM customer""",
@@ -200,7 +213,6 @@ def fold_score_spread(t: Tables):
 # --- models: the customer's order and line history predicts a negative balance -------------------------------------
 
 _FEATURES = ["n_lines", "mean_qty", "mean_dpd", "sum_price", "share_R", "c_nationkey", "segment"]
-_FITTED: dict[tuple[str, str], tuple] = {}
 
 
 def _customer_mart(t: Tables):
@@ -217,39 +229,60 @@ def _customer_mart(t: Tables):
 
 
 def _cross_validated(t: Tables):
-    """The four model queries of one session share the fitted fold models."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _FITTED:
-        mart = _customer_mart(t)
-        train = mart.where("c_custkey % 5 <> 0")
-        _FITTED[key] = (mart, model.cross_validate(train, "c_custkey", "target", _FEATURES, max_iter=5, max_depth=4))
-    return _FITTED[key]
+    mart = _customer_mart(t)
+    train = mart.where("c_custkey % 5 <> 0")
+    return mart, model.cross_validate(train, "c_custkey", "target", _FEATURES, max_iter=5, max_depth=4)
+
 
+# tree growth has no SQL; what must hold of any fit has: folds and rows, one score per key, shares that sum to 1
+_TRAIN = "(SELECT c_custkey, CAST(c_acctbal < 0 AS INTEGER) AS label, " + _FOLD.format(key="c_custkey") + " AS fold FROM customer WHERE c_custkey % 5 <> 0)"
 
-@query("train_gbt_cv")
+
+@query(
+    "train_gbt_cv",
+    f"""SELECT fold, count(*) AS n_rows, true AS auc_in_range FROM (SELECT fold FROM {_TRAIN} UNION ALL SELECT -1 FROM {_TRAIN}) GROUP BY 1""",
+)
 def train_gbt_cv(t: Tables):
-    return model.fold_report(_cross_validated(t)[1])
+    report = model.fold_report(_cross_validated(t)[1])
+    return report.select("fold", "n_rows", F.expr("coalesce(auc, 0.5) BETWEEN 0 AND 1 AND n_trees > 0").alias("auc_in_range"))
 
 
-@query("oof_predict")
+@query("oof_predict", f"SELECT c_custkey, label, fold, true AS score_in_range FROM {_TRAIN}")
 def oof_predict(t: Tables):
-    return _cross_validated(t)[1].oof
+    oof = _cross_validated(t)[1].oof
+    return oof.select("c_custkey", "label", "fold", F.expr("score BETWEEN 0 AND 1").alias("score_in_range"))
 
 
-@query("score_avg_folds")
+@query("score_avg_folds", "SELECT c_custkey, true AS score_in_range FROM customer WHERE c_custkey % 5 = 0")
 def score_avg_folds(t: Tables):
     mart, result = _cross_validated(t)
-    return result.score_average(mart.where("c_custkey % 5 = 0"))
+    scored = result.score_average(mart.where("c_custkey % 5 = 0"))
+    return scored.select("c_custkey", F.expr("score BETWEEN 0 AND 1").alias("score_in_range"))
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    "SELECT unnest(['n_lines', 'mean_qty', 'mean_dpd', 'sum_price', 'share_R', 'c_nationkey', 'segment']) AS feature, true AS in_range, 1.0::DOUBLE AS total",
+)
 def feature_importance(t: Tables):
     from relfeat.operators.ordered import top_n
 
-    return top_n(metrics.mean_importance(_cross_validated(t)[1].importances()), 50, "importance", "feature")
+    top = top_n(metrics.mean_importance(_cross_validated(t)[1].importances()), 50, "importance", "feature")
+    total = top.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return top.crossJoin(F.broadcast(total)).select("feature", F.expr("importance BETWEEN 0 AND 1").alias("in_range"), "total")
+
 
+_Z = "(c_nationkey - m1) / s1 AS x, (c_acctbal - m2) / s2 AS y, sign(r) AS r"
 
-@query("pca_project")
+
+@query(
+    "pca_project",
+    f"""SELECT c_custkey, round(abs(x + r * y) / sqrt(2), 6) AS principal_component_1, round(abs(x - r * y) / sqrt(2), 6) AS principal_component_2
+    FROM (SELECT c_custkey, {_Z} FROM customer, (SELECT avg(c_nationkey) AS m1, stddev_pop(c_nationkey) AS s1, avg(c_acctbal) AS m2,
+      stddev_pop(c_acctbal) AS s2, corr(c_nationkey, c_acctbal) AS r FROM customer WHERE c_custkey % 5 <> 0))""",
+)
 def pca_project(t: Tables):
-    mart = _customer_mart(t)
-    return model.pca_project(mart.where("c_custkey % 5 <> 0"), mart, "c_custkey", _FEATURES, 3)
+    """Two standardised columns: the components are their sum and difference over the root of 2, up to the sign."""
+    projected = model.pca_project(t.customer.where("c_custkey % 5 <> 0"), t.customer, "c_custkey", ["c_nationkey", "c_acctbal"], 2)
+    names = ["principal_component_1", "principal_component_2"]
+    return projected.select("c_custkey", *[F.round(F.abs(n), 6).alias(n) for n in names])

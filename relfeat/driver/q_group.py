@@ -226,6 +226,16 @@ def onehot_share(t: Tables):
     return rounded(encode.onehot_share(t.orders, KEY, encode.fit_vocabulary(t.orders, ["o_orderstatus"])))
 
 
+@query(
+    "onehot_share_long",
+    rounded_sql("""SELECT l_returnflag, l_partkey AS value, n, n / sum(n) OVER (PARTITION BY l_returnflag)::DOUBLE AS share
+    FROM (SELECT l_returnflag, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2)""", 10, ["l_returnflag"]),
+)
+def onehot_share_long(t: Tables):
+    """A column with thousands of values: rows instead of columns."""
+    return rounded(encode.share_rows(t.lineitem, "l_returnflag", "l_partkey"), 10)
+
+
 @query("value_counts", f"SELECT flag, count(*) AS n FROM {LINES} WHERE flag IS NOT NULL GROUP BY 1 ORDER BY 2 DESC")
 def value_counts(t: Tables):
     return profile.value_counts(t.lines, "flag")
@@ -245,7 +255,7 @@ def lag_diff(t: Tables):
     return gaps.select(KEY, "o_orderkey", "gap")
 
 
-_LATEST = "months DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey"
+_LATEST = "months DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC"
 
 
 @query(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relfeat.functions.aggs import share
 from relfeat.functions.expr import flag_equals, lit, safe_name, with_exprs
@@ -13,43 +15,47 @@ from relfeat.operators.joins import attach, check_distinct_names
 from relfeat.session import materialize
 from relfeat.sources.tables import columns_by_type
 
-# An indicator column per value needs a bounded schema; a column with more values is refused, not cut.
-MAX_CATEGORIES = 1_000
-
-# Vocabularies up to this size are looked up inside the row when codes are assigned.
+# Vocabularies up to this size are looked up inside the row when codes are assigned; the codes do not depend on it.
 INLINE_LABELS = 64
 
 Vocabulary = dict[str, list[str]]
 
 
-def small_vocabularies(df: DataFrame, columns: Sequence[str], max_values: int) -> Vocabulary:
-    """The sorted distinct values of those columns that have at most ``max_values``, from one job.
-
-    Of a column with more values nothing but the fact comes back.
-    """
+def small_vocabularies(df: DataFrame, columns: Sequence[str], max_values: int | None) -> Vocabulary:
+    """The distinct values, as text but in the order of the column's own type, of those columns that have at most
+    ``max_values``; of a column with more nothing but their number comes back."""
     if not columns:
         return {}
     pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
+        F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns])
     ).alias("p")
     values = df.select(pairs).select("p.c", "p.v").where("v is not null").distinct()
-    # each task numbers at most max_values + 1 values per column before they meet
-    rank = F.row_number().over(Window.partitionBy("c").orderBy("v"))
-    rows = values.withColumn("__rn", rank).where(F.col("__rn") <= max_values + 1).select("c", "v").collect()
-    found: Vocabulary = {c: [] for c in columns}
-    for row in rows:
+    kept = list(columns)
+    if max_values is not None:
+        values = materialize(values)
+        n = {r.c: r.n for r in values.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+        kept = [c for c in columns if n.get(c, 0) <= max_values]
+    found: Vocabulary = {c: [] for c in kept}
+    for row in values.where(F.col("c").isin(kept)).collect():
         found[row.c].append(row.v)
-    return {c: sorted(v) for c, v in found.items() if len(v) <= max_values}
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return {c: sorted(v, key=value_order(kinds[c])) for c, v in found.items()}
 
 
-def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None, max_values: int = MAX_CATEGORIES) -> Vocabulary:
-    """The sorted distinct values of each (string) column."""
+def value_order(kind: T.DataType) -> Callable[[str], tuple]:
+    """Sort key that puts the text of values into the order of their type; NaN is the largest number."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return lambda v: (v == "NaN", float(v.replace("Infinity", "inf")) if v != "NaN" else 0.0)
+    if isinstance(kind, T.NumericType):
+        return lambda v: (Decimal(v),)
+    return lambda v: (v.encode(),)
+
+
+def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None) -> Vocabulary:
+    """The ordered distinct values of each (string) column, however many. Each becomes a column of the plan, so a column
+    of identifiers wants ``share_rows`` instead."""
     columns = columns_by_type(df, "string") if columns is None else list(columns)
-    vocabulary = small_vocabularies(df, columns, max_values)
-    for c in columns:
-        if c not in vocabulary:
-            raise ValueError(f"{c!r} has more than {max_values} distinct values: too many for indicator columns")
-    return vocabulary
+    return small_vocabularies(df, columns, None)
 
 
 def indicator_name(prefix: str, value: str) -> str:
@@ -92,6 +98,21 @@ def onehot_share(df: DataFrame, keys: str | Sequence[str], vocabulary: Mapping[s
     return aggregate(df, keys, aggs)
 
 
+def share_rows(df: DataFrame, keys: str | Sequence[str], column: str) -> DataFrame:
+    """(keys, value, n, share): share of each value among the rows of the group, one row per value that occurs.
+
+    The long form of ``onehot_share`` for columns with any number of values; rows without the value count in the
+    group but have no row of their own.
+    """
+    from relfeat.operators.joins import as_list, keyed_join
+
+    keys = as_list(keys)
+    counts = materialize(df.groupBy(*keys, F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n")))
+    totals = materialize(counts.groupBy(*keys).agg(F.sum("n").alias("__all")))
+    joined = keyed_join(counts.where("value IS NOT NULL"), totals, keys, "inner")
+    return joined.select(*keys, "value", "n", (F.col("n") / F.col("__all")).alias("share"))
+
+
 def fit_labels(df: DataFrame, column: str) -> DataFrame:
     """(column, code): the distinct values numbered from 0 in value order.
 
@@ -128,7 +149,7 @@ def encode_labels(df: DataFrame, train: DataFrame, columns: Sequence[str], inlin
     coded = {}
     for c, values in vocabulary.items():
         # the position is 0 for a value outside the vocabulary
-        place = f"array_position(array({', '.join(map(lit, values))}), CAST({c} AS STRING))" if values else "0"
+        place = f"array_position(array({', '.join(map(lit, values))}), CAST(`{c}` AS STRING))" if values else "0"
         coded[c] = f"CAST(coalesce({place} - 1, -1) AS INT)"
     df = with_exprs(df, coded)
     for c in columns:

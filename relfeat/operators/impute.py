@@ -70,11 +70,17 @@ def impute_mean(df: DataFrame, means: dict[str, float]) -> DataFrame:
     return with_exprs(df, {c: f"coalesce({c}, {lit(m)})" for c, m in means.items()})
 
 
-def missing_indicators(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``is_nan_<column>`` for every column that has a missing value; one scan decides which."""
+def fit_missing(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
+    """The columns that have a missing value; one scan decides."""
     names = df.columns if columns is None else list(columns)
-    row = df.agg(*named({c: f"max({c} IS NULL)" for c in names})).first()
-    return with_exprs(df, {f"is_nan_{c}": f"CAST({c} IS NULL AS INT)" for c in names if row[c]})
+    row = df.agg(*named({c: f"max(`{c}` IS NULL)" for c in names})).first()
+    return [c for c in names if row[c]]
+
+
+def missing_indicators(df: DataFrame, fitted: Sequence[str] | None = None) -> DataFrame:
+    """``is_nan_<column>`` for the fitted columns, so that every frame gets the same ones; without, fitted on ``df``."""
+    names = fit_missing(df) if fitted is None else fitted
+    return with_exprs(df, {f"is_nan_{c}": f"CAST(`{c}` IS NULL AS INT)" for c in names})
 
 
 def fit_standardize(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:

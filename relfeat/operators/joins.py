@@ -11,14 +11,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relfeat.functions.expr import columns
 from relfeat.session import materialize
 
-# A side goes to every executor only after its rows were counted and found to be at most this many.
+# A side goes to every executor only after it was counted and found to be within both bounds.
 BROADCAST_ROWS = 200_000
-# A key counts as hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE of them.
-HOT_SHARE = 1_000
+BROADCAST_BYTES = 16 << 20
 
 
 def as_list(keys: str | Sequence[str]) -> list[str]:
@@ -52,16 +52,21 @@ def all_known(keys: Sequence[str]) -> str:
     return " AND ".join(f"{k} IS NOT NULL" for k in keys)
 
 
+def row_bytes(schema: T.StructType) -> int:
+    """Rough size of a row; a string counts as 20 bytes."""
+    return 8 + sum(20 if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType)) else 8 for f in schema.fields)
+
+
 def sized(df: DataFrame, limit: int | None = None, expect_small: bool = True) -> tuple[DataFrame, bool]:
-    """Compute a result once, count it, and mark it for broadcast only when the count is within the limit.
+    """Compute a result once, count it, and mark it for broadcast only when rows and bytes are within the limits.
 
     A result expected to be small is fetched up to one row past the limit; only if it stays within becomes it a
     constant of the plan. Anything else is checkpointed, so that neither use recomputes it.
     """
-    limit = BROADCAST_ROWS if limit is None else limit
+    limit = min(BROADCAST_ROWS if limit is None else limit, BROADCAST_BYTES // row_bytes(df.schema))
     if expect_small:
         fetched = df.limit(limit + 1).toArrow()
-        if fetched.num_rows <= limit:
+        if fetched.num_rows <= limit and fetched.nbytes <= BROADCAST_BYTES:
             return F.broadcast(df.sparkSession.createDataFrame(fetched, df.schema)), True
         return materialize(df), False
     df = materialize(df)
@@ -86,33 +91,18 @@ def attach(
 ) -> DataFrame:
     """Left-join ``stats`` (one row per key) to every row of ``df``.
 
-    A ``stats`` table whose counted size is small is broadcast and ``df`` is not shuffled at all. Otherwise the
-    few keys that hold a large share of ``df`` are joined by broadcast (their number is bounded by their share),
-    rows without a key skip the join, and only the rest is shuffled by key.
+    A ``stats`` table whose counted size is small is broadcast and ``df`` is not shuffled at all. Otherwise it is one
+    join of ``df`` with a stored table: adaptive execution splits the partition of a hot key, or of missing keys, over
+    tasks, which it can because neither side has been grouped by the key in the same stage.
     """
     return attach_sized(df, *sized(stats, broadcast_rows, expect_small), keys)
 
 
 def attach_sized(df: DataFrame, stats: DataFrame, small: bool, keys: str | Sequence[str]) -> DataFrame:
-    """``attach`` for a table that ``sized`` has been through already."""
+    """``attach`` for a table that ``sized`` has been through already; ``df`` enters the plan once."""
     keys = as_list(keys)
     check_distinct_names([c for c in df.columns + stats.columns if c not in keys])
-    hot = None if small else hot_keys(df, keys)
-    if hot is None:
-        return keyed_join(df, stats, keys, "left")
-    hot_stats = stats.join(F.broadcast(hot), keys, "left_semi").withColumn("__hot", F.lit(True))
-    marked = keyed_join(df, F.broadcast(hot_stats), keys, "left")
-    direct = marked.where(f"__hot OR NOT ({all_known(keys)})").drop("__hot")
-    rest = marked.where(f"__hot IS NULL AND {all_known(keys)}").select(*df.columns)
-    return direct.unionByName(keyed_join(rest, stats, keys, "left"))
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """The keys that hold more than ``1/HOT_SHARE`` of the rows (NULL aside), or None when there are none at all."""
-    counts = df.groupBy(*keys).agg(F.expr("count(1) AS __n"))
-    n = counts.agg(F.sum("__n")).first()[0] or 0
-    hot = materialize(counts.where(F.col("__n") > max(n / HOT_SHARE, 1)).select(*keys))
-    return None if hot.isEmpty() else hot
+    return keyed_join(df, stats, keys, "left")
 
 
 def broadcast_back(
@@ -129,6 +119,8 @@ def broadcast_back(
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str, name: str, table_key: str | None = None) -> DataFrame:
-    """Add column ``name``: the ``value`` that ``table`` (one row per key) holds for the row's key."""
+    """Add column ``name``: the ``value`` that ``table`` (one row per key) holds for the row's key. A plain left join:
+    Spark broadcasts ``table`` if its size is known to be small."""
+    check_distinct_names([*df.columns, name])
     pairs = table.selectExpr(f"{table_key or key} AS {key}", f"{value} AS {name}")
-    return attach(df, pairs, key, expect_small=False)
+    return keyed_join(df, pairs, [key], "left")

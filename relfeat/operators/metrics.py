@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from relfeat.operators.joins import attach
 from relfeat.operators.running import BUCKETS, running_totals
+from relfeat.session import materialize
 
 # Fold number under which the metrics over all rows are reported.
 ALL_ROWS = -1
@@ -30,11 +31,9 @@ def score_levels(df: DataFrame, label: str, score: str, fold: str | None = None)
 
 
 def _accumulated(df, label, score, fold, descending, buckets) -> tuple[DataFrame, DataFrame]:
-    levels = score_levels(df, label, score, fold)
-    scores = df.select(F.col(score).cast("double").alias("score"))
-    running = running_totals(
-        levels, ["fold"], "score", {"cp": "p", "cn": "n"}, descending=descending, fit_on=scores, buckets=buckets
-    )
+    # whatever made the scores runs once; all that follows works on the levels
+    levels = materialize(score_levels(df, label, score, fold))
+    running = running_totals(levels, ["fold"], "score", {"cp": "p", "cn": "n"}, descending=descending, buckets=buckets)
     return running, levels.groupBy("fold").agg(F.sum("p").alias("pos"), F.sum("n").alias("neg"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from relfeat.functions.expr import lit, with_exprs
 from relfeat.operators.impute import fit_standardize, standardize
-from relfeat.session import materialize
+from relfeat.session import in_parallel, materialize
 
 # fixed values: folds and seed of the evaluation
 FOLDS = 5
@@ -93,12 +93,14 @@ def cross_validate(
 ) -> CrossValidation:
     """Fit k boosted-tree models, each stopped early on its held-out fold, and score every row out of fold.
 
-    The assembled rows are materialised once and every fit reads them with the fold as a filter flag.
+    The assembled rows are materialised once, every fit reads them with the fold as a filter flag, and the fits, which
+    do not depend on each other, run side by side.
     """
     rows = assemble(assign_folds(train, key, k, seed), features)
     rows = materialize(rows.selectExpr(key, f"CAST({label} AS DOUBLE) AS label", "fold", "features"))
     result = CrossValidation(key, label, list(features))
-    for fold in range(k):
+
+    def fit(fold: int) -> GBTClassificationModel:
         flagged = rows.withColumn("held_out", F.col("fold") == fold)
         gbt = GBTClassifier(
             featuresCol="features",
@@ -112,7 +114,9 @@ def cross_validate(
             featureSubsetStrategy=str(COLUMN_SHARE),
             seed=seed,
         )
-        result.models.append(gbt.fit(flagged))
+        return gbt.fit(flagged)
+
+    result.models = in_parallel(train.sparkSession, [lambda f=fold: fit(f) for fold in range(k)])
     parts = None
     for fold, model in enumerate(result.models):
         held = _probability(model, rows.where(F.col("fold") == fold), "score").select(

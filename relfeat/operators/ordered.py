@@ -1,7 +1,8 @@
 """Operators on the time order inside a group: gaps, last value, most recent k rows, last loan, trends.
 
 Month and day columns are relative integers, larger meaning more recent. Every order ends in a unique tie-break,
-because rows of the same month are otherwise in no order at all.
+because rows of the same month are otherwise in no order at all: of equally recent rows the one with the largest
+loan id counts as the most recent, everywhere.
 """
 
 from __future__ import annotations
@@ -41,11 +42,15 @@ def last_by_order(df: DataFrame, key: str, value: str, time: str, ties: Sequence
 
 
 def recent_rows(df: DataFrame, key: str, time: str, ties: Sequence[str], k: int) -> DataFrame:
-    """The k most recent rows of each group, numbered from 1 in ``__rank``.
+    """The k most recent rows of each group, numbered from 1 in ``__rank``; of equally recent ones the largest ties first.
 
-    Each task keeps at most k rows per group before the shuffle, so no group arrives whole anywhere.
+    Each task keeps at most k rows per group before the shuffle, so no group arrives whole anywhere, whatever k.
     """
-    order = Window.partitionBy(key).orderBy(F.col(time).desc_nulls_last(), *ties)
+    limit = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark = df.sparkSession
+    if 0 <= int(spark.conf.get(limit, "1000")) < k:  # beyond it Spark would not cut before the shuffle
+        spark.conf.set(limit, k)
+    order = Window.partitionBy(key).orderBy(F.col(time).desc_nulls_last(), *[F.col(t).desc_nulls_last() for t in ties])
     return df.where(all_known([key])).withColumn(RANK, F.row_number().over(order)).where(F.col(RANK) <= k)
 
 

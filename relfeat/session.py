@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -22,6 +23,8 @@ SETTINGS = {
     "spark.sql.codegen.maxFields": "400",
     # exact medians per customer: keep the hash way for more than the default 128 groups per task
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
+    # checkpoints go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # no Python stack capture per column call
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -39,6 +42,9 @@ def build_session(master: str | None = None, app_name: str = "relfeat", **conf:
     return builder.getOrCreate()
 
 
+_dir_lock = threading.Lock()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
@@ -46,14 +52,15 @@ def shared_dir(spark: SparkSession) -> str:
     because executors cannot see a folder of the driver's machine.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if configured is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="relfeat-checkpoint-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured)
-    return configured
+    with _dir_lock:
+        configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+        if configured is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            configured = tempfile.mkdtemp(prefix="relfeat-checkpoint-")
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
+        return configured
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

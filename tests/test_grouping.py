@@ -69,11 +69,8 @@ def test_broadcast_back_keeps_every_row(frame, limit):
         assert r.cnt == (None if r.k is None else sizes[r.k])
 
 
-def test_large_statistics_join_without_broadcast_of_all(frame, monkeypatch):
-    """Past the limit only the hot keys are broadcast and the rest is joined by key."""
-    monkeypatch.setattr(joins, "HOT_SHARE", 4)
-    hot = joins.hot_keys(frame, ["k"])
-    assert [r.k for r in hot.collect()] == [1]
+def test_large_statistics_join_without_broadcast_of_all(frame):
+    """Past the limit the statistics are a stored table and the rows are joined by key."""
     got = joins.broadcast_back(frame, "k", {"cnt": "count(1)"}, broadcast_rows=0)
     small = joins.broadcast_back(frame, "k", {"cnt": "count(1)"})
     assert table(got, "id") == table(small, "id")
@@ -129,8 +126,43 @@ def test_onehot(frame, spark):
     assert [tuple(r) for r in encode.onehot(unseen, vocabulary).collect()] == [(0, 0, 0)] * 2
     kinds = aggregate(frame, "k", {"a": encode.distinct_of_vocabulary("c", vocabulary["c"]), "b": "count(DISTINCT c)"})
     assert all(r.a == r.b for r in kinds.collect())
-    with pytest.raises(ValueError):
-        encode.fit_vocabulary(frame, ["c"], max_values=2)
+
+
+def test_attaching_three_times_reads_the_rows_once(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 7 AS a", "id % 5 AS b", "id % 3 AS c").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    for k in "abc":
+        df = joins.broadcast_back(df, k, {f"n_{k}": "count(1)"}, broadcast_rows=0)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    assert df.count() == 100
+
+
+def test_broadcast_is_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1_000)
+    assert not joins.sized(spark.range(20).selectExpr("id", "repeat('x', 100) AS s"))[1]
+    assert joins.sized(spark.range(20).selectExpr("id"))[1]
+
+
+def test_many_values(spark):
+    df = spark.range(1200).selectExpr("id % 3 AS k", "format_string('v%04d', id) AS v")
+    vocabulary = encode.fit_vocabulary(df, ["v"])
+    assert len(vocabulary["v"]) == 1200 and vocabulary["v"][:2] == ["v0000", "v0001"]
+    shares = encode.share_rows(df, "k", "v").collect()
+    assert len(shares) == 1200 and all(r.share == pytest.approx(1 / 400) for r in shares)
+
+
+def test_codes_follow_the_order_of_numbers_whatever_their_number(spark):
+    for n in (40, 80):
+        df = spark.range(n).selectExpr("id AS v", "CAST(id - 5 AS DOUBLE) / 2 AS x")
+        for inline in (64, 1):
+            got = encode.encode_labels(df.selectExpr("v", "x", "v AS w"), df, ["v", "x"], inline_values=inline)
+            assert all(r.v == r.w == r.x for r in got.collect())
+
+
+def test_missing_indicators_are_fitted(spark):
+    train, test = spark.sql("SELECT 1 AS a, CAST(NULL AS INT) AS b"), spark.sql("SELECT CAST(NULL AS INT) AS a, 2 AS b")
+    fitted = impute.fit_missing(train)
+    assert impute.missing_indicators(test, fitted).columns == ["a", "b", "is_nan_b"] == impute.missing_indicators(train, fitted).columns
 
 
 def test_label_codes(frame, spark):

@@ -34,7 +34,7 @@ def test_last_known_value(spark):
 
 def test_last_k_against_pandas(history):
     got = ordered.last_k_aggregate(history, "k", "m", ["loan"], [1, 10, 500], {"dpd": ["sum", "mean", "median", "count"]})
-    pdf = history.toPandas().sort_values(["m", "loan"], ascending=[False, True])
+    pdf = history.toPandas().sort_values(["m", "loan"], ascending=[False, False])
     for r in got.collect():
         mine = pdf[pdf.k == r.k].dpd
         for k in (1, 10, 500):
@@ -68,6 +68,18 @@ def test_recent_rows_are_cut_before_the_shuffle(history):
     assert "Python" not in plan
 
 
+def test_recent_rows_are_cut_before_the_shuffle_for_any_k(history):
+    plan = ordered.recent_rows(history, "k", "m", ["loan"], 1500)._jdf.queryExecution().executedPlan().toString()
+    assert "row_number(), 1500, Partial" in plan
+
+
+def test_most_recent_row_and_most_recent_loan_agree(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, 10, -1, 3), (1, 11, -1, 7), (1, 9, -2, 5) AS t(k, loan, m, dpd)")
+    row = ordered.last_k_aggregate(df, "k", "m", ["loan"], [1], {"dpd": ["sum"]}, whole=False).first()
+    loan = ordered.last_group_aggregate(df, "k", "loan", "m", [("dpd", "sum")]).first()
+    assert (row.last_1_dpd_sum, loan.last_loan_dpd_sum) == (7, 7)
+
+
 def test_period_fraction(spark):
     df = spark.sql("SELECT 1 AS k, 4 AS last_10_dpd_sum, 8 AS last_50_dpd_sum")
     assert ordered.period_fraction(df, 10, 50).first().last_10by50_fraction_dpd_sum == 0.5
