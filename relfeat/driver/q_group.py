@@ -8,7 +8,7 @@ from relfeat.driver.registry import LINE_TIES, LINES, Tables, query, rounded, ro
 from relfeat.functions import aggs as A
 from relfeat.functions.expr import columns, ratio, trunc_int
 from relfeat.operators import encode, ordered, profile
-from relfeat.operators.grouping import Nested, aggregate, aggregate_named, all_numeric_mean, group_deviation, group_recipe
+from relfeat.operators.grouping import Nested, aggregate, aggregate_named, all_numeric_mean, all_weighted_mean, group_deviation, group_recipe
 
 KEY = "o_custkey"
 
@@ -125,7 +125,7 @@ _NUM = ["l_quantity", "l_discount", "l_tax", "dpd", "l_linenumber"]
 @query("weighted_mean_all", _per_customer(", ".join(f"sum({c} * {_W}) / sum({_W}) AS {c}" for c in _NUM)))
 def weighted_mean_all(t: Tables):
     w = A.recency_weight("months")
-    return rounded(aggregate(t.lines, KEY, {c: A.weighted_mean(c, w) for c in _NUM}))
+    return rounded(all_weighted_mean(t.lines.select(KEY, "months", *_NUM), KEY, w, leave=[c for c in ["months"] if c not in _NUM]))
 
 
 @query(

@@ -318,10 +318,7 @@ def top_n(t: Tables):
     (SELECT o_custkey FROM orders GROUP BY 1 ORDER BY count(*) DESC, o_custkey LIMIT 20)""",
 )
 def isin_topk(t: Tables):
-    counts = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    top = ordered.top_n(counts, 20, "n", "o_custkey").select("o_custkey")
-    # 20 rows by construction
-    return t.orders.select("o_custkey", "o_orderkey").join(F.broadcast(top), "o_custkey", "left_semi")
+    return ordered.in_top(t.orders, "o_custkey", 20).select("o_custkey", "o_orderkey")
 
 
 @query(

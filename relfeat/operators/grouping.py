@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relfeat.functions.aggs import ROWS, Quantile, by_name
+from relfeat.functions.aggs import ROWS, Quantile, by_name, weighted_mean
 from relfeat.functions.expr import columns, with_exprs
 from relfeat.operators.joins import all_known, as_list, attach_sized, keyed_join, sized
 from relfeat.operators.running import large_group_quantiles
@@ -77,6 +77,13 @@ def all_numeric_mean(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     return aggregate(df, keys, {c: f"avg({c})" for c in columns_by_type(df, "numeric") if c not in keys})
 
 
+def all_weighted_mean(df: DataFrame, keys: str | Sequence[str], weight: str, leave: Sequence[str] = ()) -> DataFrame:
+    """Weighted mean of every numeric column that is neither a key nor in ``leave``."""
+    keys = as_list(keys)
+    names = [c for c in columns_by_type(df, "numeric") if c not in (*keys, *leave)]
+    return aggregate(df, keys, {c: weighted_mean(c, weight) for c in names})
+
+
 class Nested:
     """Aggregates of a two-level grouping (customer, loan) -> customer.
 

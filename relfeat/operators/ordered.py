@@ -160,3 +160,10 @@ def sort_rows(df: DataFrame, *order: str | Column) -> DataFrame:
 def top_n(df: DataFrame, n: int, by: str, ties: str | Sequence[str] = ()) -> DataFrame:
     """The n rows with the largest value; every task keeps its own n first."""
     return df.orderBy(F.col(by).desc_nulls_last(), *as_list(ties)).limit(n)
+
+
+def in_top(df: DataFrame, key: str, k: int) -> DataFrame:
+    """The rows whose key is among the ``k`` most frequent ones (ties: the smaller key)."""
+    counts = df.where(all_known([key])).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    # k rows by construction
+    return df.join(F.broadcast(top_n(counts, k, "__n", key).select(key)), key, "left_semi")

@@ -238,11 +238,13 @@ def encode_strings(app: DataFrame, train: DataFrame) -> DataFrame:
     return encode_labels(app, train, [c for c in columns_by_type(app, "string") if c != SPLIT])
 
 
-def application_features(app: DataFrame, encode: bool = True) -> DataFrame:
+def application_features(app: DataFrame, encode: bool = True, redundant: bool = True) -> DataFrame:
+    """All application features; ``redundant=False`` leaves out the raw columns of ``REDUNDANT_COLUMNS`` at the end."""
     source = clean(app)
     stats = fit_statistics(source)
     features = [c for c in source.columns if c not in (SPLIT, "TARGET")]
     app = with_exprs(source, {"missing_percent": row_missing_fraction(features)})
     app = group_deviation(group_recipe(app, RECIPES, stats.recipes), RECIPES)
     app = fitted_features(row_features(impute(app, stats)), stats)
-    return encode_strings(app, source.where(f"{SPLIT} = 'train'")) if encode else app
+    app = encode_strings(app, source.where(f"{SPLIT} = 'train'")) if encode else app
+    return app if redundant else drop_redundant(app)

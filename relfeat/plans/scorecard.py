@@ -38,18 +38,15 @@ FILES = {
 def read_loan_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The loan tables from headered CSV files, every column of the file included.
 
-    Columns are matched by header name; a file with columns outside the schema gets an inference pass for those.
+    Columns are matched by header name; of a file only the header is read before the job. A column outside the schema
+    gets its type from its name, the same in every file.
     """
 
     def read(file: str, schema) -> DataFrame:
-        reader = spark.read.option("header", True)
-        header = reader.csv(f"{folder}/{file}").schema
         kinds = {f.name: f.dataType for f in schema.fields}
-        if any(name not in kinds for name in header.names):
-            header = reader.option("inferSchema", True).csv(f"{folder}/{file}").schema
         typed = type(schema)()
-        for f in header.fields:
-            typed.add(f.name, kinds.get(f.name, f.dataType))
+        for name in spark.read.option("header", True).csv(f"{folder}/{file}").columns:
+            typed.add(name, kinds.get(name) or loan_schema.kind_of(name))
         return scan_table(spark, f"{folder}/{file}", typed, "csv")
 
     tables = {name: read(file, schema) for name, (file, schema) in FILES.items()}

@@ -19,6 +19,18 @@ def _schema(ints: list[str], doubles: list[str], strings: list[str]) -> T.Struct
     return T.StructType([T.StructField(c, kind) for names, kind in kinds for c in names])
 
 
+# fixed values: prefixes of numeric columns that no feature names, and the text columns among those with a numeric form
+NUMERIC_PREFIXES = ("AMT_", "CNT_", "DAYS_", "FLAG_", "NFLAG_", "RATE_", "REG_", "LIVE_", "REGION_", "HOUR_", "SELLERPLACE_", "EXT_SOURCE_")
+BUILDING_SUFFIXES = ("_AVG", "_MODE", "_MEDI")
+TEXT_COLUMNS = ["FONDKAPREMONT_MODE", "HOUSETYPE_MODE", "WALLSMATERIAL_MODE", "EMERGENCYSTATE_MODE", "FLAG_LAST_APPL_PER_CONTRACT"]
+
+
+def kind_of(name: str) -> T.DataType:
+    """Type of a column that the schemas below do not list: a number by its name, else text."""
+    numeric = name.startswith(NUMERIC_PREFIXES) or name.endswith(BUILDING_SUFFIXES)
+    return T.DoubleType() if numeric and name not in TEXT_COLUMNS else T.StringType()
+
+
 APPLICATION = _schema(
     ["SK_ID_CURR", "TARGET", "CNT_CHILDREN", "DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_ID_PUBLISH", "REG_CITY_NOT_WORK_CITY"]
     + DOCUMENTS,

@@ -78,6 +78,16 @@ def table_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).cast("int").alias("n_columns"))
 
 
+def column_types(df: DataFrame) -> list[tuple[str, str]]:
+    """(name, type) of every column, from the schema alone."""
+    return list(df.dtypes)
+
+
+def head(df: DataFrame, n: int = 5) -> DataFrame:
+    """Some ``n`` rows; only as many partitions are read as that takes."""
+    return df.limit(n)
+
+
 def write_predictions(df: DataFrame, key: str, score: str, path: str, mode: str = "errorifexists") -> None:
     """Write ``(key, score)`` as headered CSV, one file per task."""
     df.select(key, score).write.mode(mode).option("header", True).csv(path)
