@@ -37,6 +37,8 @@ PEELS = 2
 CENTRAL_ROUNDS = 3
 # pivots of a bucket per later round; these compare all that is left
 PIVOTS = 256
+# buckets of an id that take part in finding a pair's first common one
+TOLD = 16
 
 
 def shingle_sets(column: pa.Array, words_each: int) -> list[np.ndarray]:
@@ -175,14 +177,9 @@ def components(members: DataFrame, sets: DataFrame, similar: tuple[int, int]) ->
         pairs = central_pairs(members, labels, similar, seed)
         labels = relabel(labels, stored(similar_pairs(fresh(pairs, done), sets, similar), "links"))
     outside, turns = outsiders(members, labels, sets)
-    if turns:
-        # every id with its buckets, few by construction: a pair is taken up in the first bucket that it shares
-        open_keys = members.join(stored(outside.select("key").distinct(), "open-keys"), "key")
-        buckets = open_keys.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
-        members = stored(open_keys.join(stored(buckets, "buckets-of-ids"), "id"), "open-members")
-        outside = stored(outside.join(members.select("key", F.col("id").alias("pid"), F.col("keys").alias("pkeys")), ["key", "pid"]), "open-outsiders")
+    buckets = first_buckets(members, outside) if turns else None
     for turn in range(turns):
-        pairs = pivot_pairs(members, labels, outside.where(f"turn = {turn}"), similar)
+        pairs = pivot_pairs(members, labels, outside.where(f"turn = {turn}"), buckets, similar)
         labels = relabel(labels, stored(similar_pairs(fresh(pairs, done), sets, similar), "links"))
     return labels
 
@@ -238,14 +235,25 @@ def outsiders(members: DataFrame, labels: DataFrame, sets: DataFrame) -> tuple[D
     return outside, outside.agg(F.max("turn")).first()[0] + 1
 
 
-def pivot_pairs(members: DataFrame, labels: DataFrame, pivots: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """The pivots with all of their buckets that they may be linked with and are not connected with."""
-    known = stored(members.join(labels, "id"), "labelled-members")
+def first_buckets(members: DataFrame, outside: DataFrame) -> DataFrame:
+    """``id, keys``: the first ``TOLD`` open buckets of each id in the order of their keys."""
+    keys = stored(outside.select("key").distinct(), "open-keys")
+    listed = members.join(keys, "key").groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    return stored(listed.select("id", F.slice("keys", 1, TOLD).alias("keys")), "first-buckets")
+
+
+def pivot_pairs(members: DataFrame, labels: DataFrame, pivots: DataFrame, buckets: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """The pivots with all of their buckets that they may be linked with and are not connected with.
+
+    A pair of ids shares many buckets. It is taken up in the first that the lists of both name, which is one they share;
+    only a pair without such a bucket is taken up in each that it shares.
+    """
+    known = members.join(labels, "id").join(buckets, "id")
     # the largest component may have been merged into another since; it still holds what it held
-    then = labels.toDF("largest", "largest_now")
-    pivots = stored(pivots.join(labels.toDF("pid", "pcomponent"), "pid").join(then, "largest"), "pivots")
+    pivots = pivots.join(labels.toDF("pid", "pcomponent"), "pid").join(labels.toDF("largest", "largest_now"), "largest")
+    pivots = pivots.join(buckets.toDF("pid", "pkeys"), "pid")
     bound = "CASE WHEN component = largest_now AND largest = largest_now THEN least(held, pc) ELSE pc END"
-    first = "array_min(array_intersect(keys, pkeys)) = key"
+    first = "coalesce(array_min(array_intersect(keys, pkeys)), key) = key"
     pairs = known.join(pivots, "key").where(f"component <> pcomponent AND {able(similar, pc=bound)} AND {first}")
     return pairs.select(F.least("id", "pid").alias("x"), F.greatest("id", "pid").alias("y"))
 
