@@ -172,12 +172,12 @@ def block_pos_history(t: Tables):
 
 _CARD_NUM = ["MONTHS_BALANCE", "SK_DPD", "SK_DPD_DEF", "CNT_DRAWINGS_CURRENT", "AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL", "AMT_DRAWINGS_ATM_CURRENT", "AMT_DRAWINGS_CURRENT",
              "AMT_DRAWINGS_OTHER_CURRENT", "AMT_DRAWINGS_POS_CURRENT", "CNT_DRAWINGS_ATM_CURRENT", "CNT_DRAWINGS_OTHER_CURRENT", "CNT_DRAWINGS_POS_CURRENT", "AMT_INST_MIN_REGULARITY",
-             "AMT_PAYMENT_CURRENT", "AMT_PAYMENT_TOTAL_CURRENT", "AMT_RECEIVABLE_PRINCIPAL", "AMT_TOTAL_RECEIVABLE", "CNT_INSTALMENT_MATURE_CUM"]
+             "AMT_PAYMENT_CURRENT", "AMT_PAYMENT_TOTAL_CURRENT", "AMT_RECEIVABLE_PRINCIPAL", "AMT_RECIVABLE", "AMT_TOTAL_RECEIVABLE", "CNT_INSTALMENT_MATURE_CUM"]
 _CARD_WM = ["AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL", "SK_DPD", "SK_DPD_DEF", "AMT_DRAWINGS_ATM_CURRENT", "AMT_DRAWINGS_CURRENT", "AMT_DRAWINGS_OTHER_CURRENT", "AMT_DRAWINGS_POS_CURRENT",
             "AMT_INST_MIN_REGULARITY", "AMT_PAYMENT_CURRENT", "AMT_PAYMENT_TOTAL_CURRENT", "AMT_RECEIVABLE_PRINCIPAL", "AMT_RECIVABLE", "AMT_TOTAL_RECEIVABLE", "CNT_INSTALMENT_MATURE_CUM"]
 _CARD_SPREAD = {"BAL": "AMT_BALANCE", "LIM": "AMT_CREDIT_LIMIT_ACTUAL", "DRW": "AMT_DRAWINGS_ATM_CURRENT", "C_DRW": "AMT_DRAWINGS_CURRENT", "O_DRW": "AMT_DRAWINGS_OTHER_CURRENT",
                 "P_DRW": "AMT_DRAWINGS_POS_CURRENT", "INST": "AMT_INST_MIN_REGULARITY", "PAYMENT": "AMT_PAYMENT_CURRENT", "PRIN": "AMT_RECEIVABLE_PRINCIPAL", "RECV": "AMT_RECIVABLE", "CNT_INSTL": "CNT_INSTALMENT_MATURE_CUM"}
-_SUM = {c: f"coalesce(sum({c}), 0)" for c in [*_CARD_NUM, "AMT_RECIVABLE"]}
+_SUM = {c: f"coalesce(sum({c}), 0)" for c in _CARD_NUM}
 _DRAWN = " + ".join(_SUM[f"AMT_DRAWINGS{p}_CURRENT"] for p in ("_ATM", "", "_OTHER", "_POS"))
 _TIMES = " + ".join(_SUM[f"CNT_DRAWINGS{p}_CURRENT"] for p in ("_ATM", "", "_OTHER", "_POS"))
 _CARD_SQL = f"""SELECT a.*, l.cc_bal_DPD_COUNT, l.cc_bal_INSTALLMENTS_PER_LOAN FROM (SELECT SK_ID_CURR, count(SK_ID_PREV) AS cc_bal_row_count, {', '.join(f'avg({c}) AS cc_bal_{c}' for c in _CARD_NUM)},

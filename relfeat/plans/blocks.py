@@ -1,7 +1,8 @@
 """Feature blocks: one per child table, each reduced to one row per customer and prefixed.
 
-A block reads its table once. Whatever the features need is collected into one aggregation per key list; ratios and
-differences of group sums are expressions over that aggregate and never go back to the detail rows.
+A block aggregates its table once per key list: by customer, and for loan statistics by (customer, loan) over the few
+columns these need; vocabularies are one more job. Ratios and differences of group sums are expressions over the
+aggregates and never go back to the detail rows.
 """
 
 from __future__ import annotations
@@ -272,8 +273,7 @@ def card_block(card: DataFrame, vocabulary: Vocabulary | None = None) -> DataFra
         CUSTOMER,
         {
             "row_count": f"count({LOAN})",
-            # the misspelt receivable column repeats AMT_TOTAL_RECEIVABLE: only its extremes and weighted mean are kept
-            **_means(card, [CUSTOMER, LOAN, "AMT_RECIVABLE"]),
+            **_means(card, [CUSTOMER, LOAN]),
             **share_columns(status, vocabulary[status], "status"),
             "PERCENTAGE_MISSED_PAYMENTS": percent_if("AMT_PAYMENT_CURRENT < AMT_INST_MIN_REGULARITY"),
             "CASH_CARD_RATIO": f"100 * {ratio(amounts[0], amounts[1])}",
