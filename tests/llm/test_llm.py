@@ -314,6 +314,21 @@ def test_reputation_shrinks_towards_domain(spark):
     assert rate["a.bad.org"] > rate["c.bad.org"] > 0.5 > rate["y.good.org"] > rate["x.good.org"] > 0
 
 
+def test_hosts_without_labels_lean_on_domain_suffix_and_all(spark):
+    urls = [f"http://{h}.bad.org/{i}" for h in "abcdef" for i in range(30)] + [f"http://{h}.good.org/{i}" for h in "abcdef" for i in range(30)]
+    urls += [f"http://{h}.fine{h}.net/{i}" for h in "abcdef" for i in range(30)]
+    new = ["http://new.bad.org/", "http://new.good.org/", "http://x.other.net/", "http://nowhere.xyz/", None]
+    pages = spark.createDataFrame(list(enumerate(urls + new)), "page_id LONG, url STRING")
+    labels = spark.createDataFrame([(i, int(".bad." in u and i % 10 > 0)) for i, u in enumerate(urls)], "page_id LONG, bad INT")
+    got = {r.page_id: r for r in url_filter(pages, labels, []).collect()}
+    bad, good, other, nowhere, none = (got[len(urls) + i] for i in range(5))
+    assert bad.verdict == "block" and bad.bad_rate > 0.8 and bad.bad_at_least > 0.3
+    assert {good.verdict, other.verdict, nowhere.verdict, none.verdict} == {"allow"}
+    assert good.bad_rate < 0.1 and other.bad_rate < 0.1 and nowhere.bad_rate == none.bad_rate == pytest.approx(162 / 540)
+    assert bad.bad_at_least < got[1].bad_at_least
+    assert {(r.verdict, r.bad_rate) for r in url_filter(pages, labels.limit(0), []).collect()} == {("allow", None)}
+
+
 def test_kd_shards(spark, docs):
     got = kd_shards(docs, shards=8).collect()
     sizes = {i: len((t or "").encode()) + 1 for i, t in odd_texts() if i is not None}
