@@ -384,6 +384,21 @@ def test_main_text(spark, pages):
     assert main_text(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_main_text_leaves_out_what_stays_the_same_on_a_host(spark):
+    page = "<body><article><div class='zz'>Our terms of use</div><h1>Title {0}</h1><p>Story {0}.</p><div class=ad>buy</div><p>Read on</p></article>"
+    rows = [(i, f"http://a.com/{i}", page.format(i)) for i in range(6)]
+    rows += [(10, "http://one.com/", page.format(10)), (11, "http://one.com/copy", page.format(10))]
+    rows += [(20 + i, f"http://b.com/{i}", f"<body><div class='social'><p>Follow us</p><p>Post {i}</p></div></body>") for i in range(4)]
+    rows += [(30 + i, f"http://c.com/{i}", f"<nav>{i}</nav><article><p>Same text</p></article>") for i in range(4)]
+    rows += [(40 + i, f"http://d.com/{i}", f"<article><p>{'Shared' if i < 3 else 'Other'}</p><p>Own {i}</p></article>") for i in range(6)]
+    got = {r.page_id: r for r in main_text(spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING")).collect()}
+    assert [got[i].text for i in range(6)] == [f"Title {i} Story {i}." for i in range(6)]
+    assert got[10].text == got[11].text == "Our terms of use Title 10 Story 10. Read on"
+    assert [got[20 + i].text for i in range(4)] == [f"Post {i}" for i in range(4)]
+    assert [got[30 + i].text for i in range(4)] == ["Same text"] * 4
+    assert got[40].text == "Shared Own 0" and all(r.fits and r.n_chars == len(r.text) for r in got.values())
+
+
 def test_toxicity_finds_gapped_words_and_new_endings(spark):
     rng = random.Random(8)
     rows, labels = [], []
