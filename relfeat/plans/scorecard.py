@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from relfeat.functions.expr import ratio, with_exprs
 from relfeat.operators.model import CrossValidation, cross_validate
@@ -38,15 +39,15 @@ FILES = {
 def read_loan_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The loan tables from headered CSV files, every column of the file included.
 
-    Columns are matched by header name; of a file only the header is read before the job. A column outside the schema
-    gets its type from its name, the same in every file.
+    Columns are matched by header name; of a file only the header is read before the job. The schemas list
+    all published columns; any other is text.
     """
 
     def read(file: str, schema) -> DataFrame:
         kinds = {f.name: f.dataType for f in schema.fields}
         typed = type(schema)()
         for name in spark.read.option("header", True).csv(f"{folder}/{file}").columns:
-            typed.add(name, kinds.get(name) or loan_schema.kind_of(name))
+            typed.add(name, kinds.get(name) or StringType())
         return scan_table(spark, f"{folder}/{file}", typed, "csv")
 
     tables = {name: read(file, schema) for name, (file, schema) in FILES.items()}

@@ -19,39 +19,45 @@ def _schema(ints: list[str], doubles: list[str], strings: list[str]) -> T.Struct
     return T.StructType([T.StructField(c, kind) for names, kind in kinds for c in names])
 
 
-# fixed values: prefixes of numeric columns that no feature names, and the text columns among those with a numeric form
-NUMERIC_PREFIXES = ("AMT_", "CNT_", "DAYS_", "FLAG_", "NFLAG_", "RATE_", "REG_", "LIVE_", "REGION_", "HOUR_", "SELLERPLACE_", "EXT_SOURCE_")
-BUILDING_SUFFIXES = ("_AVG", "_MODE", "_MEDI")
-TEXT_COLUMNS = ["FONDKAPREMONT_MODE", "HOUSETYPE_MODE", "WALLSMATERIAL_MODE", "EMERGENCYSTATE_MODE", "FLAG_LAST_APPL_PER_CONTRACT"]
-
-
-def kind_of(name: str) -> T.DataType:
-    """Type of a column that the schemas below do not list: a number by its name, else text."""
-    numeric = name.startswith(NUMERIC_PREFIXES) or name.endswith(BUILDING_SUFFIXES)
-    return T.DoubleType() if numeric and name not in TEXT_COLUMNS else T.StringType()
-
+# fixed values: building figures, published as average, mode and median
+BUILDING_FIGURES = (
+    "APARTMENTS BASEMENTAREA YEARS_BEGINEXPLUATATION YEARS_BUILD COMMONAREA ELEVATORS ENTRANCES FLOORSMAX FLOORSMIN LANDAREA "
+    "LIVINGAPARTMENTS LIVINGAREA NONLIVINGAPARTMENTS NONLIVINGAREA"
+).split()
+BUILDING_REST = [c for kind in ("AVG", "MODE", "MEDI") for f in BUILDING_FIGURES if (c := f"{f}_{kind}") not in BUILDING]
 
+# all published columns of each file; any other column of a file is read as text
 APPLICATION = _schema(
     ["SK_ID_CURR", "TARGET", "CNT_CHILDREN", "DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_ID_PUBLISH", "REG_CITY_NOT_WORK_CITY"]
     + DOCUMENTS,
     ["CNT_FAM_MEMBERS", "DAYS_REGISTRATION", "DAYS_LAST_PHONE_CHANGE", "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY",
      "AMT_GOODS_PRICE", "OWN_CAR_AGE", "OBS_30_CNT_SOCIAL_CIRCLE", "OBS_60_CNT_SOCIAL_CIRCLE",
-     "DEF_30_CNT_SOCIAL_CIRCLE", "DEF_60_CNT_SOCIAL_CIRCLE"] + SCORES + ENQUIRIES + BUILDING,
+     "DEF_30_CNT_SOCIAL_CIRCLE", "DEF_60_CNT_SOCIAL_CIRCLE", "REGION_POPULATION_RELATIVE", "FLAG_MOBIL",
+     "FLAG_EMP_PHONE", "FLAG_WORK_PHONE", "FLAG_CONT_MOBILE", "FLAG_PHONE", "FLAG_EMAIL", "REGION_RATING_CLIENT",
+     "REGION_RATING_CLIENT_W_CITY", "HOUR_APPR_PROCESS_START", "REG_REGION_NOT_LIVE_REGION",
+     "REG_REGION_NOT_WORK_REGION", "LIVE_REGION_NOT_WORK_REGION", "REG_CITY_NOT_LIVE_CITY", "LIVE_CITY_NOT_WORK_CITY",
+     "TOTALAREA_MODE"] + SCORES + ENQUIRIES + BUILDING + BUILDING_REST,
     ["split", "CODE_GENDER", "NAME_INCOME_TYPE", "NAME_EDUCATION_TYPE", "NAME_FAMILY_STATUS", "NAME_HOUSING_TYPE",
-     "OCCUPATION_TYPE", "ORGANIZATION_TYPE", "FLAG_OWN_CAR", "FLAG_OWN_REALTY"],
+     "OCCUPATION_TYPE", "ORGANIZATION_TYPE", "FLAG_OWN_CAR", "FLAG_OWN_REALTY", "NAME_CONTRACT_TYPE", "NAME_TYPE_SUITE",
+     "WEEKDAY_APPR_PROCESS_START", "FONDKAPREMONT_MODE", "HOUSETYPE_MODE", "WALLSMATERIAL_MODE", "EMERGENCYSTATE_MODE"],
 )
 BUREAU = _schema(
     ["SK_ID_CURR", "SK_ID_BUREAU", "DAYS_CREDIT", "CNT_CREDIT_PROLONG"],
-    ["DAYS_CREDIT_ENDDATE", "AMT_CREDIT_SUM", "AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_SUM_OVERDUE"],
+    ["DAYS_CREDIT_ENDDATE", "AMT_CREDIT_SUM", "AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_SUM_OVERDUE", "CREDIT_DAY_OVERDUE",
+     "DAYS_ENDDATE_FACT", "AMT_CREDIT_MAX_OVERDUE", "AMT_CREDIT_SUM_LIMIT", "DAYS_CREDIT_UPDATE", "AMT_ANNUITY"],
     ["CREDIT_ACTIVE", "CREDIT_CURRENCY", "CREDIT_TYPE"],
 )
 BUREAU_BALANCE = _schema(["SK_ID_BUREAU", "MONTHS_BALANCE"], [], ["STATUS"])
 PREVIOUS = _schema(
     ["SK_ID_PREV", "SK_ID_CURR", "DAYS_DECISION"],
     ["AMT_APPLICATION", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "NFLAG_INSURED_ON_APPROVAL",
-     "DAYS_FIRST_DRAWING", "DAYS_FIRST_DUE", "DAYS_LAST_DUE_1ST_VERSION", "DAYS_LAST_DUE", "DAYS_TERMINATION"],
+     "DAYS_FIRST_DRAWING", "DAYS_FIRST_DUE", "DAYS_LAST_DUE_1ST_VERSION", "DAYS_LAST_DUE", "DAYS_TERMINATION", "AMT_DOWN_PAYMENT",
+     "HOUR_APPR_PROCESS_START", "NFLAG_LAST_APPL_IN_DAY", "RATE_DOWN_PAYMENT", "RATE_INTEREST_PRIMARY",
+     "RATE_INTEREST_PRIVILEGED", "SELLERPLACE_AREA", "CNT_PAYMENT"],
     ["NAME_CONTRACT_TYPE", "NAME_CONTRACT_STATUS", "NAME_PORTFOLIO", "NAME_YIELD_GROUP", "PRODUCT_COMBINATION",
-     "CHANNEL_TYPE", "NAME_PRODUCT_TYPE", "NAME_CLIENT_TYPE"],
+     "CHANNEL_TYPE", "NAME_PRODUCT_TYPE", "NAME_CLIENT_TYPE", "WEEKDAY_APPR_PROCESS_START", "FLAG_LAST_APPL_PER_CONTRACT",
+     "NAME_CASH_LOAN_PURPOSE", "NAME_PAYMENT_TYPE", "CODE_REJECT_REASON", "NAME_TYPE_SUITE", "NAME_GOODS_CATEGORY",
+     "NAME_SELLER_INDUSTRY"],
 )
 POS = _schema(
     ["SK_ID_PREV", "SK_ID_CURR", "MONTHS_BALANCE", "SK_DPD", "SK_DPD_DEF"],

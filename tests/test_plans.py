@@ -88,3 +88,18 @@ def test_csv_to_predictions(spark, tmp_path):
     assert scores.count() == app.where("split = 'test'").count()
     matrix = spark.read.parquet(str(tmp_path / "out" / "matrix"))
     assert matrix.count() == app.count() and len(matrix.columns) > 500
+
+
+def test_csv_types_of_published_and_unknown_columns(spark, tmp_path):
+    headers = {f: "SK_ID_CURR,SK_ID_PREV" for f, _ in scorecard.FILES.values()}
+    headers["bureau.csv"] = "SK_ID_CURR,SK_ID_BUREAU,DAYS_CREDIT,CREDIT_DAY_OVERDUE,AMT_CREDIT_SUM_LIMIT,CREDIT_TYPE,DAYS_NOBODY_KNOWS\n1,1,-5,10,1.5,x,a\n1,2,-6,20,,y,b"
+    for kind in ("train", "test"):
+        headers[f"application_{kind}.csv"] = "SK_ID_CURR,FLOORSMIN_MEDI,FONDKAPREMONT_MODE\n1,0.5,z"
+    for file, text in headers.items():
+        (tmp_path / file).write_text(text + "\n")
+    tables = scorecard.read_loan_tables(spark, str(tmp_path))
+    kinds = dict(tables["bureau"].dtypes)
+    assert kinds["CREDIT_DAY_OVERDUE"] == kinds["AMT_CREDIT_SUM_LIMIT"] == "double"
+    assert kinds["DAYS_NOBODY_KNOWS"] == kinds["CREDIT_TYPE"] == "string"
+    assert tables["bureau"].agg({"CREDIT_DAY_OVERDUE": "avg"}).first()[0] == 15.0
+    assert {("FLOORSMIN_MEDI", "double"), ("FONDKAPREMONT_MODE", "string")} <= set(tables["application"].dtypes)
