@@ -1,4 +1,4 @@
-"""Exact dedup by merging sorted digest runs up a tree.
+"""Exact dedup by merging digest runs up a tree, each level a hash aggregation (no sorted runs are stored or merged).
 
 Each partition of the input becomes a run: one line per distinct text, with its best id and number of rows. In each
 round the runs of ``fan_in`` neighbours merge into one, digest by digest, keeping the best id that has been verified:
