@@ -1,8 +1,8 @@
 """WARC archives through chunked record tables.
 
-A payload travels as rows (record, chunk number, bytes) of at most ``CHUNK`` bytes with the SHA-1 of the payload up to
-and with that chunk; the last chunk's digest is the record's. Writers stream chunks into archives and readers stream
-archives into chunks, so neither holds more of a record than one chunk beyond the row it came in. A payload that an
+When reading, a payload is rows (record, chunk number, bytes) of at most ``CHUNK`` bytes with the SHA-1 of the payload
+up to and with that chunk; the last chunk's digest is the record's. A reader holds one chunk of a record. A writer has the
+whole payload as one value of its row, digested at once, and only cuts it into chunks for the archive. A payload that an
 earlier record holds already is a ``revisit`` record: its HTTP header tells the length, its WARC header the digest and
 the record it refers to.
 """
