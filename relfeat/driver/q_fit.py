@@ -286,3 +286,23 @@ def pca_project(t: Tables):
     projected = model.pca_project(t.customer.where("c_custkey % 5 <> 0"), t.customer, "c_custkey", ["c_nationkey", "c_acctbal"], 2)
     names = ["principal_component_1", "principal_component_2"]
     return projected.select("c_custkey", *[F.round(F.abs(n), 6).alias(n) for n in names])
+
+
+@query(
+    "pca_project_mart",
+    """SELECT count(*) AS n_rows, true AS orthogonal, true AS ordered,
+      round(2 + 5 * avg(CAST(c_custkey IN (SELECT o_custkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey) AS INTEGER)), 6) AS variance
+    FROM customer WHERE c_custkey % 5 <> 0""",
+)
+def pca_project_mart(t: Tables):
+    """All components of the mart: uncorrelated, by falling variance, and with the variance of the features in total,
+    which is 1 for a feature of every customer and the share of customers with orders for one of their history."""
+    train = _customer_mart(t).where("c_custkey % 5 <> 0")
+    n = [f"principal_component_{i + 1}" for i in range(len(_FEATURES))]
+    projected = model.pca_project(train, train, "c_custkey", _FEATURES, len(n))
+    pairs = [f"abs(covar_pop({a}, {b})) < 1e-6" for i, a in enumerate(n) for b in n[:i]]
+    falling = [f"var_pop({a}) >= var_pop({b})" for a, b in zip(n, n[1:])]
+    return projected.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.expr(" AND ".join(pairs)).alias("orthogonal"), F.expr(" AND ".join(falling)).alias("ordered"),
+        F.round(F.expr(" + ".join(f"var_pop({c})" for c in n)), 6).alias("variance"),
+    )

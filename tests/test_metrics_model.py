@@ -83,3 +83,16 @@ def test_principal_components(spark):
     df = spark.range(50).selectExpr("id AS k", "CAST(id AS DOUBLE) AS a", "2D * id AS b", "CAST(hash(id) % 10 AS DOUBLE) AS c")
     out = model.pca_project(df, df, "k", ["a", "b", "c"], 2)
     assert out.columns == ["k", "principal_component_1", "principal_component_2"] and out.count() == 50
+
+
+def test_mean_importance_of_known_values(spark):
+    rows = [(0, "a", 0.75), (0, "b", 0.25), (1, "a", 0.25), (1, "b", 0.75), (2, "a", 0.5), (2, "b", 0.5), (2, "c", 0.0)]
+    got = metrics.mean_importance(spark.createDataFrame(rows, "fold int, feature string, importance double"))
+    assert {r.feature: r.importance for r in got.collect()} == {"a": 0.5, "b": 0.5, "c": 0.0}
+
+
+def test_the_projection_of_the_mart_is_a_query(spark):
+    import __spark_entry__ as entry
+
+    row = entry.queries()["pca_project_mart"](spark, "/root/testdata/sf0.001").first()
+    assert row.n_rows == 120 and row.orthogonal and row.ordered and 2 < row.variance <= 7
