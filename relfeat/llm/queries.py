@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relfeat.llm.byte_bpe import encode_and_decode
+from relfeat.llm.common import stored
 from relfeat.llm.decontaminate import decontaminate
 from relfeat.llm.exact_dedup import exact_dedup
 from relfeat.llm.html_text import main_text
 from relfeat.llm.near_dedup import near_dedup
+from relfeat.llm.periodic_runs import periodic_runs
+from relfeat.llm.prefix_trie import trie_of_keys, turn_keys
 from relfeat.llm.sharding import kd_shards
 from relfeat.llm.token_ids import token_id_round_trip
 from relfeat.llm.toxicity import toxicity
+from relfeat.llm.trie_bpe import trie_encode
 from relfeat.llm.url_filter import url_filter
 from relfeat.llm.warc import warc_round_trip
 
@@ -181,3 +185,74 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup(table(spark, folder, "documents"), keep="largest")
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id, text: with h = crc32(decimal doc_id) divisible by 10, each word i >= a becomes word a + (i - a) % p, where
+    g = h // 10, a = g % n, p = 1 + (n - a) // (3 + g % 8); the words of such a text are joined by one space."""
+    words = F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')")
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    chosen = chosen.withColumn("h", F.crc32(F.col("doc_id").cast("string"))).withColumn("g", F.expr("h DIV 10"))
+    chosen = chosen.withColumn("w", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("w"))
+    chosen = chosen.withColumn("a", F.expr("CASE WHEN n > 0 THEN CAST(g % n AS INT) END"))
+    chosen = chosen.withColumn("p", F.expr("CAST(1 + (n - a) DIV (3 + g % 8) AS INT)"))
+    moved = F.expr("array_join(transform(sequence(0, n - 1), i -> w[IF(i < a, i, a + (i - a) % p)]), ' ')")
+    return chosen.select("doc_id", F.when(F.col("a").isNotNull(), moved).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs(planted(table(spark, folder, "documents")), with_runs=False).drop("text_key")
+
+
+@query("op12_trie_bpe")
+def op12_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return trie_encode(table(spark, folder, "documents"), path, with_ids=False).drop("text_key")
+
+
+def rebuilt(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversation c as the first h turns of conversation c - c % 5 and its own turns after its first h, where
+    h = crc32(decimal c) % 9; and the ids of all conversations."""
+    place = "row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, turn_key) - 1 AS at"
+    own = stored(keys.selectExpr("conv_id", "turn_key", "bytes", place), "numbered-turns")
+    h = "crc32(CAST(conv_id AS STRING)) % 9"
+    ids = stored(own.select("conv_id").distinct(), "conversations")
+    heads = own.where("at < 8").withColumnRenamed("conv_id", "base")
+    taken = ids.selectExpr("conv_id", "conv_id - conv_id % 5 AS base", f"{h} AS h").join(heads, "base").where("at < h")
+    turns = taken.select("conv_id", "at", "turn_key", "bytes").unionByName(own.where(f"at >= {h}"))
+    return turns.withColumnRenamed("at", "turn"), ids
+
+
+@query(
+    "op13_prefix_trie",
+    """
+    WITH t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) - 1 AS pos
+        FROM (SELECT conv_id, turn, strlen(text) AS b, md5(concat(strlen(role), ':', role, text)) AS k
+          FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            WHERE conv_id IS NOT NULL))),
+    crc AS (SELECT conv_id, xor(list_reduce(flatten([[4294967295::BIGINT],
+        flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [ascii(c)::BIGINT, 256, 256, 256, 256, 256, 256, 256, 256]))]),
+        lambda a, x: CASE WHEN x < 256 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295) AS h
+        FROM (SELECT DISTINCT conv_id FROM t)),
+    ids AS (SELECT conv_id, conv_id - conv_id % 5 AS base, h % 9 AS h FROM crc),
+    r AS (SELECT i.conv_id, pos, k, b FROM ids i JOIN t ON t.conv_id = base AND pos < h
+        UNION ALL SELECT conv_id, pos, k, b FROM t JOIN ids USING (conv_id) WHERE pos >= h),
+    p AS (SELECT conv_id, row_number() OVER w AS depth, b, string_agg(k, '') OVER w AS path FROM r
+        WINDOW w AS (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+    a AS (SELECT conv_id, 0 AS depth, 0 AS b, '' AS path FROM ids UNION ALL SELECT conv_id, depth, b, path FROM p),
+    n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(b) AS b FROM a GROUP BY path, depth),
+    kids AS (SELECT left(path, (depth - 1) * 32) AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+    f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (path)),
+    sub AS (SELECT left(path, j * 32) AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * b) AS saved
+        FROM (SELECT *, unnest(range(0, depth + 1)) AS j FROM f) GROUP BY 1),
+    ends AS (SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS names
+        FROM (SELECT *, max(depth) OVER (PARTITION BY conv_id) AS last FROM a) WHERE depth = last GROUP BY 1)
+    SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves,
+        CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(names, '')) AS ends_sha256
+    FROM f JOIN sub USING (path) LEFT JOIN ends USING (path)
+    LEFT JOIN n u ON f.depth > 0 AND u.path = left(f.path, (f.depth - 1) * 32) AND u.depth = f.depth - 1
+    """,
+)
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie_of_keys(*rebuilt(turn_keys(table(spark, folder, "conversations")))).drop("path")
