@@ -1,7 +1,7 @@
 """Aggregates as Spark SQL text. Each one is algebraic, so Spark combines it on the map side before any shuffle.
 
 Quantiles are the exception: they are described here (``Quantile``) and computed by
-``relfeat.operators.grouping``, which treats very large groups separately.
+``relfeat.operators.running`` by rank selection over counted values.
 """
 
 from __future__ import annotations

@@ -5,18 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from relfeat.functions.aggs import ROWS, Quantile, by_name, weighted_mean
 from relfeat.functions.expr import columns, with_exprs
 from relfeat.operators.joins import all_known, as_list, attach_sized, keyed_join, sized
-from relfeat.operators.running import large_group_quantiles
+from relfeat.operators.running import group_quantiles
 from relfeat.session import in_parallel
 from relfeat.sources.tables import columns_by_type
 
-# Spark's exact percentile keeps the distinct values of a group in one task; larger groups take another way.
-LARGE_GROUP_ROWS = 5_000_000
-
 Spec = tuple[str, str]  # (column, aggregate name)
 
 
@@ -25,13 +21,13 @@ def aggregate(
     keys: str | Sequence[str],
     aggs: Mapping[str, str | Quantile],
     null_as_group: bool = False,
-    large_group_rows: int = LARGE_GROUP_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
-    """One row per key with every requested aggregate, from one shuffle.
+    """One row per key with every requested aggregate, all plain ones from one shuffle.
 
     Sums, counts, means, extremes and moments combine on the map side, so a key with a third of all rows costs
-    nothing extra. If quantiles are wanted the group sizes are measured first: groups up to ``large_group_rows``
-    use Spark's exact percentile in the same pass, larger ones are ordered bucket by bucket.
+    nothing extra. Quantiles of all columns come from one scan more, by rank selection over counted values, whatever the
+    size of a group; ``parts`` is the number of cuts of these (default: that of shuffle partitions).
     """
     keys = as_list(keys)
     if not null_as_group:
@@ -40,28 +36,10 @@ def aggregate(
     plain = {n: a for n, a in aggs.items() if not isinstance(a, Quantile)}
     if not quantiles:
         return df.groupBy(*keys).agg(*columns(plain))
-    exact = {n: _percentile(a) for n, a in quantiles.items()}
-    sizes = df.groupBy(*keys).agg(F.expr("count(1) AS __n")).where(F.col("__n") > large_group_rows)
-    if sizes.isEmpty():
-        return df.groupBy(*keys).agg(*columns({n: exact.get(n, plain.get(n)) for n in aggs}))
-    large, _ = sized(sizes.select(*keys))
-    small_rows = keyed_join(df, large, keys, "left_anti", null_safe=True)
-    small = small_rows.groupBy(*keys).agg(*columns({**plain, **exact}))
-    large_rows = keyed_join(df, large, keys, "left_semi", null_safe=True)
-    result = large_rows.groupBy(*keys).agg(*columns({"__n": ROWS, **plain}))
-    for column in dict.fromkeys(q.column for q in quantiles.values()):
-        wanted = {n: q for n, q in quantiles.items() if q.column == column}
-        probs = sorted({p for q in wanted.values() for p in (q.q, q.minus) if p is not None})
-        at = {p: f"__q{i}" for i, p in enumerate(probs)}
-        values = [f"{at[q.q]}{'' if q.minus is None else f' - {at[q.minus]}'} AS `{n}`" for n, q in wanted.items()]
-        found = large_group_quantiles(large_rows, keys, column, probs).selectExpr(*keys, *values)
-        result = keyed_join(result, found, keys, "left", null_safe=True)
-    return small.unionByName(result.drop("__n")).select(*keys, *aggs)
-
-
-def _percentile(q: Quantile) -> str:
-    at = f"percentile({q.column}, {q.q}D)"
-    return at if q.minus is None else f"{at} - percentile({q.column}, {q.minus}D)"
+    result = group_quantiles(df, keys, quantiles, null_as_group, parts)
+    if plain:
+        result = keyed_join(df.groupBy(*keys).agg(*columns(plain)), result, keys, "left", null_as_group)
+    return result.select(*keys, *aggs)
 
 
 def aggregate_named(

@@ -15,20 +15,29 @@ from pyspark.sql import functions as F
 from relfeat.functions.aggs import by_name
 from relfeat.functions.expr import columns, flag, ratio, with_exprs
 from relfeat.operators.grouping import Spec, aggregate
-from relfeat.operators.joins import all_known, as_list
+from relfeat.operators.joins import all_known, as_list, keyed_join
+from relfeat.operators.running import cut_by_range
 
 RANK = "__rank"
 
 
-def lag_diff(df: DataFrame, key: str, time: str, tie: str, name: str) -> DataFrame:
+def lag_diff(df: DataFrame, key: str, time: str, tie: str, name: str, parts: int | None = None) -> DataFrame:
     """Time to the next more recent row of the group; 0 for the most recent row and where the time is missing.
 
     Rows that share a time differ by 0 except the first of them (smallest ``tie``), so only the distinct times of a
-    group are ordered, however many rows it has; the gaps return to their row by (key, time, tie).
+    group are ordered. They are cut by range, a group with many of them at its own times, and scanned within a cut; the
+    most recent time of a cut meets the least recent one of the group's next cut, which is carried over from one row
+    per cut and group. The gaps return to their row by (key, time, tie).
     """
     times = df.where(all_known([key, time])).groupBy(key, time).agg(F.min(tie).alias(tie))
-    gap = f"lag({time}) OVER (PARTITION BY {key} ORDER BY {time} DESC) - {time} AS {name}"
-    gaps = times.selectExpr(key, time, tie, gap).where(f"{name} IS NOT NULL")
+    times = cut_by_range(times, [key, time], parts)
+    after = f"lead(__least) OVER (PARTITION BY {key} ORDER BY __part) AS __after"
+    borders = times.groupBy(key, "__part").agg(F.min(time).alias("__least")).selectExpr(key, "__part", after)
+    borders = borders.where("__after IS NOT NULL")
+    next_time = f"lead({time}) OVER (PARTITION BY {key}, __part ORDER BY {time})"
+    inside = times.selectExpr(key, "__part", time, tie, f"{next_time} AS __next")
+    gaps = keyed_join(inside, borders, [key, "__part"], "left")
+    gaps = gaps.selectExpr(key, time, tie, f"coalesce(__next, __after) - {time} AS {name}").where(f"{name} IS NOT NULL")
     return df.join(gaps, [key, time, tie], "left").withColumn(name, F.expr(f"coalesce({name}, 0)"))
 
 

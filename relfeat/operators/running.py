@@ -1,8 +1,8 @@
 """Running totals and exact quantiles over groups of any size.
 
-A window ordered over one huge group would run in one task. Both operators here first cut the ordered values into
-buckets at approximate quantiles. The cut points are fitted once and become constants of the plan, so a recomputed
-task sees the same buckets; they influence only the balance of the work, never the result.
+A window ordered over one huge group would run in one task. Running totals first cut the ordered values into buckets at
+approximate quantiles, which are constants of the plan; quantiles and gaps cut the common order of group and value into
+stored parts. Either way a recomputed task sees the same cuts, and they influence only the balance of the work.
 """
 
 from __future__ import annotations
@@ -13,8 +13,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from relfeat.functions.aggs import Quantile
 from relfeat.functions.expr import columns
-from relfeat.operators.joins import attach, keyed_join, sized
+from relfeat.operators.joins import attach, keyed_join
+from relfeat.session import stored
 
 BUCKETS = 1_000
 
@@ -59,40 +61,56 @@ def running_totals(
     return joined.selectExpr(*names, *[f"__l_{n} + __b_{n} AS {n}" for n in totals])
 
 
-def large_group_quantiles(
-    rows: DataFrame, keys: Sequence[str], column: str, probs: Sequence[float], buckets: int = BUCKETS
+def cut_by_range(df: DataFrame, by: Sequence[str], parts: int | None = None) -> DataFrame:
+    """Store ``df`` cut along the common order of the columns ``by``, with the number of the cut in ``__part``.
+
+    The cut points are Spark's own sample of that order, so with keys first a group of many rows is cut at its own
+    values and small groups share a part. They balance the work; no result depends on them. Being stored, a lost task
+    cannot move a row to another part.
+    """
+    ranged = df.repartitionByRange(parts, *by) if parts else df.repartitionByRange(*by)
+    return stored(ranged.withColumn("__part", F.spark_partition_id()), "cuts")
+
+
+def group_quantiles(
+    df: DataFrame, keys: Sequence[str], quantiles: Mapping[str, Quantile], null_safe: bool = False, parts: int | None = None
 ) -> DataFrame:
-    """One row per group with ``__q0, __q1, ...``: exact interpolated quantiles of ``column``.
+    """One row per group with exact interpolated quantiles, by rank selection over counted values.
 
-    Counts per bucket locate the one or two buckets that hold the wanted ranks; only their rows are ordered.
+    All columns go through one scan: (keys, column number, value) with its number of rows, combined before the shuffle.
+    These are cut by range, so that a group of any size is spread; counts per cut tell which cut of a group holds a
+    wanted rank, and only there values are ranked, in windows of one cut that spill. A group without values has NULLs.
     """
-    rows = rows.selectExpr(*keys, f"CAST({column} AS DOUBLE) AS __v").where("__v IS NOT NULL")
-    rows = bucketed(rows, "__v", buckets=buckets)
-    by = ", ".join(keys)
-    upto = f"sum(__n) OVER (PARTITION BY {by} ORDER BY __bucket ROWS UNBOUNDED PRECEDING)"
+    cs = list(dict.fromkeys(q.column for q in quantiles.values()))
+    slots = ", ".join(f"{i}, CAST({c} AS DOUBLE)" for i, c in enumerate(cs))
+    long = df.selectExpr(*keys, f"stack({len(cs)}, {slots}) AS (__c, __v)")
+    # a missing value is a level of no rows, which keeps its group
+    levels = long.groupBy(*keys, "__c", "__v").agg(F.expr("count(__v) AS __n"))
+    group = [*keys, "__c"]
+    levels = cut_by_range(levels, [*group, "__v"], parts)
+    by = ", ".join(group)
+    upto = f"sum(__n) OVER (PARTITION BY {by} ORDER BY __part ROWS UNBOUNDED PRECEDING)"
     ranges = (
-        rows.groupBy(*keys, "__bucket")
-        .agg(F.expr("count(1) AS __n"))
-        .selectExpr(
-            *keys, "__bucket", f"{upto} - __n AS __before", f"{upto} AS __upto",
-            f"sum(__n) OVER (PARTITION BY {by}) AS __all",
-        )
-    )
-    spots = [(f"floor({q}D * (__all - 1))", f"ceil({q}D * (__all - 1))") for q in probs]
-    holds = " OR ".join(f"({r} >= __before AND {r} < __upto)" for pair in spots for r in pair)
-    targets, _ = sized(ranges.where(holds))
-    spot = [*keys, "__bucket", "__before", "__all"]
-    levels = (
-        keyed_join(rows, targets, [*keys, "__bucket"], "inner", null_safe=True)
-        .groupBy(*spot, "__v")
-        .agg(F.expr("count(1) AS __n"))
+        levels.groupBy(*group, "__part")
+        .agg(F.expr("sum(__n) AS __n"))
+        .selectExpr(*group, "__part", f"{upto} - __n AS __before", f"{upto} AS __upto", f"sum(__n) OVER (PARTITION BY {by}) AS __all")
     )
-    last = f"__before + sum(__n) OVER (PARTITION BY {', '.join(spot)} ORDER BY __v ROWS UNBOUNDED PRECEDING)"
-    levels = levels.selectExpr("*", f"{last} AS __last")
-    picks = {}
-    for i, (low, high) in enumerate(spots):
+    wanted = sorted({(cs.index(q.column), p) for q in quantiles.values() for p in (q.q, q.minus) if p is not None})
+    spots = {w: (f"floor({w[1]}D * (__all - 1))", f"ceil({w[1]}D * (__all - 1))") for w in wanted}
+    holds = [f"(__c = {c} AND {r} >= __before AND {r} < __upto)" for (c, _), pair in spots.items() for r in pair]
+    targets = ranges.where(" OR ".join(["__all = 0", *holds]))
+    inside = keyed_join(levels, targets, [*group, "__part"], "inner", null_safe)
+    last = f"__before + sum(__n) OVER (PARTITION BY {by}, __part ORDER BY __v ROWS UNBOUNDED PRECEDING)"
+    inside = inside.selectExpr(*group, "__v", "__n", "__all", f"{last} AS __last")
+    picks, at = {}, {}
+    for i, ((c, p), (low, high)) in enumerate(spots.items()):
         for name, r in ((f"__lo{i}", low), (f"__hi{i}", high)):
-            picks[name] = f"max(CASE WHEN {r} >= __last - __n AND {r} < __last THEN __v END)"
-        picks[f"__frac{i}"] = f"max({probs[i]}D * (__all - 1) - {low})"
-    picked = levels.groupBy(*keys).agg(*columns(picks))
-    return picked.selectExpr(*keys, *[f"__lo{i} + (__hi{i} - __lo{i}) * __frac{i} AS __q{i}" for i in range(len(probs))])
+            picks[name] = f"max(CASE WHEN __c = {c} AND {r} >= __last - __n AND {r} < __last THEN __v END)"
+        picks[f"__frac{i}"] = f"max(CASE WHEN __c = {c} THEN {p}D * (__all - 1) - {low} END)"
+        at[c, p] = f"__lo{i} + (__hi{i} - __lo{i}) * __frac{i}"
+    result = {}
+    for name, q in quantiles.items():
+        c = cs.index(q.column)
+        result[name] = at[c, q.q] if q.minus is None else f"({at[c, q.q]}) - ({at[c, q.minus]})"
+    picked = inside.groupBy(*keys).agg(*columns(picks))
+    return picked.select(*keys, *columns(result))

@@ -21,8 +21,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # feature blocks are wide: keep them inside generated code
     "spark.sql.codegen.maxFields": "400",
-    # exact medians per customer: keep the hash way for more than the default 128 groups per task
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
     # checkpoints go when nothing refers to them any more
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # no Python stack capture per column call
@@ -74,6 +72,27 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Compute ``df`` once into a table of the shared folder and read that: one pass over the last stage where a checkpoint
+    takes two, and the planner learns the true size. ``clear_stored`` deletes these tables."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    _stored.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_stored: list[str] = []
+
+
+def clear_stored(spark: SparkSession) -> int:
+    """Delete the tables written by ``stored`` in this process; results that still read them are lost with them."""
+    done = 0
+    while _stored:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+        done += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return done
+
+
 def in_parallel(spark: SparkSession, steps: Sequence[Callable[[], Result]], at_once: int = 8) -> list[Result]:
     """Run independent steps that each start small jobs (statistics, vocabularies) at the same time."""
     if len(steps) < 2:

@@ -4,6 +4,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from relfeat.functions import aggs as A
 from relfeat.functions.aggs import Quantile
@@ -17,6 +18,7 @@ from relfeat.operators.grouping import (
     group_recipe,
     recipe_names,
 )
+from relfeat.operators.running import cut_by_range
 
 
 @pytest.fixture(scope="module")
@@ -48,14 +50,48 @@ def test_moments_match_pandas(frame):
     pd.testing.assert_frame_equal(got, want.set_axis(got.index), check_dtype=False)
 
 
-@pytest.mark.parametrize("buckets_above", [0, 20, 100])
-def test_large_group_quantiles_are_exact(frame, buckets_above):
+@pytest.mark.parametrize("parts", [None, 1, 7, 40])
+def test_quantiles_are_exact_wherever_groups_are_cut(frame, parts):
     aggs = {"m": Quantile("x", 0.5), "iqr": Quantile("n", 0.75, 0.25), "p": Quantile("n", 0.9), "s": "sum(n)"}
-    plain = table(aggregate(frame, "k", aggs), "k")
-    split = table(aggregate(frame, "k", aggs, large_group_rows=buckets_above), "k")
-    assert [r[0] for r in plain] == [r[0] for r in split]
-    for a, b in zip(plain, split):
-        assert a == pytest.approx(b)
+    for null_as_group in (False, True):
+        got = table(aggregate(frame, "k", aggs, null_as_group, parts=parts), "k")
+        rows = frame if null_as_group else frame.where("k IS NOT NULL")
+        want = rows.groupBy("k").agg(*[F.expr(e) for e in ("percentile(x, 0.5)", "percentile(n, 0.75) - percentile(n, 0.25)", "percentile(n, 0.9)", "sum(n)")])
+        want = table(want, "k")
+        assert len(got) == len(want) and all(a == pytest.approx(b) for a, b in zip(got, want))
+
+
+def test_groups_without_values_stay(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, NULL, 2D), (1, NULL, 4D), (2, NULL, NULL), (NULL, 1D, 1D) AS t(k, x, y)")
+    aggs = {"x": Quantile("x", 0.5), "y": Quantile("y", 0.5)}
+    assert table(aggregate(df, "k", aggs), "k") == [(1, None, 3.0), (2, None, None)]
+    assert table(aggregate(df, "k", aggs, null_as_group=True), "k") == [(None, 1.0, 1.0), (1, None, 3.0), (2, None, None)]
+    assert aggregate(df.where("false"), "k", aggs).count() == 0
+
+
+def test_large_groups_in_narrow_ranges_are_cut_at_their_own_values(spark):
+    """Two groups whose values lie in disjoint narrow ranges beside one wide range: no part holds much of any of them."""
+    df = spark.range(60_000).selectExpr(
+        "CAST(id % 3 AS INT) AS k", "CASE id % 3 WHEN 0 THEN 1000 + id / 1e9 WHEN 1 THEN -5 - id / 1e9 ELSE CAST(id * id AS DOUBLE) END AS v"
+    )
+    levels = cut_by_range(df.groupBy("k", "v").count(), ["k", "v"], parts=30)
+    sizes = levels.groupBy("k", "__part").count().collect()
+    assert max(r["count"] for r in sizes) < 5_000 and len(sizes) >= 30
+    got = table(aggregate(df, "k", {"m": Quantile("v", 0.5), "q": Quantile("v", 0.999)}, parts=30), "k")
+    want = table(df.groupBy("k").agg(F.expr("percentile(v, 0.5)"), F.expr("percentile(v, 0.999)")), "k")
+    assert all(a == pytest.approx(b) for a, b in zip(got, want))
+
+
+def test_quantiles_take_one_scan_without_python(spark, tmp_path):
+    spark.range(500).selectExpr("id % 5 AS k", "id AS a", "-id AS b").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    got = aggregate(df, "k", {"a": Quantile("a", 0.5), "b": Quantile("b", 0.25)})
+    after = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # what is left reads the stored cuts only; the stages before were those of one query
+    assert str(tmp_path) not in got._jdf.queryExecution().toString() and "Python" not in plan
+    assert after - before <= 4
 
 
 @pytest.mark.parametrize("limit", [None, 0])

@@ -26,6 +26,17 @@ def test_lag_diff(spark):
     assert table(got, "id") == [(1, 7), (2, 0), (3, 0), (4, 0), (5, 0), (6, 0), (7, 2)]
 
 
+@pytest.mark.parametrize("parts", [1, 5, 40])
+def test_gaps_across_cuts_of_one_hot_key(spark, parts):
+    """One key with almost all rows is spread over the cuts; the gaps at their borders are those of a plain window."""
+    rng = random.Random(5)
+    rows = [(1 if rng.random() < 0.9 else rng.randint(2, 6), i, rng.choice([None, *range(-300, 0)])) for i in range(900)]
+    df = spark.createDataFrame(rows, "k int, id int, day int")
+    got = ordered.lag_diff(df, "k", "day", "id", "gap", parts=parts).select("id", "gap")
+    want = df.selectExpr("id", "coalesce(lag(day) OVER (PARTITION BY k ORDER BY day DESC, id) - day, 0) AS gap")
+    assert table(got, "id") == table(want, "id")
+
+
 def test_last_known_value(spark):
     rows = [(1, -3, 1, 5.0), (1, -1, 2, None), (1, -2, 3, 6.0), (1, -2, 4, 7.0), (2, -1, 5, None)]
     df = spark.createDataFrame(rows, "k int, m int, id int, x double")
