@@ -100,10 +100,49 @@ def test_profiles(spark):
     df = spark.sql("SELECT * FROM VALUES (1D, 2D, 'a'), (2D, 4D, NULL), (3D, 6D, 'a'), (NULL, 1D, 'b') AS t(x, y, c)")
     got = profile.missing_profile(df).collect()
     assert [(r.column_name, r.missing, r.percent) for r in got] == [("c", 1, 25.0), ("x", 1, 25.0), ("y", 0, 0.0)]
-    corr = {(r.a, r.b): r["corr"] for r in profile.correlation_matrix(df, ["x", "y"], pairs_per_pass=2).collect()}
+    corr = {(r.a, r.b): r["corr"] for r in profile.correlation_matrix(df, ["x", "y"]).collect()}
     assert len(corr) == 4 and corr["x", "y"] == corr["y", "x"] == pytest.approx(1.0)
     assert profile.drop_correlated(df, ["x", "y"], 0.9).columns == ["x", "c"]
     assert table(profile.value_counts(df, "c"), "c") == [("a", 2), ("b", 1)]
     assert sum(r.n for r in profile.histogram(df, "x", 2).collect()) == 3
     rates = profile.target_rate_by_category(df, "c", "y").collect()
     assert [(r.c, r.contracts, r.target_rate) for r in rates] == [("a", 2, 4.0), ("b", 1, 1.0)]
+
+
+def test_correlations_over_rows_that_have_both(spark):
+    rng = random.Random(2)
+    names = ["a", "b", "c", "still", "big", "none", "nan"]
+    rows = []
+    for i in range(400):
+        a = rng.gauss(0, 1)
+        rows.append((a if rng.random() < 0.8 else None, a + rng.gauss(0, 1), rng.choice([None, 1.0, 2.0]), 7.0, 1e9 + a, None, float("nan") if i % 3 == 0 else -a))
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names))
+    want = df.toPandas().astype(float).corr()
+    got = {(r.a, r.b): r["corr"] for r in profile.correlation_matrix(df, names).collect()}
+    assert len(got) == 49
+    for (a, b), value in got.items():
+        if "still" in (a, b) or "none" in (a, b):
+            assert value is None
+        else:
+            assert value == pytest.approx(want.loc[a, b], abs=1e-6)
+    assert profile.correlation_matrix(df.where("false"), names).where("corr IS NOT NULL").count() == 0
+
+
+def test_a_wide_mart_is_read_once_for_its_correlations(spark, tmp_path):
+    """561 columns: one relation, no Python, and the same numbers as pandas."""
+    width = 561
+    wide = spark.range(60).selectExpr(*[f"CASE WHEN hash(id, {i}) % 5 <> 0 THEN CAST(hash({i}, id) % 1000 AS DOUBLE) END AS c{i}" for i in range(width)])
+    wide.write.parquet(str(tmp_path / "wide"))
+    df = spark.read.parquet(str(tmp_path / "wide"))
+    names = df.columns
+    plan = profile.moment_vectors(df, names, [(0.0, 1.0)] * width)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Python" not in plan
+    found = profile.correlations(df, names)
+    want = df.toPandas().corr().to_numpy()
+    assert found.shape == (width, width)
+    assert abs(found - want).max() < 1e-9
+
+
+def test_of_correlated_columns_the_earlier_stays(spark):
+    df = spark.range(50).selectExpr("id AS k", "CAST(id AS DOUBLE) AS a", "hash(id) % 10 AS b", "2 * id + 1 AS c", "-id AS d")
+    assert profile.drop_correlated(df, ["a", "b", "c", "d"], 0.9).columns == ["k", "a", "b"]
