@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from relfeat.driver import load
 from relfeat.driver.loan_views import loan_table
 from relfeat.driver.registry import QUERIES, Tables
+from relfeat.operators.model import forget_models
 from relfeat.plans.blocks import CARD_SPREAD, CUSTOMER
 from relfeat.session import build_session
 
@@ -62,7 +63,13 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     load()
     timed(lambda: QUERIES["agg_mean"](spark, folder))
-    seconds = {name: min(timed(lambda: QUERIES[name](spark, folder)) for _ in range(2)) for name in HEADLINE}
+    seconds = {}
+    for name in HEADLINE:
+        runs = []
+        for _ in range(2):
+            forget_models(spark)  # so that a fit is timed, not the reading of saved models
+            runs.append(timed(lambda: QUERIES[name](spark, folder)))
+        seconds[name] = min(runs)
     report = {
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),

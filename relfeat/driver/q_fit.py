@@ -228,48 +228,81 @@ def _customer_mart(t: Tables):
     return encode.label_encode(wide, encode.fit_labels(t.customer, "c_mktsegment"), "c_mktsegment", "segment")
 
 
+def _spend_mart(t: Tables):
+    """What a customer spends in all years, to be told from the orders before 1999."""
+    early = t.lines.where("o_orderdate < DATE '1999-01-01'").withColumnRenamed("o_custkey", "c_custkey")
+    history = aggregate(
+        early,
+        "c_custkey",
+        {
+            "n_lines": "count(1)", "mean_qty": "avg(l_quantity)", "mean_dpd": "avg(dpd)",
+            "sum_price": "sum(l_extendedprice)", "share_R": share("l_returnflag", "R"),
+        },
+    )
+    spent = aggregate(t.lines.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", {"spent": "sum(l_extendedprice)"})
+    wide = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment").join(history, "c_custkey", "left").join(spent, "c_custkey", "left")
+    wide = wide.withColumn("target", F.when(F.col("spent") > 2_000_000, 1).otherwise(0)).drop("spent")
+    return encode.label_encode(wide, encode.fit_labels(t.customer, "c_mktsegment"), "c_mktsegment", "segment")
+
+
 def _cross_validated(t: Tables):
-    mart = _customer_mart(t)
+    mart = _spend_mart(t)
     train = mart.where("c_custkey % 5 <> 0")
     return mart, model.cross_validate(train, "c_custkey", "target", _FEATURES, max_iter=5, max_depth=4)
 
 
-# tree growth has no SQL; what must hold of any fit has: folds and rows, one score per key, shares that sum to 1
-_TRAIN = "(SELECT c_custkey, CAST(c_acctbal < 0 AS INTEGER) AS label, " + _FOLD.format(key="c_custkey") + " AS fold FROM customer WHERE c_custkey % 5 <> 0)"
+# tree growth has no SQL; what must hold of any useful fit has: folds and rows, AUC, the side on which labels score, shares
+# that sum to 1. A score that is the same for all rows fails each of them
+_SPEND = """(SELECT c_custkey, CAST(coalesce(spent, 0) > 2000000 AS INTEGER) AS label FROM customer LEFT JOIN
+  (SELECT o_custkey, sum(l_extendedprice) AS spent FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1) ON c_custkey = o_custkey)"""
+_TRAIN = f"(SELECT c_custkey, label, {_FOLD.format(key='c_custkey')} AS fold FROM {_SPEND} WHERE c_custkey % 5 <> 0)"
 
 
 @query(
     "train_gbt_cv",
-    f"""SELECT fold, count(*) AS n_rows, true AS auc_in_range FROM (SELECT fold FROM {_TRAIN} UNION ALL SELECT -1 FROM {_TRAIN}) GROUP BY 1""",
+    f"""SELECT fold, count(*) AS n_rows, true AS auc_above, true AS trees_in_range FROM (SELECT fold FROM {_TRAIN} UNION ALL SELECT -1 FROM {_TRAIN})
+    GROUP BY 1""",
 )
 def train_gbt_cv(t: Tables):
     report = model.fold_report(_cross_validated(t)[1])
-    return report.select("fold", "n_rows", F.expr("coalesce(auc, 0.5) BETWEEN 0 AND 1 AND n_trees > 0").alias("auc_in_range"))
+    trees = F.expr("n_trees BETWEEN 1 AND 5 OR (fold = -1 AND n_trees BETWEEN 5 AND 25)")
+    return report.select("fold", "n_rows", F.expr("coalesce(auc, 0) > 0.6").alias("auc_above"), trees.alias("trees_in_range"))
 
 
-@query("oof_predict", f"SELECT c_custkey, label, fold, true AS score_in_range FROM {_TRAIN}")
+@query("oof_predict", f"SELECT c_custkey, label, fold, true AS score_in_range, true AS separates FROM {_TRAIN}")
 def oof_predict(t: Tables):
     oof = _cross_validated(t)[1].oof
-    return oof.select("c_custkey", "label", "fold", F.expr("score BETWEEN 0 AND 1").alias("score_in_range"))
+    gaps = model.separation(oof, "label", "score", "fold")
+    return oof.join(F.broadcast(gaps), "fold").select(
+        "c_custkey", "label", "fold", F.expr("score BETWEEN 0 AND 1").alias("score_in_range"), F.expr("gap > 0.1").alias("separates")
+    )
 
 
-@query("score_avg_folds", "SELECT c_custkey, true AS score_in_range FROM customer WHERE c_custkey % 5 = 0")
+@query("score_avg_folds", f"SELECT c_custkey, label, true AS score_in_range, true AS separates FROM {_SPEND} WHERE c_custkey % 5 = 0")
 def score_avg_folds(t: Tables):
     mart, result = _cross_validated(t)
-    scored = result.score_average(mart.where("c_custkey % 5 = 0"))
-    return scored.select("c_custkey", F.expr("score BETWEEN 0 AND 1").alias("score_in_range"))
+    test = mart.where("c_custkey % 5 = 0")
+    scored = result.score_average(test).join(test.selectExpr("c_custkey", "target AS label"), "c_custkey")
+    gap = model.separation(scored, "label", "score")
+    return scored.crossJoin(F.broadcast(gap)).select(
+        "c_custkey", "label", F.expr("score BETWEEN 0 AND 1").alias("score_in_range"), F.expr("gap > 0.1").alias("separates")
+    )
 
 
 @query(
     "feature_importance",
-    "SELECT unnest(['n_lines', 'mean_qty', 'mean_dpd', 'sum_price', 'share_R', 'c_nationkey', 'segment']) AS feature, true AS in_range, 1.0::DOUBLE AS total",
+    """SELECT feature, true AS in_range, 1.0::DOUBLE AS total, feature = 'sum_price' AS first
+    FROM (SELECT unnest(['n_lines', 'mean_qty', 'mean_dpd', 'sum_price', 'share_R', 'c_nationkey', 'segment']) AS feature)""",
 )
 def feature_importance(t: Tables):
+    """The early spend matters most for the whole spend."""
     from relfeat.operators.ordered import top_n
 
     top = top_n(metrics.mean_importance(_cross_validated(t)[1].importances()), 50, "importance", "feature")
-    total = top.agg(F.round(F.sum("importance"), 6).alias("total"))
-    return top.crossJoin(F.broadcast(total)).select("feature", F.expr("importance BETWEEN 0 AND 1").alias("in_range"), "total")
+    total = top.agg(F.round(F.sum("importance"), 6).alias("total"), F.max("importance").alias("most"))
+    return top.crossJoin(F.broadcast(total)).select(
+        "feature", F.expr("importance BETWEEN 0 AND 1").alias("in_range"), "total", F.expr("importance = most").alias("first")
+    )
 
 
 _Z = "(c_nationkey - m1) / s1 AS x, (c_acctbal - m2) / s2 AS y, sign(r) AS r"

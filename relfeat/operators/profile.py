@@ -49,13 +49,13 @@ def target_rate_by_category(df: DataFrame, category: str, target: str) -> DataFr
     return rates.orderBy(F.desc("target_rate"), category)
 
 
-def sampled_scale(df: DataFrame, columns: Sequence[str], rows: int = SCALE_ROWS) -> list[tuple[float, float]]:
-    """A centre and a width per column from some rows. Correlations do not depend on them; sums of products lose
+def sampled_scale(df: DataFrame, columns: Sequence[str], rows: int = SCALE_ROWS) -> list[tuple[float, float]] | None:
+    """A centre and a width per column from some rows; None without rows. Correlations do not depend on them; sums of products lose
     fewer digits when the values lie around 0 and are of order 1."""
     stats = {f"m{i}": f"avg({_number(c)})" for i, c in enumerate(columns)}
     stats |= {f"s{i}": f"stddev_pop({_number(c)})" for i, c in enumerate(columns)}
-    found = df.select(*columns).limit(rows).agg(*named(stats)).first()
-    return [(found[f"m{i}"] or 0.0, found[f"s{i}"] or 1.0) for i in range(len(columns))]
+    found = df.select(*columns).limit(rows).agg(*named({"n": ROWS, **stats})).first()
+    return None if found.n == 0 else [(found[f"m{i}"] or 0.0, found[f"s{i}"] or 1.0) for i in range(len(columns))]
 
 
 def _number(c: str) -> str:
@@ -79,9 +79,10 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     back. One scan, however many columns.
     """
     d = len(columns)
-    if d == 0:
-        return np.empty((0, 0))
-    vectors = MLUtils.convertVectorColumnsFromML(moment_vectors(df, columns, sampled_scale(df, columns)), "v")
+    scale = sampled_scale(df, columns) if d else None
+    if scale is None:
+        return np.full((d, d), np.nan)
+    vectors = MLUtils.convertVectorColumnsFromML(moment_vectors(df, columns, scale), "v")
     gram = RowMatrix(vectors, numCols=3 * d).computeGramianMatrix().toArray()
     x, mask, square = slice(0, d), slice(d, 2 * d), slice(2 * d, 3 * d)
     n, sums, squares = gram[mask, mask], gram[x, mask], gram[square, mask]

@@ -1,5 +1,6 @@
 """Ranking metrics against brute force over all pairs; folds; models on a planted signal."""
 
+import math
 import random
 
 import pytest
@@ -79,6 +80,73 @@ def test_cross_validation_finds_a_planted_signal(spark):
     assert top.feature == "a"
 
 
+@pytest.fixture(scope="module")
+def noisy(spark):
+    return spark.range(500).selectExpr(
+        "id AS k", "CAST(hash(id) % 50 AS DOUBLE) AS a", "CAST(hash(id, 1) % 100 AS DOUBLE) AS b",
+        "CAST(hash(id) % 50 + hash(id, 2) % 60 > 0 AS INT) AS y",
+    ).cache()
+
+
+def test_staged_scores_are_those_of_the_first_trees(spark, noisy, tmp_path):
+    rows = model.assemble(noisy, ["a", "b"]).selectExpr("k", "CAST(y AS DOUBLE) AS label", "CAST(k % 2 AS INT) AS fold", "features")
+    whole = model.GBTClassifier(featuresCol="features", labelCol="label", maxIter=6, maxDepth=3, seed=3).fit(rows)
+    whole.save(str(tmp_path / "m"))
+    staged = model.staged_margins(whole, str(tmp_path / "m"), rows)
+    margins = {r.k: r.margins for r in staged.collect()}
+    auc = model.staged_auc(staged, "label", "fold")
+    for n in (1, 2, 6):
+        cut = model.first_trees(whole, n)
+        scored = model._probability(cut, rows, "score")
+        assert cut.getNumTrees == n and cut.featureImportances.size == 2
+        for r in scored.collect():
+            assert r.score == pytest.approx(1 / (1 + math.exp(-2 * margins[r.k][n - 1])))
+        for r in metrics.auc_by_fold(scored, "label", "score", "fold").collect():
+            if r.fold != metrics.ALL_ROWS:
+                assert auc[r.fold][n - 1] == pytest.approx(r.auc)
+
+
+def test_number_of_trees():
+    assert model.best_stage([0.5, 0.7, 0.7, 0.6]) == 2
+    assert model.best_stage([0.5, 0.4, 0.3, 0.9], patience=2) == 1
+    assert model.best_stage([0.5, 0.4, 0.6, 0.9], patience=3) == 4
+    assert model.best_stage([None, None]) == 2
+
+
+def test_the_same_data_and_settings_are_fitted_once(spark, noisy, monkeypatch):
+    options = {"k": 2, "max_iter": 3, "max_depth": 2}
+    first = model.cross_validate(noisy, "k", "y", ["a", "b"], **options)
+    fits = []
+    real = model.GBTClassifier.fit
+    monkeypatch.setattr(model.GBTClassifier, "fit", lambda self, df: fits.append(1) or real(self, df))
+    again = model.cross_validate(noisy.repartition(3), "k", "y", ["a", "b"], **options)
+    assert not fits and sorted(again.oof.collect()) == sorted(first.oof.collect())
+    assert sorted(again.importances().collect()) == sorted(first.importances().collect())
+    model.cross_validate(noisy.where("k <> 7"), "k", "y", ["a", "b"], **options)
+    assert len(fits) == 2
+    model.cross_validate(noisy, "k", "y", ["a", "b"], **{**options, "max_depth": 1})
+    assert len(fits) == 4
+    model.cross_validate(noisy, "k", "y", ["a", "b"], reuse=False, **options)
+    assert len(fits) == 6
+
+
+def test_a_constant_score_fails_the_checks_of_the_model_queries(spark, noisy):
+    same = noisy.selectExpr("k", "y AS label", "CAST(k % 3 AS INT) AS fold", "0.5D AS score")
+    assert all(r.gap == 0 for r in model.separation(same, "label", "score", "fold").collect())
+    assert all(r.auc == 0.5 for r in metrics.auc_by_fold(same, "label", "score", "fold").collect())
+
+
+@pytest.mark.parametrize("name", ["train_gbt_cv", "oof_predict", "score_avg_folds", "feature_importance"])
+def test_model_queries_hold_what_their_sql_states(spark, name):
+    import __spark_entry__ as entry
+
+    rows = entry.queries()[name](spark, "/root/testdata/sf0.01").collect()
+    for flag in ("auc_above", "trees_in_range", "score_in_range", "separates", "in_range"):
+        assert all(r[flag] for r in rows if flag in r.asDict())
+    if name == "feature_importance":
+        assert [r.feature for r in rows if r["first"]] == ["sum_price"]
+
+
 def test_principal_components(spark):
     df = spark.range(50).selectExpr("id AS k", "CAST(id AS DOUBLE) AS a", "2D * id AS b", "CAST(hash(id) % 10 AS DOUBLE) AS c")
     out = model.pca_project(df, df, "k", ["a", "b", "c"], 2)
