@@ -9,36 +9,30 @@ Steps, none of which puts a group into one task or lists all pairs of a group:
 1. one signature per document; equal sets become one class, named by its smallest id;
 2. a short key that only one class has can be in no shared table: only shared short keys are combined;
 3. a shingle that no other candidate has counts against every pair: with ``m`` the smaller number of shared shingles
-   of two sets, their similarity is at most m / (sum of sizes - m). This rules out most pairs of edited copies that
-   are near but not near enough, without looking at both sets;
-4. buckets with the same members count once; members are compared with some pivots of their bucket per round, pairs
-   that are in one component already not at all, until every pair of a bucket was compared, ruled out or is connected;
-5. verified links join components by alternating large and small stars, so that any two linked texts share one.
+   of two sets, their similarity is at most m / (sum of sizes - m);
+4. each member of a bucket is compared with one central member of its buckets, which connects most copies of a group;
+5. what is not connected is joined by prefixes: with the shingles of a set ordered by rarity, two similar sets share one
+   of their first n - ceil(s * n) + 1. A shingle that one component holds alone gives no pair, of a shingle of several
+   components the members beyond the largest meet the others, and sizes and places in the order rule out pairs before
+   any set is looked at. So template text never meets, and copies that are connected are not compared again;
+6. verified links join components by alternating large and small stars, so that any two linked texts share one.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relfeat.llm.common import Words, bounded, byte_class, keyed, mixed, shingle_hashes, slices, small_batches, stored
+from relfeat.llm.common import Words, byte_class, keyed, mixed, shingle_hashes, slices, small_batches, stored
 
 # anything but ASCII white space
 WORD = ~byte_class((9, 13), (32, 32))
 SIGNATURE = "doc_id LONG, text_key LONG, n LONG, digest BINARY, a ARRAY<LONG>, b ARRAY<LONG>"
-PEELS = 2
-# rounds in which each id is compared with one central member of a larger component: they connect most
-CENTRAL_ROUNDS = 3
-# pivots of a bucket per later round; these compare all that is left
-PIVOTS = 256
-# buckets of an id that take part in finding a pair's first common one
-TOLD = 16
 
 
 def shingle_sets(column: pa.Array, words_each: int) -> list[np.ndarray]:
@@ -124,10 +118,8 @@ def near_dedup(
     classes = stored(usable.groupBy("digest").agg(F.min("doc_id").alias("class_id")), "classes")
     one_each = usable.join(classes.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("class_id")))
     members = shared_buckets(one_each.select("class_id", "n", "a", "b"))
-    ids = bounded(stored(members.select(F.col("id").alias("doc_id")).distinct(), "candidates"))
+    ids = members.select(F.col("id").alias("doc_id")).distinct()
     sets = stored(texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(full_sets(words_each), "id LONG, shingles ARRAY<LONG>"), "sets")
-    for _ in range(PEELS):  # who is ruled out shares nothing any more
-        members = stored(prunable(members.select("key", "id", "n"), sets, similar), "able-members")
     found = components(members, sets, similar)
     return (
         signed.join(classes, "digest", "left")
@@ -142,27 +134,17 @@ def shared_buckets(classes: DataFrame) -> DataFrame:
     short = classes.select(F.col("class_id").alias("id"), "n", F.posexplode(F.concat("a", "b")).alias("slot", "h"), F.size("a").alias("m"))
     short = stored(short, "short-keys")
     again = short.groupBy("slot", "h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("slot", "h")
-    shared = stored(short.join(stored(again, "shared-keys"), ["slot", "h"]), "short-shared")
+    shared = stored(short.join(again, ["slot", "h"]), "short-shared")
     a = shared.where("slot < m").select("id", "n", F.xxhash64("slot", "h").alias("ha"))
     b = shared.where("slot >= m").select("id", F.xxhash64("slot", "h").alias("hb"))
     tables = stored(a.join(b, "id").select("id", "n", F.xxhash64("ha", "hb").alias("key")).distinct(), "tables")
     code = F.xxhash64("id")
     alike = [F.count(F.lit(1)).alias("c"), F.sum(F.shiftright(code, 32)).alias("s"), F.bit_xor(code).alias("x"), F.min("id").alias("low")]
     buckets = tables.groupBy("key").agg(*alike).where("c > 1")
-    chosen = stored(buckets.groupBy("c", "s", "x", "low").agg(F.min("key").alias("key")).select("key"), "buckets")
+    chosen = buckets.groupBy("c", "s", "x", "low").agg(F.min("key").alias("key")).select("key")
     return stored(tables.join(chosen, "key"), "members")
 
 
-def prunable(members: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """``key, id, n, c``: ``c`` shingles that another candidate has too; ids that cannot be linked at all are left out."""
-    num, den = similar
-    alive = members.select("id").distinct()
-    owners = sets.join(alive, "id", "left_semi").select("id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id"))
-    alone = stored(owners.where("k = 1").groupBy("id").agg(F.count(F.lit(1)).alias("u")), "own-shingles")
-    counted = members.join(alone, "id", "left").select("key", "id", "n", F.expr("n - coalesce(u, 0)").alias("c"))
-    return counted.where(f"{den} * c >= {num} * n")
-
-
 def able(similar: tuple[int, int], n: str = "n", c: str = "c", pn: str = "pn", pc: str = "pc") -> str:
     """Whether sizes and shared shingles allow a pair to be similar."""
     num, den = similar
@@ -170,92 +152,56 @@ def able(similar: tuple[int, int], n: str = "n", c: str = "c", pn: str = "pn", p
 
 
 def components(members: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """``id, component`` of every member of a bucket: a few rounds of one comparison per id, then all that is left."""
-    labels = stored(members.select("id").distinct().withColumn("component", F.col("id")), "labels")
-    done: list[DataFrame] = []
-    for seed in range(CENTRAL_ROUNDS):
-        pairs = central_pairs(members, labels, similar, seed)
-        labels = relabel(labels, stored(similar_pairs(fresh(pairs, done), sets, similar), "links"))
-    outside, turns = outsiders(members, labels, sets)
-    buckets = first_buckets(members, outside) if turns else None
-    for turn in range(turns):
-        pairs = pivot_pairs(members, labels, outside.where(f"turn = {turn}"), buckets, similar)
-        labels = relabel(labels, stored(similar_pairs(fresh(pairs, done), sets, similar), "links"))
-    return labels
-
-
-def fresh(pairs: DataFrame, done: list[DataFrame]) -> DataFrame:
-    """The distinct pairs that were not compared before; remembers them."""
-    pairs = pairs.distinct()
-    pairs = stored(pairs.join(reduce(DataFrame.unionByName, done), ["x", "y"], "left_anti") if done else pairs, "pairs")
-    done.append(pairs)
-    return pairs
-
-
-def bucket_sizes(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members with their component; the largest component of each bucket that has several, and the number of others."""
-    known = stored(members.join(labels, "id"), "labelled-members")
-    sizes = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("own"))
-    top = sizes.groupBy("key").agg(F.max(F.struct("own", "component")).alias("top"), F.sum("own").alias("all"))
-    top = top.where("top.own < all").select("key", F.col("top.component").alias("largest"), F.expr("all - top.own AS others"))
-    return known, stored(top, "largest")
-
-
-def central_pairs(members: DataFrame, labels: DataFrame, similar: tuple[int, int], seed: int) -> DataFrame:
-    """For each id beyond the largest component of a bucket one member of that component: of all its buckets the one
-    with the fewest shingles of its own, ties by hash. One row per member of a bucket, one pair per id."""
-    known, top = bucket_sizes(members, labels)
-    both = known.join(top, "key")
-    order = F.struct((F.col("n") - F.col("c")).alias("own"), F.xxhash64("id", F.lit(seed)).alias("h"), "id", "n", "c")
-    heads = stored(both.where("component = largest").groupBy("key").agg(F.min(order).alias("head")), "heads")
-    outside = both.where("component <> largest").join(heads, "key").where(able(similar, pn="head.n", pc="head.c"))
-    chosen = outside.groupBy("id").agg(F.min("head").alias("head"))
-    return chosen.select(F.least("id", "head.id").alias("x"), F.greatest("id", "head.id").alias("y"))
-
-
-def outsiders(members: DataFrame, labels: DataFrame, sets: DataFrame) -> tuple[DataFrame, int]:
-    """The members of each bucket beyond its largest component, about ``PIVOTS`` of them per turn; number of turns.
-
-    When each has been a pivot, all pairs of the bucket are settled: the rest of it is one component. ``held`` is how
-    many of a pivot's shingles the largest component has anywhere: no member of it can share more with the pivot.
-    """
-    known, top = bucket_sizes(members, labels)
-    turn = F.pmod(F.xxhash64("id"), F.ceil(F.col("others") / PIVOTS)).alias("turn")
-    outside = known.join(top, "key").where("component <> largest")
-    outside = stored(outside.select("key", F.col("id").alias("pid"), F.col("n").alias("pn"), F.col("c").alias("pc"), "largest", turn), "outsiders")
-    if outside.isEmpty():
-        return outside, 0
-    asked = stored(outside.select("pid", "largest").distinct(), "asked")
-    wanted = stored(asked.select("largest").distinct(), "asked-components")
-    inside = labels.withColumnRenamed("component", "largest").join(wanted, "largest")
-    held = stored(sets.join(inside, "id").select("largest", F.explode("shingles").alias("shingle")).distinct(), "component-shingles")
-    own = sets.withColumnRenamed("id", "pid").join(asked, "pid").select("pid", "largest", F.explode("shingles").alias("shingle"))
-    counts = stored(own.join(held, ["largest", "shingle"]).groupBy("pid", "largest").agg(F.count(F.lit(1)).alias("held")), "held")
-    outside = stored(outside.join(counts, ["pid", "largest"], "left").na.fill(0, ["held"]), "outsiders-held")
-    return outside, outside.agg(F.max("turn")).first()[0] + 1
-
-
-def first_buckets(members: DataFrame, outside: DataFrame) -> DataFrame:
-    """``id, keys``: the first ``TOLD`` open buckets of each id in the order of their keys."""
-    keys = stored(outside.select("key").distinct(), "open-keys")
-    listed = members.join(keys, "key").groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys"))
-    return stored(listed.select("id", F.slice("keys", 1, TOLD).alias("keys")), "first-buckets")
-
-
-def pivot_pairs(members: DataFrame, labels: DataFrame, pivots: DataFrame, buckets: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """The pivots with all of their buckets that they may be linked with and are not connected with.
-
-    A pair of ids shares many buckets. It is taken up in the first that the lists of both name, which is one they share;
-    only a pair without such a bucket is taken up in each that it shares.
-    """
-    known = members.join(labels, "id").join(buckets, "id")
-    # the largest component may have been merged into another since; it still holds what it held
-    pivots = pivots.join(labels.toDF("pid", "pcomponent"), "pid").join(labels.toDF("largest", "largest_now"), "largest")
-    pivots = pivots.join(buckets.toDF("pid", "pkeys"), "pid")
-    bound = "CASE WHEN component = largest_now AND largest = largest_now THEN least(held, pc) ELSE pc END"
-    first = "coalesce(array_min(array_intersect(keys, pkeys)), key) = key"
-    pairs = known.join(pivots, "key").where(f"component <> pcomponent AND {able(similar, pc=bound)} AND {first}")
-    return pairs.select(F.least("id", "pid").alias("x"), F.greatest("id", "pid").alias("y"))
+    """``id, component`` of every member of a bucket."""
+    prefixes, shared = rare_prefixes(sets, similar)
+    links = stored(similar_pairs(central_pairs(members, shared, similar), sets, similar), "links")
+    labels = relabel(members.select("id").distinct().withColumn("component", F.col("id")), links)
+    pairs = stored(prefix_pairs(prefixes, labels, similar), "pairs")
+    return relabel(labels, stored(similar_pairs(pairs, sets, similar), "links"))
+
+
+def rare_prefixes(sets: DataFrame, similar: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """``id, n, place, shingle``: the part of each set's prefix that another candidate has too, in the order of rarity,
+    with the number of shingles before it; and ``id, c``: the number of shared shingles of each set that can be linked."""
+    num, den = similar
+    every = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    counts = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    order = F.array_sort(F.collect_list(F.struct("k", "shingle"))).alias("rare")
+    listed = every.join(counts, "shingle").groupBy("id", "n").agg(order)
+    listed = listed.select("id", "n", F.size("rare").alias("c"), F.expr(f"n - CAST(ceil({num} * n / {den}) AS INT) + 1 AS size"), "rare")
+    # shingles of its own come first in any order: they take up the first n - c places
+    listed = listed.select("id", "n", "c", F.expr("slice(rare, 1, greatest(size - (n - c), 0)) AS rare"))
+    listed = stored(listed.where("size(rare) > 0"), "prefixes")
+    placed = listed.select("id", "n", "c", F.posexplode("rare").alias("at", "r"))
+    return placed.select("id", "n", F.expr("n - c + at AS place"), "r.shingle"), listed.select("id", "c")
+
+
+def central_pairs(members: DataFrame, shared: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """For each id one member of its buckets: of the most central ones of all its buckets, those with the fewest shingles
+    of their own, the first; ties by hash. One row per member of a bucket, one pair per id."""
+    known = members.join(shared, "id").select("key", "id", "n", "c")
+    order = F.struct((F.col("n") - F.col("c")).alias("own"), F.xxhash64("id").alias("h"), "id", "n", "c")
+    heads = known.groupBy("key").agg(F.min(order).alias("head"))
+    both = known.join(heads, "key").where(f"id <> head.id AND {able(similar, pn='head.n', pc='head.c')}")
+    chosen = both.groupBy("id").agg(F.min("head").alias("head"))
+    return chosen.select(F.least("id", "head.id").alias("x"), F.greatest("id", "head.id").alias("y")).distinct()
+
+
+def prefix_pairs(prefixes: DataFrame, labels: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """The pairs of different components that share a shingle of their prefixes and may be similar by size and place."""
+    num, den = similar
+    rows = stored(prefixes.join(labels, "id"), "labelled-prefixes")
+    sizes = rows.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("own"))
+    top = sizes.groupBy("shingle").agg(F.max(F.struct("own", "component")).alias("top"), F.sum("own").alias("all"))
+    top = top.where("top.own < all").select("shingle", F.col("top.component").alias("largest"))
+    open_rows = rows.join(top, "shingle")
+    outside = open_rows.where("component <> largest").select("shingle", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"), F.col("component").alias("cx"))
+    others = open_rows.select("shingle", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"), F.col("component").alias("cy"), "largest")
+    # at the first shingle that both prefixes have, no more than the rest of the shorter side can follow
+    common = "least(nx - px, ny - py)"
+    fits = f"{den} * ({common}) >= {num} * (nx + ny - ({common}))"
+    pairs = outside.join(others, "shingle").where(f"cx <> cy AND (cy = largest OR x < y) AND {fits}")
+    return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
@@ -273,7 +219,7 @@ def relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     edges = links.join(a, "x").join(b, "y").where("cx <> cy").select(F.greatest("cx", "cy").alias("u"), F.least("cx", "cy").alias("v")).distinct()
     roots = star_components(edges)
     if roots is None:
-        return labels
+        return stored(labels, "labels")
     joined = labels.join(roots.toDF("component", "root"), "component", "left")
     return stored(joined.select("id", F.coalesce("root", "component").alias("component")), "labels")
 
@@ -282,21 +228,23 @@ def star_components(edges: DataFrame) -> DataFrame | None:
     """``u, root`` for every node that is not the smallest of its component, from edges ``u > v``; None without edges.
 
     Large star: every larger neighbour of a node is linked to the smallest neighbour. Small star: every smaller one.
-    Both keep components and shrink paths; at rest each node is linked to its root only.
+    Both keep components and shrink paths; at rest each node is linked to its root only, which is seen from the edges:
+    no node has two and no root has one.
     """
     edges = stored(edges, "edges")
     if edges.isEmpty():
         return None
-    state = None
-    while True:
+    while not at_rest(edges):
         around = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = stored(around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "lowest")
+        low = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = around.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        large = stored(large, "large-star")
-        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.toDF("u", "v")).where("u > v").distinct()
-        edges = stored(small, "small-star")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.shiftright(F.xxhash64("u", "v"), 32)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == state:
-            return edges.toDF("u", "root")
-        state = now
+        edges = stored(small, "stars")
+    return edges.toDF("u", "root")
+
+
+def at_rest(edges: DataFrame) -> bool:
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up > 0 AND down > 0)").isEmpty()

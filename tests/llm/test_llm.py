@@ -155,6 +155,34 @@ def test_near_dedup_of_a_group_with_many_outsiders(spark):
     assert 1 < len(set(expected.values())) < 120
 
 
+def test_pages_of_one_template_are_hardly_compared(spark, monkeypatch):
+    """Each two pages are about 0.7 alike, with edits from a shared pool: all share buckets, none is linked."""
+    from relfeat.llm import near_dedup as module
+
+    rng = random.Random(12)
+    base, pool = [f"t{i}" for i in range(200)], [f"e{i}" for i in range(400)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for k in rng.sample(range(0, 200, 3), 13):
+            words[k] = rng.choice(pool)
+        rows.append((i, " ".join(words)))
+    seen = {}
+    real = module.stored
+
+    def counted(df, name):
+        table = real(df, name)
+        if name == "pairs":
+            seen[name] = table.count()
+        return table
+
+    monkeypatch.setattr(module, "stored", counted)
+    expected = components_by_force(rows, 3, 85, 100)
+    got = near_dedup(spark.createDataFrame(rows, "doc_id LONG, text STRING"), words_each=3, similar=(85, 100))
+    assert {r.doc_id: r.component_id for r in got.collect()} == expected
+    assert len(set(expected.values())) == 300 and seen["pairs"] < 300 * 299 / 2 / 10
+
+
 def test_near_dedup_empty(spark):
     assert near_dedup(empty_docs(spark)).count() == 0
 
