@@ -16,7 +16,7 @@ from relfeat.sources import tables as src
 
 @query("scan_table", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def scan_table(t: Tables):
-    return src.nan_to_null(t.customer, ["c_acctbal"])
+    return t.scan("customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
 @query("sink_predictions", "SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 1.0::DOUBLE ELSE 0.25::DOUBLE END AS score FROM customer")
@@ -67,7 +67,8 @@ def rename_prefix(t: Tables):
 
 @query("filter_rows", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000")
 def filter_rows(t: Tables):
-    return t.orders.where("o_orderstatus = 'F' and o_totalprice > 100000").select("o_orderkey", "o_totalprice")
+    orders = t.scan("orders", ("o_orderstatus", "=", "F"), ("o_totalprice", ">", 100000))
+    return orders.select("o_orderkey", "o_totalprice")
 
 
 @query("flag_threshold", "SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS in_debt, CASE WHEN c_nationkey >= 12 THEN 1 ELSE 0 END AS far FROM customer")

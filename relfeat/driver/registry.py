@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relfeat.sources.tables import scan_table
+from relfeat.sources.tables import Condition, scan_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,10 @@ class Tables:
             raise AttributeError(name)
         return scan_table(self.spark, f"{self.folder}/{name}.parquet")
 
+    def scan(self, name: str, *where: Condition) -> DataFrame:
+        """The rows of a table that meet all conditions, which the scan itself looks at."""
+        return scan_table(self.spark, f"{self.folder}/{name}.parquet", where=where)
+
     @cached_property
     def lines(self) -> DataFrame:
         """Order lines with their customer, standing for instalments: see LINES."""

@@ -1,7 +1,7 @@
 """Aggregates as Spark SQL text. Each one is algebraic, so Spark combines it on the map side before any shuffle.
 
-Quantiles are the exception: they are described here (``Quantile``) and computed by
-``relfeat.operators.running`` by rank selection over counted values.
+Quantiles and distinct counts are the exceptions: they are described here (``Quantile``, ``Distinct``) and computed by
+``relfeat.operators.running`` and ``relfeat.operators.grouping`` from the values that occur.
 """
 
 from __future__ import annotations
@@ -22,6 +22,13 @@ class Quantile:
     minus: float | None = None
 
 
+@dataclass(frozen=True)
+class Distinct:
+    """Number of distinct values of a column, missing ones not counted."""
+
+    column: str
+
+
 def total(c: str) -> str:
     """Group sum in which an all-missing group is 0."""
     return f"coalesce(sum({c}), 0)"
@@ -76,14 +83,15 @@ _BY_NAME = {
     "std": "stddev_samp({})".format,
     "var": "var_samp({})".format,
     "count": "count({})".format,
-    "nunique": "count(DISTINCT {})".format,
     "skew": "skewness({})".format,
     "kurt": "kurtosis({})".format,
 }
 
 
-def by_name(name: str, column: str) -> str | Quantile:
-    """The aggregate a specification names: SQL text, or a ``Quantile`` for median and iqr."""
+def by_name(name: str, column: str) -> str | Quantile | Distinct:
+    """The aggregate a specification names: SQL text, a ``Quantile`` for median and iqr, ``Distinct`` for nunique."""
+    if name == "nunique":
+        return Distinct(column)
     if name == "median":
         return Quantile(column, 0.5)
     if name == "iqr":

@@ -9,34 +9,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relfeat.functions.aggs import share
+from relfeat.functions.aggs import Distinct, share
 from relfeat.functions.expr import flag_equals, lit, safe_name, with_exprs
 from relfeat.operators.joins import attach, check_distinct_names
-from relfeat.session import materialize
+from relfeat.session import materialize, stored
 from relfeat.sources.tables import columns_by_type
 
 # Vocabularies up to this size are looked up inside the row when codes are assigned; the codes do not depend on it.
 INLINE_LABELS = 64
+# Default bound of a vocabulary whose values become columns: the schema of a plan stays below some thousands.
+MAX_VALUES = 200
 
 Vocabulary = dict[str, list[str]]
 
 
-def small_vocabularies(df: DataFrame, columns: Sequence[str], max_values: int | None) -> Vocabulary:
+def small_vocabularies(df: DataFrame, columns: Sequence[str], max_values: int) -> Vocabulary:
     """The distinct values, as text but in the order of the column's own type, of those columns that have at most
-    ``max_values``; of a column with more nothing but their number comes back."""
+    ``max_values``. They are counted in Spark first: of a column with more nothing but their number comes back."""
     if not columns:
         return {}
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns])
     ).alias("p")
-    values = df.select(pairs).select("p.c", "p.v").where("v is not null").distinct()
-    kept = list(columns)
-    if max_values is not None:
-        values = materialize(values)
-        n = {r.c: r.n for r in values.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
-        kept = [c for c in columns if n.get(c, 0) <= max_values]
-    found: Vocabulary = {c: [] for c in kept}
-    for row in values.where(F.col("c").isin(kept)).collect():
+    values = stored(df.select(pairs).select("p.c", "p.v").where("v is not null").distinct(), "values")
+    n = {r.c: r.n for r in values.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found: Vocabulary = {c: [] for c in columns if n.get(c, 0) <= max_values}
+    for row in values.where(F.col("c").isin(list(found))).collect():
         found[row.c].append(row.v)
     kinds = {f.name: f.dataType for f in df.schema.fields}
     return {c: sorted(v, key=value_order(kinds[c])) for c, v in found.items()}
@@ -51,11 +49,20 @@ def value_order(kind: T.DataType) -> Callable[[str], tuple]:
     return lambda v: (v.encode(),)
 
 
-def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None) -> Vocabulary:
-    """The ordered distinct values of each (string) column, however many. Each becomes a column of the plan, so a column
-    of identifiers wants ``share_rows`` instead."""
+def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None, max_values: int = MAX_VALUES) -> Vocabulary:
+    """The ordered distinct values of each (string) column that has at most ``max_values`` of them.
+
+    Each value becomes a column of every plan built on it, so the bound is one of the schema, chosen by the caller. A
+    column with more, an identifier say, is not in the result and never reaches the driver: ``wide_columns`` names it and
+    ``share_rows`` gives its values as rows.
+    """
     columns = columns_by_type(df, "string") if columns is None else list(columns)
-    return small_vocabularies(df, columns, None)
+    return small_vocabularies(df, columns, max_values)
+
+
+def wide_columns(columns: Sequence[str], vocabulary: Mapping[str, Sequence[str]]) -> list[str]:
+    """The columns that have too many values for columns of their own."""
+    return [c for c in columns if c not in vocabulary]
 
 
 def indicator_name(prefix: str, value: str) -> str:
@@ -89,6 +96,11 @@ def distinct_of_vocabulary(c: str, values: Sequence[str]) -> str:
     return " + ".join([f"max({flag_equals(c, v)})" for v in values]) or "0"
 
 
+def distinct_values(c: str, vocabulary: Mapping[str, Sequence[str]]) -> str | Distinct:
+    """Aggregate: number of distinct values, from the vocabulary where the column has one."""
+    return distinct_of_vocabulary(c, vocabulary[c]) if c in vocabulary else Distinct(c)
+
+
 def onehot_share(df: DataFrame, keys: str | Sequence[str], vocabulary: Mapping[str, Sequence[str]]) -> DataFrame:
     from relfeat.operators.grouping import aggregate
 
@@ -107,12 +119,23 @@ def share_rows(df: DataFrame, keys: str | Sequence[str], column: str) -> DataFra
     from relfeat.operators.joins import as_list, keyed_join
 
     keys = as_list(keys)
-    counts = materialize(df.groupBy(*keys, F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n")))
-    totals = materialize(counts.groupBy(*keys).agg(F.sum("n").alias("__all")))
+    counts = stored(df.groupBy(*keys, F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n")), "share-counts")
+    totals = counts.groupBy(*keys).agg(F.sum("n").alias("__all"))
     joined = keyed_join(counts.where("value IS NOT NULL"), totals, keys, "inner")
     return joined.select(*keys, "value", "n", (F.col("n") / F.col("__all")).alias("share"))
 
 
+def wide_share_rows(df: DataFrame, keys: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(keys, column_name, value, n, share) of several columns from one scan: what ``onehot_share`` leaves out, to be
+    joined by key. Rows with a missing key belong to no group."""
+    from relfeat.operators.joins import all_known, as_list
+
+    keys = as_list(keys)
+    slots = ", ".join(f"{lit(c)}, CAST(`{c}` AS STRING)" for c in columns)
+    long = df.where(all_known(keys)).selectExpr(*keys, f"stack({len(columns)}, {slots}) AS (column_name, value)")
+    return share_rows(long, [*keys, "column_name"], "value")
+
+
 def fit_labels(df: DataFrame, column: str) -> DataFrame:
     """(column, code): the distinct values numbered from 0 in value order.
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from relfeat.functions.aggs import ROWS, Quantile, by_name, weighted_mean
+from relfeat.functions.aggs import ROWS, Distinct, Quantile, by_name, weighted_mean
 from relfeat.functions.expr import columns, with_exprs
 from relfeat.operators.joins import all_known, as_list, attach_sized, keyed_join, sized
 from relfeat.operators.running import group_quantiles
-from relfeat.session import in_parallel
 from relfeat.sources.tables import columns_by_type
 
 Spec = tuple[str, str]  # (column, aggregate name)
@@ -19,7 +21,7 @@ Spec = tuple[str, str]  # (column, aggregate name)
 def aggregate(
     df: DataFrame,
     keys: str | Sequence[str],
-    aggs: Mapping[str, str | Quantile],
+    aggs: Mapping[str, str | Quantile | Distinct],
     null_as_group: bool = False,
     parts: int | None = None,
 ) -> DataFrame:
@@ -27,21 +29,45 @@ def aggregate(
 
     Sums, counts, means, extremes and moments combine on the map side, so a key with a third of all rows costs
     nothing extra. Quantiles of all columns come from one scan more, by rank selection over counted values, whatever the
-    size of a group; ``parts`` is the number of cuts of these (default: that of shuffle partitions).
+    size of a group; ``parts`` is the number of cuts of these (default: that of shuffle partitions). Distinct counts of
+    all columns come from another, see ``distinct_counts``.
     """
     keys = as_list(keys)
     if not null_as_group:
         df = df.where(all_known(keys))
     quantiles = {n: a for n, a in aggs.items() if isinstance(a, Quantile)}
-    plain = {n: a for n, a in aggs.items() if not isinstance(a, Quantile)}
-    if not quantiles:
-        return df.groupBy(*keys).agg(*columns(plain))
-    result = group_quantiles(df, keys, quantiles, null_as_group, parts)
-    if plain:
-        result = keyed_join(df.groupBy(*keys).agg(*columns(plain)), result, keys, "left", null_as_group)
+    distinct = {n: a.column for n, a in aggs.items() if isinstance(a, Distinct)}
+    plain = {n: a for n, a in aggs.items() if isinstance(a, str)}
+    results = []
+    if plain or not (quantiles or distinct):
+        results.append(df.groupBy(*keys).agg(*columns(plain)))
+    if quantiles:
+        results.append(group_quantiles(df, keys, quantiles, null_as_group, parts))
+    if distinct:
+        results.append(distinct_counts(df, keys, distinct))
+    result = reduce(lambda a, b: keyed_join(a, b, keys, "left", null_as_group), results)
     return result.select(*keys, *aggs)
 
 
+def distinct_counts(df: DataFrame, keys: Sequence[str], counted: Mapping[str, str]) -> DataFrame:
+    """One row per key: the number of distinct values of each column of ``counted``, 0 where all are missing.
+
+    (key, column number, value) is made distinct once, before the shuffle as far as a task sees repeats, so a key with
+    very many rows is spread over its values; what is left is a count per column. No row is copied through any other
+    aggregate. Whole numbers are compared as such, anything else as text.
+    """
+    cs = list(dict.fromkeys(counted.values()))
+    whole = [isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) for f in df.selectExpr(*cs).schema.fields]
+    number = [f"CAST({c} AS BIGINT)" if w else "CAST(NULL AS BIGINT)" for c, w in zip(cs, whole)]
+    # adding 0 makes one value of both zeros
+    real = [isinstance(f.dataType, (T.FloatType, T.DoubleType)) for f in df.selectExpr(*cs).schema.fields]
+    text = ["CAST(NULL AS STRING)" if w else f"CAST({c}{' + 0' if r else ''} AS STRING)" for c, w, r in zip(cs, whole, real)]
+    slots = ", ".join(f"{i}, {n}, {t}" for i, (n, t) in enumerate(zip(number, text)))
+    values = df.selectExpr(*keys, f"stack({len(cs)}, {slots}) AS (__c, __i, __s)").distinct()
+    counts = {n: f"count(CASE WHEN __c = {cs.index(c)} AND (__i IS NOT NULL OR __s IS NOT NULL) THEN 1 END)" for n, c in counted.items()}
+    return values.groupBy(*keys).agg(*columns(counts))
+
+
 def aggregate_named(
     df: DataFrame, keys: str | Sequence[str], specs: Sequence[Spec], prefix: str = "", **options
 ) -> DataFrame:
@@ -110,22 +136,37 @@ Fitted = list[tuple[list[str], DataFrame, bool]]
 
 
 def fit_recipes(df: DataFrame, recipes: Sequence[Recipe], within: Sequence[str] = ()) -> Fitted:
-    """One aggregate table per key list, however many aggregates the recipes name for it; computed side by side.
+    """One aggregate table per key list, all from one aggregation over the rows.
 
-    ``within`` adds keys that separate the groups further without entering the column names.
+    Each row is given once per key list, with the number of the list and NULL for the keys that the list does not have;
+    a pair of column and aggregate that several lists want is computed once for all. The one result is computed, and
+    split by the number before anything is attached. ``within`` adds keys that separate the groups further without
+    entering the column names.
     """
-    merged: dict[tuple[str, ...], dict[str, str | Quantile]] = {}
+    merged: dict[tuple[str, ...], list[Spec]] = {}
     for keys, specs in recipes:
-        bucket = merged.setdefault(tuple(keys), {})
-        for column, agg in specs:
-            bucket[recipe_name(keys, column, agg)] = by_name(agg, column)
-
-    def fit(keys: list[str], aggs: Mapping[str, str | Quantile]) -> tuple[list[str], DataFrame, bool]:
-        return (keys, *sized(aggregate(df, keys, aggs)))
-
-    return in_parallel(
-        df.sparkSession, [lambda k=keys, a=aggs: fit([*within, *k], a) for keys, aggs in merged.items()]
-    )
+        merged.setdefault(tuple(keys), []).extend(specs)
+    lists = [[*within, *keys] for keys in merged]
+    every = list(dict.fromkeys(k for keys in lists for k in keys))
+    pairs = list(dict.fromkeys(spec for specs in merged.values() for spec in specs))
+    kinds = {f.name: f.dataType.simpleString() for f in df.select(*every).schema.fields}
+    entries = []
+    for i, keys in enumerate(lists):
+        parts = [f"{k if k in keys else f'CAST(NULL AS {kinds[k]})'} AS __k{j}" for j, k in enumerate(every)]
+        entries.append(f"CASE WHEN {all_known(keys)} THEN struct({i} AS __list, {', '.join(parts)}) END")
+    needed = list(dict.fromkeys(c for c, _ in pairs))
+    spread = df.selectExpr(*needed, f"explode(array({', '.join(entries)})) AS __in").where("__in IS NOT NULL")
+    spread = spread.select(*needed, "__in.*")
+    group = ["__list", *[f"__k{j}" for j in range(len(every))]]
+    table, small = sized(aggregate(spread, group, {f"__a{p}": by_name(a, c) for p, (c, a) in enumerate(pairs)}, null_as_group=True))
+
+    def part(i: int, keys: list[str], names: Mapping[str, Spec]) -> tuple[list[str], DataFrame, bool]:
+        chosen = {k: f"__k{every.index(k)}" for k in keys} | {n: f"__a{pairs.index(spec)}" for n, spec in names.items()}
+        rows = table.where(f"__list = {i}").select(*columns(chosen))
+        return keys, F.broadcast(rows) if small else rows, small
+
+    named = [{recipe_name(keys, c, a): (c, a) for c, a in specs} for keys, specs in merged.items()]
+    return [part(i, keys, names) for i, (keys, names) in enumerate(zip(lists, named))]
 
 
 def group_recipe(df: DataFrame, recipes: Sequence[Recipe], fitted: Fitted | None = None) -> DataFrame:

@@ -34,7 +34,7 @@ from relfeat.functions.expr import (
     trunc_int,
     with_exprs,
 )
-from relfeat.operators.encode import Vocabulary, distinct_of_vocabulary, fit_vocabulary, share_columns
+from relfeat.operators.encode import Vocabulary, distinct_values, fit_vocabulary, share_columns, wide_columns, wide_share_rows
 from relfeat.operators.grouping import Nested, aggregate
 from relfeat.operators.joins import check_distinct_names, left_join
 from relfeat.operators.ordered import last_group_aggregate, last_k_columns, last_known, late_flags, recent_rows, trend_columns
@@ -66,7 +66,7 @@ def bureau_loan_history(balance: DataFrame, vocabulary: Vocabulary) -> DataFrame
     """Monthly bureau statuses reduced to the loan: status shares, number of months, mean (weighted) severity."""
     # month 0 has no recency weight and is left out of both severities
     dated = f"CASE WHEN {MONTH} <> 0 THEN {recode('STATUS', SEVERITY)} END"
-    shares = share_columns("STATUS", vocabulary["STATUS"], "status")
+    shares = share_columns("STATUS", vocabulary.get("STATUS", []), "status")
     return aggregate(
         balance,
         "SK_ID_BUREAU",
@@ -88,7 +88,7 @@ def bureau_block(bureau: DataFrame, balance: DataFrame, vocabulary: Vocabulary |
     loans = left_join(with_exprs(bureau, filled), bureau_loan_history(balance, vocabulary), "SK_ID_BUREAU")
     shares: dict[str, str] = {}
     for c, short in strings.items():
-        shares.update(share_columns(c, vocabulary[c], short))
+        shares.update(share_columns(c, vocabulary.get(c, []), short))
     features = aggregate(
         loans,
         CUSTOMER,
@@ -104,7 +104,7 @@ def bureau_block(bureau: DataFrame, balance: DataFrame, vocabulary: Vocabulary |
             "__credit": total("AMT_CREDIT_SUM"),
             "__overdue": total("AMT_CREDIT_SUM_OVERDUE"),
             "__loans": "count(DAYS_CREDIT)",
-            "__types": distinct_of_vocabulary("CREDIT_TYPE", vocabulary["CREDIT_TYPE"]),
+            "__types": distinct_values("CREDIT_TYPE", vocabulary),
         },
     )
     features = _then(
@@ -118,6 +118,14 @@ def bureau_block(bureau: DataFrame, balance: DataFrame, vocabulary: Vocabulary |
     return prefixed(features, "bureau_", [CUSTOMER])
 
 
+def previous_wide_shares(previous: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame | None:
+    """(customer, column_name, value, n, share) of the text columns with too many values for ``previous_block``; None if
+    there is no such column."""
+    strings = columns_by_type(previous, "string")
+    wide = wide_columns(strings, fit_vocabulary(previous, strings) if vocabulary is None else vocabulary)
+    return wide_share_rows(previous, CUSTOMER, wide) if wide else None
+
+
 def previous_block(previous: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
     strings = columns_by_type(previous, "string")
     if vocabulary is None:
@@ -134,7 +142,7 @@ def previous_block(previous: DataFrame, vocabulary: Vocabulary | None = None) ->
     )
     shares: dict[str, str] = {}
     for c in strings:
-        shares.update(share_columns(c, vocabulary[c]))
+        shares.update(share_columns(c, vocabulary.get(c, [])))
     kinds = {
         "LOAN_TYPE": "NAME_CONTRACT_TYPE",
         "STATUSES": "NAME_CONTRACT_STATUS",
@@ -159,7 +167,7 @@ def previous_block(previous: DataFrame, vocabulary: Vocabulary | None = None) ->
             **_means(rows, [CUSTOMER, LOAN]),
             **shares,
             **spread,
-            **{n: distinct_of_vocabulary(c, vocabulary[c]) for n, c in kinds.items()},
+            **{n: distinct_values(c, vocabulary) for n, c in kinds.items()},
             # the flag is 0 or 1, so its extremes tell how many values occur
             "INSURED": f"CASE WHEN max({insured}) > min({insured}) THEN 2 ELSE 1 END",
             "__credit": total("AMT_CREDIT"),
@@ -201,7 +209,7 @@ def pos_block(pos: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame
         {
             "row_count": f"count({LOAN})",
             **_means(pos, [CUSTOMER, LOAN]),
-            **share_columns(status, vocabulary[status], "status"),
+            **share_columns(status, vocabulary.get(status, []), "status"),
             "RATIO_PAY_TOPAY": ratio(total("CNT_INSTALMENT"), total("CNT_INSTALMENT_FUTURE")),
             **_extremes({"BAL": MONTH, "CNT": "CNT_INSTALMENT", "CNT_FUT": "CNT_INSTALMENT_FUTURE"}),
             **_recency_means(["CNT_INSTALMENT", "CNT_INSTALMENT_FUTURE", "SK_DPD", "SK_DPD_DEF"]),
@@ -274,7 +282,7 @@ def card_block(card: DataFrame, vocabulary: Vocabulary | None = None) -> DataFra
         {
             "row_count": f"count({LOAN})",
             **_means(card, [CUSTOMER, LOAN]),
-            **share_columns(status, vocabulary[status], "status"),
+            **share_columns(status, vocabulary.get(status, []), "status"),
             "PERCENTAGE_MISSED_PAYMENTS": percent_if("AMT_PAYMENT_CURRENT < AMT_INST_MIN_REGULARITY"),
             "CASH_CARD_RATIO": f"100 * {ratio(amounts[0], amounts[1])}",
             "DRAWINGS_RATIO": f"100 * {ratio(amounts[1], counts[1])}",

@@ -20,6 +20,7 @@ from relfeat.plans.blocks import (
     pos_block,
     pos_history_block,
     previous_block,
+    previous_wide_shares,
 )
 from relfeat.session import in_parallel
 from relfeat.sources import loan_schema
@@ -91,8 +92,16 @@ def train_scorecard(mart: DataFrame, **options) -> CrossValidation:
 
 
 def run(spark: SparkSession, folder: str, out: str, **options) -> CrossValidation:
-    """Read CSV tables, write the feature matrix, fit the models, write the test predictions."""
-    write_feature_matrix(feature_mart(read_loan_tables(spark, folder)), f"{out}/matrix", SPLIT)
+    """Read CSV tables, write the feature matrix, fit the models, write the test predictions.
+
+    Text columns of earlier applications with too many values for columns of the matrix go to ``wide_shares`` beside it,
+    as rows to be joined by customer.
+    """
+    tables = read_loan_tables(spark, folder)
+    write_feature_matrix(feature_mart(tables), f"{out}/matrix", SPLIT)
+    wide = previous_wide_shares(tables["previous"])
+    if wide is not None:
+        write_feature_matrix(wide, f"{out}/wide_shares")
     mart = scan_table(spark, f"{out}/matrix")
     result = train_scorecard(mart, **options)
     test = mart.where(f"{SPLIT} = 'test'")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relfeat.functions.expr import lit
+
 _TYPE_GROUPS = {
     "string": (T.StringType,),
     "integer": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
@@ -17,18 +19,24 @@ _TYPE_GROUPS = {
 _TYPE_GROUPS["numeric"] = _TYPE_GROUPS["integer"] + _TYPE_GROUPS["float"]
 
 
+Condition = tuple[str, str, object]  # (column, operator, value)
+_OPERATORS = ("=", "<>", "<", "<=", ">", ">=", "in")
+
+
 def scan_table(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
     fmt: str = "parquet",
-    guard_nan: bool | None = None,
+    guard_nan: bool = True,
+    where: Sequence[Condition] = (),
 ) -> DataFrame:
     """Read a parquet table or a headered CSV.
 
-    CSV wants an explicit ``schema`` so that no inference pass reads the file twice; without one the
-    types are inferred. ``guard_nan`` turns NaN into NULL and is on by default for CSV only: on parquet
-    the wrapped columns would no longer push filters into the scan, so ask for it where NaN can occur.
+    CSV wants an explicit ``schema`` so that no inference pass reads the file twice; without one the types are inferred.
+    ``guard_nan`` turns NaN into NULL. A filter on a guarded column does not reach the scan, so the conditions of
+    ``where``, all of which must hold, are applied below the guard: the comparison itself is pushed into the scan, and
+    NaN, which is missing and meets no condition, is ruled out beside it.
     """
     reader = spark.read.format(fmt)
     if schema is not None:
@@ -38,11 +46,25 @@ def scan_table(
         if schema is None:
             reader = reader.option("inferSchema", True)
     df = reader.load(path)
-    if guard_nan is None:
-        guard_nan = fmt == "csv"
+    for text in conditions(df, where, guard_nan):
+        df = df.where(text)
     return nan_to_null(df) if guard_nan else df
 
 
+def conditions(df: DataFrame, where: Sequence[Condition], guard_nan: bool = True) -> list[str]:
+    """The conditions as SQL text; with ``guard_nan`` a NaN meets none of them. A missing value never does."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    out = []
+    for column, operator, value in where:
+        if column not in kinds or operator not in _OPERATORS:
+            raise ValueError(f"no condition on a column of this table: {column!r} {operator!r}")
+        values = f"({', '.join(map(lit, value))})" if operator == "in" else lit(value)
+        out.append(f"`{column}` {operator} {values}")
+        if guard_nan and isinstance(kinds[column], (T.FloatType, T.DoubleType)):
+            out.append(f"NOT isnan(`{column}`)")
+    return out
+
+
 def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing is NULL everywhere in this library; Spark would treat NaN as the largest number."""
     wanted = set(columns) if columns is not None else None

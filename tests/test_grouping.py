@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from relfeat.functions import aggs as A
 from relfeat.functions.aggs import Quantile
-from relfeat.operators import encode, impute, joins
+from relfeat.operators import encode, grouping, impute, joins
 from relfeat.operators.grouping import (
     Nested,
     aggregate,
@@ -164,6 +164,46 @@ def test_onehot(frame, spark):
     assert all(r.a == r.b for r in kinds.collect())
 
 
+def test_recipes_of_all_key_lists_come_from_one_scan(spark, tmp_path):
+    spark.range(300).selectExpr("CASE WHEN id % 11 > 0 THEN id % 7 END AS a", "CAST(id % 5 AS STRING) AS b", "id % 13 AS x", "id * 1D AS y").write.parquet(str(tmp_path / "r"))
+    df = spark.read.parquet(str(tmp_path / "r"))
+    recipes = [(["a"], [("x", "mean"), ("y", "max"), ("x", "nunique")]), (["a", "b"], [("x", "mean")]), (["b"], [("y", "sum"), ("x", "median")])]
+    plans = []
+    real = grouping.sized
+    grouping.sized = lambda t: plans.append(t._jdf.queryExecution().optimizedPlan().toString()) or real(t)
+    try:
+        fit_recipes(df, [(["a"], [("x", "mean")]), (["b"], [("y", "sum"), ("x", "mean")])])
+    finally:
+        grouping.sized = real
+    assert plans[0].count("Relation [") == 1 and "Union" not in plans[0]
+    got = group_recipe(df, recipes).toPandas()
+    pdf = df.toPandas()
+    assert len(got) == 300
+    for keys, specs in recipes:
+        for c, agg in specs:
+            want = pdf.groupby(keys)[c].agg(agg)
+            for r in got.to_dict("records"):
+                have, key = r[f"{'_'.join(keys)}_{agg}_{c}"], tuple(r[k] for k in keys)
+                if any(k != k or k is None for k in key):
+                    assert pd.isna(have)
+                else:
+                    assert have == pytest.approx(want.loc[key if len(key) > 1 else key[0]])
+
+
+def test_distinct_counts_copy_no_rows(spark):
+    rows = [(1, 1, "a", 0.0, None), (1, 2, "a", -0.0, None), (1, 2, None, float("nan"), None), (2, None, None, None, None), (None, 5, "z", 1.0, None), (None, 5, "y", 1.0, 3)]
+    df = spark.createDataFrame(rows, "k int, i int, s string, d double, b bigint")
+    aggs = {"n": "count(1)", **{c: A.by_name("nunique", c) for c in ("i", "s", "d", "b")}, "sum_i": "sum(i)"}
+    for null_as_group in (False, True):
+        got = aggregate(df, "k", aggs, null_as_group)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in plan and "Python" not in plan
+        want = (df if null_as_group else df.where("k IS NOT NULL")).groupBy("k").agg(
+            F.expr("count(1)"), *[F.expr(f"count(DISTINCT {c})") for c in ("i", "s", "d", "b")], F.expr("sum(i)")
+        )
+        assert table(got, "k") == table(want, "k")
+
+
 def test_attaching_three_times_reads_the_rows_once(spark, tmp_path):
     spark.range(100).selectExpr("id", "id % 7 AS a", "id % 5 AS b", "id % 3 AS c").write.parquet(str(tmp_path / "rows"))
     df = spark.read.parquet(str(tmp_path / "rows"))
@@ -180,13 +220,31 @@ def test_broadcast_is_bounded_by_bytes(spark, monkeypatch):
 
 
 def test_many_values(spark):
-    df = spark.range(1200).selectExpr("id % 3 AS k", "format_string('v%04d', id) AS v")
-    vocabulary = encode.fit_vocabulary(df, ["v"])
+    df = spark.range(1200).selectExpr("id % 3 AS k", "format_string('v%04d', id) AS v", "CAST(id % 4 AS STRING) AS w")
+    vocabulary = encode.fit_vocabulary(df, ["v"], max_values=1200)
     assert len(vocabulary["v"]) == 1200 and vocabulary["v"][:2] == ["v0000", "v0001"]
     shares = encode.share_rows(df, "k", "v").collect()
     assert len(shares) == 1200 and all(r.share == pytest.approx(1 / 400) for r in shares)
 
 
+def test_an_identifier_column_stays_in_spark(spark, monkeypatch):
+    """Beyond the bound only the number of values comes to the driver; the values are rows joined by key."""
+    df = spark.range(3000).selectExpr("CASE WHEN id > 0 THEN id % 3 END AS k", "uuid() AS v", "CAST(id % 4 AS STRING) AS w").cache()
+    fetched = []
+    real = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: fetched.append(real(self)) or fetched[-1])
+    vocabulary = encode.fit_vocabulary(df)
+    monkeypatch.undo()
+    assert vocabulary == {"w": ["0", "1", "2", "3"]} and sum(map(len, fetched)) == 2 + 4
+    assert encode.wide_columns(["v", "w"], vocabulary) == ["v"]
+    shares = encode.onehot_share(df, "k", vocabulary)
+    assert shares.columns == ["k", "w_0", "w_1", "w_2", "w_3"]
+    rows = encode.wide_share_rows(df, "k", ["v", "w"]).collect()
+    assert sum(r.column_name == "v" for r in rows) == 2999 and sum(r.column_name == "w" for r in rows) == 12
+    wide = {(r.k, f"w_{r.value}"): r.share for r in rows if r.column_name == "w"}
+    assert all(r[n] == pytest.approx(wide[r.k, n]) for r in shares.collect() for n in shares.columns[1:])
+
+
 def test_codes_follow_the_order_of_numbers_whatever_their_number(spark):
     for n in (40, 80):
         df = spark.range(n).selectExpr("id AS v", "CAST(id - 5 AS DOUBLE) / 2 AS x")
