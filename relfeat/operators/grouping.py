@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -89,35 +90,94 @@ def all_weighted_mean(df: DataFrame, keys: str | Sequence[str], weight: str, lea
 
 
 class Nested:
-    """Aggregates of a two-level grouping (customer, loan) -> customer.
+    """Aggregates of a two-level grouping (customer, loan) -> customer, from one scan.
 
-    The rows shuffle by the finer key, where a customer with very many rows is spread over the loans. Statistics that
-    need only the outer key belong in ``aggregate``: carrying them through the loans would cost more than a second
-    scan of the few columns used here.
+    The rows shuffle by the finer key, where a customer with very many rows is spread over the loans. Statistics of the
+    outer key alone (``beside``) travel as partial states of each inner group (counts, sums, extremes) and are merged.
     """
 
     def __init__(self) -> None:
         self.inner: dict[str, str] = {}
         self.outer: dict[str, str] = {}
 
+    def carry(self, inner: str) -> str:
+        """The name under which an aggregate of the inner groups is known to the outer ones; equal ones are computed once."""
+        known = {agg: n for n, agg in self.inner.items()}
+        name = known.get(inner, f"__i{len(self.inner)}")
+        self.inner[name] = inner
+        return name
+
     def of_groups(self, name: str, inner: str, outer: str) -> Nested:
         """``outer``, a text with ``{}``, applied to the values that ``inner`` has per inner group."""
-        known = {agg: n for n, agg in self.inner.items()}
-        carried = known.get(inner, f"__i{len(self.inner)}")
-        self.inner[carried] = inner
-        self.outer[name] = outer.format(carried)
+        self.outer[name] = outer.format(self.carry(inner))
         return self
 
     def group_count(self, name: str) -> Nested:
         self.outer[name] = ROWS
         return self
 
+    def beside(self, aggs: Mapping[str, str]) -> Nested:
+        """Aggregates over all rows of the outer key: expressions over sum, avg, count, min, max and max_by."""
+        for name, text in aggs.items():
+            self.outer[name] = merged_states(text, self.carry)
+        return self
+
     def run(self, df: DataFrame, outer_keys: str | Sequence[str], inner_keys: str | Sequence[str]) -> DataFrame:
         outer_keys, inner_keys = as_list(outer_keys), as_list(inner_keys)
         level1 = df.where(all_known(outer_keys)).groupBy(*outer_keys, *inner_keys).agg(*columns(self.inner))
         return level1.groupBy(*outer_keys).agg(*columns(self.outer))
 
 
+_AGGREGATE = re.compile(r"\b(sum|avg|count|min|max|max_by)\(", re.IGNORECASE)
+
+
+def merged_states(text: str, carry: Callable[[str], str]) -> str:
+    """An expression over aggregates of rows as one over partial states of groups of them; ``carry`` names a state.
+
+    A mean is the sum of sums by the sum of counts; the value at the largest order is the largest (order, value).
+    """
+    out, at = [], 0
+    while found := _AGGREGATE.search(text, at):
+        args, end = arguments(text, found.end())
+        call, first = found.group(1).lower(), args[0]
+        if first.lstrip().upper().startswith("DISTINCT"):
+            raise ValueError(f"distinct values have no partial state: {text}")
+        if call == "avg":
+            total, n = carry(f"sum(CAST({first} AS DOUBLE))"), carry(f"count({first})")
+            state = f"try_divide(sum({total}), CAST(sum({n}) AS DOUBLE))"
+        elif call == "count":
+            state = f"coalesce(sum({carry(f'count({first})')}), 0)"
+        elif call == "max_by":
+            pair = carry(f"max(CASE WHEN {args[1]} IS NOT NULL THEN struct({args[1]} AS o, {first} AS v) END)")
+            state = f"max({pair}).v"
+        else:
+            state = f"{call}({carry(f'{call}({first})')})"
+        out += [text[at : found.start()], state]
+        at = end
+    return "".join([*out, text[at:]])
+
+
+def arguments(text: str, start: int) -> tuple[list[str], int]:
+    """The arguments of a call whose parenthesis opened before ``start``, and the place after its closing one."""
+    depth, quoted, args, begin = 1, False, [], start
+    for i in range(start, len(text)):
+        c = text[i]
+        if c == "'" and text[i - 1] != "\\":
+            quoted = not quoted
+        elif quoted:
+            continue
+        elif c == "(":
+            depth += 1
+        elif c == ")":
+            depth -= 1
+        if not quoted and (depth == 0 or (depth == 1 and c == ",")):
+            args.append(text[begin:i].strip())
+            begin = i + 1
+            if depth == 0:
+                return args, i + 1
+    raise ValueError(f"unbalanced parentheses: {text}")
+
+
 # --- declarative recipes -------------------------------------------------------------------------------------------
 
 Recipe = tuple[Sequence[str], Sequence[Spec]]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from relfeat.functions.aggs import by_name
 from relfeat.functions.expr import columns, flag, ratio, with_exprs
-from relfeat.operators.grouping import Spec, aggregate
+from relfeat.operators.grouping import Nested, Spec, aggregate
 from relfeat.operators.joins import all_known, as_list, keyed_join
 from relfeat.operators.running import cut_by_range
 
@@ -132,10 +132,21 @@ def last_group_aggregate(
 
     Every loan is aggregated, then the latest one is picked: two combinable aggregations, no ordering of rows.
     """
-    aggs = {f"{prefix}{c}_{a}": by_name(a, c) for c, a in specs}
-    loans = aggregate(df, [key, inner], {**aggs, "__time": f"max({time})"})
-    latest = F.expr(f"max_by(struct({', '.join(aggs)}), struct(__time, {inner})) AS __s")
-    return loans.groupBy(key).agg(latest).select(key, "__s.*")
+    return unpacked(last_group(Nested(), inner, time, specs, prefix).run(df, key, inner))
+
+
+LAST = "__last"
+
+
+def last_group(nested: Nested, inner: str, time: str, specs: Sequence[Spec], prefix: str = "last_loan_") -> Nested:
+    """Add the aggregates of the most recent inner group to a two-level grouping; ``unpacked`` gives them their columns."""
+    fields = [f"{nested.carry(by_name(a, c))} AS `{prefix}{c}_{a}`" for c, a in specs]
+    nested.outer[LAST] = f"max_by(struct({', '.join(fields)}), struct({nested.carry(f'max({time})')}, {inner}))"
+    return nested
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select(*[c for c in df.columns if c != LAST], f"{LAST}.*")
 
 
 def trend_slope(

@@ -1,7 +1,7 @@
 """Feature blocks: one per child table, each reduced to one row per customer and prefixed.
 
-A block aggregates its table once per key list: by customer, and for loan statistics by (customer, loan) over the few
-columns these need; vocabularies are one more job. Ratios and differences of group sums are expressions over the
+A block reads its table once: by customer, or, where it has loan statistics, by (customer, loan) with partial states that
+are merged to the customer; recent rows, medians and vocabularies are further passes over the few columns they need. Ratios and differences of group sums are expressions over the
 aggregates and never go back to the detail rows.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 from relfeat.functions.aggs import (
     ROWS,
+    Quantile,
     by_name,
     count_if,
     count_not_zero,
@@ -37,7 +38,7 @@ from relfeat.functions.expr import (
 from relfeat.operators.encode import Vocabulary, distinct_values, fit_vocabulary, share_columns, wide_columns, wide_share_rows
 from relfeat.operators.grouping import Nested, aggregate
 from relfeat.operators.joins import check_distinct_names, left_join
-from relfeat.operators.ordered import last_group_aggregate, last_k_columns, last_known, late_flags, recent_rows, trend_columns
+from relfeat.operators.ordered import last_group, last_k_columns, last_known, late_flags, recent_rows, trend_columns, unpacked
 from relfeat.sources.tables import columns_by_type
 
 CUSTOMER = "SK_ID_CURR"
@@ -203,9 +204,7 @@ def pos_block(pos: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame
     status = "NAME_CONTRACT_STATUS"
     if vocabulary is None:
         vocabulary = fit_vocabulary(pos, [status])
-    features = aggregate(
-        pos,
-        CUSTOMER,
+    loans = Nested().beside(
         {
             "row_count": f"count({LOAN})",
             **_means(pos, [CUSTOMER, LOAN]),
@@ -215,8 +214,8 @@ def pos_block(pos: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame
             **_recency_means(["CNT_INSTALMENT", "CNT_INSTALMENT_FUTURE", "SK_DPD", "SK_DPD_DEF"]),
         },
     )
-    late = Nested().of_groups("DPD_COUNT", count_not_zero("SK_DPD"), "avg({})").run(pos, CUSTOMER, LOAN)
-    return prefixed(features.join(late, CUSTOMER, "left"), "pos_", [CUSTOMER])
+    features = loans.of_groups("DPD_COUNT", count_not_zero("SK_DPD"), "avg({})").run(pos, CUSTOMER, LOAN)
+    return prefixed(features, "pos_", [CUSTOMER])
 
 
 def pos_history_block(pos: DataFrame, **options) -> DataFrame:
@@ -229,27 +228,26 @@ def pos_history_block(pos: DataFrame, **options) -> DataFrame:
     recent = recent.groupBy(CUSTOMER).agg(
         *columns({**last_k_columns(LAST_K, specs), **trend_columns(TREND_K, ["SK_DPD", "SK_DPD_DEF"])})
     )
-    whole = aggregate(
-        rows,
-        CUSTOMER,
-        {
-            "remaining_installments": last_known("CNT_INSTALMENT_FUTURE", MONTH, [LOAN]),
-            "completed_contracts": count_if("NAME_CONTRACT_STATUS = 'Completed'"),
-            **{f"all_installment_{c}_{a}": by_name(a, c) for c, names in specs.items() for a in names},
-        },
-        **options,
-    )
+    whole = {f"all_installment_{c}_{a}": by_name(a, c) for c, names in specs.items() for a in names}
+    medians = {n: a for n, a in whole.items() if isinstance(a, Quantile)}
     spread = ["sum", "mean", "max", "min", "std"]
-    last_loan = last_group_aggregate(
-        rows,
-        CUSTOMER,
+    loans = last_group(
+        Nested(),
         LOAN,
         MONTH,
         [(late, a) for a in ("count", "sum", "mean")]
         + [(late_tol, a) for a in ("sum", "mean")]
         + [(c, a) for c in ("SK_DPD", "SK_DPD_DEF") for a in spread],
     )
-    features = whole.join(recent, CUSTOMER, "left").join(last_loan, CUSTOMER, "left")
+    loans.beside(
+        {
+            "remaining_installments": last_known("CNT_INSTALMENT_FUTURE", MONTH, [LOAN]),
+            "completed_contracts": count_if("NAME_CONTRACT_STATUS = 'Completed'"),
+            **{n: a for n, a in whole.items() if n not in medians},
+        }
+    )
+    features = unpacked(loans.run(rows, CUSTOMER, LOAN))
+    features = features.join(aggregate(rows, CUSTOMER, medians, **options), CUSTOMER, "left").join(recent, CUSTOMER, "left")
     return prefixed(features, "pos_cash_", [CUSTOMER])
 
 
@@ -276,9 +274,7 @@ def card_block(card: DataFrame, vocabulary: Vocabulary | None = None) -> DataFra
         vocabulary = fit_vocabulary(card, [status])
     amounts, counts = [total(c) for c in DRAWN_AMOUNTS], [total(c) for c in DRAWN_COUNTS]
     drawn, balance = "(" + " + ".join(amounts) + ")", total("AMT_BALANCE")
-    features = aggregate(
-        card,
-        CUSTOMER,
+    loans = Nested().beside(
         {
             "row_count": f"count({LOAN})",
             **_means(card, [CUSTOMER, LOAN]),
@@ -294,14 +290,14 @@ def card_block(card: DataFrame, vocabulary: Vocabulary | None = None) -> DataFra
             **_recency_means(CARD_WEIGHTED),
         },
     )
-    loans = Nested().group_count("__loans")
+    loans.group_count("__loans")
     loans.of_groups("__instalments", "max(CNT_INSTALMENT_MATURE_CUM)", "coalesce(sum({}), 0)")
     loans.of_groups("DPD_COUNT", count_not_zero("SK_DPD"), "avg({})")
     per_loan = {"INSTALLMENTS_PER_LOAN": trunc_int(ratio("__instalments", "__loans"))}
-    loan_features = _then(loans.run(card, CUSTOMER, LOAN), per_loan)
-    return prefixed(features.join(loan_features, CUSTOMER, "left"), "cc_bal_", [CUSTOMER])
+    return prefixed(_then(loans.run(card, CUSTOMER, LOAN), per_loan), "cc_bal_", [CUSTOMER])
 
 
+# fixed values: the numbers of an instalment
 INSTALMENT_NUMBERS = [
     "AMT_INSTALMENT", "AMT_PAYMENT", "DAYS_ENTRY_PAYMENT", "DAYS_INSTALMENT", "NUM_INSTALMENT_NUMBER",
     "NUM_INSTALMENT_VERSION",

@@ -129,6 +129,23 @@ def test_nested_and_conditions(spark):
     assert table(got, "c") == [(1, pytest.approx(200 / 3), 1), (2, 100.0, 0)]
 
 
+def test_states_of_loans_merge_to_those_of_the_customer(frame):
+    """Aggregates over rows and the same ones merged from groups of them, whatever the expression around them."""
+    aggs = {
+        "rows": "count(1)", "n": "count(x)", "mean": "avg(n)", "low": "min(x) - max(n)", "share": A.share("c", "a"), "sum": A.total("x"),
+        "pct": A.percent_if("n < x AND c <> 'b, (c)'"), "w": A.weighted_mean("x", "abs(n)", skip_null=True), "strict": A.weighted_mean("n", "id"),
+        "last": "max_by(x, CASE WHEN x IS NOT NULL THEN struct(n, id) END)", "last_c": "max_by(c, id)",
+    }
+    merged = Nested().beside(aggs).group_count("groups").run(frame, "k", "c")
+    want = aggregate(frame, "k", {**aggs, "groups": "count(DISTINCT coalesce(c, '-'))"})
+    rows, expected = table(merged.select(*want.columns), "k"), table(want, "k")
+    assert len(rows) == len(expected) == 11
+    for a, b in zip(rows, expected):
+        assert a == pytest.approx(b)
+    with pytest.raises(ValueError):
+        Nested().beside({"d": "count(DISTINCT x)"})
+
+
 def test_weighted_mean(spark):
     rows = [(1, -1, 2.0), (1, -2, 4.0), (2, -1, None), (2, -2, 4.0), (3, 0, 1.0), (3, -1, 2.0)]
     df = spark.createDataFrame(rows, "k int, m int, x double")

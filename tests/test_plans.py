@@ -47,6 +47,22 @@ def test_fused_block_shuffles_once_and_stays_in_the_jvm(spark):
     assert "Python" not in plan.replace("PythonRDD", "")
 
 
+def test_blocks_with_loan_statistics_read_their_table_once(spark, tmp_path):
+    """One relation for the block of snapshots; the history reads twice, once for the recent rows. Medians were stored."""
+    t = Tables(spark, FOLDER)
+    for name in ("pos", "card"):
+        loan_table(t, name).write.parquet(str(tmp_path / name))
+    pos, card = (spark.read.parquet(str(tmp_path / name)) for name in ("pos", "card"))
+    status = {"NAME_CONTRACT_STATUS": ["Active", "Completed"]}
+    relations = {
+        "pos": blocks.pos_block(pos, status), "card": blocks.card_block(card, status), "history": blocks.pos_history_block(pos),
+    }
+    counts = {n: df._jdf.queryExecution().optimizedPlan().toString().count(str(tmp_path)) for n, df in relations.items()}
+    scans = {n: plan_of(df).count(f"Location: InMemoryFileIndex(1 paths)[file:{tmp_path}") for n, df in relations.items()}
+    assert scans == {"pos": 1, "card": 1, "history": 2}, (scans, counts)
+    assert "Python" not in plan_of(relations["pos"])
+
+
 def test_scan_reads_only_the_needed_columns(spark):
     df = entry.queries()["agg_bool_sum"](spark, FOLDER)
     schemas = [line for line in plan_of(df).splitlines() if "ReadSchema" in line]
