@@ -111,29 +111,42 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def level_sql(level: str, keys: str, above: str) -> str:
-    """Nodes of one level of the reputation tree, with the prior weight fitted on them, for the checking engine."""
-    weight = f"""(SELECT CASE WHEN n IS NULL OR s IS NULL OR n - nn / n - (m - 1) <= 0 OR s - (m - 1) <= 0 THEN 10000.0
-        ELSE least(greatest((n - nn / n - (m - 1)) / (s - (m - 1)) - 1, 1.0), 10000.0) END
-        FROM (SELECT sum(n * pow(k / n - p, 2) / nullif(p * (1 - p), 0)) AS s, count(*) AS m, sum(n)::DOUBLE AS n,
-              sum(n * n)::DOUBLE AS nn FROM {level}_n))"""
-    return f"""{level}_n AS (SELECT c.*, p FROM (SELECT {keys}, sum(n)::DOUBLE AS n, sum(k)::DOUBLE AS k FROM hosts
+    """Nodes of one level of the reputation tree with posterior and variance, and the prior weight fitted on them, for the
+    checking engine."""
+    return f"""{level}_n AS (SELECT c.*, p, above FROM (SELECT {keys}, sum(n)::DOUBLE AS n, sum(k)::DOUBLE AS k FROM hosts
         GROUP BY ALL) c {above}),
-      {level}_p AS (SELECT *, p * w + k AS a, (1 - p) * w + n - k AS b, (p * w + k) / (w + n) AS mean
-        FROM {level}_n, (SELECT {weight} AS w))"""
+      {level}_w AS (SELECT CASE WHEN n IS NULL OR s IS NULL OR n - nn / n - (m - 1) <= 0 OR s - (m - 1) <= 0 THEN 10000.0
+        ELSE least(greatest((n - nn / n - (m - 1)) / (s - (m - 1)) - 1, 1.0), 10000.0) END AS w
+        FROM (SELECT sum(n * pow(k / n - p, 2) / nullif(p * (1 - p), 0)) AS s, count(*) AS m, sum(n)::DOUBLE AS n,
+              sum(n * n)::DOUBLE AS nn FROM {level}_n)),
+      {level}_p AS (SELECT *, a / (a + b) AS mean, a * b / (pow(a + b, 2) * (a + b + 1)) AS own,
+          a * b / (pow(a + b, 2) * (a + b + 1)) + pow(w / (n + w), 2) * above AS v
+        FROM (SELECT *, p * w + k AS a, (1 - p) * w + n - k AS b FROM {level}_n, {level}_w))"""
+
 
+PARTS = """CASE WHEN len(parts) > 1 THEN parts[-2] || '.' || parts[-1] ELSE host END AS domain, parts[-1] AS suffix"""
 
+# a host without labels has the posterior of its domain, else of its suffix, else the rate of all labelled pages, and a
+# variance that counts the spread of each level without labels
 OP6_SQL = f"""
 WITH parsed AS (SELECT page_id,
     coalesce(translate(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
              'abcdefghijklmnopqrstuvwxyz'), '') AS host,
     coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
-  hosts AS (SELECT host, n, k, CASE WHEN len(parts) > 1 THEN parts[-2] || '.' || parts[-1] ELSE host END AS domain,
-    parts[-1] AS suffix FROM (SELECT host, count(*) AS n, sum(CAST(toxic = 1 OR quality = 0 AS INT)) AS k,
+  hosts AS (SELECT host, n, k, {PARTS} FROM (SELECT host, count(*) AS n, sum(CAST(toxic = 1 OR quality = 0 AS INT)) AS k,
     string_split(host, '.') AS parts FROM parsed JOIN labels ON page_id = doc_id
     WHERE (toxic = 1 OR quality = 0) IS NOT NULL GROUP BY host)),
-  {level_sql("suffix", "suffix", "CROSS JOIN (SELECT sum(k) / sum(n) AS p FROM hosts)")},
-  {level_sql("domain", "domain, suffix", "JOIN (SELECT suffix, mean AS p FROM suffix_p) USING (suffix)")},
-  {level_sql("host", "host, domain, suffix", "JOIN (SELECT domain, suffix, mean AS p FROM domain_p) USING (domain, suffix)")},
+  total AS (SELECT sum(k) / sum(n) AS m0, (sum(k) + 1) * (sum(n) - sum(k) + 1) / (pow(sum(n) + 2, 2) * (sum(n) + 3)) AS v0 FROM hosts),
+  {level_sql("suffix", "suffix", "CROSS JOIN (SELECT m0 AS p, v0 AS above FROM total)")},
+  {level_sql("domain", "domain, suffix", "JOIN (SELECT suffix, mean AS p, v AS above FROM suffix_p) USING (suffix)")},
+  {level_sql("host", "host, domain, suffix", "JOIN (SELECT domain, suffix, mean AS p, v AS above FROM domain_p) USING (domain, suffix)")},
+  every AS (SELECT host, {PARTS} FROM (SELECT DISTINCT host, string_split(host, '.') AS parts FROM parsed)),
+  by_suffix AS (SELECT every.*, coalesce(mean, m0) AS m1, coalesce(v, m0 * (1 - m0) / (suffix_w.w + 1) + v0) AS v1
+    FROM every CROSS JOIN total CROSS JOIN suffix_w LEFT JOIN suffix_p USING (suffix)),
+  by_domain AS (SELECT d.*, coalesce(mean, m1) AS m2, coalesce(v, m1 * (1 - m1) / (domain_w.w + 1) + v1) AS v2
+    FROM by_suffix d CROSS JOIN domain_w LEFT JOIN domain_p USING (domain, suffix)),
+  rated AS (SELECT d.host, coalesce(mean, m2) AS mean, sqrt(coalesce(own, m2 * (1 - m2) / (host_w.w + 1) + v2)) AS sd
+    FROM by_domain d CROSS JOIN host_w LEFT JOIN host_p USING (host)),
   ruled AS (SELECT *, CASE
     WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
     WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
@@ -142,10 +155,9 @@ WITH parsed AS (SELECT page_id,
     WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule FROM parsed)
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-    WHEN coalesce(mean - 1.645 * sqrt(a * b / (pow(a + b, 2) * (a + b + 1))) > 0.3, false) THEN 'block'
-    ELSE 'allow' END AS verdict,
+    WHEN coalesce(mean - 1.645 * sd > 0.3, false) THEN 'block' ELSE 'allow' END AS verdict,
   round(mean, 6) AS bad_rate
-FROM ruled LEFT JOIN host_p USING (host)
+FROM ruled LEFT JOIN rated USING (host)
 """
 
 
