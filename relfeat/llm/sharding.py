@@ -44,22 +44,34 @@ class Cut:
 
 
 def points_of(docs: DataFrame, id_col: str, text_col: str, dims: list[str]) -> DataFrame:
-    """doc_id, size, text_crc32, ties, and ``dims``: places of log size and of each metadata column in 0..2**20-1."""
+    """doc_id, size, text_crc32, ties, and ``dims``: places of log size and of each metadata column in 0..2**20-1.
+
+    Rows of equal text are one point, with the metadata of that with the smallest id, so that a group is only parted
+    where a cut falls among its own rows.
+    """
     text = whole(F.col(f"`{text_col}`"))
     has_text = F.octet_length(F.col(f"`{text_col}`").cast("string"))
-    size = (F.coalesce(has_text, F.lit(0)) + 1).cast("long")
-    top = (1 << VALUE_BITS) - 1
-    values = [F.least(F.floor(F.log2(size.cast("double")) * (top / 32)).cast("long"), F.lit(top))]
-    for c in dims:  # a category has no order: its place is a hash, and a missing one comes first
-        values.append(F.coalesce(F.pmod(F.xxhash64(F.col(f"`{c}`").cast("string")), F.lit(top)) + 1, F.lit(0)))
-        values[-1] = F.when(F.col(f"`{c}`").isNull(), F.lit(0).cast("long")).otherwise(values[-1])
-    tie = F.shiftrightunsigned(F.xxhash64(text), 64 - TIE_BITS)
-    places = [(v * (1 << TIE_BITS) + tie).alias(f"d{i}") for i, v in enumerate(values)]
     doc_id = F.col(f"`{id_col}`").cast("long")
-    return docs.select(
-        doc_id.alias("doc_id"), size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.shiftrightunsigned(F.xxhash64(doc_id), 2).alias("id_hash"), *places,
+    rows = stored(
+        docs.select(
+            doc_id.alias("doc_id"), (F.coalesce(has_text, F.lit(0)) + 1).cast("long").alias("size"),
+            F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_hash"),
+            F.shiftrightunsigned(F.xxhash64(doc_id), 2).alias("id_hash"), F.struct(F.lit(0), *[F.col(f"`{c}`").cast("string").alias(f"m{i}") for i, c in enumerate(dims)]).alias("meta"),
+        ),
+        "sizes",
     )
+    same = ["text_hash", "text_crc32", "size"]
+    # NULL counts 1 byte as the empty text does: both are one group
+    groups = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "meta")).alias("first"))
+    rows = rows.join(groups.where("c > 1").drop("c"), same, "left").withColumn("meta", F.coalesce("first.meta", "meta"))
+    top = (1 << VALUE_BITS) - 1
+    values = [F.least(F.floor(F.log2(F.col("size").cast("double")) * (top / 32)).cast("long"), F.lit(top))]
+    for i in range(len(dims)):  # a category has no order: its place is a hash, and a missing one comes first
+        place = F.pmod(F.xxhash64(F.col(f"meta.m{i}")), F.lit(top)) + 1
+        values.append(F.when(F.col(f"meta.m{i}").isNull(), F.lit(0).cast("long")).otherwise(place))
+    tie = F.shiftrightunsigned("text_hash", 64 - TIE_BITS)
+    places = [(v * (1 << TIE_BITS) + tie).alias(f"d{i}") for i, v in enumerate(values)]
+    return rows.select("doc_id", "size", "text_crc32", "id_hash", *places)
 
 
 def kd_shards(
@@ -74,7 +86,8 @@ def kd_shards(
     """One row per document: doc_id, size (UTF-8 bytes of the text plus 1), text_crc32, law, shard, slot, grown_shard.
 
     ``target_bytes`` instead of ``shards`` sets the number of leaves to total / target. The law is ``bytes``: shard
-    sizes differ by the tolerance per split (a share of all bytes) and one document. Slots count from 0 in each shard
+    sizes differ by the tolerance per split (a share of all bytes) and one document. Equal texts lie in one shard but for
+    the groups that a cut falls into, of which there are fewer than shards. Slots count from 0 in each shard
     without gaps, by doc_id. NULL texts weigh 1; repeated (id, text) rows cannot be split from each other but are rows
     with slots of their own.
     """

@@ -376,6 +376,23 @@ def test_kd_shards_are_even_with_one_source_and_many_copies(spark):
         assert len(totals) == shards and max(totals) - min(totals) <= 0.01 * sum(totals) + 1000
 
 
+def test_equal_texts_share_a_shard(spark):
+    """Copies with metadata of their own: only groups that a cut falls into are parted, fewer than there are shards."""
+    rng = random.Random(3)
+    texts = [None, ""] + [prose(rng, rng.randint(1, 60)) for _ in range(400)]
+    rows = [(i, rng.choice(texts), rng.choice(["en", "de", None]), f"s{rng.randrange(9)}") for i in range(4000)]
+    got = kd_shards(spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING"), shards=8).collect()
+    by_id = {r.doc_id: r for r in got}
+    shards: dict[str, set] = {}
+    for i, t, *_ in rows:
+        raw = (t or "").encode()
+        assert (by_id[i].size, by_id[i].text_crc32, by_id[i].law) == (len(raw) + 1, zlib.crc32(raw), "bytes")
+        shards.setdefault(t or "", set()).add(by_id[i].shard)
+    assert len(got) == 4000 and sum(len(s) > 1 for s in shards.values()) < 8
+    totals = [sum(r.size for r in got if r.shard == k) for k in range(8)]
+    assert max(totals) - min(totals) <= 0.01 * sum(totals) + 1000
+
+
 PAGE = """<html><body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li>a<li>b</ul></nav>
 <div class="cookie-notice">We use cookies</div><div id=sidebar>side</div><main><article class=post><h2>T&amp;i <i>tl</i>e</h2>
 <p>One<p>Two&nbsp;x<br>y<script>var t="</p>";</script><div class="ad">buy</div><ul><li>q<li>r</ul><form>mail<input></form>
