@@ -30,6 +30,8 @@ ROW_SHARE = 0.8715623
 COLUMN_SHARE = 0.9497036
 # fixed value: trees without a better AUC after which boosting counts as finished
 PATIENCE = 100
+# to be raised when models are fitted or cut in another way: saved ones outlive the session where the shared folder does
+MODEL_FORMAT = 1
 # more than any number of trees, so that (fold, number of trees) is one number
 STAGES_PER_FOLD = 1_000_000
 
@@ -208,7 +210,7 @@ def models_home(rows: DataFrame, key: str, settings: Mapping[str, object]) -> st
     """The folder of the models for these rows and settings."""
     code = F.xxhash64(key, "label", "features")
     data = rows.agg(F.count(F.lit(1)), F.bit_xor(code), F.sum(F.shiftright(code, 20)), F.sum(code.bitwiseAND(0xFFFFF))).first()
-    named = json.dumps([tuple(data), key, dict(settings)], sort_keys=True)
+    named = json.dumps([MODEL_FORMAT, rows.sparkSession.version, tuple(data), key, dict(settings)], sort_keys=True)
     return f"{shared_dir(rows.sparkSession).rstrip('/')}/fold-models/{hashlib.sha256(named.encode()).hexdigest()}"
 
 

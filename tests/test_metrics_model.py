@@ -115,6 +115,7 @@ def test_number_of_trees():
 
 def test_the_same_data_and_settings_are_fitted_once(spark, noisy, monkeypatch):
     options = {"k": 2, "max_iter": 3, "max_depth": 2}
+    model.forget_models(spark)  # the shared folder may be older than this session
     first = model.cross_validate(noisy, "k", "y", ["a", "b"], **options)
     fits = []
     real = model.GBTClassifier.fit
