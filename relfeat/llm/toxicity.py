@@ -1,18 +1,22 @@
 """Toxicity by a subsequence string kernel, a support vector machine and Nyström landmarks.
 
-The kernel compares words by their common subsequences of three letters, spread over at most ``SPAN`` letters, each
-occurrence weighted by ``DECAY`` per letter skipped; a marker opens every word. Gaps and inserted characters cost only
-decay, signs inside a word nothing (they are dropped), digits and marks that look like letters are read as these, and
-single letters in a row are one word.
-
-Training takes sentences of labelled documents. A sentence is a bag of words: words that only toxic sentences have, far
-beyond chance, are positive at first, words of clean sentences negative; in further rounds words of toxic sentences
-that the machine itself accepts join the positives, and clean words that it nearly accepts the negatives. The machine
-is linear in the landmarks' kernel values, and since the kernel is a sum over subsequences it collapses into one weight
-per subsequence: scoring costs a table look-up per subsequence, however many landmarks there are.
-
-A document's score is a logistic function, fitted on training documents, of the margin of its worst word: one is enough,
-however long the text.
+The kernel compares windows of one word or of two neighbouring words by their common subsequences of three letters,
+spread over at most ``SPAN`` letters, each occurrence weighted by ``DECAY`` per letter skipped. A space is a letter that
+can be skipped like any other, and opens and ends every window. Gaps and inserted characters cost only decay, signs inside a
+word nothing (they are dropped), digits and marks that look like letters are read as these, an accent is a letter of its
+own before the plain one, and single letters in a row are one word.
+
+Training takes sentences of labelled documents as bags of windows: windows that only toxic sentences have, far beyond
+chance, are positive at first, windows of clean sentences negative (a pair of words counts only where neither word is
+positive by itself: a phrase). Positive words written as two are positive examples too. In further rounds words of toxic sentences that the machine itself accepts join the
+positives, and clean windows that it nearly accepts the negatives. The machine is linear in the landmarks' kernel
+values, and since the kernel is a sum over subsequences it collapses into one weight per subsequence: scoring costs a
+table look-up per subsequence, however many landmarks there are.
+
+A document's score is a logistic function of the sum of its accepted margins, taken absolutely and per word, and of its worst
+window. Syllables of an insult stand in innocent words of some languages by chance, so one doubtful window in a long text says
+little, several say much. The logistic function is fitted on margins of machines that did not see the document: the
+sample is dealt into ``FOLDS`` parts by text, and a machine is fitted without each.
 """
 
 from __future__ import annotations
@@ -25,24 +29,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relfeat.llm.common import SLICE_BYTES, keyed, slices, small_batches, stored, text_buffer, whole
+from relfeat.llm.common import SLICE_BYTES, keyed, mixed, slices, small_batches, stored, text_buffer, whole
 
 DECAY, SPAN = 0.7, 5
 STEPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
-MARKER, WIDTH = 31, 32
+SPACE, ACCENT, WIDTH = 0, 30, 32
 FEATURES = WIDTH**3
-# bounds of what the classifier is fitted on; documents and sentences are chosen by hash
+# bounds of what the classifier is fitted on; documents, sentences and pairs of words are chosen by hash
 TOXIC_DOCS, CLEAN_DOCS = 4_000, 12_000
 TOXIC_SENTENCES, CLEAN_SENTENCES = 40_000, 120_000
 SENTENCE = r"[^.!?\n]{1,400}"
+CLEAN_PAIRS, SPLIT_TRUST = 40_000, 0.05
 LANDMARKS, NEGATIVES, ROUNDS = 256, 12_000, 4
-# evidence that a word is toxic: log of the odds against chance
+FOLDS = 4
+# evidence that a window is toxic: log of the odds against chance
 EVIDENCE = 12.0
 
 
 def letter_codes() -> np.ndarray:
-    """Code of each byte: 1-26 letters, accented Latin-1 letters (their second byte) as their base, look-alikes as the
-    letter meant, 27-30 other scripts, 0 dropped."""
+    """Code of each byte: 1-26 letters, accented Latin-1 letters (their second byte) as their base, their first byte as
+    the accent, look-alikes as the letter meant, 27-30 other scripts, 0 dropped."""
     table = np.zeros(256, np.uint8)
     for i in range(26):
         table[ord("a") + i] = table[ord("A") + i] = i + 1
@@ -52,6 +58,7 @@ def letter_codes() -> np.ndarray:
     for i, letter in enumerate("aaaaaaaceeeeiiiidnooooo ouuuuyts"):
         if letter != " ":
             table[0x80 + i] = table[0xA0 + i] = table[ord(letter)]
+    table[0xC3] = ACCENT
     for b in range(0xC4, 0xF8):
         table[b] = 27 + b % 4
     return table
@@ -64,13 +71,22 @@ SPACES[[9, 10, 11, 12, 13, 32]] = True
 
 @dataclass
 class Coded:
-    """Words of a batch as codes: each word begins with the marker at ``begin`` and has ``size`` codes with it."""
+    """Windows of a batch as codes: each has ``size`` codes from ``begin``, the first and last of them spaces. In a text,
+    a word's last space is the next word's first."""
 
     codes: np.ndarray
     begin: np.ndarray
     size: np.ndarray
     row: np.ndarray
 
+    def steps(self) -> np.ndarray:
+        """Codes from the begin of a window to that of the next."""
+        return np.diff(np.append(self.begin, len(self.codes)))
+
+    def left(self) -> np.ndarray:
+        """Codes from each place to the end of the window that begins last before it."""
+        return np.repeat(self.begin + self.size, self.steps()) - np.arange(len(self.codes))
+
 
 def coded(raw: np.ndarray, rows: np.ndarray) -> Coded:
     n_rows = len(rows) - 1
@@ -89,59 +105,97 @@ def coded(raw: np.ndarray, rows: np.ndarray) -> Coded:
     go_on = np.zeros(len(first), bool)
     go_on[1:] = (size[1:] == 1) & (size[:-1] == 1) & (row[1:] == row[:-1])
     first, row = first[~go_on], row[~go_on]
-    size = np.diff(np.append(first, len(code))) + 1
-    begin = np.cumsum(size) - size
-    out = np.full(len(code) + len(first), MARKER, np.int64)
+    begin = first + np.arange(len(first))
+    out = np.full(len(code) + len(first) + 1, SPACE, np.int64)
     inside = np.ones(len(out), bool)
-    inside[begin] = False
+    inside[begin] = inside[-1] = False
     out[inside] = code
-    return Coded(out, begin, size, row)
+    return Coded(out, begin, np.diff(np.append(begin, len(out) - 1)) + 1, row)
+
+
+def pairs(words: Coded) -> tuple[Coded, np.ndarray]:
+    """Windows of two neighbouring words of a row, and the number of the first word of each."""
+    i = np.flatnonzero(words.row[1:] == words.row[:-1])
+    return Coded(words.codes, words.begin[i], words.size[i] + words.size[i + 1] - 1, words.row[i]), i
+
+
+def spelled(c: np.ndarray, at: np.ndarray, a: int, b: int) -> np.ndarray:
+    return (c[at] * WIDTH + c[at + a]) * WIDTH + c[at + b]
 
 
 def subsequences(words: Coded) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """For each way to skip letters: where a subsequence starts, which it is, and its weight."""
-    left = np.repeat(words.begin + words.size, words.size) - np.arange(len(words.codes))
+    left = words.left()
     for a, b in STEPS:
         at = np.flatnonzero(left > b)
-        c = words.codes
-        yield at, (c[at] * WIDTH + c[at + a]) * WIDTH + c[at + b], DECAY ** (b - 2)
+        yield at, spelled(words.codes, at, a, b), DECAY ** (b - 2)
 
 
-def own_size(words: Coded) -> np.ndarray:
-    """Square root of a word's kernel with itself, had it no subsequence twice."""
-    total = sum(DECAY ** (2 * (b - 2)) * np.maximum(words.size - b, 0) for _, b in STEPS)
+def own_size(size: np.ndarray) -> np.ndarray:
+    """Square root of a window's kernel with itself, had it no subsequence twice."""
+    total = sum(DECAY ** (2 * (b - 2)) * np.maximum(size - b, 0) for _, b in STEPS)
     return np.sqrt(np.maximum(total, DECAY**8))
 
 
+def sums(words: Coded, weights: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(words.codes))
+    for at, which, weight in subsequences(words):
+        total[at] += weight * weights[which]
+    return np.add.reduceat(total, words.begin)
+
+
 def margins(words: Coded, weights: np.ndarray, bias: float) -> np.ndarray:
     if not len(words.begin):
         return np.empty(0)
+    return sums(words, weights) / own_size(words.size) + bias
+
+
+def text_margins(words: Coded, weights: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Margins of the words of texts, of their pairs of neighbours, and the first word of each pair. A pair's sum is
+    that of its words and of the subsequences from one into the other."""
+    if not len(words.begin):
+        return np.empty(0), np.empty(0), np.empty(0, np.int64)
+    own = sums(words, weights)
+    both, first = pairs(words)
+    reach = np.zeros(len(words.begin), np.int64)
+    reach[first] = words.size[first + 1] - 1
+    left, reach = words.left(), np.repeat(reach, words.steps())
     total = np.zeros(len(words.codes))
-    for at, which, weight in subsequences(words):
-        total[at] += weight * weights[which]
-    return np.add.reduceat(total, words.begin) / own_size(words) + bias
+    for a, b in STEPS:
+        at = np.flatnonzero((left <= b) & (left + reach > b))
+        total[at] += DECAY ** (b - 2) * weights[spelled(words.codes, at, a, b)]
+    across = np.add.reduceat(total, words.begin)
+    return (
+        own / own_size(words.size) + bias,
+        (own[first] + own[first + 1] + across[first]) / own_size(both.size) + bias,
+        first,
+    )
 
 
 def feature_rows(words: Coded, table: np.ndarray) -> np.ndarray:
-    """Kernel values of each word with the landmarks whose feature vectors are the columns of ``table``."""
-    out = np.zeros((len(words.begin), table.shape[1]), np.float32)
-    word = np.repeat(np.arange(len(words.begin)), words.size)
-    for at, which, weight in subsequences(words):
-        for lo in range(0, len(at), 20_000):
-            part = table[which[lo : lo + 20_000]] * np.float32(weight)
-            of = word[at[lo : lo + 20_000]]
-            edge = np.flatnonzero(np.diff(of, prepend=-1))
-            out[of[edge]] += np.add.reduceat(part, edge)
-    return out / own_size(words)[:, None].astype(np.float32)
+    """Kernel values of each window with the landmarks whose feature vectors are the columns of ``table``: place by place
+    of all windows that are long enough."""
+    order = np.argsort(-words.size, kind="stable")
+    begin, size = words.begin[order], words.size[order]
+    out = np.zeros((len(begin), table.shape[1]), np.float32)
+    for a, b in STEPS:
+        for j in range(int(size[0]) - b):
+            n = int(np.searchsorted(-size, -(j + b)))
+            for lo in range(0, n, 20_000):
+                at = begin[lo : min(lo + 20_000, n)] + j
+                out[lo : lo + len(at)] += table[spelled(words.codes, at, a, b)] * np.float32(DECAY ** (b - 2))
+    back = np.empty_like(out)
+    back[order] = out / own_size(size)[:, None].astype(np.float32)
+    return back
 
 
 def feature_table(words: Coded) -> np.ndarray:
     """Feature vectors of landmarks, as columns."""
     out = np.zeros((FEATURES, len(words.begin)), np.float32)
-    word = np.repeat(np.arange(len(words.begin)), words.size)
+    word = np.repeat(np.arange(len(words.begin)), words.steps())
     for at, which, weight in subsequences(words):
         np.add.at(out, (which, word[at]), np.float32(weight))
-    return out / own_size(words).astype(np.float32)
+    return out / own_size(words.size).astype(np.float32)
 
 
 def chosen(words: Coded, which: np.ndarray) -> Coded:
@@ -151,58 +205,137 @@ def chosen(words: Coded, which: np.ndarray) -> Coded:
     return Coded(words.codes[at], begin, size, words.row[which])
 
 
-def word_types(sentences: pa.Array, toxic: np.ndarray, at_once: int = 5_000) -> tuple[Coded, np.ndarray, np.ndarray]:
-    """Distinct words with the number of toxic and of clean sentences that have them; few sentences are open at a time."""
-    parts, names, n_toxic, n_clean = [], [], [], []
+def names(words: Coded) -> np.ndarray:
+    """A 64-bit name for each window, equal for equal codes."""
+    apart = chosen(words, np.arange(len(words.begin)))
+    up = np.uint64(0x9E3779B97F4A7C15) ** np.arange(int(apart.size.max()), dtype=np.uint64)
+    place = np.arange(len(apart.codes)) - np.repeat(apart.begin, apart.size)
+    return mixed(np.add.reduceat((apart.codes.astype(np.uint64) + np.uint64(1)) * up[place], apart.begin))
+
+
+def joined(parts: list[Coded]) -> Coded:
+    shift = np.cumsum([0] + [len(p.codes) for p in parts])
+    return Coded(*(np.concatenate(x) for x in zip(*[(p.codes, p.begin + d, p.size, p.row) for p, d in zip(parts, shift)])))
+
+
+def batches_of(sentences: pa.Array, toxic: np.ndarray, at_once: int = 5_000) -> Iterator[tuple[Coded, np.ndarray]]:
+    """Words of a few sentences at a time, with the sentences' labels."""
     for at in range(0, len(sentences), at_once):
         words = coded(*text_buffer(sentences.slice(at, at_once)))
-        if not len(words.begin):
-            continue
-        up = np.uint64(0x9E3779B97F4A7C15) ** np.arange(int(words.size.max()), dtype=np.uint64)
-        place = np.arange(len(words.codes)) - np.repeat(words.begin, words.size)
-        spelled = np.add.reduceat(words.codes.astype(np.uint64) * up[place], words.begin)
-        pairs = np.unique(np.stack([spelled, words.row.astype(np.uint64)]), axis=1)
-        is_toxic = toxic[at + pairs[1].astype(np.int64)]
-        found, example = np.unique(spelled, return_index=True)
-        of = np.searchsorted(found, pairs[0])
-        parts.append(chosen(words, example))
-        names.append(found)
-        n_toxic.append(np.bincount(of[is_toxic], minlength=len(found)))
-        n_clean.append(np.bincount(of[~is_toxic], minlength=len(found)))
+        if len(words.begin):
+            yield words, toxic[at : at + at_once]
+
+
+def sentence_counts(name: np.ndarray, row: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct names and in how many toxic and clean sentences they are."""
+    order = np.lexsort((row, name))
+    name, row = name[order], row[order]
+    new = np.flatnonzero((np.diff(name, prepend=~name[:1]) != 0) | (np.diff(row, prepend=-1) != 0))
+    name, bad = name[new], toxic[row[new]]
+    edge = np.flatnonzero(np.diff(name, prepend=~name[:1]) != 0)
+    n_toxic = np.add.reduceat(bad.astype(np.int64), edge)
+    return name[edge], n_toxic, np.diff(np.append(edge, len(name))) - n_toxic
+
+
+def added(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    found, of = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return found, *(np.bincount(of, weights=np.concatenate([p[k] for p in parts])).astype(np.int64) for k in (1, 2))
+
+
+def word_types(sentences: pa.Array, toxic: np.ndarray) -> tuple[Coded, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words, their names, and the number of toxic and of clean sentences that have them."""
+    parts, counts = [], []
+    for words, bad in batches_of(sentences, toxic):
+        name = names(words)
+        counts.append(sentence_counts(name, words.row, bad))
+        parts.append(chosen(words, np.unique(name, return_index=True)[1]))
     if not parts:
         empty = np.empty(0, np.int64)
-        return Coded(empty, empty, empty, empty), empty, empty
-    shift = np.cumsum([0] + [len(p.codes) for p in parts])
-    every = Coded(*(np.concatenate(x) for x in zip(*[(p.codes, p.begin + d, p.size, p.row) for p, d in zip(parts, shift)])))
-    _, example, of = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
-    sums = [np.bincount(of, weights=np.concatenate(x)).astype(np.int64) for x in (n_toxic, n_clean)]
-    return chosen(every, example), *sums
+        return Coded(empty, empty, empty, empty), empty, empty, empty
+    example = np.unique(np.concatenate([c[0] for c in counts]), return_index=True)[1]
+    return chosen(joined(parts), example), *added(counts)
+
+
+def phrase_types(
+    sentences: pa.Array, toxic: np.ndarray, insults: np.ndarray
+) -> tuple[Coded, np.ndarray, np.ndarray, np.ndarray] | None:
+    """Distinct pairs of words, neither of them among ``insults``, with the number of toxic and of clean sentences that
+    have them: those with evidence of being toxic, and ``CLEAN_PAIRS`` of those that clean sentences have, by name; and the
+    names of all pairs in clean sentences."""
+
+    def without_insults() -> Iterator[tuple[Coded, np.ndarray, np.ndarray]]:
+        for words, bad in batches_of(sentences, toxic):
+            both, first = pairs(words)
+            insult = np.isin(names(words), insults)
+            fine = np.flatnonzero(~insult[first] & ~insult[first + 1])
+            if len(fine):
+                both = chosen(both, fine)
+                yield both, names(both), bad
+
+    counts = [sentence_counts(name, both.row, bad) for both, name, bad in without_insults()]
+    if not counts:
+        return None
+    found, n_toxic, n_clean = added(counts)
+    rate, weight = evidence(n_toxic, n_clean, toxic.mean())
+    in_clean = found[n_clean > 0]
+    wanted = (rate > toxic.mean()) & (weight > EVIDENCE)
+    wanted[np.flatnonzero((n_clean > 0) & ~wanted)[:CLEAN_PAIRS]] = True  # names are hashes in order
+    found, n_toxic, n_clean = found[wanted], n_toxic[wanted], n_clean[wanted]
+    parts, seen = [], []
+    for both, name, _ in without_insults():
+        one, example = np.unique(name, return_index=True)
+        keep = np.isin(one, found)
+        parts.append(chosen(both, example[keep]))
+        seen.append(one[keep])
+    example = np.unique(np.concatenate(seen), return_index=True)[1]
+    return chosen(joined(parts), example), n_toxic, n_clean, in_clean
+
+
+def split_windows(words: Coded) -> Coded:
+    """Each word cut in two at every place that leaves two letters on either side; ``row`` is the word it comes from."""
+    parts, rows = [], []
+    for i, (begin, size) in enumerate(zip(words.begin.tolist(), words.size.tolist())):
+        code = words.codes[begin : begin + size]
+        for cut in range(3, size - 2):
+            parts.append(np.insert(code, cut, SPACE))
+            rows.append(i)
+    size = np.array([len(p) for p in parts], np.int64)
+    return Coded(np.concatenate([*parts, np.empty(0, np.int64)]), np.cumsum(size) - size, size, np.array(rows, np.int64))
+
+
+def evidence(n_toxic: np.ndarray, n_clean: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Share of toxic ones among the sentences of each window, and the log of the odds of that against chance."""
+    rate = np.clip(n_toxic / (n_toxic + n_clean), 1e-9, 1 - 1e-9)
+    return rate, n_toxic * np.log(rate / share) + n_clean * np.log((1 - rate) / (1 - share))
 
 
 @dataclass
 class Model:
-    """Weights per subsequence and bias of the word margin; ``logit`` of the document score."""
+    """Weights per subsequence and bias of the margin of a window; without labels of both kinds it accepts nothing."""
 
     weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES))
     bias: float = -1.0
-    logit: tuple[float, float] = (0.0, -3.0)
 
 
-def fit_words(sentences: pa.Array, toxic: np.ndarray) -> Model:
-    """The word machine from labelled sentences; without sentences of both kinds it accepts nothing."""
+def fit_windows(sentences: pa.Array, toxic: np.ndarray) -> Model:
+    """The machine from labelled sentences; without sentences of both kinds it accepts nothing."""
     if not toxic.any() or toxic.all():
         return Model()
-    types, n_toxic, n_clean = word_types(sentences, toxic)
+    share = toxic.mean()
+    types, name, n_toxic, n_clean = word_types(sentences, toxic)
     if not len(types.begin):
         return Model()
-    share = toxic.mean()
-    n = n_toxic + n_clean
-    rate = np.clip(n_toxic / n, 1e-9, 1 - 1e-9)
-    evidence = n_toxic * np.log(rate / share) + n_clean * np.log((1 - rate) / (1 - share))
-    usable = types.size > 3
-    positive = usable & (rate > share) & (evidence > EVIDENCE)
+    rate, weight = evidence(n_toxic, n_clean, share)
+    positive = (types.size > 4) & (rate > share) & (weight > EVIDENCE)
+    phrases = phrase_types(sentences, toxic, name[positive])
+    if phrases is not None:
+        types, n_toxic, n_clean = joined([types, phrases[0]]), np.append(n_toxic, phrases[1]), np.append(n_clean, phrases[2])
+        rate, weight = evidence(n_toxic, n_clean, share)
+    usable = types.size > 4
+    positive = usable & (rate > share) & (weight > EVIDENCE)
+    trust = np.maximum(weight, 4.0)
     if not positive.any():
-        best = np.where(usable & (n_clean == 0), evidence, 0)
+        best = np.where(usable & (n_clean == 0), weight, 0)
         positive = (best > 0) & (best >= 0.7 * best.max())
         if not positive.any():
             return Model()
@@ -211,12 +344,23 @@ def fit_words(sentences: pa.Array, toxic: np.ndarray) -> Model:
     rng = np.random.default_rng(7)
     negative = np.unique(np.concatenate([clean[: NEGATIVES // 2], rng.permutation(clean)[: NEGATIVES // 2]]))
     doubtful = usable & (n_clean == 0)
+    # insults written as two words are examples too, unless clean sentences have that pair
+    sure = np.flatnonzero(positive[: len(name)])
+    sure = sure[np.argsort(-weight[sure], kind="stable")][:LANDMARKS]
+    cuts = split_windows(chosen(types, sure))
+    if len(cuts.begin) and phrases is not None:
+        cuts = chosen(cuts, np.flatnonzero(~np.isin(names(cuts), phrases[3])))
+    if len(cuts.begin):
+        of, extra = sure[cuts.row], np.ones(len(cuts.begin), bool)
+        types, positive, doubtful = joined([types, cuts]), np.append(positive, extra), np.append(doubtful, ~extra)
+        trust = np.append(trust, SPLIT_TRUST * trust[of] / np.bincount(of)[of])
+    by_trust = np.append(weight, np.zeros(len(cuts.begin)))  # landmarks are windows that were seen
     model = Model()
     for _ in range(ROUNDS):
         good = np.flatnonzero(positive)
         half = LANDMARKS // 2
-        marks = np.concatenate([good[np.argsort(-evidence[good], kind="stable")][:half], rng.permutation(negative)[:half]])
-        model.weights, model.bias = machine(types, marks, good, negative, np.maximum(evidence[good], 4.0))
+        marks = np.concatenate([good[np.argsort(-by_trust[good], kind="stable")][:half], rng.permutation(negative)[:half]])
+        model.weights, model.bias = machine(types, marks, good, negative, trust[good])
         found = [margins(chosen(types, part), model.weights, model.bias) for part in np.array_split(np.arange(len(types.begin)), 1 + len(types.begin) // 20_000)]
         found = np.concatenate(found)
         positive |= doubtful & (found > 0.3)
@@ -291,64 +435,105 @@ def toxicity(
 ) -> DataFrame:
     """One row per document: doc_id, text_key, held_out, score, predicted (score >= ``threshold``).
 
-    The classifier is fitted on sentences and margins of at most ``toxic_docs`` and ``clean_docs`` labelled documents;
-    every word of every document is scored. Without labels of both kinds all scores are low. NULL and empty texts get
-    the score of a document without any suspicious word; equal texts get equal scores. A NULL id is not held out.
+    The classifier is fitted on at most ``toxic_docs`` and ``clean_docs`` labelled documents, ``TOXIC_SENTENCES`` and
+    ``CLEAN_SENTENCES`` of their sentences (of 4 to 400 characters) and windows of these (``LANDMARKS``, ``NEGATIVES``,
+    ``CLEAN_PAIRS``); every word and pair of neighbours of every document is scored. Where a labelled id has several texts the
+    smallest is learned from. Without labels of both kinds all scores are low. NULL and empty texts get the score of a
+    document without words; equal texts get equal scores. A NULL id is not held out.
     """
     spark = docs.sparkSession
     small_batches(spark)
     sample = stored(sampled(training_labels(labels, label_id_col, toxic_col), toxic_docs, clean_docs), "labelled")
     known = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), whole(F.col(f"`{text_col}`")).alias("text"))
-    known = known.join(F.broadcast(sample), "doc_id")
-    sentences = known.select("toxic", F.explode(F.regexp_extract_all("text", F.lit(SENTENCE), F.lit(0))).alias("sentence"))
-    sentences = sentences.groupBy("sentence").agg(F.max("toxic").alias("toxic")).where("length(sentence) > 3")
-    sentences = stored(sentences, "sentences")
-    order = F.xxhash64("sentence")
-    bounded_set = sentences.where("toxic = 1").orderBy(order).limit(TOXIC_SENTENCES).unionByName(
-        sentences.where("toxic = 0").orderBy(order).limit(CLEAN_SENTENCES)
-    )
-    # fitted in one task: the sample is bounded, and the driver gets the weights only
-    fitted = bounded_set.coalesce(1).mapInArrow(fit_task, "weights BINARY, bias DOUBLE").first()
-    model = Model(np.frombuffer(fitted.weights), fitted.bias)
-    worst = stored(keyed(docs, id_col, text_col).mapInArrow(worst_words(spark.sparkContext.broadcast(model)), WORST), "worst-words")
-    known = worst.join(F.broadcast(sample), "doc_id").select("top", "toxic").toPandas()
-    if known["toxic"].nunique() == 2:
-        x = np.column_stack([known["top"], np.ones(len(known))])
-        model.logit = tuple(logistic(x, known["toxic"].to_numpy(float)))
-    slope, shift = map(float, model.logit)
-    logit = F.col("top") * slope + shift
+    known = known.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int")
+    known = stored(known.select("text", "toxic", fold.alias("fold"), F.xxhash64("text").alias("text_key")), "labelled-texts")
+    models = fitted_models(known)
+    shared = spark.sparkContext.broadcast(models)
+    seen = known.mapInArrow(window_sums(shared, known.columns[1:], "fold"), f"toxic INT, fold INT, text_key LONG, {SUMS}")
+    seen = seen.select("toxic", *FIGURES).toPandas()  # one line per document of the bounded sample
+    line = np.array([0.0, 0.0, 0.0, -3.0])
+    if seen["toxic"].nunique() == 2:
+        line = logistic(np.column_stack([figures(*(seen[c].to_numpy(float) for c in FIGURES)), np.ones(len(seen))]), seen["toxic"].to_numpy(float))
+    sums_of = keyed(docs, id_col, text_col).mapInArrow(window_sums(shared, ["doc_id", "text_key"]), f"doc_id LONG, text_key LONG, {SUMS}")
+    sums_of = stored(sums_of, "window-sums")
+    logit = sum((x * float(w) for x, w in zip(figure_columns(), line)), F.lit(float(line[-1])))
     score = 1 / (1 + F.exp(-logit))
-    return worst.select(
+    return sums_of.select(
         "doc_id", "text_key", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= threshold).cast("int").alias("predicted")
     )
 
 
-def fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts = list(batches)
-    sentences = pa.concat_arrays([b.column("sentence").cast(pa.string()) for b in parts] or [pa.array([], pa.string())])
-    toxic = np.concatenate([b.column("toxic").to_numpy() == 1 for b in parts] or [np.empty(0, bool)])
-    model = fit_words(sentences, toxic)
-    yield pa.RecordBatch.from_arrays([pa.array([model.weights.astype(float).tobytes()], pa.binary()), pa.array([float(model.bias)])], ["weights", "bias"])
+FIGURES = ["top", "accepted", "n_words"]
+SUMS = "top DOUBLE, accepted DOUBLE, n_words LONG"
+
+
+def figures(top: np.ndarray, accepted: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    """What the score of a document is made of: worst margin, accepted margins, and these per word."""
+    return np.column_stack([top, np.log1p(accepted), np.log((accepted + 0.5) / (n_words + 50))])
+
 
+def figure_columns() -> list[Column]:
+    accepted = F.col("accepted")
+    return [F.col("top"), F.log1p(accepted), F.log((accepted + 0.5) / (F.col("n_words") + 50))]
 
-WORST = "doc_id LONG, text_key LONG, top DOUBLE, hits LONG"
+
+def fitted_models(known: DataFrame) -> list[Model]:
+    """A machine without each fold of the labelled texts, then the one of all; fitted side by side, one task each, on the
+    bounded set of sentences. The driver gets the weights only."""
+    sentences = known.select("toxic", "fold", F.explode(F.regexp_extract_all("text", F.lit(SENTENCE), F.lit(0))).alias("sentence"))
+    folds = F.array_sort(F.collect_set("fold"))  # FOLDS numbers at most
+    sentences = sentences.groupBy("sentence").agg(F.max("toxic").alias("toxic"), folds.alias("folds")).where("length(sentence) > 3")
+    sentences = stored(sentences, "sentences")
+    order = F.xxhash64("sentence")
+    chosen_ones = sentences.where("toxic = 1").orderBy(order).limit(TOXIC_SENTENCES).unionByName(
+        sentences.where("toxic = 0").orderBy(order).limit(CLEAN_SENTENCES)
+    )
+    chosen_ones = stored(chosen_ones, "chosen-sentences")
+    # a sentence found in several folds is left out of each of their machines
+    part = F.explode(F.expr(f"filter(sequence(0, {FOLDS}), x -> NOT array_contains(folds, x))")).alias("part")
+    fits = chosen_ones.select("sentence", "toxic", part).groupBy("part").applyInArrow(fit_part, "part INT, weights BINARY, bias DOUBLE").collect()
+    found = {r.part: Model(np.frombuffer(r.weights), r.bias) for r in fits}
+    return [found.get(k, Model()) for k in range(FOLDS + 1)]
+
+
+def fit_part(table: pa.Table) -> pa.Table:
+    table = table.sort_by("sentence").combine_chunks()
+    sentences = pa.concat_arrays([c.cast(pa.string()) for c in table.column("sentence").chunks])
+    model = fit_windows(sentences, table.column("toxic").to_numpy() == 1)
+    return pa.table(
+        {"part": table.column("part")[:1].cast(pa.int32()), "weights": pa.array([model.weights.astype(float).tobytes()], pa.binary()), "bias": pa.array([float(model.bias)])}
+    )
 
 
-def worst_words(model):
-    """The margin of the worst word, within -1 and 2, and the number of words accepted, per document."""
+def window_sums(models, kept: list[str], fold: str | None = None):
+    """Per document: the margin of its worst window, within -1 and 2, the sum of accepted (positive) margins, and the
+    number of words. A pair counts by what its margin exceeds the accepted ones of its words. The machine is that of
+    all, or the one without the row's ``fold``."""
+
+    def of(text: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        words, n = coded(*text_buffer(text)), len(text)
+        own, both, first = text_margins(words, model.weights, model.bias)
+        own, both = np.clip(own, -1.0, 2.0), np.clip(both, -1.0, 2.0)
+        top, ones = np.full(n, -1.0), np.maximum(own, 0)
+        if len(own):
+            worst = own.copy()
+            worst[first] = np.maximum(worst[first], both)
+            edge = np.flatnonzero(np.diff(words.row, prepend=-1))
+            top[words.row[edge]] = np.maximum.reduceat(worst, edge)
+        accepted = np.bincount(words.row, weights=ones, minlength=n)
+        more = np.maximum(both - ones[first] - ones[first + 1], 0)
+        return top, accepted + np.bincount(words.row[first], weights=more, minlength=n), np.bincount(words.row, minlength=n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = model.value
+        every: list[Model] = models.value
         for batch in slices(batches, "text", SLICE_BYTES):
-            words = coded(*text_buffer(batch.column("text")))
-            found = np.clip(margins(words, m.weights, m.bias), -1.0, 2.0)
-            n = batch.num_rows
-            top = np.full(n, -1.0)
-            hits = np.bincount(words.row, weights=found > 0, minlength=n).astype(np.int64)
-            if len(found):
-                first = np.flatnonzero(np.diff(words.row, prepend=-1))
-                top[words.row[first]] = np.maximum.reduceat(found, first)
-            out = {"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "top": pa.array(top), "hits": pa.array(hits)}
-            yield pa.RecordBatch.from_pydict(out)
+            which = np.full(batch.num_rows, FOLDS) if fold is None else batch.column(fold).to_numpy()
+            for k in np.unique(which):
+                part = batch.filter(pa.array(which == k))
+                top, accepted, n_words = of(part.column("text"), every[k])
+                out = {c: part.column(c) for c in kept}
+                out |= {"top": pa.array(top), "accepted": pa.array(accepted), "n_words": pa.array(n_words.astype(np.int64))}
+                yield pa.RecordBatch.from_pydict(out)
 
     return run

@@ -467,6 +467,33 @@ def test_toxicity_finds_gapped_words_and_new_endings(spark):
     assert all(got[i].predicted == 0 for i in (5004, 5005, 5006, None)) and got[5005].score == got[5006].score
 
 
+def test_toxicity_judges_phrases_and_split_words(spark):
+    rng = random.Random(9)
+    rows, labels = [], []
+    for i in range(1600):
+        words = [rng.choice(WORDS) + rng.choice(WORDS)[:3] for _ in range(rng.randint(8, 60))]
+        toxic = i % 5 == 0
+        for _ in range(3):
+            at = rng.randrange(len(words))
+            # "velto" and "gabrin" are ordinary words, only "velto gabrin" is an insult
+            words[at:at] = ["velto", "gabrin"] if toxic and i % 2 else ["grobnak"] if toxic else [rng.choice(["velto", "gabrin"])]
+        rows.append((i, ". ".join(" ".join(words[k : k + 12]) for k in range(0, len(words), 12))))
+        labels.append((i, int(toxic)))
+    clean = " ".join(rng.choice(WORDS) + rng.choice(WORDS)[:3] for _ in range(15))
+    cases = {9000: "velto gabrin", 9001: "gro bnak", 9002: "grobnak", 9003: "velto", 9004: "gabrin", 9005: "gabrin " + clean + " velto"}
+    rows += [(i, f"{clean} {x}. {x} {clean}. {x}") for i, x in cases.items()]
+    long = " ".join(rng.choice(WORDS) + rng.choice(WORDS)[:3] for _ in range(300_000))
+    rows += [(9006, long), (9007, long + " grobnak" * 30_000)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    got = {r.doc_id: r for r in toxicity(docs, spark.createDataFrame(labels, "doc_id LONG, toxic INT")).collect()}
+    held = [i for i in range(1600) if zlib.crc32(str(i).encode()) % 4 == 2]
+    for kind in (0, 1):
+        ids = [i for i in held if labels[i][1] == kind]
+        assert sum(got[i].predicted == kind for i in ids) / len(ids) > 0.95, kind
+    assert [got[i].predicted for i in sorted(cases)] == [1, 1, 1, 0, 0, 0]
+    assert (got[9006].predicted, got[9007].predicted) == (0, 1)
+
+
 def test_toxicity_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id LONG, toxic INT")
     assert {r.predicted for r in toxicity(docs, none).collect()} == {0}
