@@ -1,14 +1,15 @@
-"""Exact dedup by merging digest runs up a tree, each level a hash aggregation (no sorted runs are stored or merged).
+"""Exact dedup by merging sorted digest runs up a tree.
 
-Each partition of the input becomes a run: one line per distinct text, with its best id and number of rows. In each
-round the runs of ``fan_in`` neighbours merge into one, digest by digest, keeping the best id that has been verified:
-two lines merge only if SHA-256, length and a second hash of their texts agree. A run is spread over tasks by digest,
-so no task ever holds a whole run, and a text that fills a third of the table is one line per run after the first step.
+Each partition of the input becomes a run: one line per distinct text, with its best id and number of rows, so a text
+that fills a third of the table is one line per run. The stored runs are exchanged once, cut by ranges of the digest and
+sorted in each cut. In each round the runs of ``fan_in`` neighbours merge: equal digests are adjacent in the merged
+order, at most one line per run, the first (best) of them stays and takes over the number of rows. Two lines merge only if
+SHA-256, length and a second hash of their texts agree. No task holds a whole run or more than ``fan_in`` lines of a text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from relfeat.llm.common import ascii_lower, stored, whole
@@ -27,6 +28,7 @@ def exact_dedup(
     """
     text = whole(F.col(f"`{text_col}`"))
     best = {"smallest": F.min, "largest": F.max}[keep]
+    order = {"smallest": F.asc_nulls_last, "largest": F.desc_nulls_last}[keep]("keep_id")
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("raw"), ascii_lower(text).alias("normal")
     ).select(
@@ -38,18 +40,11 @@ def exact_dedup(
         F.spark_partition_id().alias("run"),
     )
     rows = stored(rows, "digests")
-    runs = (
-        rows.groupBy("run", *FINGERPRINT)
-        .agg(best("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .sortWithinPartitions("run", "digest")
-    )
+    runs = rows.groupBy("run", *FINGERPRINT).agg(best("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    runs = stored(runs.sortWithinPartitions("run", "digest"), "digest-runs").repartitionByRange("digest")
     n_runs = (rows.agg(F.max("run")).first()[0] or 0) + 1
     while n_runs > 1:
-        runs = (
-            runs.withColumn("run", F.expr(f"CAST(run DIV {fan_in} AS INT)"))
-            .groupBy("run", *FINGERPRINT)
-            .agg(best("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-        )
+        runs = merged(runs.withColumn("run", F.expr(f"CAST(run DIV {fan_in} AS INT)")), order)
         n_runs = -(-n_runs // fan_in)
     groups = stored(runs.drop("run"), "digest-groups")
     return rows.join(groups, FINGERPRINT).select(
@@ -57,3 +52,12 @@ def exact_dedup(
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def merged(runs: DataFrame, order: Column) -> DataFrame:
+    """One line per run and text from lines cut by digest: the first in ``order``, with the rows of all."""
+    same = Window.partitionBy(*FINGERPRINT, "run").orderBy(order)
+    every = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    lines = runs.sortWithinPartitions(*FINGERPRINT, "run", order)
+    lines = lines.withColumns({"place": F.row_number().over(same), "group_size": F.sum("group_size").over(every)})
+    return lines.where("place = 1").drop("place")

@@ -11,6 +11,7 @@ import zlib
 import public_tokenizers
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relfeat.llm.byte_bpe import TreeEncoder, encode_and_decode
@@ -73,6 +74,22 @@ def key(t):
     return (t[0] is None, *map(str, t))
 
 
+def test_sorted_runs_are_exchanged_once_and_merged_in_order(spark):
+    from relfeat.llm.exact_dedup import FINGERPRINT, merged
+
+    lines = [(r, bytes([d]), 1, 5, None if r == 3 else 10 * r + d, 2) for r in range(20) for d in range(r % 5 + 1)]
+    runs = spark.createDataFrame(lines, "run INT, digest BINARY, n_bytes LONG, second LONG, keep_id LONG, group_size LONG").repartitionByRange("digest")
+    for _ in range(2):
+        runs = merged(runs.withColumn("run", F.expr("CAST(run DIV 8 AS INT)")), F.desc_nulls_last("keep_id"))
+    plan = runs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan and plan.count("Window") >= 2
+    want = {}
+    for r, d, _, _, i, n in lines:
+        best, rows = want.get(d, (None, 0))
+        want[d] = (max((x for x in (best, i) if x is not None), default=None), rows + n)
+    assert {bytes(r.digest): (r.keep_id, r.group_size) for r in runs.collect()} == want and len(FINGERPRINT) == 3
+
+
 def test_exact_dedup(spark, docs):
     rows = odd_texts()
     groups: dict[str, list] = {}
