@@ -1,10 +1,11 @@
 """WARC archives through chunked record tables.
 
-When reading, a payload is rows (record, chunk number, bytes) of at most ``CHUNK`` bytes with the SHA-1 of the payload
-up to and with that chunk; the last chunk's digest is the record's. A reader holds one chunk of a record. A writer has the
-whole payload as one value of its row, digested at once, and only cuts it into chunks for the archive. A payload that an
-earlier record holds already is a ``revisit`` record: its HTTP header tells the length, its WARC header the digest and
-the record it refers to.
+Both ways a long payload is rows (record, chunk number, bytes) of at most ``CHUNK`` bytes with the SHA-1 of the payload
+up to and with that chunk; the last chunk's digest is the record's. When writing, payloads beyond ``LONG_BYTES`` are cut
+where they are read, and only their last rows take part in the search for equal payloads; the chunks of records that keep
+their payload are then sorted by record and number and stream into the archive. Shorter payloads are one chunk each and
+do not move. A reader or writer holds a few chunks of a record. A payload that another record holds already is a
+``revisit`` record: its HTTP header tells the length, its WARC header the digest and the record it refers to.
 """
 
 from __future__ import annotations
@@ -27,26 +28,72 @@ from relfeat.llm.files import create, qualified, stream
 from relfeat.session import fresh_dir
 
 CHUNK = 64 << 10
+# payloads beyond this are written from chunk rows; with BATCH_ROWS it bounds what an Arrow batch holds
+LONG_BYTES, BATCH_ROWS = 512 << 10, 128
 ROLL_BYTES = 1 << 30
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 CHUNKS = "page_id LONG, record STRING, record_type STRING, refers_to LONG, url STRING, chunk INT, last BOOLEAN, payload_bytes LONG, payload_digest STRING, data BINARY"
+LONG_CHUNKS = "record LONG, page_id LONG, url STRING, size LONG, chunk INT, last BOOLEAN, payload_bytes LONG, payload_digest STRING, data BINARY"
 ARCHIVES = "path STRING, n_records LONG, n_bytes LONG"
 RECORD_URN = re.compile(r"<urn:page:(-?\d+)>")
 
 
-def decided(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """page_id, url, payload, digest, size and the page a revisit refers to (NULL: the record is a response).
-
-    Groups of equal payloads come from digests alone; payloads move only if there are too many groups to broadcast.
+def running_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes and SHA-1 of each payload up to and with each chunk; the chunks of a record follow each other."""
+    sha, done = hashlib.sha1(), 0
+    for batch in batches:
+        sizes, digests = [], []
+        for number, chunks in zip(batch.column("chunk").to_pylist(), chunk_views(batch.column("data"))):
+            if number == 0:
+                sha, done = hashlib.sha1(), 0
+            for data in chunks:
+                sha.update(data)
+                done += len(data)
+            sizes.append(done)
+            digests.append(sha.copy().hexdigest())
+        out = {c: batch.column(c) for c in ("record", "page_id", "url", "size", "chunk", "last")}
+        out |= {"payload_bytes": pa.array(sizes, pa.int64()), "payload_digest": pa.array(digests, pa.string()), "data": batch.column("data")}
+        yield pa.RecordBatch.from_pydict(out)
+
+
+def long_chunks(rows: DataFrame, chunk: int) -> DataFrame:
+    """The stored chunk table of payloads, cut and digested in the tasks that read them; ``record`` numbers the rows."""
+    rows = rows.withColumn("record", F.monotonically_increasing_id())
+    last = F.expr(f"cast((size - 1) DIV {chunk} AS int)")
+    cut = rows.withColumn("chunk", F.explode(F.sequence(F.lit(0), last)))
+    cut = cut.select("record", "page_id", "url", "size", "chunk", (F.col("chunk") == last).alias("last"), F.expr(f"substring(payload, chunk * {chunk} + 1, {chunk})").alias("data"))
+    return stored(cut.mapInArrow(running_digests, LONG_CHUNKS), "payload-chunks")
+
+
+def record_rows(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, html_col: str, chunk: int, long_bytes: int) -> DataFrame:
+    """Chunk rows of all records, those of a record in order in one task: page_id, url, digest, size, the page a revisit
+    refers to (NULL: the record is a response), chunk, last, data (NULL for a revisit, which has one row).
+
+    Groups of equal payloads come from digests alone. Of long payloads only those that are kept move, as chunks.
     """
-    payload = F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).cast("binary")
+    html = F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit(""))
     rows = pages.select(
-        F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"), payload.alias("payload")
-    ).withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload").cast("long")})
-    groups = rows.where(F.col("size") >= min_bytes).groupBy("digest", "size").agg(F.max("page_id").alias("holder"), F.count(F.lit(1)).alias("n"))
+        F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"),
+        html.cast("binary").alias("payload"), F.octet_length(html).cast("long").alias("size"),
+    )
+    short = rows.where(F.col("size") <= long_bytes).withColumn("digest", F.sha1("payload"))
+    chunks = long_chunks(rows.where(F.col("size") > long_bytes), chunk)
+    ends = chunks.where("last").select("record", "page_id", "url", F.col("payload_digest").alias("digest"), "size")
+
+    sized = short.select("page_id", "digest", "size").unionByName(ends.select("page_id", "digest", "size")).where(F.col("size") >= min_bytes)
+    groups = sized.groupBy("digest", "size").agg(F.max("page_id").alias("holder"), F.count(F.lit(1)).alias("n"))
     groups = bounded(stored(groups.where("n > 1").drop("n"), "payload-groups"))
-    refers = F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("holder")), F.col("holder"))
-    return rows.join(groups, ["digest", "size"], "left").select("page_id", "url", "payload", "digest", "size", refers.alias("refers_to"))
+    refers = F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("holder")), F.col("holder")).alias("refers_to")
+
+    head = ["page_id", "url", "digest", "size", "refers_to"]
+    one_row = [F.lit(0).alias("chunk"), F.lit(True).alias("last")]
+    short = short.join(groups, ["digest", "size"], "left").select("page_id", "url", "digest", "size", refers, "payload")
+    short = short.select(*head, *one_row, F.when(F.col("refers_to").isNull(), F.col("payload")).alias("data"))
+    ends = stored(ends.join(groups, ["digest", "size"], "left").select("record", "page_id", "url", "digest", "size", refers), "long-records")
+    again = ends.where("refers_to IS NOT NULL").select(*head, *one_row, F.lit(None).cast("binary").alias("data"))
+    kept = bounded(ends.where("refers_to IS NULL"))
+    kept = chunks.select("record", "chunk", "last", "data").join(kept, "record").repartition("record").sortWithinPartitions("record", "chunk")
+    return short.unionByName(again).unionByName(kept.select(*head, "chunk", "last", "data"))
 
 
 def clean(value: str) -> str:
@@ -75,15 +122,18 @@ class ArchiveWriter:
     def __init__(self, out_dir: str):
         self.out_dir, self.file, self.done = out_dir, None, []
 
-    def add(self, head: bytes, chunks: Iterator[memoryview]) -> None:
+    def begin(self, head: bytes) -> None:
         if self.file is None:
             self.path, self.records, self.bytes = f"{self.out_dir}/part-{uuid.uuid4().hex}.warc.gz", 0, 0
             self.file = create(self.path)
-        packer = zlib.compressobj(1, zlib.DEFLATED, 31)
-        self.put(packer.compress(head))
-        for chunk in chunks:
-            self.put(packer.compress(chunk))
-        self.put(packer.compress(b"\r\n\r\n") + packer.flush())
+        self.packer = zlib.compressobj(1, zlib.DEFLATED, 31)
+        self.add(head)
+
+    def add(self, data: bytes | memoryview) -> None:
+        self.put(self.packer.compress(data))
+
+    def end(self) -> None:
+        self.put(self.packer.compress(b"\r\n\r\n") + self.packer.flush())
         self.records += 1
         if self.bytes > ROLL_BYTES:
             self.close()
@@ -110,29 +160,44 @@ def chunk_views(column: pa.Array, chunk: int = CHUNK) -> Iterator[Iterator[memor
 
 
 def write_warc(
-    pages: DataFrame, out_dir: str, min_bytes: int = 1000, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+    pages: DataFrame,
+    out_dir: str,
+    min_bytes: int = 1000,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    html_col: str = "html",
+    chunk: int = CHUNK,
+    long_bytes: int = LONG_BYTES,
 ) -> DataFrame:
     """Write one record per page, return the stored list of archives (path, n_records, n_bytes).
 
     Of pages with equal payloads of at least ``min_bytes`` the one with the largest id is a response and the others
     revisit it; rows that repeat that id are responses too. NULL html is an empty payload, a NULL id never holds a
-    payload for others, a NULL url is an empty target. The list names only archives of attempts that succeeded.
+    payload for others, a NULL url is an empty target. Payloads beyond ``long_bytes`` are written from rows of ``chunk``
+    bytes. The list names only archives of attempts that succeeded.
     """
     spark = pages.sparkSession
-    small_batches(spark, 256)
+    small_batches(spark, BATCH_ROWS)
     out_dir, date = qualified(spark, out_dir), datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = ArchiveWriter(out_dir)
         for batch in batches:
             heads = zip(*[batch.column(c).to_pylist() for c in ("page_id", "url", "digest", "size", "refers_to")])
-            for values, chunks in zip(heads, chunk_views(batch.column("payload"))):
-                writer.add(record_head(*values, date), chunks if values[-1] is None else iter(()))
+            places = zip(batch.column("chunk").to_pylist(), batch.column("last").to_pylist())
+            for values, (number, last), pieces in zip(heads, places, chunk_views(batch.column("data"))):
+                if number == 0:
+                    writer.begin(record_head(*values, date))
+                for data in pieces:
+                    writer.add(data)
+                if last:
+                    writer.end()
         writer.close()
         for path, records, size in writer.done:
             yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([records]), pa.array([size])], ["path", "n_records", "n_bytes"])
 
-    return stored(decided(pages, min_bytes, id_col, url_col, html_col).mapInArrow(write, ARCHIVES), "archives")
+    rows = record_rows(pages, min_bytes, id_col, url_col, html_col, chunk, long_bytes)
+    return stored(rows.mapInArrow(write, ARCHIVES), "archives")
 
 
 class ArchiveReader:

@@ -329,6 +329,26 @@ def test_warc(spark, pages):
     assert warc_round_trip(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_warc_long_payloads_are_chunk_rows(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", "".join(chr(97 + (i * k) % 26) for k in range(1, 50_000 + i))) for i in range(1, 6)]
+    rows += [(9, "http://h/9", rows[0][2]), (9, "again", rows[0][2]), (None, "none", rows[0][2]), (10, None, "e\u0301" * 9_000), (11, "s", "short"), (12, "n", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    archives = write_warc(pages, str(tmp_path / "warc"), chunk=1_000, long_bytes=10_000)
+    read = read_warc(spark, archives, chunk=700).toPandas()
+    texts = {(i, "" if u is None else u): (h or "").encode() for i, u, h in rows}
+    seen = 0
+    for (record, url), part in read.assign(page_id=read["page_id"].fillna(-1)).groupby(["page_id", "url"]):
+        part, payload = part.sort_values("chunk"), texts[None if record < 0 else int(record), url]
+        end = part.iloc[-1]
+        assert end["last"] and end["payload_bytes"] == len(payload) and end["payload_digest"] == hashlib.sha1(payload).hexdigest()
+        revisit = payload == rows[0][2].encode() and record != 9
+        assert end["record_type"] == ("revisit" if revisit else "response") and (end["refers_to"] == 9) == revisit
+        if not revisit:
+            assert b"".join(part["data"]) == payload
+        seen += 1
+    assert seen == len(rows)
+
+
 def test_warc_chunks(spark, pages, tmp_path):
     archives = write_warc(pages, str(tmp_path / "warc"))
     chunks = read_warc(spark, archives, chunk=1000).where("page_id = 8").orderBy("chunk").collect()
