@@ -481,6 +481,31 @@ def test_main_text_leaves_out_what_stays_the_same_on_a_host(spark):
     assert got[40].text == "Shared Own 0" and all(r.fits and r.n_chars == len(r.text) for r in got.values())
 
 
+def test_main_text_keeps_editions_of_a_story(spark):
+    story = "".join(f"<p>Paragraph {k} of the whole story.</p>" for k in range(6))
+    rows = [(i, f"http://a.com/{i}", f"<article><p>Updated {i}:00</p>{story}</article>") for i in range(2)]
+    rows += [(10 + i, f"http://b.com/{i}", f"<article><div class=zz>Terms</div>{story}<p>Edition {i}</p></article>") for i in range(5)]
+    rows += [(20 + i, f"http://c.com/{i}", f"<article><div class=zz>Terms</div><p>{'Words of its own %d. ' % i * 9}</p></article>") for i in range(5)]
+    rows += [(30, "http://d.com/", "<article><section class='related-work'>Earlier papers</section><div class='related-posts'>x</div><p>Text</p></article>")]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING")).collect()}
+    told = " ".join(f"Paragraph {k} of the whole story." for k in range(6))
+    assert [got[i] for i in range(2)] == [f"Updated {i}:00 {told}" for i in range(2)]
+    assert [got[10 + i] for i in range(5)] == [f"Terms {told} Edition {i}" for i in range(5)]
+    assert [got[20 + i] for i in range(5)] == [("Words of its own %d. " % i * 9).strip() for i in range(5)]
+    assert got[30] == "Earlier papers Text"
+
+
+def test_wrappers_match_in_linear_time():
+    wrapper = Wrapper("( ( p )+ )+ " + "( p )? " * 40 + "p " * 40 + "h1")
+    assert wrapper.accepts(["p"] * 5000 + ["h1"]) and not wrapper.accepts(["p"] * 5000)
+
+
+def test_main_text_has_names_of_its_own(spark):
+    rows = [(1, "http://a.com/", "<article>One</article>", "t", "w", "h", 5, "s")]
+    odd = spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING, template STRING, wrapper STRING, host STRING, page INT, symbols STRING")
+    assert [(r.page_id, r.text) for r in main_text(odd).collect()] == [(1, "One")]
+
+
 def test_toxicity_finds_gapped_words_and_new_endings(spark):
     rng = random.Random(8)
     rows, labels = [], []
