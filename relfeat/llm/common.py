@@ -23,6 +23,8 @@ from relfeat.session import fresh_dir
 
 # A table is broadcast only after its rows were counted and found to be at most this many (narrow rows of ids).
 BROADCAST_ROWS = 1_000_000
+# bits of a bitmap of hashed ids for each of them, and at most in all (8 MB)
+BITS_EACH, MOST_BITS = 32, 1 << 26
 # Bytes of text that a Python worker scans at once; one longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
 ROWS_PER_BATCH = 1_000
@@ -95,6 +97,23 @@ def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_co
     return docs.join(gone, same, "left_anti")
 
 
+def likely(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``column`` is among ``ids`` (a stored table of one column), and about one in a thousand of the others:
+    two bitmaps of hashed ids are broadcast, so ``rows`` does not move. Past ``MOST_BITS`` more of the others stay."""
+    (name,) = ids.columns
+    bits = min(max(ids.count() * BITS_EACH, 1), MOST_BITS)
+    for seed in range(2):
+        at = F.pmod(F.xxhash64(F.col(name), F.lit(seed)), F.lit(bits))
+        places = ids.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("at")).repartition("bucket")
+        maps = stored(places.groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")), "bitmaps")
+        own = F.pmod(F.xxhash64(F.col(column), F.lit(seed)), F.lit(bits))
+        place = F.bitmap_bit_position(own)
+        byte = F.conv(F.hex(F.substring(maps["bits"], (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+        there = F.getbit(byte, (place % 8).cast("int")) == 1
+        rows = rows.join(F.broadcast(maps), (F.bitmap_bucket_number(own) == maps["bucket"]) & there, "left_semi")
+    return rows
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` holds at most ``limit`` bytes, or a single row."""
     for batch in batches:

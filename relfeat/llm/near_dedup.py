@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relfeat.llm.common import Words, byte_class, keyed, mixed, shingle_hashes, slices, small_batches, stored
+from relfeat.llm.common import Words, byte_class, keyed, likely, mixed, shingle_hashes, slices, small_batches, stored
 
 # anything but ASCII white space
 WORD = ~byte_class((9, 13), (32, 32))
@@ -118,8 +118,9 @@ def near_dedup(
     classes = stored(usable.groupBy("digest").agg(F.min("doc_id").alias("class_id")), "classes")
     one_each = usable.join(classes.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("class_id")))
     members = shared_buckets(one_each.select("class_id", "n", "a", "b"))
-    ids = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = stored(texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(full_sets(words_each), "id LONG, shingles ARRAY<LONG>"), "sets")
+    # the few sets of others that a bitmap lets through only make bounds weaker: they are in no bucket and no pair
+    wanted = likely(texts.select("doc_id", "text"), "doc_id", stored(members.select("id").distinct(), "member-ids"))
+    sets = stored(wanted.mapInArrow(full_sets(words_each), "id LONG, shingles ARRAY<LONG>"), "sets")
     found = components(members, sets, similar)
     return (
         signed.join(classes, "digest", "left")
@@ -154,7 +155,8 @@ def able(similar: tuple[int, int], n: str = "n", c: str = "c", pn: str = "pn", p
 def components(members: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """``id, component`` of every member of a bucket."""
     prefixes, shared = rare_prefixes(sets, similar)
-    links = stored(similar_pairs(central_pairs(members, shared, similar), sets, similar), "links")
+    pairs = stored(central_pairs(members, shared, similar), "central-pairs")
+    links = stored(similar_pairs(pairs, sets, similar), "links")
     labels = relabel(members.select("id").distinct().withColumn("component", F.col("id")), links)
     pairs = stored(prefix_pairs(prefixes, labels, similar), "pairs")
     return relabel(labels, stored(similar_pairs(pairs, sets, similar), "links"))
@@ -205,8 +207,10 @@ def prefix_pairs(prefixes: DataFrame, labels: DataFrame, similar: tuple[int, int
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """The pairs ``x < y`` whose full sets are similar."""
+    """The stored pairs ``x < y`` whose full sets are similar; only sets of these pairs move."""
     num, den = similar
+    ends = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+    sets = likely(sets, "id", stored(ends, "pair-ends"))
     left = sets.select(F.col("id").alias("x"), F.col("shingles").alias("sx"))
     right = sets.select(F.col("id").alias("y"), F.col("shingles").alias("sy"))
     both = pairs.join(left, "x").join(right, "y").select("x", "y", F.size("sx").alias("nx"), F.size("sy").alias("ny"), F.size(F.array_intersect("sx", "sy")).alias("common"))

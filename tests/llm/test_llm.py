@@ -200,6 +200,38 @@ def test_pages_of_one_template_are_hardly_compared(spark, monkeypatch):
     assert len(set(expected.values())) == 300 and seen["pairs"] < 300 * 299 / 2 / 10
 
 
+def test_likely_keeps_all_that_are_wanted(spark):
+    from relfeat.llm.common import likely, stored
+
+    ids = stored(spark.range(0, 30_000, 10), "ids")
+    rows = spark.range(-100, 30_000).selectExpr("nullif(id, -1) AS n")
+    got = [r.n for r in likely(rows, "n", ids).collect()]
+    assert set(range(0, 30_000, 10)) <= set(got) and len(got) == len(set(got)) < 3_300
+    assert likely(rows, "n", ids.limit(0)).count() == 0
+
+
+def test_near_dedup_moves_no_text(spark, docs, monkeypatch):
+    """Texts stay where they are read and sets move only for pairs, however large the tables."""
+    from relfeat.llm import near_dedup as module
+
+    plans = {}
+    real = module.stored
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(module, "stored", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near_dedup(docs, words_each=3, similar=(85, 100)).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning" not in plans["sets"] and "SortMergeJoin" not in plans["sets"]
+    assert "LeftSemi" in plans["links"]
+
+
 def test_near_dedup_empty(spark):
     assert near_dedup(empty_docs(spark)).count() == 0
 
