@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relfeat.llm.common import SLICE_BYTES, keyed, mixed, slices, small_batches, stored, text_buffer, whole
+from relfeat.llm.common import SLICE_BYTES, give_back, keyed, mixed, slices, small_batches, stored, text_buffer, whole
 
 DECAY, SPAN = 0.7, 5
 STEPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
@@ -501,6 +501,7 @@ def fit_part(table: pa.Table) -> pa.Table:
     table = table.sort_by("sentence").combine_chunks()
     sentences = pa.concat_arrays([c.cast(pa.string()) for c in table.column("sentence").chunks])
     model = fit_windows(sentences, table.column("toxic").to_numpy() == 1)
+    give_back()
     return pa.table(
         {"part": table.column("part")[:1].cast(pa.int32()), "weights": pa.array([model.weights.astype(float).tobytes()], pa.binary()), "bias": pa.array([float(model.bias)])}
     )

@@ -200,6 +200,30 @@ def test_pages_of_one_template_are_hardly_compared(spark, monkeypatch):
     assert len(set(expected.values())) == 300 and seen["pairs"] < 300 * 299 / 2 / 10
 
 
+def test_python_tasks_give_memory_back():
+    """After the last slice the worker keeps neither the tables of powers nor freed memory."""
+    import pyarrow as pa
+
+    from relfeat.llm import common
+
+    def resident() -> int:
+        return int(re.search(r"RssAnon:\s+(\d+)", open("/proc/self/status").read())[1])
+
+    def held() -> int:
+        batches = (pa.RecordBatch.from_pydict({"text": ["one two three " * 10_000] * 20}) for _ in range(2))
+        top = 0
+        for batch in common.slices(batches, "text"):
+            words = common.Words(batch.column("text"), ~common.byte_class((32, 32)))
+            top = max(top, len(common.powers(len(words.data))[0]), len(common._powers["up"]))
+        return top
+
+    common.give_back()
+    before = resident()
+    assert held() > 1 << 20
+    assert len(common._powers["up"]) == len(common._powers["down"]) == 1
+    assert resident() - before < 24 << 10
+
+
 def test_likely_keeps_all_that_are_wanted(spark):
     from relfeat.llm.common import likely, stored
 
