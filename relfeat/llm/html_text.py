@@ -12,7 +12,8 @@ than a quarter varies is taken for another edition of its neighbours' article, n
 keeps all of it.
 
 Pages are parsed once, into a stored table of symbols, texts and their keys. Streams are folded and counted before anything moves, so a host's group holds its distinct streams only; a host with
-many of them is reduced in portions, since wrappers align with each other just as streams do.
+many of them is reduced in portions, since wrappers align with each other just as streams do. What would outgrow
+``MAX_SYMBOLS`` stays apart, as a further wrapper of the host.
 """
 
 from __future__ import annotations
@@ -63,13 +64,13 @@ PLACING_WORDS = set(
     "global group inline inner item items js left link links list main middle more outer page panel post posts primary reader "
     "readers right row secondary section site slot sticky stories story text thread title top unit user users wrap wrapper".split()
 )
-# a wrapper with more symbols says nothing about its host: ``fits`` is then false, texts are the same
+# streams are merged into wrappers of at most so many symbols: a host that needs more has several wrappers, and each page is
+# matched with the one that its own stream went into
 MAX_SYMBOLS = 4000
 # a page keeps its article whole unless one part in so many of its text varies
 VARYING = 4
 # per-host tables are broadcast up to so many bytes of content
 BROADCAST_BYTES = 32 << 20
-OUTGROWN = "!"
 PORTION = 64
 SLOT, OTHER, MARKED = "#article", "#other", "#marked"
 BY_WORD, BY_ELEMENT = 1, 2
@@ -291,7 +292,9 @@ class Wrapper:
 
     def __init__(self, text: str):
         self.chars: dict[str, str] = {}
-        self.pattern = None if text == OUTGROWN else f"^(?:{self.compiled(parsed(text))})$"
+        self.written = text
+        # one stream that is larger by itself is compared as it is, not matched
+        self.pattern = None if size(nodes := parsed(text)) > MAX_SYMBOLS else f"^(?:{self.compiled(nodes)})$"
         self.seen: dict[str, bool] = {}
 
     def compiled(self, nodes: tuple) -> str:
@@ -305,7 +308,7 @@ class Wrapper:
 
     def accepts(self, symbols: list[str]) -> bool:
         if self.pattern is None:
-            return False
+            return written(fold(symbols)) == self.written
         line = "".join(self.chars.get(s, "\ue000") for s in symbols)
         if line not in self.seen:
             if len(self.seen) > 1_000:
@@ -371,53 +374,88 @@ def template_of(keys: list[int] | None) -> set[int] | None:
     return _templates.setdefault(tuple(keys), set(keys))
 
 
+_folded: dict[tuple, tuple[str, int]] = {}
+
+
+def folded(symbols: list[str]) -> tuple[str, int]:
+    """The folded stream as text, and its name."""
+    found = _folded.get(line := tuple(symbols))
+    if found is None:
+        if len(_folded) > 50_000:
+            _folded.clear()
+        text = written(fold(symbols))
+        found = _folded[line] = text, text_key("", text)
+    return found
+
+
 def stream_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct folded streams of each host in this task."""
-    seen: dict[tuple[str, str], None] = {}
-    folded: dict[tuple, str] = {}
+    seen: dict[tuple[str, int], str] = {}
     for batch in batches:
         for host, line, keys, sizes, template in zip(*(batch.column(c) for c in ("host", "symbols", "keys", "sizes", "template"))):
-            host = host.as_py()
-            symbols = tuple(stream(line.as_py().split(), keys.as_py(), sizes.as_py(), template_of(template.as_py()))[0])
-            if symbols not in folded:
-                if len(folded) > 50_000:
-                    folded.clear()
-                folded[symbols] = written(fold(list(symbols)))
-            seen[host, folded[symbols]] = None
+            text, name = folded(stream(line.as_py().split(), keys.as_py(), sizes.as_py(), template_of(template.as_py()))[0])
+            seen[host.as_py(), name] = text
         if len(seen) > 50_000:
-            yield pair_batch(seen)
+            yield stream_batch(seen)
             seen = {}
-    yield pair_batch(seen)
+    yield stream_batch(seen)
 
 
-def pair_batch(seen: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([h for h, _ in seen], pa.string()), pa.array([w for _, w in seen], pa.string())], ["host", "wrapper"])
+def stream_batch(seen: dict[tuple[str, int], str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([h for h, _ in seen], pa.string()), pa.array([n for _, n in seen], pa.int64()), pa.array(list(seen.values()), pa.string())],
+        ["host", "name", "wrapper"],
+    )
 
 
 def inferred(group: pd.DataFrame) -> pd.DataFrame:
-    """Align the streams or wrappers of one portion of a host, the shortest first."""
-    wrapper: tuple | None = None
-    for text in sorted(set(group["wrapper"]), key=lambda w: (len(w), w)):
+    """Align the streams or wrappers of one portion of a host, the shortest first, a new wrapper whenever the last would
+    outgrow ``MAX_SYMBOLS``. One row per stream or wrapper: ``name``, the one it went ``into`` (named by its first member),
+    and in the row of this member the wrapper. ``last``: the portion is the whole host, or half of its rows are wrappers still."""
+    order = sorted(zip(group["wrapper"], group["name"]), key=lambda w: (len(w[0]), *w))
+    found: list[tuple] = []
+    into: list[int] = []
+    for text, name in order:
         nodes = parsed(text)
-        wrapper = nodes if wrapper is None else align(wrapper, nodes)
-        if text == OUTGROWN or size(wrapper) > MAX_SYMBOLS:
-            wrapper = (OUTGROWN,)
-            break
-    return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [written(wrapper)]})
-
-
-def host_wrappers(pages: DataFrame) -> DataFrame:
-    """``host, wrapper`` from parsed pages with ``template``: streams of a host are reduced in portions until one is left."""
+        both = align(found[-1], nodes) if found and size(nodes) <= MAX_SYMBOLS and size(found[-1]) <= MAX_SYMBOLS else None
+        if both is None or size(both) > MAX_SYMBOLS:
+            found.append(nodes)
+            first = name
+        else:
+            found[-1] = both
+        into.append(first)
+    wrappers = dict(zip(dict.fromkeys(into), found))
+    return pd.DataFrame({
+        "host": group["host"].iloc[0], "name": [n for _, n in order], "into": into,
+        "wrapper": [written(wrappers[k]) if k == n else None for (_, n), k in zip(order, into)],
+        "last": bool(group["whole"].iloc[0]) or 2 * len(found) > len(order),
+    })
+
+
+def host_wrappers(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``host, name, into`` and ``host, into, wrapper`` from parsed pages with ``template``: the wrapper that each stream of a
+    host went into. Streams are reduced in portions, until a host is one portion or its wrappers are too large to merge."""
     pages = pages.select("host", "symbols", "keys", F.transform("texts", F.length).alias("sizes"), "template")
-    found = stored(pages.mapInArrow(stream_texts, "host STRING, wrapper STRING").distinct(), "streams")
+    rows = stored(pages.mapInArrow(stream_texts, "host STRING, name LONG, wrapper STRING").distinct(), "streams")
+    went = wrappers = None
     while True:
-        many = stored(found.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "stream-counts")
+        many = stored(rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "stream-counts")
         most = many.agg(F.max("n")).first()[0] or 0
         portion = F.pmod(F.xxhash64("wrapper"), F.ceil(F.col("n") / PORTION)).alias("portion")
-        parts = found.join(many, "host").select("host", "wrapper", portion)
-        found = stored(parts.groupBy("host", "portion").applyInPandas(inferred, "host STRING, wrapper STRING"), "wrappers")
+        parts = rows.join(many, "host").select("host", "name", "wrapper", portion, (F.col("n") <= PORTION).alias("whole"))
+        done = parts.groupBy("host", "portion").applyInPandas(inferred, "host STRING, name LONG, into LONG, wrapper STRING, last BOOLEAN")
+        done = stored(done, "wrappers")
+        kept = done.where("last AND wrapper IS NOT NULL").select("host", "into", "wrapper")
+        wrappers = kept if wrappers is None else wrappers.unionByName(kept)
+        step = done.select("host", "name", "into")
+        if went is None:
+            went = step
+        else:
+            step = step.select("host", F.col("name").alias("into"), F.col("into").alias("next"))
+            went = stored(went.join(step, ["host", "into"], "left").select("host", "name", F.coalesce("next", "into").alias("into")), "went-into")
         if most <= PORTION:
-            return found
+            return went, wrappers
+        rows = done.where("NOT last AND wrapper IS NOT NULL").select("host", F.col("into").alias("name"), "wrapper")
 
 
 _wrappers: dict[str, Wrapper] = {}
@@ -431,22 +469,39 @@ def wrapper_of(text: str) -> Wrapper:
     return _wrappers[text]
 
 
+TEXTS = "page_id LONG, url STRING, text STRING, n_chars LONG"
+
+
 def main_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each page's article, its token stream and the name of that."""
     for batch in batches:
-        out, fits = [], []
-        for line, texts, keys, wrapper, template in zip(*(batch.column(c) for c in ("symbols", "texts", "keys", "wrapper", "template"))):
+        out, lines, names = [], [], []
+        for line, texts, keys, template in zip(*(batch.column(c) for c in ("symbols", "texts", "keys", "template"))):
             texts = texts.as_py()
             symbols, taken = stream(line.as_py().split(), keys.as_py(), [len(t) for t in texts], template_of(template.as_py()))
-            fits.append(wrapper_of(wrapper.as_py() or OUTGROWN).accepts(symbols))
             out.append(" ".join(texts[i] for i in taken))
+            lines.append(" ".join(symbols))
+            names.append(folded(symbols)[1])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64()), pa.array(fits, pa.bool_())],
-            ["page_id", "url", "text", "n_chars", "fits"],
+            [
+                batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64()),
+                batch.column("host"), pa.array(lines, pa.string()), pa.array(names, pa.int64()),
+            ],
+            ["page_id", "url", "text", "n_chars", "host", "line", "name"],
         )
 
 
+def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = zip(batch.column("wrapper").to_pylist(), batch.column("line").to_pylist())
+        fits = [w is not None and wrapper_of(w).accepts(line.split()) for w, line in pairs]
+        kept = ["page_id", "url", "text", "n_chars"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(fits, pa.bool_())], [*kept, "fits"])
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per page: page_id, url, text, n_chars, fits (whether the host's wrapper matched the page).
+    """One row per page: page_id, url, text, n_chars, fits (whether the wrapper of the page's host matched it;
+    of several, the one that its own stream went into).
 
     Character references are decoded, white space inside a block becomes one space, blocks are joined by one space in
     page order. NULL html is empty and has the empty text; a NULL url belongs to the empty host. A page that the wrapper
@@ -461,6 +516,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     pages = stored(rows.mapInArrow(parsed_pages, PARSED), "parsed-pages", "zstd")
     templates = light(host_templates(pages), 8 * F.size("template"))
     pages = pages.join(templates, "host", "left")
-    wrappers = light(host_wrappers(pages), F.octet_length("wrapper"))
-    joined = pages.join(wrappers, "host", "left").select("page_id", "url", "symbols", "texts", "keys", "wrapper", "template")
-    return joined.mapInArrow(main_texts, "page_id LONG, url STRING, text STRING, n_chars LONG, fits BOOLEAN")
+    went, wrappers = host_wrappers(pages)
+    went, wrappers = light(went, F.lit(16)), light(wrappers, F.octet_length("wrapper"))
+    texts = pages.select("page_id", "url", "host", "symbols", "texts", "keys", "template").mapInArrow(main_texts, f"{TEXTS}, host STRING, line STRING, name LONG")
+    matched = texts.join(went, ["host", "name"], "left").join(wrappers, ["host", "into"], "left")
+    return matched.select("page_id", "url", "text", "n_chars", "line", "wrapper").mapInArrow(fitted, f"{TEXTS}, fits BOOLEAN")

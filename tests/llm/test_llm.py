@@ -556,6 +556,28 @@ def test_wrappers_match_in_linear_time():
     assert wrapper.accepts(["p"] * 5000 + ["h1"]) and not wrapper.accepts(["p"] * 5000)
 
 
+def test_hosts_past_the_symbol_bound_have_several_wrappers(spark, monkeypatch):
+    """No page is left without a wrapper, not even one that is larger than the bound by itself."""
+    from relfeat.llm import html_text as module
+
+    rng = random.Random(6)
+    streams = [[rng.choice(["p", "/p", "#article", "li", "/li", "h1"]) for _ in range(rng.randint(5, 60))] for _ in range(150)]
+    monkeypatch.setattr(module, "MAX_SYMBOLS", 30)
+    names = [module.folded(s) for s in streams]
+    group = module.pd.DataFrame({"host": "h", "name": [n for _, n in names], "wrapper": [w for w, _ in names], "whole": True})
+    got = module.inferred(group.drop_duplicates("name"))
+    wrappers = got.dropna(subset="wrapper").set_index("into")["wrapper"]
+    into = got.set_index("name")["into"]
+    assert 1 < len(wrappers) < len(got) and all(Wrapper(wrappers[into[n]]).accepts(s) for s, (_, n) in zip(streams, names))
+    monkeypatch.undo()
+    # a host with more streams than a portion, beyond the bound in each: all pages fit, in a few rounds
+    tags = ["section", "ul", "ol", "table", "pre", "h1", "h2", "h3", "h4", "div", "p", "blockquote"]
+    rows = [(0, "http://big.com/0", "<article>" + "".join(f"<{t}>{k}</{t}>" for k, t in enumerate(rng.choices(tags, k=5000))) + "</article>")]
+    rows += [(i, f"http://big.com/{i}", "<article>" + "".join(f"<{t}>{i} {k}</{t}>" for k, t in enumerate(rng.choices(tags, k=3))) + "</article>") for i in range(1, 90)]
+    got = main_text(spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING")).collect()
+    assert len(got) == 90 and all(r.fits for r in got)
+
+
 def test_main_text_has_names_of_its_own(spark):
     rows = [(1, "http://a.com/", "<article>One</article>", "t", "w", "h", 5, "s")]
     odd = spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING, template STRING, wrapper STRING, host STRING, page INT, symbols STRING")
