@@ -4,12 +4,15 @@ For a consistent list of merges (a pair is merged only after its two parts exist
 a sequence of tokens is an encoding exactly when every token is the encoding of its own symbols and every two
 neighbours are that of theirs. So the encoding of a prefix of a word is that of a shorter prefix and one last token, and
 the last token is all a prefix has to remember. The walk visits each node of the trie, that is each distinct prefix,
-once: it carries the vocabulary's matches that are still open, finds the one token that may end here after the last
-token of where it began, and leaves (last token, where it began) on its path; a word's ids are read back along these.
-The final letter of a word is a symbol of its own, so words share what lies before it.
-
-Texts are cut into pieces where the tokenizer always cuts, each distinct piece is split into words by the tokenizer's
-own normalizer and pre-tokenizer, and each distinct word is encoded once per worker while it is remembered.
+once: sorted words are the trie's leaves in depth-first order, and a word goes on from the path that it shares with the
+word before. At each node the longest match of the vocabulary that is still open leads by its links to all tokens that
+end here; the walk takes the one that may stand after the last token of where it began, and leaves it on its path; a
+word's ids are read back along these. The final letter of a word is a symbol of its own, so words share what lies
+before it.
+
+Texts are cut into pieces where the tokenizer always cuts. A piece of the letters a to z is one word; any other distinct
+piece is split into words by the tokenizer's own normalizer and pre-tokenizer. Each distinct word is encoded once per
+worker while it is remembered.
 """
 
 from __future__ import annotations
@@ -27,11 +30,12 @@ from relfeat.llm.common import LOWER_BYTES, byte_class, keyed, slices, small_bat
 
 SPACE = byte_class((9, 13), (32, 32))
 LETTER = byte_class((65, 90), (97, 122))
+LOWER = byte_class((97, 122))
 DIGIT = byte_class((48, 57))
 MARK = byte_class((33, 47), (58, 64), (91, 96), (123, 126))
 # added to the code of a word's final letter
 END = 1 << 12
-# words in one trie; words are sorted before, so that a trie holds neighbours
+# words of one walk; words are sorted before, so that a trie holds neighbours
 TRIE_WORDS = 20_000
 # distinct pieces, and bytes of them, that a worker remembers
 KEPT_PIECES = 400_000
@@ -39,11 +43,19 @@ KEPT_BYTES = 32 << 20
 # bytes of text whose pieces are in memory at once
 SLICE = 1 << 20
 SCHEMA = "doc_id LONG, text_key LONG, n_tokens LONG, ids_sha256 STRING, decoded_sha256 STRING"
-TOKEN, WORD = "token", "word"  # keys of a trie node beside its one-letter edges
 
 
-def ended(word: str) -> str:
-    return word[:-1] + chr(ord(word[-1]) + END)
+class Node:
+    """Of the vocabulary's trie: edges by letter, its own token, the node of its longest proper end, and the tokens that end
+    here with their sizes, the longest first. One of them must fit, so the last needs no test and has size 0."""
+
+    __slots__ = ("edges", "token", "back", "ends")
+
+    def __init__(self):
+        self.edges: dict[str, Node] = {}
+        self.token: int | None = None
+        self.back: Node | None = None
+        self.ends: tuple[tuple[int, int], ...] = ()
 
 
 class Merges:
@@ -68,8 +80,8 @@ class Merges:
                 raise ValueError(f"merge {r} joins a token that does not exist yet")
             spelled[t] = spelled[left] + spelled[right]
             self.rank[t], self.parts[t], self.pair_rank[left, right] = r, (left, right), r
-        self.marked = bool(suffix)
-        self.root: dict = {}
+        self.end = END if suffix else 0
+        self.root = Node()
         self.symbols = {s for s in spelled.values() if len(s) == 1}
         sound: set[int] = set()
         for t in sorted(spelled, key=self.rank.__getitem__):
@@ -78,10 +90,28 @@ class Merges:
                 sound.add(t)
                 node = self.root
                 for letter in spelled[t]:
-                    node = node.setdefault(letter, {})
-                node[TOKEN] = t
+                    node = node.edges.get(letter) or node.edges.setdefault(letter, Node())
+                node.token = t
+        self.size = {t: len(text) for t, text in spelled.items()}
+        self.link()
         self.known: dict[tuple[int, int], bool] = {}
 
+    def link(self) -> None:
+        """Fill ``back`` and ``ends`` of each node, level by level."""
+        tested, untested = {t: (t, n) for t, n in self.size.items()}, {t: (t, 0) for t in self.size}
+        level = [(self.root, letter, node) for letter, node in self.root.edges.items()]
+        while level:
+            below = []
+            for above, letter, node in level:
+                back = above.back
+                while back is not None and letter not in back.edges:
+                    back = back.back
+                node.back = self.root if back is None else back.edges[letter]
+                ends = [t for t, _ in node.back.ends] if node.token is None else [node.token, *(t for t, _ in node.back.ends)]
+                node.ends = (*[tested[t] for t in ends[:-1]], *[untested[t] for t in ends[-1:]])
+                below += [(node, x, child) for x, child in node.edges.items()]
+            level = below
+
     def spine(self, t: int, side: int, until: float) -> list[tuple[int, float]]:
         """The tokens that stand at one end of ``t`` while it is built, each with the rank of the merge that ends it."""
         out = [(t, until)]
@@ -110,52 +140,52 @@ class Merges:
         return found
 
 
-def word_trie(words: Sequence[str]) -> dict:
-    """Nested dicts by letter; a node that ends a word has its position under ``WORD``."""
-    root: dict = {}
-    for i, word in enumerate(words):
-        node = root
-        for letter in word:
-            below = node.get(letter)
-            if below is None:
-                below = node[letter] = {}
-            node = below
-        node[WORD] = i
-    return root
-
-
-def encode_words(merges: Merges, words: Sequence[str]) -> list[list[int]]:
-    """The ids of each word (letters of the byte alphabet, the last one ``ended``)."""
-    found: list[list[int]] = [[]] * len(words)
-    last, began, matches = [-1], [0], [[]]  # by depth on the present path
-    root, neighbours = merges.root, merges.neighbours
-    stack = [(letter, node, 1) for letter, node in word_trie(words).items() if letter != WORD]
-    while stack:
-        letter, node, depth = stack.pop()
-        del last[depth:], began[depth:], matches[depth:]
-        still, token, start = [], None, 0
-        for since, place in [*matches[depth - 1], (depth - 1, root)]:
-            place = place.get(letter)
-            if place is None:
-                continue
-            still.append((since, place))
-            t = place.get(TOKEN)
-            if t is not None and token is None and (not since or neighbours(last[since], t)):
-                token, start = t, since
-        if token is None:
-            raise ValueError(f"no token ends a prefix of {words[node[WORD]] if WORD in node else letter!r}")
-        last.append(token)
-        began.append(start)
-        matches.append(still)
-        for below, child in node.items():
-            if below == WORD:
-                ids, at = [], depth
-                while at:
-                    ids.append(last[at])
-                    at = began[at]
-                found[child] = ids[::-1]
-            else:
-                stack.append((below, child, depth + 1))
+def shared(a: str, b: str) -> int:
+    """The length of the longest common prefix."""
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n += 1
+    return n
+
+
+def encode_words(merges: Merges, words: Sequence[str]) -> list[tuple[int, ...]]:
+    """The ids of each word (letters of the byte alphabet); ``words`` are sorted and distinct."""
+    found, before = [], " "
+    last, path = [-1], [merges.root]  # by depth
+    size_of, known, neighbours = merges.size, merges.known, merges.neighbours
+    for word in words:
+        depth = shared(before[:-1], word)  # the final letter of the word before is a symbol of its own
+        del last[depth + 1 :], path[depth + 1 :]
+        place = path[depth]
+        for letter in word[depth:-1] + chr(ord(word[-1]) + merges.end):
+            below = place.edges.get(letter)
+            while below is None:
+                place = place.back
+                if place is None:
+                    raise ValueError(f"no token ends a prefix of {word!r}")
+                below = place.edges.get(letter)
+            place, token = below, None
+            depth += 1
+            for token, size in place.ends:
+                if not size or size == depth:
+                    break
+                left = last[depth - size]
+                fits = known.get((left, token))
+                if neighbours(left, token) if fits is None else fits:
+                    break
+            if token is None:
+                raise ValueError(f"no token ends a prefix of {word!r}")
+            last.append(token)
+            path.append(place)
+        ids, at = [], depth
+        while at:
+            token = last[at]
+            ids.append(token)
+            at -= size_of[token]
+        found.append(tuple(ids[::-1]))
+        before = word
     return found
 
 
@@ -176,29 +206,54 @@ class TrieEncoder:
         self.text = [""] * (max([*spec["model"]["vocab"].values(), *self.special.values()]) + 1)
         for t, i in [*spec["model"]["vocab"].items(), *self.special.items()]:
             self.text[i] = t
-        self.forget()
+        self.decimal = [str(i) for i in range(len(self.text))]
+        # pieces by sorted hash: the hash and its place in what follows
+        self.seen, self.at = np.empty(0, np.uint64), np.empty(0, np.int64)
+        # by place: number of ids, bytes, whether met again in a later slice; ids, in decimal, decoded
+        self.sizes, self.bytes, self.again = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+        self.ids: list[tuple[int, ...]] = []
+        self.written: list[str] = []
+        self.decoded: list[str] = []
 
     def forget(self) -> None:
-        self.seen, self.at, self.bytes = np.empty(0, np.uint64), np.empty(0, np.int64), 0
-        self.ids: list[list[int]] = []
+        """All pieces but those met again, if they are not too many; they must be met again to stay the next time."""
+        kept = np.flatnonzero(self.again)
+        if len(kept) > KEPT_PIECES // 2 or self.bytes[kept].sum() > KEPT_BYTES // 2:
+            kept = kept[:0]
+        moved = np.full(len(self.again), -1)
+        moved[kept] = np.arange(len(kept))
+        stays = moved[self.at] >= 0
+        self.seen, self.at = self.seen[stays], moved[self.at[stays]]
+        self.sizes, self.bytes, self.again = self.sizes[kept], self.bytes[kept], np.zeros(len(kept), bool)
+        places = kept.tolist()
+        self.ids, self.written, self.decoded = ([x[p] for p in places] for x in (self.ids, self.written, self.decoded))
 
     def encode(self, column: pa.Array) -> Iterator[list[int]]:
         """The ids of each row."""
+        for _, places in self.rows(column):
+            yield [t for p in places for t in self.ids[p]]
+
+    def rows(self, column: pa.Array) -> Iterator[tuple[int, list[int]]]:
+        """Of each row the number of ids, and the places of its pieces without those that have no ids."""
         raw, rows = text_buffer(column)
         data, starts, ends = self.pieces(raw, rows)
         hashes, index, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.ids) > KEPT_PIECES or self.bytes > KEPT_BYTES:
+        if len(self.ids) > KEPT_PIECES or self.bytes.sum() > KEPT_BYTES:
             self.forget()
         spot = np.searchsorted(self.seen, hashes)
         new = spot == len(self.seen)
         new[~new] = self.seen[spot[~new]] != hashes[~new]
+        self.again[self.at[spot[~new]]] = True
         if new.any():
-            self.learn(hashes[new], data.tobytes(), starts[index[new]].tolist(), ends[index[new]].tolist())
+            self.learn(hashes[new], data, starts[index[new]], ends[index[new]])
             spot = np.searchsorted(self.seen, hashes)
-        places, known = self.at[spot][inverse].tolist(), self.ids
-        first = np.searchsorted(starts, rows).tolist()
-        for a, b in zip(first, first[1:]):
-            yield [t for p in places[a:b] for t in known[p]]
+        places = self.at[spot][inverse]
+        full, first = self.sizes[places] > 0, np.searchsorted(starts, rows)
+        counts = np.diff(np.concatenate([[0], np.cumsum(self.sizes[places])])[first]).tolist()
+        first = np.concatenate([[0], np.cumsum(full)])[first].tolist()
+        places = places[full].tolist()
+        for n, a, b in zip(counts, first, first[1:]):
+            yield n, places[a:b]
 
     def pieces(self, raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Bytes and spans of pieces: cut at ASCII white space, between an ASCII letter and an ASCII mark after it, around
@@ -238,27 +293,43 @@ class TrieEncoder:
                 free = b
         return out
 
-    def learn(self, hashes: np.ndarray, data: bytes, starts: list[int], ends: list[int]) -> None:
-        merged = self.merges
-        pieces, numbers, words = [], {}, []
-        for s, e in zip(starts, ends):
-            piece = data[s:e].decode()
-            special = self.special.get(piece)
-            if special is not None:
-                pieces.append(special)
-                continue
-            split = [w for w, _ in self.split(self.normalize(piece)) if w]
-            split = [ended(w) if merged.marked else w for w in split]
-            pieces.append([numbers.setdefault(w, len(numbers)) for w in split])
-        words = sorted(numbers)
-        ids: list[list[int]] = [[]] * len(numbers)
-        for at in range(0, len(words), TRIE_WORDS):
-            chunk = words[at : at + TRIE_WORDS]
-            for w, found in zip(chunk, encode_words(merged, chunk)):
-                ids[numbers[w]] = found
-        first = len(self.ids)
-        self.ids += [[p] if isinstance(p, int) else [t for w in p for t in ids[w]] for p in pieces]
-        self.bytes += sum(e - s for s, e in zip(starts, ends))
+    def learn(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        whole = data.tobytes()
+        letters = whole.decode("latin-1")
+        others = np.concatenate([[0], np.cumsum(~LOWER[data])])
+        plain = (others[starts] == others[ends]).tolist()
+        pieces, words = [], set()  # a piece is a word, a list of words, or an id
+        for s, e, one_word in zip(starts.tolist(), ends.tolist(), plain):
+            if one_word:
+                piece = letters[s:e]
+                words.add(piece)
+            else:
+                piece = whole[s:e].decode()
+                if piece in self.special:
+                    piece = self.special[piece]
+                else:
+                    piece = [w for w, _ in self.split(self.normalize(piece)) if w]
+                    words.update(piece)
+            pieces.append(piece)
+        ids: dict[str, tuple[int, ...]] = {}
+        ordered = sorted(words)
+        for at in range(0, len(ordered), TRIE_WORDS):
+            chunk = ordered[at : at + TRIE_WORDS]
+            ids.update(zip(chunk, encode_words(self.merges, chunk)))
+        first, decimal, text = len(self.ids), self.decimal, self.text
+        for piece in pieces:
+            if isinstance(piece, str):
+                found = ids[piece]
+            elif isinstance(piece, int):
+                found = (piece,)
+            else:
+                found = tuple([t for w in piece for t in ids[w]])
+            self.ids.append(found)
+            self.written.append(" ".join([decimal[t] for t in found]))
+            self.decoded.append(" ".join([text[t] for t in found]))
+        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, self.ids[first:]), np.int64)])
+        self.bytes = np.concatenate([self.bytes, ends - starts])
+        self.again = np.concatenate([self.again, np.zeros(len(starts), bool)])
         seen = np.concatenate([self.seen, hashes])
         order = np.argsort(seen, kind="stable")
         self.seen, self.at = seen[order], np.concatenate([self.at, np.arange(first, len(self.ids))])[order]
@@ -291,16 +362,15 @@ def trie_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
-        decimal = [str(i) for i in range(len(enc.text))]
         for batch in slices(batches, "text", SLICE):
             sizes, ids_sha, text_sha, kept, decoded = [], [], [], [], []
-            for ids in enc.encode(batch.column("text")):
-                text = enc.decode(ids)
-                sizes.append(len(ids))
-                ids_sha.append(hashlib.sha256(" ".join([decimal[i] for i in ids]).encode()).hexdigest())
+            for n, places in enc.rows(batch.column("text")):
+                text = " ".join([enc.decoded[p] for p in places])
+                sizes.append(n)
+                ids_sha.append(hashlib.sha256(" ".join([enc.written[p] for p in places]).encode()).hexdigest())
                 text_sha.append(hashlib.sha256(text.encode()).hexdigest())
                 if with_ids:
-                    kept.append(ids)
+                    kept.append([t for p in places for t in enc.ids[p]])
                     decoded.append(text)
             out = {
                 "doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "n_tokens": pa.array(sizes, pa.int64()),

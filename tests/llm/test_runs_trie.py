@@ -177,6 +177,31 @@ def test_a_worker_that_forgets_gives_the_same_ids(monkeypatch):
         assert got == [library.encode(t, add_special_tokens=False).ids for t in texts[at : at + 100]]
 
 
+def test_frequent_words_are_learned_once_and_without_the_splitter(monkeypatch):
+    """A piece of the letters a to z is a word as it is; pieces that were met again outlast a worker's forgetting."""
+    import pyarrow as pa
+
+    from relfeat.llm import trie_bpe
+
+    def never(text):
+        raise AssertionError(text)
+
+    monkeypatch.setattr(trie_bpe, "KEPT_PIECES", 100)
+    library, enc, learned = Tokenizer.from_file(BPE), TrieEncoder(BPE), []
+    monkeypatch.setattr(enc, "normalize", never)
+    monkeypatch.setattr(enc, "split", never)
+    learn = enc.learn
+    monkeypatch.setattr(enc, "learn", lambda hashes, *rest: (learned.append(len(hashes)), learn(hashes, *rest)))
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choice("aeinorstth") for _ in range(rng.randint(1, 12))) for _ in range(700)})
+    rng.shuffle(words)
+    common, fresh = words[:20], words[20:420]
+    for at in range(0, 400, 40):
+        texts = [" ".join(common).title(), " ".join(fresh[at : at + 40])]
+        assert list(enc.encode(pa.array(texts, pa.string()))) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(learned) == 420 and len(enc.ids) <= 100 + 60
+
+
 def test_neighbouring_tokens():
     """Every two tokens of an encoding may be neighbours; a merge that joins them forbids it."""
     merges = TrieEncoder(BPE).merges
