@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from relfeat.functions.expr import ratio, with_exprs
+from relfeat.operators.encode import Vocabulary, fit_vocabulary
 from relfeat.operators.model import CrossValidation, cross_validate
+from relfeat.operators.slices import by_slices, settled
 from relfeat.plans.application import SPLIT, application_features
 from relfeat.plans.blocks import (
     CUSTOMER,
+    LOAN,
     assemble_mart,
     bureau_block,
     card_block,
@@ -59,19 +63,32 @@ def read_loan_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def feature_mart(tables: Mapping[str, DataFrame], history: bool = True) -> DataFrame:
-    """One wide row per customer: application features and every child block, plus the ratios across blocks."""
-    steps = [
-        lambda: application_features(tables["application"]),
-        lambda: bureau_block(tables["bureau"], tables["bureau_balance"]),
-        lambda: previous_block(tables["previous"]),
-        lambda: pos_block(tables["pos"]),
-        lambda: card_block(tables["card"]),
-        lambda: instalment_block(tables["instalments"]),
-    ]
-    if history:
-        steps.append(lambda: pos_history_block(tables["pos"]))
-    # each block may first look for its vocabulary or group sizes
-    root, *blocks = in_parallel(tables["application"].sparkSession, steps)
+    """One wide row per customer: application features and every child block, plus the ratios across blocks.
+
+    The blocks are computed and stored one after the other, so that the disk holds the temporary files of one at a time.
+    """
+    spark = tables["application"].sparkSession
+
+    def children() -> list[DataFrame]:
+        # the widest first, while least is stored
+        [card] = by_slices(tables["card"], CUSTOMER, LOAN, lambda rows: [partial(card_block, vocabulary=statuses(rows))])
+        [instalments] = by_slices(tables["instalments"], CUSTOMER, LOAN, lambda rows: [instalment_block])
+        [previous] = by_slices(
+            tables["previous"], CUSTOMER, LOAN, lambda rows: [partial(previous_block, vocabulary=fit_vocabulary(rows))]
+        )
+        pos, *late = by_slices(
+            tables["pos"],
+            CUSTOMER,
+            LOAN,
+            lambda rows: [partial(pos_block, vocabulary=statuses(rows)), *([pos_history_block] if history else [])],
+        )
+        bureau = settled(spark, lambda: bureau_block(tables["bureau"], tables["bureau_balance"]))
+        return [bureau, previous, pos, card, instalments, *late]
+
+    def statuses(rows: DataFrame) -> Vocabulary:
+        return fit_vocabulary(rows, ["NAME_CONTRACT_STATUS"])
+
+    root, blocks = in_parallel(spark, [lambda: application_features(tables["application"]), children])
     mart = assemble_mart(root, blocks)
     return with_exprs(
         mart,

@@ -5,8 +5,9 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -74,25 +75,71 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Compute ``df`` once into a table of the shared folder and read that: one pass over the last stage where a checkpoint
-    takes two, and the planner learns the true size. ``clear_stored`` deletes these tables."""
+    takes two, and the planner learns the true size. ``released`` and ``clear_stored`` delete these tables."""
     path = fresh_dir(df.sparkSession, name)
     df.write.parquet(path)
-    _stored.append(path)
+    owned(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _stored: list[str] = []
+_scope = threading.local()
 
 
-def clear_stored(spark: SparkSession) -> int:
-    """Delete the tables written by ``stored`` in this process; results that still read them are lost with them."""
+def owned(path: str) -> None:
+    """A stored table belongs to the innermost ``released`` of the thread, or else to the process."""
+    getattr(_scope, "paths", _stored).append(path)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> int:
     done = 0
-    while _stored:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
         done += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return done
 
 
+def clear_stored(spark: SparkSession) -> int:
+    """Delete the tables written by ``stored`` in this process; results that still read them are lost with them."""
+    return _delete(spark, _stored)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Tables that this thread stores inside are deleted at the end: what is to last is stored after it."""
+    outer = getattr(_scope, "paths", _stored)
+    _scope.paths = []
+    try:
+        yield
+    finally:
+        inner, _scope.paths = _scope.paths, outer
+        _delete(spark, inner)
+
+
+# Spark's own setting: a query that ended deletes its shuffle files
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing = {"lock": threading.Lock(), "depth": 0, "before": None}
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that end inside delete their shuffle files, which else stay until the driver happens to collect its garbage.
+    A plan that needs such files again computes them again."""
+    with _freeing["lock"]:
+        if not _freeing["depth"]:
+            _freeing["before"] = spark.conf.get(FREE_SHUFFLES, None)
+            spark.conf.set(FREE_SHUFFLES, "true")
+        _freeing["depth"] += 1
+    try:
+        yield
+    finally:
+        with _freeing["lock"]:
+            _freeing["depth"] -= 1
+            if not _freeing["depth"]:
+                before = _freeing["before"]
+                spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+
+
 def in_parallel(spark: SparkSession, steps: Sequence[Callable[[], Result]], at_once: int = 8) -> list[Result]:
     """Run independent steps that each start small jobs (statistics, vocabularies) at the same time."""
     if len(steps) < 2:
