@@ -20,6 +20,12 @@ SLICE_BYTES = 64 << 20
 Block = Callable[[DataFrame], DataFrame]
 
 
+def input_bytes(df: DataFrame) -> int:
+    """The size of what a plan reads, a table as often as it is read; very large where it is not known."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
 def _write(df: DataFrame, path: str, *by: str) -> None:
     df.write.option("compression", "zstd").mode("append").partitionBy(*by).parquet(path)
 

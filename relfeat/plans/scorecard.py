@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType
 from relfeat.functions.expr import ratio, with_exprs
 from relfeat.operators.encode import Vocabulary, fit_vocabulary
 from relfeat.operators.model import CrossValidation, cross_validate
-from relfeat.operators.slices import by_slices, settled
+from relfeat.operators.slices import SLICE_BYTES, Block, by_slices, input_bytes, settled
 from relfeat.plans.application import SPLIT, application_features
 from relfeat.plans.blocks import (
     CUSTOMER,
@@ -65,30 +65,34 @@ def read_loan_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def feature_mart(tables: Mapping[str, DataFrame], history: bool = True) -> DataFrame:
     """One wide row per customer: application features and every child block, plus the ratios across blocks.
 
-    The blocks are computed and stored one after the other, so that the disk holds the temporary files of one at a time.
+    The blocks are computed and stored one after the other, so that the disk holds the temporary files of one at a time; those
+    of small tables side by side. The application rows are dealt by customer while they are narrow: their features meet the
+    blocks without another shuffle.
     """
     spark = tables["application"].sparkSession
 
-    def children() -> list[DataFrame]:
-        # the widest first, while least is stored
-        [card] = by_slices(tables["card"], CUSTOMER, LOAN, lambda rows: [partial(card_block, vocabulary=statuses(rows))])
-        [instalments] = by_slices(tables["instalments"], CUSTOMER, LOAN, lambda rows: [instalment_block])
-        [previous] = by_slices(
-            tables["previous"], CUSTOMER, LOAN, lambda rows: [partial(previous_block, vocabulary=fit_vocabulary(rows))]
-        )
-        pos, *late = by_slices(
-            tables["pos"],
-            CUSTOMER,
-            LOAN,
-            lambda rows: [partial(pos_block, vocabulary=statuses(rows)), *([pos_history_block] if history else [])],
-        )
-        bureau = settled(spark, lambda: bureau_block(tables["bureau"], tables["bureau_balance"]))
-        return [bureau, previous, pos, card, instalments, *late]
-
     def statuses(rows: DataFrame) -> Vocabulary:
         return fit_vocabulary(rows, ["NAME_CONTRACT_STATUS"])
 
-    root, blocks = in_parallel(spark, [lambda: application_features(tables["application"]), children])
+    def sliced(name: str, fit: Callable[[DataFrame], list[Block]]) -> Callable[[], list[DataFrame]]:
+        return lambda: by_slices(tables[name], CUSTOMER, LOAN, fit)
+
+    late = [pos_history_block] if history else []
+    # the widest first, while least is stored
+    steps = [
+        sliced("card", lambda rows: [partial(card_block, vocabulary=statuses(rows))]),
+        sliced("instalments", lambda rows: [instalment_block]),
+        sliced("previous", lambda rows: [partial(previous_block, vocabulary=fit_vocabulary(rows))]),
+        sliced("pos", lambda rows: [partial(pos_block, vocabulary=statuses(rows)), *late]),
+        lambda: [settled(spark, lambda: bureau_block(tables["bureau"], tables["bureau_balance"]))],
+    ]
+
+    def children() -> list[DataFrame]:
+        small = sum(input_bytes(df) for name, df in tables.items() if name != "application") <= SLICE_BYTES
+        [card], [instalments], [previous], [pos, *rest], [bureau] = in_parallel(spark, steps, len(steps) if small else 1)
+        return [bureau, previous, pos, card, instalments, *rest]
+
+    root, blocks = in_parallel(spark, [lambda: application_features(tables["application"].repartition(CUSTOMER)), children])
     mart = assemble_mart(root, blocks)
     return with_exprs(
         mart,

@@ -7,7 +7,7 @@ from relfeat.driver.loan_views import loan_table, loan_tables
 from relfeat.driver.registry import Tables
 from relfeat.functions.aggs import by_name
 from relfeat.operators.grouping import aggregate
-from relfeat.operators.slices import by_slices, dealt, settled
+from relfeat.operators.slices import by_slices, dealt, input_bytes, settled
 from relfeat.plans import blocks
 from relfeat.plans.scorecard import feature_mart
 from relfeat.session import shared_dir, shuffles_freed
@@ -101,3 +101,9 @@ def test_mart_joins_stored_blocks(spark):
     assert "lineitem" not in plan and "orders" not in plan and "events" not in plan
     assert plan.count("Exchange hashpartitioning") <= 7
     assert not left_of(spark, files)
+
+
+def test_size_of_what_a_plan_reads(spark):
+    t = Tables(spark, FOLDER)
+    files = [os.path.getsize(f"{FOLDER}/{n}.parquet") for n in ("lineitem", "orders")]
+    assert input_bytes(t.orders) == files[1] and input_bytes(loan_table(t, "card")) == sum(files)
