@@ -59,10 +59,10 @@ def dealt(df: DataFrame, key: str, slice_bytes: int | None = None) -> tuple[Data
 def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
     """The result of ``make``, stored; shuffle files and other tables stored on the way are deleted."""
     path = fresh_dir(spark, "block")
+    owned(path)
     with shuffles_freed(spark), released(spark):
         result = make()
         _write(result, path)
-    owned(path)
     return spark.read.schema(result.schema).parquet(path)
 
 
@@ -75,17 +75,15 @@ def by_slices(
     states of a key meet in one task instead of many, and a key with very many rows is cut at its ``inner``. The cuts balance the
     work; no result depends on them. Shuffle files and stored tables of a step go with the step, the dealt rows at the end.
     """
-    spark = df.sparkSession
-    paths, schemas = [], []
+    spark, schemas = df.sparkSession, []
+    path = fresh_dir(spark, "blocks")
+    owned(path)
     with shuffles_freed(spark), released(spark):
         rows, frames = dealt(df, key, slice_bytes)
-        for block in fit(rows):
-            paths.append(fresh_dir(spark, "block"))
+        for i, block in enumerate(fit(rows)):
             for frame in frames:
                 with released(spark):
                     result = block(frame.repartitionByRange(key, inner))
-                    _write(result, paths[-1])
+                    _write(result, f"{path}/{i}")
             schemas.append(result.schema)
-    for path in paths:
-        owned(path)
-    return [spark.read.schema(schema).parquet(path) for path, schema in zip(paths, schemas)]
+    return [spark.read.schema(schema).parquet(f"{path}/{i}") for i, schema in enumerate(schemas)]

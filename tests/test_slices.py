@@ -48,7 +48,7 @@ def test_slices_give_whole_results_and_leave_only_them(spark):
     for limit in (1, None):
         first, second = by_slices(rows, "k", "loan", lambda whole: [lambda r: aggregate(r, "k", AGGS)] * 2, limit)
         new = set(os.listdir(folder)) - tables
-        assert len(new) == 2 and all(n.startswith("block-") for n in new), new
+        assert len(new) == 1 and min(new).startswith("blocks-"), new
         assert not left_of(spark, files)
         assert listed(first) == listed(second) == want
         tables |= new
